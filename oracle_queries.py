@@ -162,3 +162,245 @@ FROM health h LEFT JOIN weather w ON h.Date = w.Date AND h.borough = w.borough""
 
 SQL["panel_merged"] = f"""WITH {PANEL}
 SELECT Date, borough, year, {sel_round(PANEL_COLS)} FROM panel"""
+
+
+# ---------------------------------------------------------------- imputation, lags, features
+
+FILL_COLS = ["Temp_Max_C", "Temp_Min_C", "Humidity_Avg", "WindSpeed_mps",
+             "AQ_Nitrogen_dioxide_NO2", "AQ_Ozone_O3", "AQ_Visits_due_to_PM25"]
+WF = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+WB = "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
+
+IMPUTED = PANEL + ",\nimp0 AS (\n  SELECT Date, borough, year, Respiratory_Count, Asthma_Count, Total_Hospitalization,\n" + \
+    ",\n".join(f"    coalesce(last_value({c} IGNORE NULLS) OVER wf, first_value({c} IGNORE NULLS) OVER wb) AS {c}"
+               for c in FILL_COLS) + \
+    f"\n  FROM panel WINDOW wf AS (PARTITION BY borough ORDER BY Date {WF}),\n" \
+    f"                    wb AS (PARTITION BY borough ORDER BY Date {WB})),\n" + \
+    "imputed AS (\n  SELECT Date, borough, year, Respiratory_Count, Asthma_Count, Total_Hospitalization,\n" + \
+    ",\n".join(f"    coalesce({c}, (SELECT avg({c}) FROM imp0), 0) AS {c}" for c in FILL_COLS) + "\n  FROM imp0)"
+
+LAG_COLS = ["Total_Hospitalization", "Respiratory_Count", "Asthma_Count", "Temp_Max_C", "Humidity_Avg",
+            "WindSpeed_mps"]
+PLACE_LIST = ["automobile", "building", "furniture", "household", "machinery"]
+
+CALENDAR = ("CAST(month(Date) AS INTEGER) AS month, CAST(day(Date) AS INTEGER) AS day, "
+            "CAST(isodow(Date) - 1 AS INTEGER) AS day_of_week, CAST(quarter(Date) AS INTEGER) AS quarter, "
+            "CAST(isodow(Date) >= 6 AS INTEGER) AS is_weekend, "
+            "CAST(floor((month(Date) % 12) / 3) + 1 AS INTEGER) AS season")
+ONE_HOT = ", ".join(f"CAST(borough = '{p}' AS INTEGER) AS borough_{p}" for p in PLACE_LIST)
+FRAME_LAGS = ", ".join(f"lag({c}, {k}) OVER (ORDER BY Date, borough) AS {c}_lag{k}"
+                       for c in LAG_COLS for k in (1, 7))
+
+FEATURES = IMPUTED + f""",
+feat0 AS (SELECT *, {CALENDAR}, {ONE_HOT}, {FRAME_LAGS}, Temp_Max_C - Temp_Min_C AS Temp_Range FROM imputed),
+features AS (
+  SELECT *, CAST(Total_Hospitalization >= (SELECT quantile_cont(Total_Hospitalization, 0.75) FROM feat0) AS INTEGER)
+            AS High_Risk,
+         CASE WHEN year(Date) IN (1995, 1996, 1997, 1998) THEN 'train' WHEN year(Date) = 2000 THEN 'val'
+              WHEN year(Date) = 2001 THEN 'test' END AS split
+  FROM feat0)"""
+
+FEATURE_NAMES = (["Temp_Max_C", "Temp_Min_C", "WindSpeed_mps", "Humidity_Avg", "AQ_Nitrogen_dioxide_NO2",
+                  "AQ_Ozone_O3", "AQ_Visits_due_to_PM25", "month", "day", "day_of_week", "quarter",
+                  "is_weekend", "season"] + [f"borough_{p}" for p in PLACE_LIST]
+                 + [f"{c}_lag7" for c in LAG_COLS] + ["Temp_Range"])
+
+FEATURE_OUT = (["Respiratory_Count", "Asthma_Count", "Total_Hospitalization"] + FILL_COLS
+               + [f"{c}_lag{k}" for c in LAG_COLS for k in (1, 7)] + ["Temp_Range"])
+FEATURE_INT = ["year", "month", "day", "day_of_week", "quarter", "is_weekend", "season"] + \
+    [f"borough_{p}" for p in PLACE_LIST] + ["High_Risk"]
+
+SQL["impute_series"] = f"""WITH {IMPUTED}
+SELECT Date, borough, year, {sel_round(['Respiratory_Count', 'Asthma_Count', 'Total_Hospitalization'] + FILL_COLS)}
+FROM imputed"""
+
+SQL["impute_frame"] = f"""WITH {PANEL}
+SELECT Date, borough, year, {sel_round(['Respiratory_Count', 'Asthma_Count', 'Total_Hospitalization'])},
+  {", ".join(rnd(f"coalesce(last_value({c} IGNORE NULLS) OVER (ORDER BY borough, Date {WF}), "
+                 f"first_value({c} IGNORE NULLS) OVER (ORDER BY borough, Date {WB}))") + f" AS {c}"
+             for c in FILL_COLS)}
+FROM panel"""
+
+SPINE_NULL = """sp AS (
+  SELECT borough, CAST(unnest(generate_series(min(Date), max(Date), INTERVAL 1 DAY)) AS DATE) AS Date
+  FROM health GROUP BY borough),
+s AS (
+  SELECT sp.borough, sp.Date, h.v FROM sp
+  LEFT JOIN (SELECT borough, Date, sum(Total_Hospitalization) AS v FROM health GROUP BY borough, Date) h
+    ON sp.borough = h.borough AND sp.Date = h.Date)"""
+
+SQL["interpolate_limited"] = f"""WITH {HEALTH}, {SPINE_NULL},
+pos AS (SELECT *, row_number() OVER (PARTITION BY borough ORDER BY Date) AS p FROM s),
+nb AS (
+  SELECT *, last_value(CASE WHEN v IS NOT NULL THEN p END IGNORE NULLS) OVER wf AS pa,
+            last_value(v IGNORE NULLS) OVER wf AS va,
+            first_value(CASE WHEN v IS NOT NULL THEN p END IGNORE NULLS) OVER wb AS pb,
+            first_value(v IGNORE NULLS) OVER wb AS vb
+  FROM pos WINDOW wf AS (PARTITION BY borough ORDER BY Date {WF}), wb AS (PARTITION BY borough ORDER BY Date {WB}))
+SELECT borough, Date, {rnd('''CASE WHEN v IS NOT NULL THEN v
+  WHEN pa IS NOT NULL AND pb IS NOT NULL AND (p - pa <= 3 OR pb - p <= 3) THEN va + (vb - va) * (p - pa) / (pb - pa)
+  WHEN pa IS NULL AND pb IS NOT NULL AND pb - p <= 3 THEN vb
+  WHEN pb IS NULL AND pa IS NOT NULL AND p - pa <= 3 THEN va END''')} AS Total_Hospitalization
+FROM nb"""
+
+_WV = ["Temp_Max_C", "Humidity_Avg", "WindSpeed_mps"]
+SQL["lag_features_series"] = f"""WITH {PANEL}
+SELECT Date, borough, {sel_round(_WV + ['Temp_Min_C'])},
+  {", ".join(r6(f"lag({c}, {k}) OVER (PARTITION BY borough ORDER BY Date)", f"{c}_lag{k}")
+             for c in _WV for k in (1, 2, 3))},
+  {", ".join(r6(c, f"{c}_same_day") for c in _WV)}
+FROM panel"""
+
+SQL["lag_features_frame"] = f"""WITH {PANEL}
+SELECT Date, borough, year,
+  {sel_round(['Respiratory_Count', 'Asthma_Count', 'Total_Hospitalization', 'Temp_Max_C', 'Temp_Min_C',
+              'Humidity_Avg', 'WindSpeed_mps'])},
+  {", ".join(r6(f"lag({c}, {k}) OVER (ORDER BY Date, borough)", f"{c}_lag{k}") for c in LAG_COLS for k in (1, 7))}
+FROM panel"""
+
+_RC = ["Total_Hospitalization", "Temp_Max_C", "Humidity_Avg"]
+SQL["rolling_mean_shift"] = f"""WITH {PANEL}
+SELECT Date, borough, {sel_round(_RC)},
+  {", ".join(r6(f"avg({c}) OVER (PARTITION BY borough ORDER BY Date ROWS BETWEEN 9 PRECEDING AND 3 PRECEDING)",
+                f"{c}_roll7") for c in _RC)}
+FROM panel"""
+
+SQL["calendar_features"] = f"""WITH {HEALTH}
+SELECT Date, borough, year, {CALENDAR} FROM health"""
+
+SQL["one_hot_key"] = f"""WITH {HEALTH}
+SELECT Date, borough, {ONE_HOT} FROM health"""
+
+SQL["range_features"] = f"""WITH {WEATHER}
+SELECT Date, borough, {r6('Temp_Max_C - Temp_Min_C', 'Temp_Range')} FROM weather"""
+
+SQL["quantile_threshold"] = f"""WITH {HEALTH}
+SELECT {", ".join(r6(f"quantile_cont(Total_Hospitalization, {q})", f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75))}
+FROM health"""
+
+SQL["high_risk_target"] = f"""WITH {PANEL}
+SELECT Date, borough, {r6('Total_Hospitalization', 'Total_Hospitalization')},
+  CAST(Total_Hospitalization >= (SELECT quantile_cont(Total_Hospitalization, 0.75) FROM panel) AS INTEGER) AS High_Risk
+FROM panel"""
+
+SQL["temporal_split"] = f"""WITH {HEALTH}
+SELECT Date, borough, CASE WHEN year(Date) IN (1995, 1996, 1997, 1998) THEN 'train' WHEN year(Date) = 2000 THEN 'val'
+  WHEN year(Date) = 2001 THEN 'test' END AS split FROM health"""
+
+SQL["features"] = f"""WITH {FEATURES}
+SELECT Date, borough, {", ".join(f"CAST(year(Date) AS INTEGER) AS year" if c == "year" else c for c in FEATURE_INT)},
+  {sel_round(FEATURE_OUT)}
+FROM features"""
+
+SQL["feature_matrix"] = f"""WITH {FEATURES}
+SELECT Date, borough, {r6('Total_Hospitalization', 'Total_Hospitalization')}, High_Risk, split,
+  {", ".join(r6(f"coalesce(CAST({c} AS DOUBLE), 0)", c) for c in FEATURE_NAMES)}
+FROM features WHERE split IS NOT NULL"""
+
+_ZC = ["Temp_Max_C", "Humidity_Avg", "WindSpeed_mps", "day_of_week", "borough_building"]
+SQL["standardize"] = f"""WITH {FEATURES}, f AS (SELECT * FROM features WHERE split IS NOT NULL)
+SELECT Date, borough, split,
+  {", ".join(r6(f"({c} - (SELECT avg({c}) FROM f WHERE split = 'train')) / "
+                f"coalesce(nullif((SELECT stddev_pop({c}) FROM f WHERE split = 'train'), 0), 1)", f"{c}_z")
+             for c in _ZC)}
+FROM f"""
+
+SQL["feature_manifest"] = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{n}', {i})" for i, n in enumerate(FEATURE_NAMES)) + ") t(Feature_Name, Feature_Index)"
+
+
+# ---------------------------------------------------------------- exploration / series
+
+SERIES = HEALTH + f""",
+sp0 AS (SELECT Date, borough, Total_Hospitalization, Asthma_Count FROM health WHERE borough IN {PLACES})"""
+
+
+def spine_zero(col: str) -> str:
+    return f"""spz AS (
+  SELECT borough, CAST(unnest(generate_series(min(Date), max(Date), INTERVAL 1 DAY)) AS DATE) AS Date
+  FROM sp0 GROUP BY borough),
+z AS (
+  SELECT spz.borough, spz.Date, coalesce(d.v, 0) AS v FROM spz
+  LEFT JOIN (SELECT borough, Date, sum({col}) AS v FROM sp0 GROUP BY borough, Date) d
+    ON spz.borough = d.borough AND spz.Date = d.Date)"""
+
+
+SQL["daily_spine_sum"] = f"""WITH {SERIES}, {spine_zero('Total_Hospitalization')}
+SELECT borough, Date, {r6('v', 'Total_Hospitalization')} FROM z"""
+
+SQL["min_length_series"] = f"""WITH ev AS (
+  SELECT CAST(ts AS DATE) AS Date, event_type AS borough, sum(value) AS value FROM events GROUP BY 1, 2)
+SELECT Date, borough, {r6('value', 'value')} FROM ev
+WHERE borough IN (SELECT borough FROM ev GROUP BY borough HAVING count(value) >= 14)"""
+
+SQL["winsorize_iqr"] = f"""WITH {SERIES},
+b AS (SELECT borough, quantile_cont(Total_Hospitalization, 0.25) AS q1, quantile_cont(Total_Hospitalization, 0.75) AS q3
+      FROM sp0 GROUP BY borough)
+SELECT Date, sp0.borough, {r6('Asthma_Count', 'Asthma_Count')},
+  {r6('least(greatest(Total_Hospitalization, q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1))', 'Total_Hospitalization')}
+FROM sp0 JOIN b ON sp0.borough = b.borough"""
+
+SQL["winsorize_percentile"] = f"""WITH {SERIES},
+b AS (SELECT borough, quantile_cont(Total_Hospitalization, 0.01) AS lo, quantile_cont(Total_Hospitalization, 0.99) AS hi
+      FROM sp0 GROUP BY borough)
+SELECT Date, sp0.borough, {r6('Asthma_Count', 'Asthma_Count')},
+  {r6('least(greatest(Total_Hospitalization, lo), hi)', 'Total_Hospitalization')}
+FROM sp0 JOIN b ON sp0.borough = b.borough"""
+
+SQL["winsor_log_series"] = f"""WITH {SERIES}, {spine_zero('Total_Hospitalization')},
+b AS (SELECT borough, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM z GROUP BY borough)
+SELECT z.borough, Date,
+  {r6('ln(1 + greatest(least(greatest(v, q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)), 0))', 'Total_Hospitalization')}
+FROM z JOIN b ON z.borough = b.borough"""
+
+SQL["additive_decompose"] = f"""WITH {SERIES}, {spine_zero('Asthma_Count')},
+t AS (
+  SELECT borough, Date, v AS observed,
+    CASE WHEN count(v) OVER w = 7 THEN avg(v) OVER w END AS trend,
+    (row_number() OVER (PARTITION BY borough ORDER BY Date) - 1) % 7 AS phase
+  FROM z WINDOW w AS (PARTITION BY borough ORDER BY Date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+ph AS (SELECT borough, phase, avg(observed - trend) AS pm FROM t GROUP BY borough, phase),
+phc AS (SELECT borough, phase, pm - avg(pm) OVER (PARTITION BY borough) AS seasonal FROM ph)
+SELECT t.borough, Date, {r6('observed', 'observed')}, {r6('trend', 'trend')}, {r6('seasonal', 'seasonal')},
+  {r6('observed - trend - seasonal', 'resid')}
+FROM t JOIN phc ON t.borough = phc.borough AND t.phase = phc.phase"""
+
+_FIT_T = ["Total_Hospitalization", "Asthma_Count"]
+_FIT_V = ["Temp_Max_C", "Temp_Min_C", "WindSpeed_mps", "Humidity_Avg"]
+SQL["weather_linear_fit"] = f"""WITH {PANEL}, long AS (
+  {" UNION ALL ".join(f"SELECT '{t}' AS target, '{v}' AS variable, {t} AS y, {v} AS x FROM panel"
+                      for t in _FIT_T for v in _FIT_V)})
+SELECT target, variable, {r6('regr_slope(y, x)', 'slope')}, {r6('regr_intercept(y, x)', 'intercept')},
+  {r6('regr_r2(y, x)', 'r2')}, CAST(regr_count(y, x) AS BIGINT) AS n
+FROM long GROUP BY target, variable"""
+
+_MM = ["Total_Hospitalization", "Asthma_Count", "Temp_Max_C"]
+SQL["monthly_means"] = f"""WITH {PANEL},
+ms AS (SELECT CAST(unnest(generate_series(date_trunc('month', min(Date)), date_trunc('month', max(Date)),
+                                           INTERVAL 1 MONTH)) AS DATE) AS m FROM panel),
+g AS (SELECT CAST(date_trunc('month', Date) AS DATE) AS m, {", ".join(f"avg({c}) AS {c}" for c in _MM)}
+      FROM panel GROUP BY 1)
+SELECT last_day(ms.m) AS Date, {sel_round(_MM, 'g')} FROM ms LEFT JOIN g ON ms.m = g.m"""
+
+SQL["three_month_means"] = f"""WITH {PANEL},
+f AS (SELECT CAST(date_trunc('month', min(Date)) AS DATE) AS first FROM panel),
+ms AS (SELECT CAST(unnest(generate_series(date_trunc('month', min(Date)), date_trunc('month', max(Date)),
+                                           INTERVAL 1 MONTH)) AS DATE) AS m FROM panel),
+bins AS (SELECT DISTINCT CAST(ceil(date_diff('month', f.first, ms.m) / 3) AS INTEGER) AS bin FROM ms, f),
+g AS (SELECT CAST(ceil(date_diff('month', f.first, CAST(date_trunc('month', Date) AS DATE)) / 3) AS INTEGER) AS bin,
+             {", ".join(f"avg({c}) AS {c}" for c in _MM)}
+      FROM panel, f GROUP BY 1)
+SELECT last_day(CAST(f.first + to_months(bins.bin * 3) AS DATE)) AS Date, {sel_round(_MM, 'g')}
+FROM bins CROSS JOIN f LEFT JOIN g ON bins.bin = g.bin"""
+
+SQL["monthly_by_key"] = f"""WITH {PANEL}
+SELECT borough, last_day(Date) AS Date, {r6('sum(Total_Hospitalization)', 'Total_Hospitalization')},
+  {r6('sum(Respiratory_Count)', 'Respiratory_Count')}, {r6('avg(Temp_Max_C)', 'Temp_Max_C')},
+  {r6('avg(Humidity_Avg)', 'Humidity_Avg')}, {r6('avg(WindSpeed_mps)', 'WindSpeed_mps')}
+FROM panel GROUP BY borough, last_day(Date)"""
+
+_MJ = ["Respiratory_Count", "Temp_Max_C", "Humidity_Avg"]
+SQL["monthly_join_back"] = f"""WITH {PANEL}
+SELECT Date, borough, {sel_round(_MJ)},
+  {", ".join(r6(f"avg({c}) OVER (PARTITION BY borough, date_trunc('month', Date))", f"{c}_monthly") for c in _MJ)}
+FROM panel"""

@@ -157,3 +157,194 @@ def q_panel_weather_left(spark, sf):
 @query("panel_merged")
 def q_panel_merged(spark, sf):
     return panel(spark, sf)
+
+
+# ---------------------------------------------------------------- imputation, lags, features
+
+from surge.operators import features as feat  # noqa: E402
+from surge.operators import impute as imp  # noqa: E402
+from surge.operators import series as ser  # noqa: E402
+from surge.plans.stage import materialize  # noqa: E402
+
+WEATHER_VARS = ["Temp_Max_C", "Humidity_Avg", "WindSpeed_mps", "Temp_Min_C"]
+
+
+def imputed(spark: SparkSession, sf: str) -> DataFrame:
+    """Main path: panel -> per-key fill (+ mean, 0) -> drop all-missing / all-zero columns."""
+    return clean.drop_constant_zero_columns(materialize(imp.impute_series(panel(spark, sf))))
+
+
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    """Main path features: calendar, one-hot (key kept), frame lags 1/7, ranges, target."""
+    df = imputed(spark, sf)
+    df = feat.calendar_features(df)
+    df = feat.one_hot_key(df, values=src.VALID_PLACES)
+    df = feat.lag_features_frame(df)
+    df = feat.range_features(df)
+    df = materialize(df.where(F.col("Total_Hospitalization").isNotNull()))
+    return feat.high_risk_target(df)
+
+
+@query("impute_series")
+def q_impute_series(spark, sf):
+    return imputed(spark, sf)
+
+
+@query("impute_frame")
+def q_impute_frame(spark, sf):
+    return imp.impute_frame(clean.drop_empty_columns(panel(spark, sf)))
+
+
+@query("interpolate_limited")
+def q_interpolate_limited(spark, sf):
+    s = ser.daily_spine(health(spark, sf), value="Total_Hospitalization", gap="null")
+    return imp.interpolate_limited(s, ["Total_Hospitalization"], limit=3)
+
+
+@query("lag_features_series")
+def q_lag_features_series(spark, sf):
+    p = panel(spark, sf).select("Date", "borough", *WEATHER_VARS)
+    return feat.lag_features_series(p, WEATHER_VARS[:3], lags=(1, 2, 3))
+
+
+@query("lag_features_frame")
+def q_lag_features_frame(spark, sf):
+    p = panel(spark, sf).drop("AQ_Nitrogen_dioxide_NO2", "AQ_Ozone_O3", "AQ_Visits_due_to_PM25")
+    return feat.lag_features_frame(p)
+
+
+@query("rolling_mean_shift")
+def q_rolling_mean_shift(spark, sf):
+    p = panel(spark, sf).select("Date", "borough", "Total_Hospitalization", "Temp_Max_C", "Humidity_Avg")
+    return feat.rolling_mean_shift(p, ["Total_Hospitalization", "Temp_Max_C", "Humidity_Avg"])
+
+
+@query("calendar_features")
+def q_calendar_features(spark, sf):
+    return feat.calendar_features(health(spark, sf).drop("year")).select(
+        "Date", "borough", "year", "month", "day", "day_of_week", "quarter", "is_weekend", "season")
+
+
+@query("one_hot_key")
+def q_one_hot_key(spark, sf):
+    return feat.one_hot_key(health(spark, sf).select("Date", "borough"), values=src.VALID_PLACES)
+
+
+@query("range_features")
+def q_range_features(spark, sf):
+    return feat.range_features(weather(spark, sf)).select("Date", "borough", "Temp_Range")
+
+
+@query("quantile_threshold")
+def q_quantile_threshold(spark, sf):
+    h = health(spark, sf)
+    return h.agg(*[F.percentile("Total_Hospitalization", F.lit(q)).alias(f"p{int(q * 100)}")
+                   for q in (0.25, 0.5, 0.75)])
+
+
+@query("high_risk_target")
+def q_high_risk_target(spark, sf):
+    return feat.high_risk_target(panel(spark, sf)).select("Date", "borough", "Total_Hospitalization", "High_Risk")
+
+
+@query("temporal_split")
+def q_temporal_split(spark, sf):
+    return feat.temporal_split(health(spark, sf), train_years=src.TRAIN_YEARS, val_years=src.VAL_YEARS,
+                               test_years=src.TEST_YEARS).select("Date", "borough", "split")
+
+
+@query("features")
+def q_features(spark, sf):
+    return features(spark, sf)
+
+
+@query("feature_matrix")
+def q_feature_matrix(spark, sf):
+    f = feat.temporal_split(features(spark, sf), train_years=src.TRAIN_YEARS, val_years=src.VAL_YEARS,
+                            test_years=src.TEST_YEARS)
+    return feat.feature_matrix(f.where(F.col("split").isNotNull()))
+
+
+@query("standardize")
+def q_standardize(spark, sf):
+    f = feat.temporal_split(features(spark, sf), train_years=src.TRAIN_YEARS, val_years=src.VAL_YEARS,
+                            test_years=src.TEST_YEARS).where(F.col("split").isNotNull())
+    cols = ["Temp_Max_C", "Humidity_Avg", "WindSpeed_mps", "day_of_week", "borough_building"]
+    return feat.standardize(f, cols, fit_on=f.where(F.col("split") == "train"), suffix="_z") \
+        .select("Date", "borough", "split", *[c + "_z" for c in cols])
+
+
+@query("feature_manifest")
+def q_feature_manifest(spark, sf):
+    f = features(spark, sf)
+    names = feat.feature_columns(f)
+    return f.limit(1).select(F.posexplode(F.array(*[F.lit(n) for n in names])).alias("Feature_Index", "Feature_Name")) \
+        .select("Feature_Name", F.col("Feature_Index").cast("int").alias("Feature_Index"))
+
+
+# ---------------------------------------------------------------- exploration / series
+
+def series_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily total per place with gaps (the health panel, valid places)."""
+    return health(spark, sf).where(F.col("borough").isin(*src.VALID_PLACES)) \
+        .select("Date", "borough", "Total_Hospitalization", "Asthma_Count")
+
+
+@query("daily_spine_sum")
+def q_daily_spine_sum(spark, sf):
+    return ser.daily_spine(series_panel(spark, sf), value="Total_Hospitalization", gap="zero")
+
+
+@query("min_length_series")
+def q_min_length_series(spark, sf):
+    s = src.series_long(spark, sf).withColumnRenamed("key", "borough")
+    return ser.min_length_series(s, value="value", min_days=14)
+
+
+@query("winsorize_iqr")
+def q_winsorize_iqr(spark, sf):
+    return ser.winsorize(series_panel(spark, sf), value="Total_Hospitalization", method="iqr")
+
+
+@query("winsorize_percentile")
+def q_winsorize_percentile(spark, sf):
+    return ser.winsorize(series_panel(spark, sf), value="Total_Hospitalization", method="percentile")
+
+
+@query("winsor_log_series")
+def q_winsor_log_series(spark, sf):
+    return ser.winsor_log_series(series_panel(spark, sf), value="Total_Hospitalization")
+
+
+@query("additive_decompose")
+def q_additive_decompose(spark, sf):
+    s = ser.daily_spine(series_panel(spark, sf), value="Asthma_Count", gap="zero")
+    return ser.additive_decompose(s, value="Asthma_Count")
+
+
+@query("weather_linear_fit")
+def q_weather_linear_fit(spark, sf):
+    return ser.weather_linear_fit(panel(spark, sf), targets=["Total_Hospitalization", "Asthma_Count"],
+                                  variables=["Temp_Max_C", "Temp_Min_C", "WindSpeed_mps", "Humidity_Avg"])
+
+
+@query("monthly_means")
+def q_monthly_means(spark, sf):
+    return ser.monthly_means(panel(spark, sf), ["Total_Hospitalization", "Asthma_Count", "Temp_Max_C"])
+
+
+@query("three_month_means")
+def q_three_month_means(spark, sf):
+    return ser.three_month_means(panel(spark, sf), ["Total_Hospitalization", "Asthma_Count", "Temp_Max_C"])
+
+
+@query("monthly_by_key")
+def q_monthly_by_key(spark, sf):
+    return ser.monthly_by_key(panel(spark, sf), sums=["Total_Hospitalization", "Respiratory_Count"],
+                              means=["Temp_Max_C", "Humidity_Avg", "WindSpeed_mps"])
+
+
+@query("monthly_join_back")
+def q_monthly_join_back(spark, sf):
+    p = panel(spark, sf).select("Date", "borough", "Respiratory_Count", "Temp_Max_C", "Humidity_Avg")
+    return pnl.monthly_join_back(p, measures=["Respiratory_Count", "Temp_Max_C", "Humidity_Avg"])
