@@ -404,3 +404,164 @@ SQL["monthly_join_back"] = f"""WITH {PANEL}
 SELECT Date, borough, {sel_round(_MJ)},
   {", ".join(r6(f"avg({c}) OVER (PARTITION BY borough, date_trunc('month', Date))", f"{c}_monthly") for c in _MJ)}
 FROM panel"""
+
+
+# ---------------------------------------------------------------- impact and profiling
+
+EXTREME = "(coalesce(Temp_Max_C > 30, false) OR coalesce(Temp_Min_C < 0, false) OR coalesce(Humidity_Avg > 80, false))"
+
+SQL["extreme_flag"] = f"""WITH {PANEL} SELECT Date, borough, CAST({EXTREME} AS INTEGER) AS is_extreme FROM panel"""
+
+SQL["extreme_totals"] = f"""WITH {PANEL}
+SELECT borough, {r6('sum(Total_Hospitalization)', 'extreme_total')} FROM panel WHERE {EXTREME} GROUP BY borough"""
+
+SQL["extreme_uplift_by_key"] = f"""WITH {PANEL}, g AS (
+  SELECT borough, avg(Total_Hospitalization) FILTER (WHERE {EXTREME}) AS extreme_avg,
+         avg(Total_Hospitalization) FILTER (WHERE NOT {EXTREME}) AS normal_avg,
+         count(*) FILTER (WHERE {EXTREME}) AS n_extreme_rows, count(*) FILTER (WHERE NOT {EXTREME}) AS n_normal_rows
+  FROM panel GROUP BY borough)
+SELECT borough, {r6('extreme_avg', 'extreme_avg')}, {r6('normal_avg', 'normal_avg')}, n_extreme_rows, n_normal_rows,
+  {r6('(extreme_avg - normal_avg) / nullif(normal_avg, 0) * 100', 'pct_change')}
+FROM g WHERE n_extreme_rows > 0 AND n_normal_rows > 0"""
+
+
+def exposure_sql(exposures: dict, base: str, measures: list) -> str:
+    parts = []
+    for e, cond in exposures.items():
+        for m in measures:
+            parts.append(f"""SELECT '{e}' AS exposure, '{m}' AS measure,
+  avg({m}) FILTER (WHERE coalesce({cond}, false)) AS exposed_avg, avg({m}) FILTER (WHERE coalesce({base}, false)) AS baseline_avg,
+  count(*) FILTER (WHERE coalesce({cond}, false)) AS n_rows,
+  count(DISTINCT CASE WHEN coalesce({cond}, false) THEN Date END) AS n_days,
+  count(*) FILTER (WHERE coalesce({base}, false)) AS n_baseline_rows FROM panel""")
+    return f"""WITH {PANEL}, t AS ({" UNION ALL ".join(parts)})
+SELECT exposure, measure, {r6('exposed_avg', 'exposed_avg')}, {r6('baseline_avg', 'baseline_avg')}, n_rows, n_days,
+  n_baseline_rows, {r6('(exposed_avg - baseline_avg) / nullif(baseline_avg, 0) * 100', 'pct_change')}
+FROM t WHERE n_rows > 0"""
+
+
+SQL["temperature_impact"] = exposure_sql({"heat": "Temp_Max_C > 30", "cold": "Temp_Min_C < 0"},
+                                         "Temp_Max_C BETWEEN 10 AND 25",
+                                         ["Total_Hospitalization", "Respiratory_Count", "Asthma_Count"])
+SQL["humidity_impact"] = exposure_sql({"high_humidity": "Humidity_Avg > 80"}, "Humidity_Avg BETWEEN 40 AND 70",
+                                      ["Total_Hospitalization", "Asthma_Count"])
+
+
+def exposure_cte(cols: list) -> str:
+    num = " + ".join(f"coalesce({c}, 0)" for c in cols)
+    den = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in cols)
+    return f"""e0 AS (SELECT *, ({num}) / nullif({den}, 0) AS exposure FROM panel),
+e AS (SELECT * FROM e0 WHERE exposure > 0),
+eh AS (SELECT *, CAST(exposure >= (SELECT quantile_cont(exposure, 0.75) FROM e) AS INTEGER) AS is_high FROM e)"""
+
+
+PM = ["AQ_Visits_due_to_PM25"]
+AQC = ["AQ_Nitrogen_dioxide_NO2", "AQ_Ozone_O3"]
+
+SQL["high_exposure_days"] = f"""WITH {PANEL}, {exposure_cte(PM)}
+SELECT Date, borough, {r6('exposure', 'exposure')}, is_high FROM eh"""
+
+SQL["high_pm_totals"] = f"""WITH {PANEL}, {exposure_cte(PM)}
+SELECT borough, {r6('sum(Total_Hospitalization)', 'high_total')} FROM eh WHERE is_high = 1 GROUP BY borough"""
+
+SQL["high_aq_totals"] = f"""WITH {PANEL}, {exposure_cte(AQC)}
+SELECT borough, {r6('sum(Total_Hospitalization)', 'high_total')} FROM eh WHERE is_high = 1 GROUP BY borough"""
+
+SQL["pm_uplift_by_key"] = f"""WITH {PANEL}, {exposure_cte(PM)}, g AS (
+  SELECT borough, avg(Total_Hospitalization) FILTER (WHERE is_high = 1) AS high_avg,
+         avg(Total_Hospitalization) FILTER (WHERE is_high = 0) AS normal_avg,
+         count(*) FILTER (WHERE is_high = 1) AS n_high_rows, count(*) FILTER (WHERE is_high = 0) AS n_normal_rows
+  FROM eh GROUP BY borough)
+SELECT borough, {r6('high_avg', 'high_avg')}, {r6('normal_avg', 'normal_avg')}, n_high_rows, n_normal_rows,
+  {r6('(high_avg - normal_avg) / nullif(normal_avg, 0) * 100', 'pct_change')}, {r6('high_avg - normal_avg', 'abs_change')}
+FROM g WHERE n_high_rows > 0 AND n_normal_rows > 0"""
+
+RANK = f"""{PANEL}, kr AS (
+  SELECT borough, sum(Total_Hospitalization) AS total_cases, avg(Total_Hospitalization) AS avg_daily_cases,
+         sum(Asthma_Count) AS asthma_cases, sum(Respiratory_Count) AS respiratory_cases, count(*) AS n_rows
+  FROM panel GROUP BY borough),
+krr AS (SELECT *, total_cases * 100.0 / sum(total_cases) OVER () AS share_pct,
+               CAST(row_number() OVER (ORDER BY total_cases DESC, borough ASC) AS INTEGER) AS rank FROM kr)"""
+
+SQL["key_ranking"] = f"""WITH {RANK}
+SELECT borough, {sel_round(['total_cases', 'avg_daily_cases', 'asthma_cases', 'respiratory_cases', 'share_pct'])},
+  n_rows, rank FROM krr"""
+SQL["totals_by_key"] = f"WITH {RANK} SELECT borough, {r6('total_cases', 'total_cases')}, rank FROM krr"
+SQL["daily_avg_by_key"] = f"WITH {RANK} SELECT borough, {r6('avg_daily_cases', 'avg_daily_cases')}, n_rows FROM krr"
+SQL["breakdown_by_key"] = f"""WITH {RANK}
+SELECT borough, {sel_round(['asthma_cases', 'respiratory_cases', 'total_cases'])} FROM krr"""
+SQL["share_of_total"] = f"WITH {RANK} SELECT borough, {r6('share_pct', 'share_pct')} FROM krr"
+
+SQL["regional_summary"] = f"""WITH {PANEL}
+SELECT borough AS Borough, {r6('sum(Total_Hospitalization)', 'Total_Cases')}, {r6('sum(Asthma_Count)', 'Asthma_Cases')},
+  {r6('sum(Respiratory_Count)', 'Respiratory_Cases')}, {r6('avg(Total_Hospitalization)', 'Avg_Daily_Cases')}
+FROM panel GROUP BY borough"""
+
+SQL["regional_headline"] = f"""WITH {PANEL}, s AS (
+  SELECT borough AS b, sum(Total_Hospitalization) AS t, sum(Asthma_Count) AS a, sum(Respiratory_Count) AS r,
+         avg(Total_Hospitalization) AS d FROM panel GROUP BY borough)
+SELECT (SELECT b FROM s ORDER BY t DESC, b LIMIT 1) AS top_total_key,
+       (SELECT b FROM s ORDER BY a DESC, b LIMIT 1) AS top_asthma_key,
+       (SELECT b FROM s ORDER BY r DESC, b LIMIT 1) AS top_respiratory_key,
+       (SELECT b FROM s ORDER BY d DESC, b LIMIT 1) AS top_daily_avg_key,
+       {r6('max(t)', 'top_total_cases')}, {r6('max(a)', 'top_asthma_cases')}, {r6('max(r)', 'top_respiratory_cases')},
+       {r6('max(d)', 'top_daily_avg')}, {r6('sum(t)', 'grand_total')}, CAST(floor(avg(t)) AS BIGINT) AS mean_per_key,
+       (SELECT min(Date) FROM panel) AS first_date, (SELECT max(Date) FROM panel) AS last_date
+FROM s"""
+
+_ALLP = ["Date", "borough", "year"] + PANEL_COLS
+SQL["missing_profile"] = f"""WITH {PANEL}
+{" UNION ALL ".join(f"SELECT '{c}' AS column, count(*) - count({c}) AS n_missing, count(*) AS n_rows FROM panel" for c in _ALLP)}"""
+
+_DW = ["Temp_Max_C", "Temp_Min_C", "Humidity_Avg", "WindSpeed_mps"]
+SQL["describe_numeric"] = f"""WITH {WEATHER}
+{" UNION ALL ".join(f'''SELECT '{c}' AS column, count({c}) AS count, {r6(f"avg({c})", "mean")}, {r6(f"stddev_samp({c})", "std")},
+  {r6(f"min({c})", "min")}, {r6(f"quantile_cont({c}, 0.25)", "p25")}, {r6(f"quantile_cont({c}, 0.5)", "p50")},
+  {r6(f"quantile_cont({c}, 0.75)", "p75")}, {r6(f"max({c})", "max")} FROM weather''' for c in _DW)}"""
+
+SQL["value_counts"] = f"""WITH {PANEL}, h AS (
+  SELECT CAST(Total_Hospitalization >= (SELECT quantile_cont(Total_Hospitalization, 0.75) FROM panel) AS INTEGER) AS High_Risk
+  FROM panel)
+SELECT High_Risk, count(*) AS count FROM h GROUP BY High_Risk"""
+
+SQL["data_summary"] = f"""WITH {PANEL}
+SELECT count(*) AS n_rows, min(Date) AS first_date, max(Date) AS last_date, count(DISTINCT Date) AS n_days,
+  array_to_string(list_sort(list(DISTINCT CAST(year(Date) AS VARCHAR))), ',') AS years,
+  count(DISTINCT borough) AS n_keys, array_to_string(list_sort(list(DISTINCT borough)), ',') AS keys,
+  {r6('sum(Total_Hospitalization)', 'sum_Total_Hospitalization')}, {r6('sum(Asthma_Count)', 'sum_Asthma_Count')},
+  {r6('sum(Respiratory_Count)', 'sum_Respiratory_Count')}
+FROM panel"""
+
+
+def corr_sql(x: str, y: str) -> str:
+    return (f"covar_pop({x}, {y}) / nullif(stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END) * "
+            f"stddev_pop(CASE WHEN {x} IS NOT NULL THEN {y} END), 0)")
+
+
+SQL["corr_matrix"] = f"""WITH {PANEL}
+{" UNION ALL ".join(f"SELECT '{a}' AS var1, '{b}' AS var2, {r6(corr_sql(a, b), 'corr')} FROM panel"
+                    for a in PANEL_COLS for b in PANEL_COLS)}"""
+
+SQL["corr_listwise"] = f"""WITH {PANEL}, c AS (SELECT * FROM panel WHERE {" AND ".join(f"{x} IS NOT NULL" for x in PANEL_COLS)})
+{" UNION ALL ".join(f"SELECT '{a}' AS var1, '{b}' AS var2, {r6(corr_sql(a, b), 'corr')} FROM c"
+                    for a in PANEL_COLS for b in PANEL_COLS)}"""
+
+_CT = [c for c in PANEL_COLS if c != "Total_Hospitalization"]
+SQL["corr_target_top"] = f"""WITH {PANEL}, c AS (
+{" UNION ALL ".join(f"SELECT '{a}' AS variable, {r6(corr_sql(a, 'Total_Hospitalization'), 'corr')} FROM panel" for a in _CT)})
+SELECT * FROM c ORDER BY corr DESC NULLS LAST, variable LIMIT 5"""
+
+_LAGV = [f"{c}_lag{k}" for c in _WV for k in (1, 2, 3)]
+_FILT = _WV + _LAGV + [f"{c}_same_day" for c in _WV]
+SQL["corr_target_filtered"] = f"""WITH {PANEL}, lagged AS (
+  SELECT Respiratory_Count, {", ".join(_WV)},
+    {", ".join(f"lag({c}, {k}) OVER (PARTITION BY borough ORDER BY Date) AS {c}_lag{k}" for c in _WV for k in (1, 2, 3))},
+    {", ".join(f"{c} AS {c}_same_day" for c in _WV)}
+  FROM panel),
+c AS (SELECT * FROM lagged WHERE Respiratory_Count IS NOT NULL AND {" AND ".join(f"{x} IS NOT NULL" for x in _FILT)})
+{" UNION ALL ".join(f"SELECT '{a}' AS variable, {r6(corr_sql(a, 'Respiratory_Count'), 'corr')} FROM c" for a in _FILT)}"""
+
+SQL["service_stats"] = f"""WITH {IMPUTED}
+SELECT count(*) AS total_records, {r6('avg(Total_Hospitalization)', 'avg_daily_admissions')},
+  array_to_string(list_sort(list(DISTINCT borough)), ',') AS keys, min(Date) AS first_date, max(Date) AS last_date
+FROM imputed"""

@@ -348,3 +348,145 @@ def q_monthly_by_key(spark, sf):
 def q_monthly_join_back(spark, sf):
     p = panel(spark, sf).select("Date", "borough", "Respiratory_Count", "Temp_Max_C", "Humidity_Avg")
     return pnl.monthly_join_back(p, measures=["Respiratory_Count", "Temp_Max_C", "Humidity_Avg"])
+
+
+# ---------------------------------------------------------------- impact (un-imputed panel) and profiling
+
+from surge.operators import impact as imp_  # noqa: E402
+from surge.operators import profile as prof  # noqa: E402
+
+PANEL_NUMERIC = ["Respiratory_Count", "Asthma_Count", "Total_Hospitalization", "Temp_Max_C", "Temp_Min_C",
+                 "Humidity_Avg", "WindSpeed_mps", "AQ_Nitrogen_dioxide_NO2", "AQ_Ozone_O3", "AQ_Visits_due_to_PM25"]
+
+
+@query("extreme_flag")
+def q_extreme_flag(spark, sf):
+    return imp_.extreme_flag(panel(spark, sf)).select("Date", "borough", "is_extreme")
+
+
+@query("extreme_totals")
+def q_extreme_totals(spark, sf):
+    return imp_.extreme_totals(panel(spark, sf))
+
+
+@query("extreme_uplift_by_key")
+def q_extreme_uplift_by_key(spark, sf):
+    return imp_.extreme_uplift_by_key(panel(spark, sf))
+
+
+@query("temperature_impact")
+def q_temperature_impact(spark, sf):
+    return imp_.temperature_impact(panel(spark, sf))
+
+
+@query("humidity_impact")
+def q_humidity_impact(spark, sf):
+    return imp_.humidity_impact(panel(spark, sf))
+
+
+@query("high_exposure_days")
+def q_high_exposure_days(spark, sf):
+    p = panel(spark, sf)
+    return imp_.high_exposure_days(p, imp_.pm_columns(p)).select("Date", "borough", "exposure", "is_high")
+
+
+@query("high_pm_totals")
+def q_high_pm_totals(spark, sf):
+    p = panel(spark, sf)
+    return imp_.high_exposure_totals(p, imp_.pm_columns(p))
+
+
+@query("high_aq_totals")
+def q_high_aq_totals(spark, sf):
+    p = panel(spark, sf)
+    return imp_.high_exposure_totals(p, imp_.aq_composite_columns(p))
+
+
+@query("pm_uplift_by_key")
+def q_pm_uplift_by_key(spark, sf):
+    p = panel(spark, sf)
+    return imp_.exposure_uplift_by_key(p, imp_.pm_columns(p))
+
+
+@query("key_ranking")
+def q_key_ranking(spark, sf):
+    return imp_.key_ranking(panel(spark, sf))
+
+
+@query("totals_by_key")
+def q_totals_by_key(spark, sf):
+    return imp_.key_ranking(panel(spark, sf)).select("borough", "total_cases", "rank")
+
+
+@query("daily_avg_by_key")
+def q_daily_avg_by_key(spark, sf):
+    return imp_.key_ranking(panel(spark, sf)).select("borough", "avg_daily_cases", "n_rows")
+
+
+@query("breakdown_by_key")
+def q_breakdown_by_key(spark, sf):
+    return imp_.key_ranking(panel(spark, sf)).select("borough", "asthma_cases", "respiratory_cases", "total_cases")
+
+
+@query("share_of_total")
+def q_share_of_total(spark, sf):
+    return imp_.key_ranking(panel(spark, sf)).select("borough", "share_pct")
+
+
+@query("regional_summary")
+def q_regional_summary(spark, sf):
+    return imp_.regional_summary(panel(spark, sf))
+
+
+@query("regional_headline")
+def q_regional_headline(spark, sf):
+    return imp_.regional_headline(panel(spark, sf))
+
+
+@query("missing_profile")
+def q_missing_profile(spark, sf):
+    return prof.missing_profile(panel(spark, sf))
+
+
+@query("describe_numeric")
+def q_describe_numeric(spark, sf):
+    return prof.describe_numeric(weather(spark, sf), ["Temp_Max_C", "Temp_Min_C", "Humidity_Avg", "WindSpeed_mps"])
+
+
+@query("value_counts")
+def q_value_counts(spark, sf):
+    return prof.value_counts(feat.high_risk_target(panel(spark, sf)), "High_Risk")
+
+
+@query("data_summary")
+def q_data_summary(spark, sf):
+    return prof.data_summary(panel(spark, sf))
+
+
+@query("corr_matrix")
+def q_corr_matrix(spark, sf):
+    return prof.corr_matrix(panel(spark, sf), PANEL_NUMERIC)
+
+
+@query("corr_target_top")
+def q_corr_target_top(spark, sf):
+    cols = [c for c in PANEL_NUMERIC if c != "Total_Hospitalization"]
+    return prof.corr_target_top(panel(spark, sf), "Total_Hospitalization", cols, k=5)
+
+
+@query("corr_listwise")
+def q_corr_listwise(spark, sf):
+    return prof.corr_listwise(panel(spark, sf), PANEL_NUMERIC)
+
+
+@query("corr_target_filtered")
+def q_corr_target_filtered(spark, sf):
+    p = panel(spark, sf).select("Date", "borough", "Respiratory_Count", *WEATHER_VARS[:3])
+    lagged = feat.lag_features_series(p, WEATHER_VARS[:3], lags=(1, 2, 3))
+    cols = [c for c in lagged.columns if c not in ("Date", "borough", "Respiratory_Count")]
+    return prof.corr_target_filtered(lagged, "Respiratory_Count", cols)
+
+
+@query("service_stats")
+def q_service_stats(spark, sf):
+    return prof.service_stats(imputed(spark, sf))
