@@ -565,3 +565,99 @@ SQL["service_stats"] = f"""WITH {IMPUTED}
 SELECT count(*) AS total_records, {r6('avg(Total_Hospitalization)', 'avg_daily_admissions')},
   array_to_string(list_sort(list(DISTINCT borough)), ',') AS keys, min(Date) AS first_date, max(Date) AS last_date
 FROM imputed"""
+
+
+# ---------------------------------------------------------------- metrics on scored rows
+
+SCORED = """scored AS (
+  SELECT event_id AS id, event_type AS model,
+         CASE WHEN user_id % 5 <= 2 THEN 'Train' WHEN user_id % 5 = 3 THEN 'Val' ELSE 'Test' END AS dataset,
+         CAST(value >= 50 AS INTEGER) AS label, CAST((event_id * 7919) % 100 AS DOUBLE) / 100 AS score,
+         value AS y, value * 0.8 + (event_id * 31) % 20 AS yhat
+  FROM events)"""
+
+SCORE_COUNTS = SCORED + """,
+sc0 AS (SELECT model, dataset, score, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label <> 1) AS n
+        FROM scored GROUP BY model, dataset, score),
+sc AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY model, dataset ORDER BY score
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb,
+              coalesce(sum(p) OVER (PARTITION BY model, dataset ORDER BY score
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pb,
+              sum(n) OVER (PARTITION BY model, dataset) AS NN, sum(p) OVER (PARTITION BY model, dataset) AS PP
+       FROM sc0),
+au AS (SELECT model, dataset, sum(p * (nb + n / 2.0)) / (max(PP) * max(NN)) AS AUROC FROM sc GROUP BY model, dataset)"""
+
+CLF = SCORE_COUNTS + """,
+cm AS (
+  SELECT model, dataset, count(*) AS nn,
+         count(*) FILTER (WHERE score > 0.5 AND label = 1) AS tp, count(*) FILTER (WHERE score > 0.5 AND label <> 1) AS fp,
+         count(*) FILTER (WHERE score <= 0.5 AND label = 1) AS fn,
+         count(*) FILTER (WHERE CAST(score > 0.5 AS INTEGER) = label) AS ok
+  FROM scored GROUP BY model, dataset),
+clf AS (
+  SELECT cm.model, cm.dataset, ok / nn AS Accuracy, coalesce(tp / nullif(tp + fn, 0), 0) AS Recall,
+         coalesce(tp / nullif(tp + fp, 0), 0) AS Precision, coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS F1,
+         au.AUROC
+  FROM cm LEFT JOIN au ON cm.model = au.model AND cm.dataset = au.dataset)"""
+
+REG = SCORED + """,
+reg AS (
+  SELECT model, dataset, sqrt(avg((y - yhat) * (y - yhat))) AS RMSE, avg(abs(y - yhat)) AS MAE,
+         1 - sum((y - yhat) * (y - yhat)) / nullif(count(y) * var_pop(y), 0) AS R2,
+         avg(CASE WHEN y <> 0 THEN abs(y - yhat) / abs(y) END) * 100 AS MAPE
+  FROM scored GROUP BY model, dataset)"""
+
+SQL["classification_metrics"] = f"""WITH {CLF}
+SELECT model, dataset, {r6('Accuracy', 'Accuracy')}, {r6('Recall', 'Recall')}, {r6('Precision', 'Precision')},
+  {r6('F1', '"F1-Score"')}, {r6('AUROC', 'AUROC')} FROM clf"""
+
+SQL["auroc"] = f"WITH {SCORE_COUNTS} SELECT model, dataset, {r6('AUROC', 'AUROC')} FROM au"
+
+SQL["regression_metrics"] = f"""WITH {REG}
+SELECT model, dataset, {sel_round(['RMSE', 'MAE', 'R2', 'MAPE'])} FROM reg"""
+
+SQL["roc_curve"] = f"""WITH {SCORE_COUNTS}
+SELECT model, dataset, {r6('score', 'threshold')}, {r6('(NN - nb) / NN', 'fpr')}, {r6('(PP - pb) / PP', 'tpr')}
+FROM sc WHERE dataset = 'Test'"""
+
+SQL["confusion_matrix"] = f"""WITH {SCORED}
+SELECT g.model, g.dataset, a.actual, a.predicted,
+  count(s.id) AS count
+FROM (SELECT DISTINCT model, dataset FROM scored) g
+CROSS JOIN (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) a(actual, predicted)
+LEFT JOIN scored s ON s.model = g.model AND s.dataset = g.dataset
+  AND CAST(s.label = 1 AS INTEGER) = a.actual AND CAST(s.score > 0.5 AS INTEGER) = a.predicted
+GROUP BY g.model, g.dataset, a.actual, a.predicted"""
+
+BEST = CLF + ",\n" + REG.replace(SCORED + ",", "") + """,
+bc AS (SELECT * FROM clf WHERE dataset = 'Test' ORDER BY AUROC DESC NULLS LAST, model LIMIT 1),
+br AS (SELECT * FROM reg WHERE dataset = 'Test' ORDER BY R2 DESC NULLS LAST, model LIMIT 1)"""
+
+SQL["best_model"] = f"""WITH {BEST}
+SELECT 'classification' AS task, model, 'AUROC' AS metric, {r6('AUROC', 'value')} FROM bc
+UNION ALL SELECT 'regression', model, 'R2', {rnd('R2')} FROM br"""
+
+SQL["residuals"] = f"""WITH {BEST}
+SELECT id, {r6('y', 'actual')}, {r6('yhat', 'predicted')}, {r6('y - yhat', 'residual')}
+FROM scored WHERE dataset = 'Test' AND model = (SELECT model FROM br)"""
+
+SQL["key_findings"] = f"""WITH {PANEL}, {exposure_cte(PM)}, g AS (
+  SELECT borough, avg(Total_Hospitalization) FILTER (WHERE is_high = 1) AS high_avg,
+         avg(Total_Hospitalization) FILTER (WHERE is_high = 0) AS normal_avg,
+         count(*) FILTER (WHERE is_high = 1) AS nh, count(*) FILTER (WHERE is_high = 0) AS nn
+  FROM eh GROUP BY borough),
+base AS (SELECT avg(Total_Hospitalization) FILTER (WHERE Temp_Max_C BETWEEN 10 AND 25) AS mild,
+                avg(Total_Hospitalization) FILTER (WHERE Temp_Max_C > 30) AS heat,
+                avg(Total_Hospitalization) FILTER (WHERE Temp_Min_C < 0) AS cold,
+                avg(Asthma_Count) FILTER (WHERE Humidity_Avg BETWEEN 40 AND 70) AS hn,
+                avg(Asthma_Count) FILTER (WHERE Humidity_Avg > 80) AS hh FROM panel),
+{BEST.split("WITH ", 1)[-1] if False else BEST}
+SELECT 'pm25_uplift_pct_' || borough AS finding, {r6('(high_avg - normal_avg) / nullif(normal_avg, 0) * 100', 'value')}
+FROM g WHERE nh > 0 AND nn > 0
+UNION ALL SELECT 'heat_total_pct', {rnd('(heat - mild) / nullif(mild, 0) * 100')} FROM base
+UNION ALL SELECT 'cold_total_pct', {rnd('(cold - mild) / nullif(mild, 0) * 100')} FROM base
+UNION ALL SELECT 'humidity_asthma_pct', {rnd('(hh - hn) / nullif(hn, 0) * 100')} FROM base
+UNION ALL SELECT 'best_clf_accuracy', {rnd('Accuracy')} FROM bc
+UNION ALL SELECT 'best_clf_auroc', {rnd('AUROC')} FROM bc
+UNION ALL SELECT 'best_reg_r2', {rnd('R2')} FROM br
+UNION ALL SELECT 'best_reg_mae', {rnd('MAE')} FROM br"""

@@ -490,3 +490,80 @@ def q_corr_target_filtered(spark, sf):
 @query("service_stats")
 def q_service_stats(spark, sf):
     return prof.service_stats(imputed(spark, sf))
+
+
+# ---------------------------------------------------------------- metrics on scored rows
+
+from surge.operators import metrics as met  # noqa: E402
+
+
+def model_order(spark: SparkSession, sf: str) -> list[str]:
+    """Model list order for tie-breaks: the scored models' names, sorted (a handful)."""
+    return sorted(r[0] for r in src.scored(spark, sf).select("model").distinct().collect())
+
+
+@query("classification_metrics")
+def q_classification_metrics(spark, sf):
+    return met.classification_metrics(src.scored(spark, sf))
+
+
+@query("auroc")
+def q_auroc(spark, sf):
+    return met.auroc(src.scored(spark, sf))
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, sf):
+    return met.regression_metrics(src.scored(spark, sf))
+
+
+@query("roc_curve")
+def q_roc_curve(spark, sf):
+    return met.roc_curve(src.scored(spark, sf).where(F.col("dataset") == "Test"))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return met.confusion_matrix(src.scored(spark, sf))
+
+
+def _best(spark, sf):
+    s = src.scored(spark, sf)
+    order = model_order(spark, sf)
+    bc = met.best_by(met.classification_metrics(s), metric="AUROC", order=order)
+    br = met.best_by(met.regression_metrics(s), metric="R2", order=order)
+    return s, bc, br
+
+
+@query("best_model")
+def q_best_model(spark, sf):
+    _, bc, br = _best(spark, sf)
+    return bc.select(F.lit("classification").alias("task"), "model", F.lit("AUROC").alias("metric"),
+                     F.col("AUROC").alias("value")).unionByName(
+        br.select(F.lit("regression").alias("task"), "model", F.lit("R2").alias("metric"), F.col("R2").alias("value")))
+
+
+@query("residuals")
+def q_residuals(spark, sf):
+    s, _, br = _best(spark, sf)
+    rows = s.where(F.col("dataset") == "Test").join(br.select("model"), on="model", how="left_semi")
+    return met.residuals(rows)
+
+
+@query("key_findings")
+def q_key_findings(spark, sf):
+    p = panel(spark, sf)
+    pm = imp_.exposure_uplift_by_key(p, imp_.pm_columns(p)).select(
+        F.concat(F.lit("pm25_uplift_pct_"), "borough").alias("finding"), F.col("pct_change").alias("value"))
+    t = imp_.temperature_impact(p).where(F.col("measure") == "Total_Hospitalization").select(
+        F.concat("exposure", F.lit("_total_pct")).alias("finding"), F.col("pct_change").alias("value"))
+    h = imp_.humidity_impact(p).where(F.col("measure") == "Asthma_Count").select(
+        F.lit("humidity_asthma_pct").alias("finding"), F.col("pct_change").alias("value"))
+    _, bc, br = _best(spark, sf)
+    m = bc.select(F.explode(F.array(
+        F.struct(F.lit("best_clf_accuracy").alias("finding"), F.col("Accuracy").alias("value")),
+        F.struct(F.lit("best_clf_auroc").alias("finding"), F.col("AUROC").alias("value")))).alias("r")).select("r.*")
+    r = br.select(F.explode(F.array(
+        F.struct(F.lit("best_reg_r2").alias("finding"), F.col("R2").alias("value")),
+        F.struct(F.lit("best_reg_mae").alias("finding"), F.col("MAE").alias("value")))).alias("r")).select("r.*")
+    return pm.unionByName(t).unionByName(h).unionByName(m).unionByName(r)
