@@ -661,3 +661,109 @@ UNION ALL SELECT 'best_clf_accuracy', {rnd('Accuracy')} FROM bc
 UNION ALL SELECT 'best_clf_auroc', {rnd('AUROC')} FROM bc
 UNION ALL SELECT 'best_reg_r2', {rnd('R2')} FROM br
 UNION ALL SELECT 'best_reg_mae', {rnd('MAE')} FROM br"""
+
+
+# ---------------------------------------------------------------- scoring
+
+VR = """rq AS (
+  SELECT c_custkey AS request_id, CASE WHEN c_nationkey = 0 THEN 'unknown' ELSE lower(c_mktsegment) END AS borough,
+         strftime(DATE '1995-01-01' + CAST((c_custkey * 37) % 2600 AS INTEGER), '%Y-%m-%d') AS date,
+         CAST(20 + c_nationkey AS INTEGER) AS capacity
+  FROM customer),
+vr0 AS (SELECT request_id, lower(trim(borough)) AS borough, date, coalesce(capacity, 80) AS capacity,
+               CAST(TRY_STRPTIME(date, '%Y-%m-%d') AS DATE) AS req_date FROM rq),
+vr AS (SELECT *, CASE WHEN borough IS NULL OR date IS NULL THEN 'missing field'
+                      WHEN borough NOT IN """ + PLACES + """ THEN 'unknown key'
+                      WHEN req_date IS NULL THEN 'bad date' END AS error FROM vr0),
+ok AS (SELECT * FROM vr WHERE error IS NULL)"""
+
+HIST_AVG = """ha_h AS (SELECT borough, month(Date) AS m, day(Date) AS d, Total_Hospitalization AS t FROM imputed),
+ha_md AS (SELECT borough, m, d, avg(t) AS a FROM ha_h GROUP BY borough, m, d),
+ha_mo AS (SELECT borough, m, avg(t) AS a FROM ha_h GROUP BY borough, m),
+ha AS (SELECT ok.*, round_even(coalesce(ha_md.a, ha_mo.a), 2) AS historical_average FROM ok
+       LEFT JOIN ha_md ON ok.borough = ha_md.borough AND month(ok.req_date) = ha_md.m AND day(ok.req_date) = ha_md.d
+       LEFT JOIN ha_mo ON ok.borough = ha_mo.borough AND month(ok.req_date) = ha_mo.m)"""
+
+FALLBACK = HIST_AVG + """,
+fb AS (SELECT *, true AS success,
+  CASE WHEN coalesce(historical_average, 0) <> 0 THEN historical_average ELSE 60.0 END AS expected_admissions,
+  CASE WHEN coalesce(historical_average, 0) <> 0 THEN (CASE WHEN historical_average > 50 THEN 'Moderate' ELSE 'Low' END)
+       ELSE 'Moderate' END AS risk_level,
+  CASE WHEN coalesce(historical_average, 0) <> 0 THEN least(historical_average / 100.0, 0.95) ELSE 0.45 END
+    AS risk_probability,
+  CASE WHEN coalesce(historical_average, 0) <> 0 THEN 'Medium (Historical Data)' ELSE 'Low (Baseline)' END AS confidence
+  FROM ha)"""
+
+SQL["validate_requests"] = f"""WITH {VR}
+SELECT request_id, borough, date, capacity, req_date, CASE WHEN error IS NULL THEN 'ok' ELSE 'error' END AS status, error
+FROM vr"""
+
+SQL["nearest_date_join"] = f"""WITH {IMPUTED}, {VR},
+hd AS (SELECT DISTINCT borough, Date FROM imputed),
+c AS (SELECT v.request_id, h.Date,
+             row_number() OVER (PARTITION BY v.request_id ORDER BY abs(date_diff('day', h.Date, v.req_date)), h.Date) AS rn
+      FROM vr v JOIN hd h ON v.borough = h.borough WHERE v.req_date IS NOT NULL)
+SELECT v.request_id, v.borough, v.req_date, c.Date AS matched_date,
+       CAST(abs(date_diff('day', v.req_date, c.Date)) AS INTEGER) AS day_gap
+FROM vr v LEFT JOIN c ON v.request_id = c.request_id AND c.rn = 1"""
+
+SQL["historical_average"] = f"""WITH {IMPUTED}, {VR}, {HIST_AVG}
+SELECT request_id, borough, req_date, {r6('historical_average', 'historical_average')} FROM ha"""
+
+SQL["cascade_features"] = f"""WITH {IMPUTED}, {VR},
+mo AS (SELECT borough, month(Date) AS m, {", ".join(f"avg({c}) AS {c}" for c in _WV)} FROM imputed GROUP BY 1, 2)
+SELECT ok.request_id, ok.borough, ok.req_date,
+  {", ".join(r6(f"CASE WHEN e.Date IS NOT NULL THEN e.{c} WHEN mo.m IS NOT NULL THEN mo.{c} ELSE 0 END", c) for c in _WV)},
+  CASE WHEN e.Date IS NOT NULL THEN 'exact' WHEN mo.m IS NOT NULL THEN 'month' ELSE 'none' END AS match_level
+FROM ok LEFT JOIN imputed e ON ok.borough = e.borough AND ok.req_date = e.Date
+LEFT JOIN mo ON ok.borough = mo.borough AND month(ok.req_date) = mo.m"""
+
+SQL["risk_band"] = f"""WITH {SCORED}
+SELECT id, model, dataset, CASE WHEN score >= 0.7 THEN 'High' WHEN score >= 0.4 THEN 'Moderate' ELSE 'Low' END AS risk_band,
+  CASE WHEN score > 0.5 THEN 'High' ELSE 'Low' END AS binary_band FROM scored"""
+
+SQL["score_fallback"] = f"""WITH {IMPUTED}, {VR}, {FALLBACK}
+SELECT request_id, borough, req_date, capacity, {r6('historical_average', 'historical_average')}, success,
+  {r6('expected_admissions', 'expected_admissions')}, risk_level, {r6('risk_probability', 'risk_probability')}, confidence,
+  concat(upper(borough[1]), lower(borough[2:])) AS display_key, strftime(req_date, '%B %d, %Y') AS display_date
+FROM fb"""
+
+SQL["score_capacity"] = f"""WITH {IMPUTED}, {VR}, {FALLBACK},
+km AS (SELECT borough, avg(Total_Hospitalization) AS key_mean FROM imputed GROUP BY borough)
+SELECT request_id, fb.borough, req_date, capacity, {r6('expected_admissions', 'predicted_count')},
+  CAST(greatest(0, ceil(expected_admissions - capacity)) AS INTEGER) AS additional_beds_needed,
+  {r6('expected_admissions / capacity * 100', 'utilization_percent')},
+  CASE WHEN ceil(expected_admissions - capacity) > 0 THEN 'CAPACITY EXCEEDED' ELSE 'WITHIN CAPACITY' END AS capacity_status,
+  {r6('(expected_admissions / key_mean - 1) * 100', 'vs_key_mean_pct')}
+FROM fb LEFT JOIN km ON fb.borough = km.borough"""
+
+SQL["score_error_fallback"] = f"""WITH {IMPUTED}, {VR},
+hd AS (SELECT borough, Date, Total_Hospitalization FROM imputed),
+pr AS (SELECT v.request_id, v.borough, v.req_date, h.Total_Hospitalization AS pred
+       FROM vr v LEFT JOIN hd h ON v.borough = h.borough AND v.req_date = h.Date),
+hm_h AS (SELECT borough, month(Date) AS m, day(Date) AS d, Total_Hospitalization AS t FROM imputed),
+hm_md AS (SELECT borough, m, d, avg(t) AS a FROM hm_h GROUP BY borough, m, d),
+hm_mo AS (SELECT borough, m, avg(t) AS a FROM hm_h GROUP BY borough, m),
+p2 AS (SELECT pr.*, round_even(coalesce(hm_md.a, hm_mo.a), 2) AS hist FROM pr
+       LEFT JOIN hm_md ON pr.borough = hm_md.borough AND month(pr.req_date) = hm_md.m AND day(pr.req_date) = hm_md.d
+       LEFT JOIN hm_mo ON pr.borough = hm_mo.borough AND month(pr.req_date) = hm_mo.m)
+SELECT request_id,
+  CASE WHEN pred IS NOT NULL THEN true ELSE coalesce(hist, 0) <> 0 END AS success,
+  {rnd("CASE WHEN pred IS NOT NULL THEN pred WHEN coalesce(hist, 0) <> 0 THEN hist ELSE 0 END")} AS expected_admissions,
+  CASE WHEN pred IS NOT NULL THEN 'Model' WHEN coalesce(hist, 0) <> 0 THEN (CASE WHEN hist > 75 THEN 'High' ELSE 'Moderate' END)
+       ELSE 'Unknown' END AS risk_level,
+  CASE WHEN pred IS NOT NULL THEN 'High (ML Model)' WHEN coalesce(hist, 0) <> 0 THEN 'Medium (Historical)' ELSE 'Low' END
+    AS confidence,
+  {r6('hist', 'historical_average')}
+FROM p2"""
+
+SQL["score_interpretation"] = f"""WITH {IMPUTED}, {VR}, {FALLBACK},
+i AS (SELECT *, floor(expected_admissions + 0.5) AS adm FROM fb)
+SELECT request_id, CAST(adm AS BIGINT) AS rounded_admissions, {r6('adm - historical_average', 'diff_vs_history')},
+  CAST(floor(abs(adm - historical_average) + 0.5) AS BIGINT) AS abs_diff_rounded,
+  CASE WHEN historical_average IS NULL THEN NULL WHEN abs(adm - historical_average) > 5 THEN
+    (CASE WHEN adm - historical_average > 0 THEN 'higher' ELSE 'lower' END) ELSE 'aligned' END AS direction,
+  {rnd("CASE WHEN historical_average IS NULL THEN NULL WHEN historical_average > 0 THEN (adm - historical_average) / historical_average * 100 ELSE 0 END")} AS pct_vs_history,
+  CASE WHEN lower(risk_level) = 'high' THEN 'prepare for increased patient volume'
+       WHEN lower(risk_level) = 'moderate' THEN 'standard operating procedures' ELSE 'lower than average volume' END AS advice
+FROM i"""

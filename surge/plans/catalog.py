@@ -567,3 +567,88 @@ def q_key_findings(spark, sf):
         F.struct(F.lit("best_reg_r2").alias("finding"), F.col("R2").alias("value")),
         F.struct(F.lit("best_reg_mae").alias("finding"), F.col("MAE").alias("value")))).alias("r")).select("r.*")
     return pm.unionByName(t).unionByName(h).unionByName(m).unionByName(r)
+
+
+# ---------------------------------------------------------------- scoring of request batches
+
+from surge.operators import scoring as sc  # noqa: E402
+
+
+def validated(spark: SparkSession, sf: str) -> DataFrame:
+    return sc.validate_requests(src.requests(spark, sf), valid_keys=src.VALID_PLACES)
+
+
+def history(spark: SparkSession, sf: str) -> DataFrame:
+    """Scoring history: the imputed panel (one row per key and day)."""
+    return imputed(spark, sf)
+
+
+@query("validate_requests")
+def q_validate_requests(spark, sf):
+    return validated(spark, sf)
+
+
+@query("nearest_date_join")
+def q_nearest_date_join(spark, sf):
+    r = validated(spark, sf).select("request_id", "borough", "req_date")
+    return sc.nearest_date_join(r, history(spark, sf))
+
+
+@query("historical_average")
+def q_historical_average(spark, sf):
+    r = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date")
+    return sc.historical_average(r, history(spark, sf))
+
+
+@query("cascade_features")
+def q_cascade_features(spark, sf):
+    r = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date")
+    return sc.cascade_features(r, history(spark, sf), WEATHER_VARS[:3])
+
+
+@query("risk_band")
+def q_risk_band(spark, sf):
+    s = src.scored(spark, sf)
+    return s.select("id", "model", "dataset", sc.risk_band(F.col("score")).alias("risk_band"),
+                    sc.binary_band(met.predicted_class(F.col("score"))).alias("binary_band"))
+
+
+def _fallback(spark, sf):
+    r = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date", "capacity")
+    return sc.score_fallback(sc.historical_average(r, history(spark, sf)))
+
+
+@query("score_fallback")
+def q_score_fallback(spark, sf):
+    return sc.response_record(_fallback(spark, sf))
+
+
+@query("score_capacity")
+def q_score_capacity(spark, sf):
+    f = _fallback(spark, sf).withColumnRenamed("expected_admissions", "predicted_count")
+    means = history(spark, sf).groupBy("borough").agg(F.avg("Total_Hospitalization").alias("key_mean"))
+    out = sc.score_capacity(f.join(means, on="borough", how="left"), key_mean="key_mean")
+    return out.select("request_id", "borough", "req_date", "capacity", "predicted_count", "additional_beds_needed",
+                      "utilization_percent", "capacity_status", "vs_key_mean_pct")
+
+
+@query("score_error_fallback")
+def q_score_error_fallback(spark, sf):
+    v = validated(spark, sf).select("request_id", "borough", "req_date")
+    h = history(spark, sf)
+    near = sc.nearest_date_join(v, h).join(
+        h.select("borough", F.col("Date").alias("matched_date"), F.col("Total_Hospitalization").alias("_t")),
+        on=["borough", "matched_date"], how="left")
+    pred = near.select("request_id", "borough", "req_date",
+                       F.when(F.col("day_gap") == 0, F.col("_t")).alias("expected_admissions"),
+                       F.lit(None).cast("double").alias("risk_probability"),
+                       F.lit("Model").alias("risk_level"), F.lit("High (ML Model)").alias("confidence"))
+    out = sc.score_error_fallback(sc.historical_average(pred, h))
+    return out.select("request_id", "success", "expected_admissions", "risk_level", "confidence", "historical_average")
+
+
+@query("score_interpretation")
+def q_score_interpretation(spark, sf):
+    out = sc.score_interpretation(_fallback(spark, sf))
+    return out.select("request_id", "rounded_admissions", "diff_vs_history", "abs_diff_rounded", "direction",
+                      "pct_vs_history", "advice")
