@@ -767,3 +767,26 @@ SELECT request_id, CAST(adm AS BIGINT) AS rounded_admissions, {r6('adm - histori
   CASE WHEN lower(risk_level) = 'high' THEN 'prepare for increased patient volume'
        WHEN lower(risk_level) = 'moderate' THEN 'standard operating procedures' ELSE 'lower than average volume' END AS advice
 FROM i"""
+
+
+# ---------------------------------------------------------------- stations
+
+CATALOGUE = """cat AS (SELECT * FROM (VALUES ('building', 1, 'X1'), ('building', 2, '3'), ('machinery', 1, '1'),
+  ('furniture', 1, '2'), ('household', 1, 'X2'), ('household', 2, '0'), ('automobile', 1, '4'))
+  t(borough, priority, station_id)),
+landed AS (SELECT CAST(s.s_nationkey AS VARCHAR) AS STATION, CAST(l.l_shipdate AS DATE) AS DATE,
+                  CAST(year(l.l_shipdate) AS INTEGER) AS year, l.l_quantity AS TMAX,
+                  CAST(30 + 10 * l.l_linenumber AS DOUBLE) AS RHAV
+           FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+sel AS (SELECT borough, station_id, priority FROM (
+          SELECT *, row_number() OVER (PARTITION BY borough ORDER BY priority, station_id) AS r
+          FROM cat WHERE station_id IN (SELECT DISTINCT STATION FROM landed)) WHERE r = 1)"""
+
+SQL["station_fallback"] = f"WITH {CATALOGUE} SELECT borough, station_id, CAST(priority AS INTEGER) AS priority FROM sel"
+
+SQL["station_year_coverage"] = f"""WITH {CATALOGUE}
+SELECT STATION, year, count(*) AS n_rows FROM landed WHERE STATION IN (SELECT station_id FROM cat) GROUP BY STATION, year"""
+
+SQL["union_station_years"] = f"""WITH {CATALOGUE}
+SELECT sel.borough, STATION, DATE, year, {r6('TMAX', 'TMAX')}, {r6('RHAV', 'RHAV')}
+FROM landed JOIN sel ON landed.STATION = sel.station_id"""

@@ -652,3 +652,25 @@ def q_score_interpretation(spark, sf):
     out = sc.score_interpretation(_fallback(spark, sf))
     return out.select("request_id", "rounded_admissions", "diff_vs_history", "abs_diff_rounded", "direction",
                       "pct_vs_history", "advice")
+
+
+# ---------------------------------------------------------------- station selection (landed weather rows)
+
+from surge.sources import stations as st  # noqa: E402
+
+
+@query("station_fallback")
+def q_station_fallback(spark, sf):
+    return st.station_fallback(src.landed_station_rows(spark, sf), src.station_catalogue(spark))
+
+
+@query("station_year_coverage")
+def q_station_year_coverage(spark, sf):
+    return st.station_year_coverage(src.landed_station_rows(spark, sf), src.station_catalogue(spark))
+
+
+@query("union_station_years")
+def q_union_station_years(spark, sf):
+    landed = src.landed_station_rows(spark, sf)
+    sel = st.station_fallback(landed, src.station_catalogue(spark))
+    return st.union_station_years(landed, sel).select("borough", "STATION", "DATE", "year", "TMAX", "RHAV")
