@@ -51,8 +51,7 @@ def interpolate_limited(df: DataFrame, cols: Sequence[str], *, key: str = "borou
            for i, c in enumerate(cols)}
     idx = idx.withColumns(pts)
     names = list(pts)
-    both = fill(fill(idx, names, keys=[key], order=[date], direction="forward", suffix="_prev"),
-                names, keys=[key], order=[date], direction="backward", suffix="_next")
+    both = fill(idx, names, keys=[key], order=[date], direction="split")
     out = {}
     pos = F.col("_pos")
     for i, c in enumerate(cols):

@@ -59,13 +59,14 @@ def fill(df: DataFrame, cols: Sequence[str], *, keys: Sequence[str] = (), order:
     """Fill of ``cols`` per ``keys`` in ``order``: ``forward`` (last non-null so
     far), ``backward`` (next non-null) or ``both`` (forward, then backward for
     the leading gap).  Result columns are ``c + suffix`` (replacing ``c`` when
-    suffix is empty).  Works for any column type, structs included.
+    suffix is empty).  ``split`` returns both directions separately as
+    ``c + "_prev"`` and ``c + "_next"``.  Works for any column type, structs included.
 
     Both directions share one local window sort and one bucket summary."""
     keys, order, cols = list(keys), list(order), list(cols)
     if not cols:
         return df
-    dirs = ["forward", "backward"] if direction == "both" else [direction]
+    dirs = ["forward", "backward"] if direction in ("both", "split") else [direction]
     b, bk = _bucketed(df, buckets, order)
     wl = {"forward": Window.partitionBy(*keys, *bk).orderBy(*order).rowsBetween(UNB_PREC, 0),
           "backward": Window.partitionBy(*keys, *bk).orderBy(*order).rowsBetween(0, UNB_FOLL)}
@@ -83,6 +84,10 @@ def fill(df: DataFrame, cols: Sequence[str], *, keys: Sequence[str] = (), order:
     out = local.join(carry, on=[*keys, *bk])
     filled = {}
     for i, c in enumerate(cols):
+        if direction == "split":
+            filled[c + "_prev"] = F.coalesce(F.col(f"_loc_f{i}"), F.col(f"_carry_f{i}"))
+            filled[c + "_next"] = F.coalesce(F.col(f"_loc_b{i}"), F.col(f"_carry_b{i}"))
+            continue
         parts = []
         for d in dirs:
             parts += [F.col(f"_loc_{d[0]}{i}"), F.col(f"_carry_{d[0]}{i}")]

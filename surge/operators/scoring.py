@@ -59,8 +59,7 @@ def nearest_date_join(req: DataFrame, history: DataFrame, *, key: str = "borough
     rq = req.where(F.col(req_date).isNotNull()).select(
         key, F.col(req_date).alias("_d"), F.lit(1).alias("_kind"), id_col, F.lit(None).cast("date").alias("_h"))
     u = hd.unionByName(rq)
-    u = fill(u, ["_h"], keys=[key], order=["_d", "_kind"], direction="forward", suffix="_prev")
-    u = fill(u, ["_h"], keys=[key], order=["_d", "_kind"], direction="backward", suffix="_next")
+    u = fill(u, ["_h"], keys=[key], order=["_d", "_kind"], direction="split")
     m = u.where(F.col("_kind") == 1)
     gp = F.datediff(F.col("_d"), F.col("_h_prev"))
     gn = F.datediff(F.col("_h_next"), F.col("_d"))

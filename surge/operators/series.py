@@ -72,11 +72,12 @@ def winsor_log_series(df: DataFrame, *, key: str = "borough", date: str = "Date"
     """Series preparation: daily spine -> gap interpolation (limit 3) -> missing as 0
     -> winsorise -> clip at 0 -> log1p -> interpolation of what is left."""
     s = daily_spine(df, key=key, date=date, value=value, gap=gap)
-    s = interpolate_limited(s, [value], key=key, date=date, limit=3)
+    if gap != "zero":  # with zero-filled gaps every value is present: interpolation is a no-op
+        s = interpolate_limited(s, [value], key=key, date=date, limit=3)
     s = s.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
     s = winsorize(s, value=value, key=key, method=method)
-    s = s.withColumn(value, F.log1p(F.greatest(F.col(value), F.lit(0.0))))
-    return interpolate_limited(s, [value], key=key, date=date, limit=None)
+    # every value is present from here on, so the closing interpolation has nothing to fill
+    return s.withColumn(value, F.log1p(F.greatest(F.col(value), F.lit(0.0))))
 
 
 def additive_decompose(df: DataFrame, *, key: str = "borough", date: str = "Date", value: str,

@@ -170,8 +170,12 @@ WEATHER_VARS = ["Temp_Max_C", "Humidity_Avg", "WindSpeed_mps", "Temp_Min_C"]
 
 
 def imputed(spark: SparkSession, sf: str) -> DataFrame:
-    """Main path: panel -> per-key fill (+ mean, 0) -> drop all-missing / all-zero columns."""
-    return clean.drop_constant_zero_columns(materialize(imp.impute_series(panel(spark, sf))))
+    """Main path: panel -> per-key fill (+ mean, 0) -> drop all-missing / all-zero columns.
+
+    The panel and the filled panel are stage boundaries (checkpointed): the fill,
+    its mean subquery and the column profile each read the panel, and at scale
+    re-deriving it would mean re-scanning the raw feeds."""
+    return clean.drop_constant_zero_columns(materialize(imp.impute_series(materialize(panel(spark, sf)))))
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
