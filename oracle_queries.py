@@ -790,3 +790,15 @@ SELECT STATION, year, count(*) AS n_rows FROM landed WHERE STATION IN (SELECT st
 SQL["union_station_years"] = f"""WITH {CATALOGUE}
 SELECT sel.borough, STATION, DATE, year, {r6('TMAX', 'TMAX')}, {r6('RHAV', 'RHAV')}
 FROM landed JOIN sel ON landed.STATION = sel.station_id"""
+
+
+# ---------------------------------------------------------------- exact kNN
+
+SQL["clf_knn"] = """WITH v AS (
+  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, CAST(label >= 5 AS INTEGER) AS y, vec_id % 5 < 4 AS is_train
+  FROM embeddings),
+d AS (SELECT q.id, t.id AS tid, t.y, list_distance(q.x, t.x) AS dist FROM v q JOIN v t ON NOT q.is_train AND t.is_train),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, tid) AS rn FROM d)
+SELECT id, """ + rnd("avg(y)") + """ AS probability, count(*) AS n_neighbours,
+  CAST(avg(y) > 0.5 AS INTEGER) AS predicted
+FROM r WHERE rn <= 5 GROUP BY id"""

@@ -678,3 +678,69 @@ def q_union_station_years(spark, sf):
     landed = src.landed_station_rows(spark, sf)
     sel = st.station_fallback(landed, src.station_catalogue(spark))
     return st.union_station_years(landed, sel).select("borough", "STATION", "DATE", "year", "TMAX", "RHAV")
+
+
+# ---------------------------------------------------------------- models (rows-only checks, except kNN)
+
+from surge.operators import models as mdl  # noqa: E402
+
+
+def prepared(spark: SparkSession, sf: str) -> DataFrame:
+    f = feat.temporal_split(features(spark, sf), train_years=src.TRAIN_YEARS, val_years=src.VAL_YEARS,
+                            test_years=src.TEST_YEARS).where(F.col("split").isNotNull())
+    cols = feat.feature_columns(f)
+    return mdl.prepare(feat.feature_matrix(f, features=cols), cols)
+
+
+def _clf(name):
+    return lambda spark, sf: mdl.train_classifiers(prepared(spark, sf), names=[name])
+
+
+def _reg(name):
+    return lambda spark, sf: mdl.train_regressors(prepared(spark, sf), names=[name])
+
+
+for _key, _name in (("clf_logistic", "Logistic Regression"), ("clf_tree", "Decision Tree"),
+                    ("clf_forest", "Random Forest"), ("clf_gbt", "Gradient Boosting"), ("clf_svm", "SVM")):
+    QUERIES[_key] = _clf(_name)
+for _key, _name in (("reg_ridge", "Ridge Regression"), ("reg_lasso", "Lasso Regression"),
+                    ("reg_forest", "Random Forest Regressor"), ("reg_gbt", "Gradient Boosting Regressor")):
+    QUERIES[_key] = _reg(_name)
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    p = prepared(spark, sf)
+    c = mdl.train_classifiers(p).select("model", "dataset", F.lit("classification").alias("task"),
+                                        F.col("AUROC").alias("score"))
+    r = mdl.train_regressors(p).select("model", "dataset", F.lit("regression").alias("task"),
+                                       F.col("R2").alias("score"))
+    return c.unionByName(r)
+
+
+@query("clf_knn")
+def q_clf_knn(spark, sf):
+    v = src.vectors(spark, sf)
+    out = mdl.knn_predict(v.where("is_train"), v.where(~F.col("is_train")), k=5)
+    return out.withColumn("predicted", (F.col("probability") > 0.5).cast("int"))
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    f = features(spark, sf)
+    s = feat.stratified_split(f, label="High_Risk", id_cols=["Date", "borough"])
+    return s.groupBy("High_Risk", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("rebuild_model")
+def q_rebuild_model(spark, sf):
+    """Small-feature rebuild: calendar + weather, both boosted models on all rows (train metrics)."""
+    f = feat.calendar_features(imputed(spark, sf))
+    f = feat.high_risk_target(f, inclusive=False).withColumn("split", F.lit("train"))
+    cols = ["month", "day", "day_of_week", "Temp_Max_C", "Humidity_Avg", "WindSpeed_mps"]
+    p = mdl.prepare(feat.feature_matrix(f, features=cols), cols)
+    c = mdl.train_classifiers(p, names=["Gradient Boosting"]).select(
+        "model", "dataset", F.col("AUROC").alias("score"))
+    r = mdl.train_regressors(p, names=["Gradient Boosting Regressor"]).select(
+        "model", "dataset", F.col("R2").alias("score"))
+    return c.unionByName(r)
