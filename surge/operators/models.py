@@ -217,6 +217,25 @@ def knn_predict(train: DataFrame, test: DataFrame, *, k: int = 5, id_col: str =
                                                        F.count(F.lit(1)).alias("n_neighbours"))
 
 
+def fit_one(prepared: DataFrame, *, kind: str, name: str, label: str, split: str = "split"):
+    """Fit one named classifier / regressor on the train split of a prepared table."""
+    train = materialize(prepared.where(F.col(split) == "train")
+                        .select("features", F.col(label).cast("double").alias("label")))
+    stats = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("s")).first()
+    est = classifier(name, stats["n"]) if kind == "classifier" else regressor(name, stats["n"], stats["s"] or 0.0)
+    return est.fit(train)
+
+
+def score_requests(features: DataFrame, classifier_model, regressor_model, *, threshold: float = 0.5) -> DataFrame:
+    """Probability of the high-risk class, predicted class and a non-negative count."""
+    c = classifier_model.transform(features).withColumn("high_risk_probability",
+                                                        vector_to_array(F.col("probability"))[1])
+    c = c.withColumn("risk_pred", (F.col("high_risk_probability") > threshold).cast("int")) \
+         .drop("rawPrediction", "probability", "prediction")
+    r = regressor_model.transform(c)
+    return r.withColumn("predicted_count", F.greatest(F.col("prediction"), F.lit(0.0))).drop("prediction")
+
+
 # ------------------------------------------------------------------ artifacts
 
 def save_models(models: dict[str, PipelineModel], path: str) -> None:

@@ -744,3 +744,57 @@ def q_rebuild_model(spark, sf):
     r = mdl.train_regressors(p, names=["Gradient Boosting Regressor"]).select(
         "model", "dataset", F.col("R2").alias("score"))
     return c.unionByName(r)
+
+
+# ---------------------------------------------------------------- STL and model-based scoring
+
+from surge.operators import stl as stl_  # noqa: E402
+
+
+@query("stl_decompose")
+def q_stl_decompose(spark, sf):
+    s = ser.daily_spine(series_panel(spark, sf), value="Asthma_Count", gap="zero")
+    return stl_.stl_decompose(s, value="Asthma_Count")
+
+
+def _feature_table(spark, sf):
+    f = feat.temporal_split(features(spark, sf), train_years=src.TRAIN_YEARS, val_years=src.VAL_YEARS,
+                            test_years=src.TEST_YEARS).where(F.col("split").isNotNull())
+    cols = feat.feature_columns(f)
+    return feat.feature_matrix(f, features=cols), cols
+
+
+@query("score_nearest")
+def q_score_nearest(spark, sf):
+    """Nearest-day features -> random-forest probability and count -> capacity and band."""
+    fm, cols = _feature_table(spark, sf)
+    prep = materialize(mdl.prepare(fm, cols))
+    clf = mdl.fit_one(prep, kind="classifier", name="Random Forest", label="High_Risk")
+    reg = mdl.fit_one(prep, kind="regressor", name="Random Forest Regressor", label="Total_Hospitalization")
+    req = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date", "capacity")
+    near = sc.nearest_date_join(req, prep.select("borough", "Date"))
+    rows = near.join(prep.select("borough", F.col("Date").alias("matched_date"), "features"),
+                     on=["borough", "matched_date"], how="left")
+    out = sc.score_capacity(mdl.score_requests(rows, clf, reg))
+    return out.select("request_id", "borough", "req_date", "matched_date", "day_gap", "predicted_count",
+                      "high_risk_probability", "capacity", "additional_beds_needed", "utilization_percent",
+                      sc.risk_band(F.col("high_risk_probability")).alias("risk_level"))
+
+
+@query("score_cascade")
+def q_score_cascade(spark, sf):
+    """Exact-day / month-mean / zero features -> boosted models -> binary band and count."""
+    fm, cols = _feature_table(spark, sf)
+    prep = materialize(mdl.prepare(fm, cols))
+    clf = mdl.fit_one(prep, kind="classifier", name="Gradient Boosting", label="High_Risk")
+    reg = mdl.fit_one(prep, kind="regressor", name="Gradient Boosting Regressor", label="Total_Hospitalization")
+    req = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date")
+    casc = sc.cascade_features(req, fm, cols)
+    train = fm.where(F.col("split") == "train")
+    z = feat.standardize(casc, cols, fit_on=train, suffix="__z")
+    from pyspark.ml.feature import VectorAssembler
+    vec = VectorAssembler(inputCols=[f"{c}__z" for c in cols], outputCol="features",
+                          handleInvalid="keep").transform(z)
+    out = mdl.score_requests(vec, clf, reg)
+    return out.select("request_id", "borough", "req_date", "match_level", "predicted_count", "high_risk_probability",
+                      sc.binary_band(F.col("risk_pred")).alias("risk_level"))

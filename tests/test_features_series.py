@@ -45,3 +45,19 @@ def test_additive_decomposition_adds_up(spark):
     assert all(len(s) == 1 for s in seas.values())
     assert abs(sum(next(iter(s)) for s in seas.values())) < 1e-9
     assert F is not None
+
+
+def test_stl_recovers_weekly_season(spark):
+    import numpy as np
+    from surge.operators.stl import stl_decompose, stl_numpy
+    n = 140
+    season_true = np.tile([3.0, -1.0, 0.5, -2.0, 1.0, -0.5, -1.0], n // 7)
+    y = 50 + 0.05 * np.arange(n) + season_true
+    t, s, r = stl_numpy(y)
+    assert np.allclose(t + s + r, y)
+    assert np.abs(s[14:-14] - season_true[14:-14]).max() < 0.3
+    d0 = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([("k", d0 + dt.timedelta(i), float(v)) for i, v in enumerate(y)],
+                               "borough string, Date date, v double")
+    out = stl_decompose(df, value="v").toPandas()
+    assert len(out) == n and np.allclose(out.trend + out.seasonal + out.resid, out.observed)
