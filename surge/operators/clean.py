@@ -146,8 +146,14 @@ def airq_pivot(df: DataFrame, *, date: str = "Start_Date", key: str = "Geo Place
         # bounded: one row per distinct measure name
         names = sorted(r[0] for r in long.select("_name").distinct().collect())
     names = list(names)
-    wide = long.groupBy("Date", "borough").pivot("_name", names).agg(F.avg("_v"))
-    return wide.withColumnsRenamed({n: sanitize_name(n, prefix) for n in names})
+    # one conditional aggregate per name: a single shuffle on (Date, borough),
+    # where pivot() would first aggregate by (Date, borough, name) and shuffle twice
+    wide = long.groupBy("Date", "borough").agg(
+        *[F.avg(F.when(F.col("_name") == n, F.col("_v"))).alias(sanitize_name(n, prefix)) for n in names])
+    # a pivot table only has cells for rows that exist: drop rows with no measure
+    cols = [sanitize_name(n, prefix) for n in names]
+    return wide.where(F.greatest(*[F.col(c).isNotNull() for c in cols]) if len(cols) > 1
+                      else F.col(cols[0]).isNotNull())
 
 
 def drop_empty_columns(df: DataFrame, *, protect: Iterable[str] = ()) -> DataFrame:

@@ -70,11 +70,15 @@ def _corr(x: Column, y: Column) -> Column:
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete correlation of every pair (var1, var2, corr), one aggregate."""
     cols = list(cols)
-    pairs = [(a, b) for a in cols for b in cols]
-    one = df.agg(*[_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    return _long(one, [F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"r{i}").alias("corr"))
-                       for i, (a, b) in enumerate(pairs)])
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]   # symmetric: upper triangle
+    one = df.agg(*[_corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r{i}_{j}")
+                   for i, j in pairs])
+    rows = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            r = f"r{min(i, j)}_{max(i, j)}"
+            rows.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(r).alias("corr")))
+    return _long(one, rows)
 
 
 def corr_with_target(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
