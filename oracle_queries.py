@@ -802,3 +802,25 @@ r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, tid) AS rn FRO
 SELECT id, """ + rnd("avg(y)") + """ AS probability, count(*) AS n_neighbours,
   CAST(avg(y) > 0.5 AS INTEGER) AS predicted
 FROM r WHERE rn <= 5 GROUP BY id"""
+
+
+# ---------------------------------------------------------------- remaining cleaning / exploration entries
+
+SQL["drop_empty_columns"] = f"""WITH {LW}, {AIRQ}
+SELECT Date, borough, {sel_round(['AQ_Nitrogen_dioxide_NO2', 'AQ_Ozone_O3', 'AQ_Visits_due_to_PM25'])} FROM airq"""
+
+SQL["drop_constant_zero_columns"] = SQL["impute_series"]
+
+SQL["airq_carry_forward"] = f"""WITH {IMPUTED}
+SELECT Date, borough, {sel_round(['AQ_Nitrogen_dioxide_NO2', 'AQ_Ozone_O3', 'AQ_Visits_due_to_PM25'])} FROM imputed"""
+
+SQL["rowwise_mean"] = f"""WITH {PANEL}
+SELECT Date, borough, {rnd('''(coalesce(AQ_Nitrogen_dioxide_NO2, 0) + coalesce(AQ_Ozone_O3, 0)) /
+  nullif(CAST(AQ_Nitrogen_dioxide_NO2 IS NOT NULL AS INTEGER) + CAST(AQ_Ozone_O3 IS NOT NULL AS INTEGER), 0)''')}
+  AS AQ_composite FROM panel"""
+
+SQL["format_labels"] = f"""WITH {VR}
+SELECT request_id, concat(upper(borough[1]), lower(borough[2:])) AS title_key, upper(borough) AS upper_key,
+  strftime(req_date, '%Y-%m-%d') AS iso_date, strftime(req_date, '%B %d, %Y') AS long_date,
+  dayname(req_date) AS weekday_name
+FROM ok"""

@@ -798,3 +798,58 @@ def q_score_cascade(spark, sf):
     out = mdl.score_requests(vec, clf, reg)
     return out.select("request_id", "borough", "req_date", "match_level", "predicted_count", "high_risk_probability",
                       sc.binary_band(F.col("risk_pred")).alias("risk_level"))
+
+
+# ---------------------------------------------------------------- remaining cleaning / exploration entries
+
+from surge.functions.columns import rowwise_mean  # noqa: E402
+from surge.operators import smooth  # noqa: E402
+
+# A configured pollutant list may name measures a feed never reports (its column is then all missing).
+AIRQ_CONFIGURED = AIRQ_NAMES + ["Fine particles (PM 2.5)"]
+
+
+@query("drop_empty_columns")
+def q_drop_empty_columns(spark, sf):
+    wide = clean.airq_pivot(src.airq_raw(spark, sf), names=AIRQ_CONFIGURED)
+    return clean.drop_empty_columns(wide, protect=["Date", "borough"])
+
+
+@query("drop_constant_zero_columns")
+def q_drop_constant_zero_columns(spark, sf):
+    aq = clean.airq_pivot(src.airq_raw(spark, sf), names=AIRQ_CONFIGURED)
+    p = materialize(pnl.panel_merged(health(spark, sf), weather(spark, sf), aq, valid_keys=src.VALID_PLACES))
+    return clean.drop_constant_zero_columns(imp.impute_series(p))
+
+
+@query("airq_carry_forward")
+def q_airq_carry_forward(spark, sf):
+    aq = ["AQ_Nitrogen_dioxide_NO2", "AQ_Ozone_O3", "AQ_Visits_due_to_PM25"]
+    p = panel(spark, sf).select("Date", "borough", *aq)
+    return imp.impute_series(p, cols=aq)
+
+
+@query("rowwise_mean")
+def q_rowwise_mean(spark, sf):
+    p = panel(spark, sf)
+    return p.select("Date", "borough", rowwise_mean(["AQ_Nitrogen_dioxide_NO2", "AQ_Ozone_O3"]).alias("AQ_composite"))
+
+
+@query("format_labels")
+def q_format_labels(spark, sf):
+    v = validated(spark, sf).where(F.col("status") == "ok")
+    return v.select("request_id", F.initcap("borough").alias("title_key"), F.upper("borough").alias("upper_key"),
+                    F.date_format("req_date", "yyyy-MM-dd").alias("iso_date"),
+                    F.date_format("req_date", "MMMM dd, yyyy").alias("long_date"),
+                    F.date_format("req_date", "EEEE").alias("weekday_name"))
+
+
+@query("lowess_grid")
+def q_lowess_grid(spark, sf):
+    return smooth.lowess_grid(panel(spark, sf), x="Temp_Max_C", y="Asthma_Count")
+
+
+@query("bootstrap_band")
+def q_bootstrap_band(spark, sf):
+    p = panel(spark, sf).withColumn("_rid", F.concat_ws("|", F.col("Date").cast("string"), "borough"))
+    return smooth.bootstrap_band(p, x="Temp_Max_C", y="Total_Hospitalization", id_col="_rid", replicates=200)
