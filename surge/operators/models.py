@@ -194,7 +194,7 @@ def knn_predict(train: DataFrame, test: DataFrame, *, k: int = 5, id_col: str =
 
     def nearest(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if q.empty or t.empty:
-            return pd.DataFrame({"qid": [], "tid": [], "dist": [], "y": []})
+            return pd.DataFrame({"qid": [], "tid": [], "dist": [], "y": [], "_sb": []})
         qx = np.vstack(q["x"].to_numpy()).astype(np.float64)
         tx = np.vstack(t["x"].to_numpy()).astype(np.float64)
         # direct differences (not the |a|^2 + |b|^2 - 2ab expansion) keep near-ties exact
@@ -207,11 +207,15 @@ def knn_predict(train: DataFrame, test: DataFrame, *, k: int = 5, id_col: str =
         rows = np.repeat(np.arange(len(q)), order.shape[1])
         cols = order.ravel()
         return pd.DataFrame({"qid": q["qid"].to_numpy()[rows], "tid": tid[cols],
-                             "dist": d[rows, cols], "y": t["y"].to_numpy()[cols]})
-
-    cand = te.groupBy("_qb", "_tb").cogroup(tr.groupBy("_qb", "_tb")).applyInPandas(
-        nearest, "qid long, tid long, dist double, y int")
-    w = Window.partitionBy("qid").orderBy("dist", "tid")   # k x train_blocks rows per test row
+                             "dist": d[rows, cols], "y": t["y"].to_numpy()[cols],
+                             "_sb": np.full(len(rows), int(t["_tb"].iloc[0]) // 64, dtype=np.int64)})
+
+    cand = te.groupBy("_qb", "_tb").cogroup(tr.select("*").groupBy("_qb", "_tb")).applyInPandas(
+        nearest, "qid long, tid long, dist double, y int, _sb long")
+    # merge in two rounds so a test row never gathers more than k x 64 candidates in one window
+    w1 = Window.partitionBy("qid", "_sb").orderBy("dist", "tid")
+    cand = cand.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
+    w = Window.partitionBy("qid").orderBy("dist", "tid")
     top = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
     return top.groupBy(F.col("qid").alias(id_col)).agg(F.avg("y").alias("probability"),
                                                        F.count(F.lit(1)).alias("n_neighbours"))

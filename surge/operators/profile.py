@@ -67,25 +67,31 @@ def _corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(xp) * F.stddev_pop(yp))
 
 
+def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(var1, var2, corr) for the given pairs: every row is unpivoted into one
+    (pair, x, y) record per pair - a fan-out fixed by the number of pairs - and
+    one grouped aggregate of six functions computes all correlations, instead
+    of one wide aggregate with several functions per pair."""
+    recs = [F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
+                     F.col(f"`{a}`").cast("double").alias("x"), F.col(f"`{b}`").cast("double").alias("y"))
+            for a, b in pairs]
+    long = df.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
+    return long.groupBy("var1", "var2").agg(_corr(F.col("x"), F.col("y")).alias("corr"))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete correlation of every pair (var1, var2, corr), one aggregate."""
+    """Pairwise-complete correlation of every pair (var1, var2, corr).  Only the
+    upper triangle is computed; the mirror rows are a projection of it."""
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]   # symmetric: upper triangle
-    one = df.agg(*[_corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r{i}_{j}")
-                   for i, j in pairs])
-    rows = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            r = f"r{min(i, j)}_{max(i, j)}"
-            rows.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(r).alias("corr")))
-    return _long(one, rows)
+    upper = _pair_corr(df, [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i, len(cols))])
+    lower = upper.where(F.col("var1") != F.col("var2")).select(
+        F.col("var2").alias("var1"), F.col("var1").alias("var2"), "corr")
+    return upper.unionByName(lower)
 
 
 def corr_with_target(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """(variable, corr) of every column with the target, pairwise-complete."""
-    one = df.agg(*[_corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}")
-                   for i, c in enumerate(cols)])
-    return _long(one, [F.struct(F.lit(c).alias("variable"), F.col(f"r{i}").alias("corr")) for i, c in enumerate(cols)])
+    return _pair_corr(df, [(c, target) for c in cols]).select(F.col("var1").alias("variable"), "corr")
 
 
 def corr_target_top(df: DataFrame, target: str, cols: Sequence[str], k: int = 10) -> DataFrame:
