@@ -80,7 +80,7 @@ def rolling_mean_shift(df: DataFrame, cols: Sequence[str], *, window: int = 7, s
                        key: str = "borough", date: str = "Date") -> DataFrame:
     """Per key: mean of the ``window`` rows ending ``shift`` rows back (min 1 value)."""
     return rolling_mean_rows(df, [c for c in cols if c in df.columns], window=window, shift=shift,
-                             keys=[key], order=[date])
+                             keys=[key], order=[date]).drop("_rn")
 
 
 def quantile_value(df: DataFrame, col: str, q: float):

@@ -97,37 +97,68 @@ def fill(df: DataFrame, cols: Sequence[str], *, keys: Sequence[str] = (), order:
     return out.drop(*tmp, *bk)
 
 
+def _fold(idx: DataFrame, keys: Sequence[str], shifts: dict[str, tuple[Sequence[int], Sequence[str]]]):
+    """Fan each indexed row out to itself (kind ``self``) and to the target rows
+    it feeds (row number + offset, per named shift), then fold everything that
+    lands on one (keys, row number) with a single grouped aggregate.  One
+    shuffle, a fan-out fixed by the offsets, and no self-join."""
+    keys = list(keys)
+    carried = [c for c in idx.columns if c not in (*keys, "_rn")]
+    types = dict(idx.dtypes)
+    recs = [F.struct(F.lit("self").alias("_kind"), F.col("_rn").alias("_t"),
+                     *[F.col(f"`{c}`").alias(c) for c in carried])]
+    for kind, (offsets, cols) in shifts.items():
+        for d in offsets:
+            recs.append(F.struct(F.lit(f"{kind}:{d}").alias("_kind"), (F.col("_rn") + d).alias("_t"),
+                                 *[(F.col(f"`{c}`") if c in cols else F.lit(None).cast(types[c])).alias(c)
+                                   for c in carried]))
+    ex = idx.select(*keys, F.explode(F.array(*recs)).alias("_r")).select(*keys, "_r.*")
+    return ex, carried
+
+
+def _self_value(c: str) -> Column:
+    return F.first(F.when(F.col("_kind") == "self", F.col(f"`{c}`")), ignorenulls=True).alias(c)
+
+
 def lag_rows(df: DataFrame, cols: Sequence[str], lags: Sequence[int], *, keys: Sequence[str] = (),
              order: Sequence[str] = ("Date",), buckets: Sequence[Column] | None = None,
              name: str = "{col}_lag{k}") -> DataFrame:
     """Value ``k`` rows earlier per ``keys`` in ``order`` for each col and lag.
 
-    Row numbers come from ``row_index``; each lag is a left equi-join on
-    (keys, row number - k), so no task holds a whole key."""
+    Row numbers come from ``row_index``; every row is then sent to itself and
+    to the rows ``k`` further on, and one grouped aggregate on (keys, row
+    number) picks each lag - no task holds a whole key and there is no join."""
     keys, cols = list(keys), list(cols)
     idx = row_index(df, keys=keys, order=order, buckets=buckets, name="_rn")
-    src = idx.select(*keys, "_rn", *cols)
-    out = idx
-    for k in lags:
-        shifted = src.select(*keys, (F.col("_rn") + k).alias("_rn"),
-                             *[F.col(c).alias(name.format(col=c, k=k)) for c in cols])
-        out = out.join(shifted, on=[*keys, "_rn"], how="left")
-    return out.drop("_rn")
+    ex, carried = _fold(idx, keys, {"lag": (list(lags), cols)})
+    g = ex.groupBy(*keys, "_t").agg(
+        F.count_if(F.col("_kind") == "self").alias("_n_self"), *[_self_value(c) for c in carried],
+        *[F.first(F.when(F.col("_kind") == f"lag:{k}", F.col(f"`{c}`")), ignorenulls=True)
+          .alias(name.format(col=c, k=k)) for k in lags for c in cols])
+    return g.where(F.col("_n_self") > 0).select(*df.columns, *[name.format(col=c, k=k) for k in lags for c in cols])
 
 
 def rolling_mean_rows(df: DataFrame, cols: Sequence[str], *, window: int = 7, shift: int = 0,
                       keys: Sequence[str] = (), order: Sequence[str] = ("Date",),
-                      buckets: Sequence[Column] | None = None, name: str = "{col}_roll{w}") -> DataFrame:
+                      buckets: Sequence[Column] | None = None, name: str = "{col}_roll{w}",
+                      count_name: str | None = None) -> DataFrame:
     """Mean of the non-missing values in the ``window`` rows ending ``shift`` rows
-    before each row (min one value), per ``keys``.
+    before each row (min one value), per ``keys``.  A negative ``shift`` centres
+    the window (``shift=-3, window=7``: three rows either side).
 
-    Each row is sent to the ``window`` target rows it contributes to and the
-    targets are averaged - a bounded fan-out of ``window`` instead of one task
-    per key."""
+    Each row is sent to itself and to the ``window`` rows it contributes to,
+    and one grouped aggregate folds them - a bounded fan-out instead of one task
+    per key.  ``count_name`` adds the number of values averaged."""
     keys, cols = list(keys), list(cols)
     idx = row_index(df, keys=keys, order=order, buckets=buckets, name="_rn")
-    offsets = F.sequence(F.lit(shift), F.lit(shift + window - 1))
-    fan = idx.select(*keys, F.explode(offsets).alias("_d"), "_rn", *cols) \
-             .select(*keys, (F.col("_rn") + F.col("_d")).alias("_rn"), *cols)
-    agg = fan.groupBy(*keys, "_rn").agg(*[F.avg(c).alias(name.format(col=c, w=window)) for c in cols])
-    return idx.join(agg, on=[*keys, "_rn"], how="left").drop("_rn")
+    ex, carried = _fold(idx, keys, {"win": (list(range(shift, shift + window)), cols)})
+    in_win = F.col("_kind").startswith("win:")
+    aggs = [F.count_if(F.col("_kind") == "self").alias("_n_self"), *[_self_value(c) for c in carried],
+            *[F.avg(F.when(in_win, F.col(f"`{c}`"))).alias(name.format(col=c, w=window)) for c in cols]]
+    extra = []
+    if count_name:
+        aggs += [F.count(F.when(in_win, F.col(f"`{c}`"))).alias(count_name.format(col=c)) for c in cols]
+        extra = [count_name.format(col=c) for c in cols]
+    g = ex.groupBy(*keys, "_t").agg(*aggs)
+    out_cols = [*df.columns, *[name.format(col=c, w=window) for c in cols], *extra]
+    return g.where(F.col("_n_self") > 0).select(*out_cols, F.col("_t").alias("_rn"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surge.operators.impute import interpolate_limited
-from surge.operators.ordered import row_index
+from surge.operators.ordered import rolling_mean_rows
 
 
 def daily_spine(df: DataFrame, *, key: str = "borough", date: str = "Date", value: str,
@@ -87,17 +87,15 @@ def additive_decompose(df: DataFrame, *, key: str = "borough", date: str = "Date
     series centred to zero, residual.  Rows must be one per (key, day), in
     order; phases count from each key's first row.
 
-    The trend is an equi-join fan-out over row numbers (each row feeds the
-    ``period`` rows it is a neighbour of); phase means are a (key, phase)
-    aggregate - nothing holds a whole key in one task.
+    The trend is a fan-out over row numbers folded by one grouped aggregate
+    (each row feeds the ``period`` rows it is a neighbour of); phase means are
+    a (key, phase) aggregate - nothing holds a whole key in one task.
     """
     half = period // 2
-    idx = row_index(df.select(key, date, value), keys=[key], order=[date], name="_rn")
-    fan = idx.select(key, F.explode(F.sequence(F.lit(-half), F.lit(half))).alias("_d"), "_rn", value) \
-             .select(key, (F.col("_rn") + F.col("_d")).alias("_rn"), value)
-    tr = fan.groupBy(key, "_rn").agg(F.avg(value).alias("_m"), F.count(value).alias("_c"))
-    n = idx.groupBy(key).agg(F.max("_rn").alias("_n"))
-    t = idx.join(tr, on=[key, "_rn"], how="left").join(n, on=[key])
+    t = rolling_mean_rows(df.select(key, date, value), [value], window=period, shift=-half, keys=[key],
+                          order=[date], name="_m", count_name="_c")
+    n = t.groupBy(key).agg(F.max("_rn").alias("_n"))   # one row per key
+    t = t.join(n, on=[key])
     trend = F.when((F.col("_c") == period) & (F.col("_rn") > half) & (F.col("_rn") <= F.col("_n") - half),
                    F.col("_m"))
     t = t.select(key, date, "_rn", F.col(value).alias("observed"), trend.alias("trend"),
