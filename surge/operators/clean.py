@@ -100,24 +100,34 @@ def visits_daily_sum(df: DataFrame, *, date: str = "Date", key: str = "Dim1Value
     return out.groupBy("Date", "borough").agg(F.coalesce(F.sum("_c"), F.lit(0.0)).alias(name))
 
 
-def health_daily(respiratory: DataFrame, asthma: DataFrame, *,
-                 years: Iterable[int] | None = DEFAULT_YEARS, **cols) -> DataFrame:
-    """Full outer join of the two daily sums, missing side -> 0, total, year filter.
+def _daily_counts(df: DataFrame, *, date: str, key: str, count: str) -> DataFrame:
+    d = parse_date(date) if dict(df.dtypes).get(date) == "string" else F.col(date).cast("date")
+    return df.select(d.alias("Date"), canonical_key(key).alias("borough"), coerce_numeric(count).alias("_c")) \
+             .where(F.col("Date").isNotNull() & F.col("borough").isNotNull())
 
-    The year filter is applied to both inputs before the join (Catalyst cannot
-    push it through a full outer join on coalesced keys).
-    """
-    r = visits_daily_sum(respiratory, name="Respiratory_Count", years=years, **cols)
-    a = visits_daily_sum(asthma, name="Asthma_Count", years=years, **cols)
-    j = r.join(a, on=["Date", "borough"], how="full")
-    return j.select(
-        "Date", "borough",
-        F.coalesce("Respiratory_Count", F.lit(0.0)).alias("Respiratory_Count"),
-        F.coalesce("Asthma_Count", F.lit(0.0)).alias("Asthma_Count"),
-        (F.coalesce("Respiratory_Count", F.lit(0.0)) + F.coalesce("Asthma_Count", F.lit(0.0)))
-        .alias("Total_Hospitalization"),
-        F.year("Date").alias("year"),
-    )
+
+def health_daily(respiratory: DataFrame, asthma: DataFrame, *,
+                 years: Iterable[int] | None = DEFAULT_YEARS, date: str = "Date", key: str = "Dim1Value",
+                 count: str = "Count") -> DataFrame:
+    """Respiratory and asthma sums per (Date, key) with a missing side as 0,
+    their total and the year, kept for the listed years.
+
+    Same rows as a full outer join of the two daily sums, computed as one
+    aggregate over the tagged union of both feeds: a single shuffle on
+    (Date, key), whose hash partitioning the panel's joins then reuse (a full
+    outer join on coalesced keys would lose it).  The year filter runs before
+    the shuffle."""
+    parts = [_daily_counts(f, date=date, key=key, count=count).withColumn("_resp", F.lit(r))
+             for f, r in ((respiratory, True), (asthma, False))]
+    u = parts[0].unionByName(parts[1])
+    if years is not None:
+        u = filter_years(u, years=years)
+    g = u.groupBy("Date", "borough").agg(
+        F.coalesce(F.sum(F.when(F.col("_resp"), F.col("_c"))), F.lit(0.0)).alias("Respiratory_Count"),
+        F.coalesce(F.sum(F.when(~F.col("_resp"), F.col("_c"))), F.lit(0.0)).alias("Asthma_Count"))
+    return g.select("Date", "borough", "Respiratory_Count", "Asthma_Count",
+                    (F.col("Respiratory_Count") + F.col("Asthma_Count")).alias("Total_Hospitalization"),
+                    F.year("Date").alias("year"))
 
 
 def visits_inner(respiratory: DataFrame, asthma: DataFrame, **cols) -> DataFrame:

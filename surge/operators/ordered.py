@@ -74,7 +74,8 @@ def fill(df: DataFrame, cols: Sequence[str], *, keys: Sequence[str] = (), order:
           "backward": Window.partitionBy(*keys).orderBy(*bk).rowsBetween(1, UNB_FOLL)}
     local_fn = {"forward": F.last, "backward": F.first}
     pick = {"forward": F.max_by, "backward": F.min_by}
-    ordk = F.struct(*[F.col(o) for o in order])
+    # a single ordering column keeps the max_by / min_by buffers fixed-width (hash aggregate)
+    ordk = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order])
     local = b.select("*", *[local_fn[d](F.col(c), ignorenulls=True).over(wl[d]).alias(f"_loc_{d[0]}{i}")
                             for d in dirs for i, c in enumerate(cols)])
     summ = b.groupBy(*keys, *bk).agg(*[pick[d](F.col(c), F.when(F.col(c).isNotNull(), ordk)).alias(f"_edge_{d[0]}{i}")
