@@ -9,17 +9,23 @@ from pyspark.sql import functions as F
 
 from surge.operators.clean import numeric_columns
 from surge.operators.ordered import fill, month_bucket, row_index
+from surge.plans.stage import materialize
 
 
 def impute_series(df: DataFrame, *, cols: Sequence[str] | None = None, key: str = "borough",
-                  date: str = "Date") -> DataFrame:
+                  date: str = "Date", stage: bool = True) -> DataFrame:
     """Per key in date order: forward fill, then backward fill; what is still
     missing (a key without any value) takes the column mean over all rows, and
-    0 when the whole column is missing.  The mean is a scalar subquery."""
+    0 when the whole column is missing.  The mean is a scalar subquery.
+
+    With ``stage`` the filled table is checkpointed first, so the mean
+    subquery and every later reader scan it instead of re-running the fill."""
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=[key, date])
     if not cols:
         return df
     filled = fill(df, cols, keys=[key], order=[date], direction="both")
+    if stage:
+        filled = materialize(filled)
     # one scalar subquery (a struct of all column means), reused by every column
     means = filled.agg(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("m")).scalar()
     return filled.withColumns({c: F.coalesce(F.col(c), means.getField(c), F.lit(0)).cast(

@@ -175,7 +175,7 @@ def imputed(spark: SparkSession, sf: str) -> DataFrame:
     The panel and the filled panel are stage boundaries (checkpointed): the fill,
     its mean subquery and the column profile each read the panel, and at scale
     re-deriving it would mean re-scanning the raw feeds."""
-    return clean.drop_constant_zero_columns(materialize(imp.impute_series(materialize(panel(spark, sf)))))
+    return clean.drop_constant_zero_columns(imp.impute_series(materialize(panel(spark, sf))))
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
@@ -617,9 +617,9 @@ def q_risk_band(spark, sf):
                     sc.binary_band(met.predicted_class(F.col("score"))).alias("binary_band"))
 
 
-def _fallback(spark, sf):
+def _fallback(spark, sf, hist=None):
     r = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date", "capacity")
-    return sc.score_fallback(sc.historical_average(r, history(spark, sf)))
+    return sc.score_fallback(sc.historical_average(r, history(spark, sf) if hist is None else hist))
 
 
 @query("score_fallback")
@@ -629,8 +629,9 @@ def q_score_fallback(spark, sf):
 
 @query("score_capacity")
 def q_score_capacity(spark, sf):
-    f = _fallback(spark, sf).withColumnRenamed("expected_admissions", "predicted_count")
-    means = history(spark, sf).groupBy("borough").agg(F.avg("Total_Hospitalization").alias("key_mean"))
+    h = history(spark, sf)
+    f = _fallback(spark, sf, h).withColumnRenamed("expected_admissions", "predicted_count")
+    means = h.groupBy("borough").agg(F.avg("Total_Hospitalization").alias("key_mean"))
     out = sc.score_capacity(f.join(means, on="borough", how="left"), key_mean="key_mean")
     return out.select("request_id", "borough", "req_date", "capacity", "predicted_count", "additional_beds_needed",
                       "utilization_percent", "capacity_status", "vs_key_mean_pct")
