@@ -74,11 +74,13 @@ def historical_average(req: DataFrame, history: DataFrame, *, key: str = "boroug
                        hist_date: str = "Date", measure: str = "Total_Hospitalization",
                        name: str = "historical_average") -> DataFrame:
     """Mean of ``measure`` over the key's history on the same month and day, else
-    over the same month, else NULL; rounded half-even to 2 places.  Two small
-    aggregates (key x month-day, key x month) joined to the requests."""
+    over the same month, else NULL; rounded half-even to 2 places.  One scan
+    of the history into (key, month, day) sums and counts; the month level is
+    rolled up from that small table (at most 366 rows per key)."""
     h = history.select(key, F.month(hist_date).alias("_m"), F.dayofmonth(hist_date).alias("_dd"), measure)
-    md = h.groupBy(key, "_m", "_dd").agg(F.avg(measure).alias("_md"))
-    mo = h.groupBy(key, "_m").agg(F.avg(measure).alias("_mo"))
+    days = h.groupBy(key, "_m", "_dd").agg(F.sum(measure).alias("_s"), F.count(measure).alias("_n"))
+    md = days.select(key, "_m", "_dd", F.try_divide(F.col("_s"), F.col("_n")).alias("_md"))
+    mo = days.groupBy(key, "_m").agg(F.try_divide(F.sum("_s"), F.sum("_n")).alias("_mo"))
     r = req.withColumns({"_m": F.month(req_date), "_dd": F.dayofmonth(req_date)})
     r = r.join(md, on=[key, "_m", "_dd"], how="left").join(mo, on=[key, "_m"], how="left")
     return r.withColumn(name, F.bround(F.coalesce("_md", "_mo"), 2)).drop("_m", "_dd", "_md", "_mo")
