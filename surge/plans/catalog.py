@@ -12,8 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surge.functions.columns import canonical_key, coerce_numeric, parse_date, sanitize_name_expr
-from surge.operators import clean, panel as pnl
+from surge.functions.columns import canonical_key, coerce_numeric, parse_date, rowwise_mean, sanitize_name_expr
+from surge.operators import clean
+from surge.operators import features as feat
+from surge.operators import impact as imp_
+from surge.operators import impute as imp
+from surge.operators import metrics as met
+from surge.operators import models as mdl
+from surge.operators import panel as pnl
+from surge.operators import profile as prof
+from surge.operators import scoring as sc
+from surge.operators import series as ser
+from surge.operators import smooth
+from surge.operators import stl as stl_
+from surge.plans.stage import materialize
+from surge.sources import stations as st
 from surge.sources import tables as src
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,10 +174,6 @@ def q_panel_merged(spark, sf):
 
 # ---------------------------------------------------------------- imputation, lags, features
 
-from surge.operators import features as feat  # noqa: E402
-from surge.operators import impute as imp  # noqa: E402
-from surge.operators import series as ser  # noqa: E402
-from surge.plans.stage import materialize  # noqa: E402
 
 WEATHER_VARS = ["Temp_Max_C", "Humidity_Avg", "WindSpeed_mps", "Temp_Min_C"]
 
@@ -356,8 +365,6 @@ def q_monthly_join_back(spark, sf):
 
 # ---------------------------------------------------------------- impact (un-imputed panel) and profiling
 
-from surge.operators import impact as imp_  # noqa: E402
-from surge.operators import profile as prof  # noqa: E402
 
 PANEL_NUMERIC = ["Respiratory_Count", "Asthma_Count", "Total_Hospitalization", "Temp_Max_C", "Temp_Min_C",
                  "Humidity_Avg", "WindSpeed_mps", "AQ_Nitrogen_dioxide_NO2", "AQ_Ozone_O3", "AQ_Visits_due_to_PM25"]
@@ -498,7 +505,6 @@ def q_service_stats(spark, sf):
 
 # ---------------------------------------------------------------- metrics on scored rows
 
-from surge.operators import metrics as met  # noqa: E402
 
 
 def model_order(spark: SparkSession, sf: str) -> list[str]:
@@ -575,7 +581,6 @@ def q_key_findings(spark, sf):
 
 # ---------------------------------------------------------------- scoring of request batches
 
-from surge.operators import scoring as sc  # noqa: E402
 
 
 def validated(spark: SparkSession, sf: str) -> DataFrame:
@@ -661,7 +666,6 @@ def q_score_interpretation(spark, sf):
 
 # ---------------------------------------------------------------- station selection (landed weather rows)
 
-from surge.sources import stations as st  # noqa: E402
 
 
 @query("station_fallback")
@@ -683,7 +687,6 @@ def q_union_station_years(spark, sf):
 
 # ---------------------------------------------------------------- models (rows-only checks, except kNN)
 
-from surge.operators import models as mdl  # noqa: E402
 
 
 def prepared(spark: SparkSession, sf: str) -> DataFrame:
@@ -749,7 +752,6 @@ def q_rebuild_model(spark, sf):
 
 # ---------------------------------------------------------------- STL and model-based scoring
 
-from surge.operators import stl as stl_  # noqa: E402
 
 
 @query("stl_decompose")
@@ -803,8 +805,6 @@ def q_score_cascade(spark, sf):
 
 # ---------------------------------------------------------------- remaining cleaning / exploration entries
 
-from surge.functions.columns import rowwise_mean  # noqa: E402
-from surge.operators import smooth  # noqa: E402
 
 # A configured pollutant list may name measures a feed never reports (its column is then all missing).
 AIRQ_CONFIGURED = AIRQ_NAMES + ["Fine particles (PM 2.5)"]

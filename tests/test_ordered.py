@@ -63,3 +63,35 @@ def test_impute_series_backward_fill_global_mean_and_zero(spark):
     # a: backward fill; b: mean of the filled column (2, 2, 4) -> 8/3; y: all missing -> 0
     assert got[("a", d0)] == (2.0, 0.0)
     assert abs(got[("b", d0)][0] - 8 / 3) < 1e-12 and got[("b", d0)][1] == 0.0
+
+
+def test_rolling_mean_shift_matches_pandas(spark):
+    from surge.operators.features import rolling_mean_shift
+    df, pdf = _frame(spark)
+    df = df.withColumnRenamed("k", "borough")
+    got = rolling_mean_shift(df, ["v"]).toPandas().sort_values(["borough", "Date"])
+    p = pdf.sort_values(["k", "Date"])
+    want = p.groupby("k")["v"].transform(lambda x: x.rolling(7, min_periods=1).mean().shift(3))
+    assert list(got["v_roll7"].fillna(-1).round(12)) == list(want.fillna(-1).round(12))
+
+
+def test_winsorize_iqr_matches_pandas_clip(spark):
+    from surge.operators.series import winsorize
+    df, pdf = _frame(spark)
+    got = winsorize(df.withColumnRenamed("k", "borough"), value="v").toPandas().sort_values(["borough", "Date"])
+    p = pdf.sort_values(["k", "Date"])
+
+    def clip(s):
+        q1, q3 = s.quantile(0.25), s.quantile(0.75)
+        return s.clip(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+    want = p.groupby("k")["v"].transform(clip)
+    assert list(got["v"].fillna(-1).round(12)) == list(want.fillna(-1).round(12))
+
+
+def test_daily_spine_zero_fills_gaps(spark):
+    from surge.operators.series import daily_spine
+    d0 = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([("k", d0, 2.0), ("k", d0, None), ("k", d0 + dt.timedelta(3), 5.0),
+                                ("k", d0 + dt.timedelta(4), None)], "borough string, Date date, v double")
+    got = [r.v for r in daily_spine(df, value="v").orderBy("Date").collect()]
+    assert got == [2.0, 0.0, 0.0, 5.0, 0.0]
