@@ -7,8 +7,10 @@ a two-level scan over score buckets so no group sits in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,12 +25,18 @@ def predicted_class(score: Column, threshold: float = 0.5) -> Column:
 
 def _score_counts(df: DataFrame, group: Sequence[str], label: str, score: str, buckets: int) -> DataFrame:
     """(group, score, pos, neg) per distinct score, plus the count of negatives /
-    positives at strictly lower scores (``n_below``, ``p_below``) and above
-    (``n_above``, ``p_above``) - via per-bucket totals and their running sums."""
+    positives at strictly lower scores (``n_below``, ``p_below``) - via
+    per-bucket totals and their running sums."""
     g = list(group)
     s = df.groupBy(*g, F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    s = s.withColumn("_bk", F.least(F.greatest(F.floor(F.col("score") * buckets), F.lit(-1)), F.lit(buckets)))
+    # bucket boundaries at approximate quantiles of the distinct scores, so each
+    # bucket holds a similar share whatever the score distribution; the split
+    # list is bounded by ``buckets``
+    qs = [i / buckets for i in range(1, buckets)]
+    cuts = s.agg(F.percentile_approx("score", qs, 20 * buckets)).first()[0] or []
+    splits = [-math.inf, *sorted(set(c for c in cuts if c is not None)), math.inf]
+    s = Bucketizer(splits=splits, inputCol="score", outputCol="_bk", handleInvalid="keep").transform(s)
     wl = Window.partitionBy(*g, "_bk").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     local = s.withColumns({"_nb": F.coalesce(F.sum("neg").over(wl), F.lit(0)),
                            "_pb": F.coalesce(F.sum("pos").over(wl), F.lit(0))})
@@ -43,7 +51,7 @@ def _score_counts(df: DataFrame, group: Sequence[str], label: str, score: str, b
 
 
 def auroc(df: DataFrame, *, group: Sequence[str] = GROUP, label: str = "label", score: str = "score",
-          buckets: int = 4096) -> DataFrame:
+          buckets: int = 512) -> DataFrame:
     """Area under the ROC curve with ties counted half:
     sum over distinct scores of pos * (negatives below + neg / 2) / (all_pos * all_neg)."""
     c = _score_counts(df, group, label, score, buckets)
@@ -53,7 +61,7 @@ def auroc(df: DataFrame, *, group: Sequence[str] = GROUP, label: str = "label",
 
 
 def roc_curve(df: DataFrame, *, group: Sequence[str] = GROUP, label: str = "label", score: str = "score",
-              buckets: int = 4096) -> DataFrame:
+              buckets: int = 512) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score: rates of rows scoring >= threshold."""
     c = _score_counts(df, group, label, score, buckets)
     return c.select(*group, F.col("score").alias("threshold"),
