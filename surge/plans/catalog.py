@@ -738,8 +738,20 @@ def q_stratified_split(spark, sf):
 
 @query("rebuild_model")
 def q_rebuild_model(spark, sf):
-    """Small-feature rebuild: calendar + weather, both boosted models on all rows (train metrics)."""
-    f = feat.calendar_features(imputed(spark, sf))
+    """Small-feature rebuild: the merged panel handed over as a CSV file (written
+    to the shared checkpoint folder, re-read with a declared schema and the
+    date re-parsed), calendar + weather features, both boosted models on all
+    rows (train metrics)."""
+    import uuid
+    from surge.session import ensure_checkpoint_dir
+    from surge.sources.sinks import read_table, write_table
+    panel_df = imputed(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panel-csv-{uuid.uuid4().hex}"
+    write_table(panel_df, path, fmt="csv")
+    text_schema = T.StructType([T.StructField(c, T.StringType() if c == "Date" else t)
+                                for c, t in ((f.name, f.dataType) for f in panel_df.schema.fields)])
+    reread = read_table(spark, path, fmt="csv", schema=text_schema).withColumn("Date", parse_date("Date", "yyyy-MM-dd"))
+    f = feat.calendar_features(reread)
     f = feat.high_risk_target(f, inclusive=False).withColumn("split", F.lit("train"))
     cols = ["month", "day", "day_of_week", "Temp_Max_C", "Humidity_Avg", "WindSpeed_mps"]
     p = mdl.prepare(feat.feature_matrix(f, features=cols), cols)
