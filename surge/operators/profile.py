@@ -76,7 +76,11 @@ def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
                      F.col(f"`{a}`").cast("double").alias("x"), F.col(f"`{b}`").cast("double").alias("y"))
             for a, b in pairs]
     long = df.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
-    return long.groupBy("var1", "var2").agg(_corr(F.col("x"), F.col("y")).alias("corr"))
+    got = long.groupBy("var1", "var2").agg(_corr(F.col("x"), F.col("y")).alias("corr"))
+    # every requested pair appears, with NULL when no row has both values (as a
+    # correlation matrix of an empty frame does)
+    wanted = df.sparkSession.createDataFrame(list(pairs), "var1 string, var2 string")
+    return wanted.join(got, on=["var1", "var2"], how="left")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

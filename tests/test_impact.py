@@ -34,3 +34,10 @@ def test_nan_weather_is_missing_at_ingest(spark):
     df = spark.createDataFrame([(D, " Queens ", float("nan")), (D, "QUEENS", 30.0)], "DATE date, borough string, TMAX double")
     r = weather_clean(df).first()
     assert r.borough == "queens" and r.Temp_Max_C == 30.0
+
+
+def test_listwise_correlation_of_an_empty_frame_keeps_every_pair(spark):
+    from surge.operators.profile import corr_listwise
+    df = spark.createDataFrame([(1.0, None), (None, 2.0)], "a double, b double")
+    got = {(r.var1, r.var2): r.corr for r in corr_listwise(df, ["a", "b"]).collect()}
+    assert got == {("a", "a"): None, ("a", "b"): None, ("b", "a"): None, ("b", "b"): None}
