@@ -70,3 +70,25 @@ def interpolate_limited(df: DataFrame, cols: Sequence[str], *, key: str = "borou
                    .when(a.isNull() & b.isNotNull() & near_b, b.v)
                    .when(b.isNull() & a.isNotNull() & near_a, a.v))
     return both.withColumns(out).drop("_pos", *names, *[n + "_prev" for n in names], *[n + "_next" for n in names])
+
+
+def impute_and_prune(df: DataFrame, *, cols: Sequence[str] | None = None, key: str = "borough",
+                     date: str = "Date", protect: Sequence[str] = ("Date", "borough", "Total_Hospitalization",
+                                                                   "Respiratory_Count", "Asthma_Count")) -> DataFrame:
+    """``impute_series`` followed by the all-missing / all-zero column drop, with
+    one profile pass instead of two: over the (checkpointed) filled table a
+    single one-row aggregate gives each column's mean and its count of
+    non-zero values.  After imputation no value is missing, and a column is
+    all zero exactly when its filled values hold no non-zero value (its mean is
+    then 0 or missing, so the gaps become 0 as well)."""
+    cols = list(cols) if cols is not None else numeric_columns(df, exclude=[key, date])
+    if not cols:
+        return df
+    filled = materialize(fill(df, cols, keys=[key], order=[date], direction="both"))
+    row = filled.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+                     *[F.count_if(F.col(c) != 0).alias(f"nz{i}") for i, c in enumerate(cols)]).first()
+    types = dict(df.dtypes)
+    out = filled.withColumns({c: F.coalesce(F.col(c), F.lit(row[f"m{i}"]).cast("double"), F.lit(0)).cast(types[c])
+                              for i, c in enumerate(cols)})
+    drop = [c for i, c in enumerate(cols) if row[f"nz{i}"] == 0 and c not in set(protect)]
+    return out.drop(*drop)

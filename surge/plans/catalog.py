@@ -184,7 +184,7 @@ def imputed(spark: SparkSession, sf: str) -> DataFrame:
     The panel and the filled panel are stage boundaries (checkpointed): the fill,
     its mean subquery and the column profile each read the panel, and at scale
     re-deriving it would mean re-scanning the raw feeds."""
-    return clean.drop_constant_zero_columns(imp.impute_series(materialize(panel(spark, sf))))
+    return imp.impute_and_prune(materialize(panel(spark, sf)))
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:

@@ -95,3 +95,20 @@ def test_daily_spine_zero_fills_gaps(spark):
                                 ("k", d0 + dt.timedelta(4), None)], "borough string, Date date, v double")
     got = [r.v for r in daily_spine(df, value="v").orderBy("Date").collect()]
     assert got == [2.0, 0.0, 0.0, 5.0, 0.0]
+
+
+def test_impute_and_prune_equals_two_step(spark):
+    from surge.operators.clean import drop_constant_zero_columns
+    from surge.operators.impute import impute_and_prune
+    d0 = dt.date(2020, 1, 1)
+    rows = [("a", d0, None, None, 0.0, 1.0), ("a", d0 + dt.timedelta(1), 2.0, None, None, 0.0),
+            ("b", d0, None, None, 0.0, 0.0), ("c", d0, 4.0, None, None, 3.0)]
+    df = spark.createDataFrame(rows, "borough string, Date date, x double, empty double, zeros double, "
+                                     "Total_Hospitalization double")
+    fused = impute_and_prune(df)
+    two = drop_constant_zero_columns(impute_series(df))
+    assert fused.columns == two.columns == ["borough", "Date", "x", "Total_Hospitalization"]
+    key = lambda r: (r.borough, r.Date)
+    assert sorted(map(tuple, fused.collect()), key=lambda t: (t[0], t[1])) == \
+        sorted(map(tuple, two.collect()), key=lambda t: (t[0], t[1]))
+    assert key is not None
