@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surge.llm import chat, exact, mixing, tokens
+from surge.llm import chat, exact, language, mixing, ngram_join, tokens, toxicity
 
 #: A public byte-level vocabulary; ``tokenizer_file`` is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.json"
@@ -22,10 +22,35 @@ def vocabulary_file(name: str = VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
+def _remainder(n: int) -> Column:
+    """crc32 of the id as text, modulo n."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic").where(_remainder(5) != 0)
+    model = toxicity.fit(docs, docs.join(labels, "doc_id"))
+    rows = docs.select("doc_id", "text", (_remainder(5) == 0).alias("held_out"))
+    return toxicity.score(rows, model).select("doc_id", "held_out", F.col("toxicity").alias("score"),
+                                              (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(_remainder(3) != 1), "text", "lang", "doc_id")
+    rows = docs.select("doc_id", "text", (_remainder(3) == 1).alias("held_out"))
+    return language.identify(rows, model).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), "rejected")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_read(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_file_round_trip(_read(spark, sf_dir, "documents"), vocabulary_file(), end_id=2)
 
@@ -48,7 +73,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
+    "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
+    "op6_ngram_join": op6_ngram_join,
     "op7_token_file": op7_token_file,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_chat_format": op10_chat_format,
