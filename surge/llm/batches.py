@@ -79,6 +79,17 @@ class Texts:
         self.data = LOWER[raw] if lower else raw
         self.n = n
 
+    @staticmethod
+    def shingle_codes(words: np.ndarray, k: int) -> np.ndarray:
+        """Distinct shingle hashes of one sequence of word hashes, as ``Words.shingles`` makes them."""
+        n = len(words)
+        if n < k:
+            return words[:0]
+        h = words[:n - k + 1].copy()
+        for j in range(1, k):
+            h = mix64(h * np.uint64(_MULT) + words[j:n - k + 1 + j])
+        return np.unique(h)
+
     def words(self, separators: np.ndarray = SPACE) -> "Words":
         return Words(self, separators)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surge.llm import chat, exact, language, mixing, ngram_join, tokens, toxicity
+from surge.llm import chat, decontaminate, exact, language, mixing, ngram_join, tokens, toxicity
 
 #: A public byte-level vocabulary; ``tokenizer_file`` is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.json"
@@ -27,6 +27,10 @@ def _remainder(n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic").where(_remainder(5) != 0)
@@ -73,6 +77,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
