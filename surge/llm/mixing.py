@@ -41,8 +41,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], budget: float,
     point, null last, take the weights in turn; ``budget`` times all words is
     shared by weight, no source above ``most`` times its size, the excess shared
     again by weight.  That is a water level L with target = min(cap, weight * L):
-    sorted by cap / weight, the first k sources are capped for the one k where
-    the level of the others lies between the neighbouring ratios.
+    sorted by cap / weight, the sources before the first one whose ratio reaches
+    the level of the rest are capped (from there on that level only falls, so it
+    is the largest one below its ratio).
     """
     pick = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
                         (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
@@ -57,7 +58,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], budget: float,
                  coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D) AS capped,
                  sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
           FROM llm_mix_ranked),
-        level AS (SELECT *, min(CASE WHEN (total - capped) / free <= cap / weight THEN (total - capped) / free END) OVER () AS water FROM run)
+        level AS (SELECT *, max(CASE WHEN (total - capped) / free <= cap / weight THEN (total - capped) / free END) OVER () AS water FROM run)
         SELECT source, source_size, least(cap, coalesce(weight * water, cap)) AS target FROM level""")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surge.llm import chat, decontaminate, exact, language, mixing, ngram_join, tokens, toxicity
+from surge.llm import chat, decontaminate, exact, language, mixing, ngram_join, substring, tokens, toxicity
 
 #: A public byte-level vocabulary; ``tokenizer_file`` is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.json"
@@ -31,6 +31,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_spans(_read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic").where(_remainder(5) != 0)
@@ -78,6 +82,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
@@ -100,7 +105,7 @@ run AS (
   SELECT *, 1.5::DOUBLE * sum(source_size) OVER () AS total,
          coalesce(sum(cap) OVER (ORDER BY cap / weight, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
          sum(weight) OVER (ORDER BY cap / weight, rk ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM w),
-lv AS (SELECT *, min(CASE WHEN (total - capped) / free <= cap / weight THEN (total - capped) / free END) OVER () AS water FROM run),
+lv AS (SELECT *, max(CASE WHEN (total - capped) / free <= cap / weight THEN (total - capped) / free END) OVER () AS water FROM run),
 t AS (SELECT source, source_size, least(cap, coalesce(weight * water, cap)) AS target FROM lv),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS rounds FROM t),
 c AS (
