@@ -131,16 +131,18 @@ def bundle_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def tile_keys(members: DataFrame, num: int, den: int) -> DataFrame:
+def tile_keys(members: DataFrame, num: int, den: int, carry: tuple[str, ...] = (), tile: int | None = None) -> DataFrame:
     """Deal the members (bundle, id, n) to tile pairs: adds (key, side), one row for each tile pair a member is in.
+    ``carry``: further columns to keep.
 
-    A bundle of at most ``TILE`` n-grams is one tile.  A larger one is cut by size class (sizes in classes
-    that are not neighbours cannot link) and, within a class, by hash into tiles of ``TILE`` n-grams."""
+    A bundle of at most ``tile`` n-grams (``TILE`` if not given) is one tile.  A larger one is cut by size class (sizes in classes
+    that are not neighbours cannot link) and, within a class, by hash into tiles of so many n-grams."""
+    tile = tile or TILE
     sizes = members.groupBy("bundle").agg(F.sum("n").alias("all"))
     klass = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num)))).cast("int") if num < den else F.col("n").cast("int")
     rows = members.withColumn("class", klass)
-    cuts = rows.groupBy("bundle", "class").agg(F.ceil(F.sum("n") / TILE).cast("int").alias("tiles")) \
-        .join(sizes.where(F.col("all") > TILE), "bundle")
+    cuts = rows.groupBy("bundle", "class").agg(F.ceil(F.sum("n") / tile).cast("int").alias("tiles")) \
+        .join(sizes.where(F.col("all") > tile), "bundle")
     near = cuts.select("bundle", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"),
                        F.col("class").alias("of"), "tiles") \
         .groupBy("bundle", "class").agg(F.map_from_entries(F.collect_list(F.struct("of", "tiles"))).alias("tiles"))  # 3 entries at most
@@ -164,7 +166,7 @@ def tile_keys(members: DataFrame, num: int, den: int) -> DataFrame:
         F.transform(span(down), lambda t: F.struct(name(c - 1, t, c, F.col("mine")).alias("pair"), F.lit(1).alias("side"))))
     one = F.array(F.struct(F.lit("").alias("pair"), F.lit(2).alias("side")))
     return dealt.withColumn("mine", mine).withColumn("to", F.explode(F.when(F.col("tiles").isNull(), one).otherwise(pairs))) \
-        .select("id", "n", "set", F.concat_ws("/", F.col("bundle").cast("string"), "to.pair").alias("key"), F.col("to.side").alias("side"))
+        .select("id", "n", "set", *carry, F.concat_ws("/", F.col("bundle").cast("string"), "to.pair").alias("key"), F.col("to.side").alias("side"))
 
 
 def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -262,8 +264,10 @@ def tile_links(tiles: DataFrame, num: int, den: int) -> DataFrame:
     return ordered.select("key", "id", "set", "side").mapInArrow(run, "a long, b long").distinct()
 
 
-def set_table(rows: DataFrame, sets: Sets) -> DataFrame:
-    """(bundle, id, n, set) of rows (bundle, id, text); ``set`` holds the sorted 64-bit columns."""
+def set_table(rows: DataFrame, sets: Sets, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(bundle, id, *carry, n, set) of rows (bundle, id, *carry, text); ``set`` holds the sorted 64-bit columns."""
+    keys = ["bundle", "id", *carry]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
@@ -271,10 +275,11 @@ def set_table(rows: DataFrame, sets: Sets) -> DataFrame:
                 n = np.bincount(doc, minlength=count).astype(np.int64)
                 raw, upto = code.view(np.int64).tobytes(), 8 * np.concatenate([[0], np.cumsum(n)])
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("bundle"), piece.column("id"), pa.array(n), blobs([raw[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)])],
-                    names=["bundle", "id", "n", "set"])
+                    [*[piece.column(c) for c in keys], pa.array(n), blobs([raw[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)])],
+                    names=[*keys, "n", "set"])
 
-    return rows.select("bundle", "id", "text").mapInArrow(run, "bundle long, id long, n long, set binary")
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keys)
+    return rows.select(*keys, "text").mapInArrow(run, f"{kinds}, n long, set binary")
 
 
 def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surge.llm import chat, decontaminate, exact, language, mixing, ngram_join, substring, tokens, toxicity
+from surge.llm import chat, decontaminate, exact, language, lines, mixing, ngram_join, substring, tokens, toxicity
 
 #: A public byte-level vocabulary; ``tokenizer_file`` is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.json"
@@ -63,6 +63,10 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_file_round_trip(_read(spark, sf_dir, "documents"), vocabulary_file(), end_id=2)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.repeated_lines(_read(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_read(spark, sf_dir, "documents"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
     "op6_ngram_join": op6_ngram_join,
     "op7_token_file": op7_token_file,
+    "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_chat_format": op10_chat_format,
 }
