@@ -41,7 +41,7 @@ SAMPLE = 256
 #: A segment is closed after so many tokens (one longer document is one segment).
 SEGMENT_TOKENS = 1 << 20
 #: Pieces kept per worker in each of two cache generations.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 500_000
 #: A space after other white space: the only place where what precedes a space matters.
 SPACE_RUN = re.compile(r"\s ")
 BORDER = re.compile(r"(?<=\S) (?=\S)")
@@ -180,6 +180,16 @@ class PieceEncoder:
                 for t, c, h in zip(texts, cut, heads, strict=True)]
 
 
+#: Encoders of this worker process: tasks that follow one another share the caches.
+_ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
+
+
+def _encoder(tokenizer_file: str, kind: str) -> PieceEncoder:
+    if (tokenizer_file, kind) not in _ENCODERS:
+        _ENCODERS[tokenizer_file, kind] = PieceEncoder(tokenizer_file, kind)
+    return _ENCODERS[tokenizer_file, kind]
+
+
 def encode_segments(docs: DataFrame, id_col: str, text_col: str, tokenizer_file: str, end_id: int,
                     id_bytes: int = 2, partitions: int | None = None) -> DataFrame:
     """The segments of a corpus, one row each, in the layout above.
@@ -198,7 +208,7 @@ def encode_segments(docs: DataFrame, id_col: str, text_col: str, tokenizer_file:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # the caches are many small objects without cycles
-        encoder = PieceEncoder(tokenizer_file, kind)
+        encoder = _encoder(tokenizer_file, kind)
         end = np.array([end_id], dtype=kind).tobytes()
         part, seq = None, 0
         ids: list[bytes] = []
