@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surge.llm import ngram_join as join
+from surge.llm.batches import slices
 from surge.llm.links import connected_components
 from surge.llm.staging import staged
 
@@ -75,25 +76,34 @@ def matches(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: in
     lead = np.ones(len(u), dtype=bool)  # the first common token of a pair
     lead[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
     room = 1 + np.minimum(size[u] - r - 1, size[v] - s - 1) >= needed_overlap(size[u], size[v], num, den)
-    out = []
-    for a, b, i, j in zip(*(c[lead & room].tolist() for c in (u, v, r, s)), strict=True):
-        both = len(np.intersect1d(sets[a][i:], sets[b][j:], assume_unique=True))
-        if den * both >= num * (size[a] + size[b] - both):
-            out.append((a, b))
-    pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1]
-
-
-def earlier_matches(tiles: DataFrame, ranks: np.ndarray, num: int, den: int) -> DataFrame:
+    u, v = u[lead & room], v[lead & room]
+    if not len(u):
+        return u, v
+    # Verify, row by row of the left side: flag its tokens and count the flags that each partner hits.
+    column = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    upto = np.concatenate([[0], np.cumsum(size)])
+    flag = np.zeros(len(column) + 1, dtype=np.int64)
+    both = np.zeros(len(u), dtype=np.int64)
+    head = np.flatnonzero(np.diff(u, prepend=-1))
+    for a, b in zip(head.tolist(), [*head[1:].tolist(), len(u)], strict=True):
+        mine = column[upto[u[a]]:upto[u[a] + 1]]
+        flag[mine] = 1
+        n = size[v[a:b]]
+        begin = np.cumsum(n) - n
+        at = np.repeat(upto[v[a:b]] - begin, n) + np.arange(n.sum())
+        both[a:b] = np.add.reduceat(flag[column[at]], begin)
+        flag[mine] = 0
+    same_enough = den * both >= num * (size[u] + size[v] - both)
+    return u[same_enough], v[same_enough]
+
+
+def earlier_matches(tiles: DataFrame, sets_of: join.Sets, ranks: np.ndarray, num: int, den: int) -> DataFrame:
     """(id, match_doc, match_line): for each line that has one in its tile pair, the earliest earlier match."""
     ordered = tiles.repartition("key").sortWithinPartitions("key", "doc_id", "line_no")
 
     def solve(rows: list[tuple]) -> list[tuple]:
         side = np.array([r[1] for r in rows])
-        sets = []
-        for r in rows:
-            code = np.frombuffer(r[4], np.int64)
-            sets.append(code[np.lexsort((code.view(np.uint64), ranks[(code.view(np.uint64) >> np.uint64(46)).astype(np.int64)]))])
+        sets = [r[4] for r in rows]
         whole = (side == 2).all()
         left = np.arange(len(rows)) if whole else np.flatnonzero(side == 0)
         right = left if whole else np.flatnonzero(side == 1)
@@ -103,6 +113,8 @@ def earlier_matches(tiles: DataFrame, ranks: np.ndarray, num: int, den: int) ->
         for u, v in zip(*(x.tolist() for x in matches(sets, left, right, num, den)), strict=True):
             early, late = (u, v) if rows[u][2:4] < rows[v][2:4] else (v, u)
             at = rows[early][2:4]
+            if at == rows[late][2:4]:  # rows that share id and text
+                continue
             if rows[late][0] not in best or at < best[rows[late][0]]:
                 best[rows[late][0]] = at
         return [(i, *at) for i, at in best.items()]
@@ -117,17 +129,21 @@ def earlier_matches(tiles: DataFrame, ranks: np.ndarray, num: int, den: int) ->
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*got, strict=True)], names=["id", "match_doc", "match_line"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "id", "side", "doc_id", "line_no", "set")]
-            for k, *row in zip(*cols, strict=True):
-                if k != key:
-                    if (got := done()) is not None:
-                        yield got
-                    key, rows = k, []
-                rows.append(tuple(row))
+            for piece in slices(batch, "text"):
+                doc, code, count = sets_of(piece.column("text"))
+                order = np.lexsort((code, ranks[(code >> np.uint64(46)).astype(np.int64)], doc))
+                found = join.split_sets(doc, code[order], count)
+                cols = [piece.column(c).to_pylist() for c in ("key", "id", "side", "doc_id", "line_no")]
+                for k, *row in zip(*cols, found, strict=True):
+                    if k != key:
+                        if (got := done()) is not None:
+                            yield got
+                        key, rows = k, []
+                    rows.append(tuple(row))
         if (got := done()) is not None:
             yield got
 
-    return ordered.select("key", "id", "side", "doc_id", F.col("line_no").cast("long").alias("line_no"), "set") \
+    return ordered.select("key", "id", "side", "doc_id", F.col("line_no").cast("long").alias("line_no"), "text") \
         .mapInArrow(run, "id long, match_doc long, match_line long")
 
 
@@ -153,11 +169,12 @@ def repeated_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
     leads = signed.where(F.size("prefix") > 0).join(classes.select("id"), "id", "left_semi")
     bundles = connected_components(join.bundle_edges(leads.select("id", "n", F.explode("prefix").alias("tok")), num, den)) \
         .select(F.col("node").alias("id"), F.col("component").alias("bundle"))
-    chosen = leads.select(*keys).join(bundles, "id")
-    members = lines.withColumn("check", F.xxhash64("text")).join(chosen, ["doc_id", "line_no", "check"])
-    carry = ("doc_id", "line_no")
-    members = staged(join.set_table(members, sets, carry).dropDuplicates(["id"]), "line-sets")
-    early = earlier_matches(join.tile_keys(members, num, den, carry, TILE), ranks, num, den) \
+    hashed = lines.withColumn("check", F.xxhash64("text"))
+    members = staged(signed.select(*keys, "n").join(bundles, "id"), "line-members")
+    members = join.sharper(members, hashed, ["doc_id", "line_no", "check"], sets, num, den, TILE)
+    dealt = join.tile_keys(members, num, den, ("doc_id", "line_no", "check"), TILE)
+    tiles = hashed.join(dealt, ["doc_id", "line_no", "check"])
+    early = earlier_matches(tiles, sets, ranks, num, den) \
         .groupBy("id").agg(F.min(F.struct("match_doc", "match_line")).alias("early"))
     told = classes.join(early, "id", "left").where("size > 1 OR early IS NOT NULL").select(
         *sig, F.coalesce("early", F.struct(F.col("rep_doc").alias("match_doc"), F.col("rep_line").cast("long").alias("match_line"))).alias("match"),

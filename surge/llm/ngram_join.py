@@ -4,12 +4,12 @@ Documents are rows, n-grams columns of a 0/1 incidence matrix; A A' holds the
 overlap of every pair.  Only the part that can matter is multiplied:
 
 * Documents with equal n-gram sets are one row (their class; smallest id stands for it).
-* A pair of similarity t overlaps in at least ceil(t n) columns, so it meets within the
-  first n - ceil(t n) + 1 columns of both rows, in any order of columns that all rows
-  share.  Columns are ordered rare first, by a sketch of fixed size that counts over
-  all documents.  Rows that meet there and whose sizes allow t form a bundle.
+* Sizes bound a pair: rows of similarity t differ in at most D columns, D from their sizes.
+  Of D + 3 parts into which the columns are dealt by hash at least three are then equal, so
+  only rows that share an equal part, and whose sizes allow t, are bundled; all other pairs
+  are below the bound.
 * Bundles are cut into tiles of bounded size, and each pair of tiles whose sizes allow
-  t is multiplied in one task, block of columns by block of columns, overlap counts
+  t is multiplied in one task (texts move there, as they are smaller than their sets), block of columns by block of columns, overlap counts
   accumulating in a dense tile.  A tile pair sends out the links it found as a forest,
   never its pairs.
 
@@ -75,13 +75,20 @@ def rarity(rows: DataFrame, sets: Sets) -> np.ndarray:
     return out
 
 
+def split_sets(doc: np.ndarray, code: np.ndarray, count: int) -> list[np.ndarray]:
+    """The set of each document, copied out of the arrays of its slice."""
+    upto = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=count))])
+    return [code[a:b].copy() for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+
+
 def least_overlap(n: np.ndarray, num: int, den: int) -> np.ndarray:
     """ceil(n * num / den)."""
     return -(-n * num // den)
 
 
-def signatures(rows: DataFrame, sets: Sets, ranks: np.ndarray, num: int, den: int, keys: list[str]) -> DataFrame:
-    """(*keys, n, sig_a, sig_b, prefix): set size, 128-bit signature of the set, and the prefix of its columns rare first."""
+def signatures(rows: DataFrame, sets: Sets, ranks: np.ndarray | None, num: int, den: int, keys: list[str]) -> DataFrame:
+    """(*keys, n, sig_a, sig_b, prefix): set size, 128-bit signature of the set, and the prefix of its columns
+    rare first (empty without ``ranks``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
@@ -92,9 +99,12 @@ def signatures(rows: DataFrame, sets: Sets, ranks: np.ndarray, num: int, den: in
                 for salt in (0x51ED, 0xA5A5A5A5):
                     total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(code ^ np.uint64(salt)), dtype=np.uint64)])
                     sig.append((total[upto[1:]] - total[upto[:-1]]).view(np.int64))
-                order = np.lexsort((code, ranks[(code >> np.uint64(46)).astype(np.int64)], doc))
+                if ranks is None:
+                    order, length = np.arange(len(doc)), np.zeros_like(n)
+                else:
+                    order = np.lexsort((code, ranks[(code >> np.uint64(46)).astype(np.int64)], doc))
+                    length = np.where(den * n >= num * (n + 1), n - least_overlap(n, num, den) + 1, 0)
                 place = np.arange(len(doc)) - upto[doc]
-                length = np.where(den * n >= num * (n + 1), n - least_overlap(n, num, den) + 1, 0)
                 chosen = place < length[doc]
                 yield pa.RecordBatch.from_arrays(
                     [*[piece.column(c) for c in keys], pa.array(n), *[pa.array(s) for s in sig], lists(code[order][chosen].view(np.int64), length)],
@@ -131,15 +141,70 @@ def bundle_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
+def part_rows(rows: DataFrame, sets: Sets, num: int, den: int) -> DataFrame:
+    """(tok, id, n): the parts of each set, as tokens for ``bundle_edges``; ``rows``: (bundle, id, text).
+
+    Sizes fall into classes that grow by den / num.  A pair whose smaller set is in class c differs in at most
+    D(c) columns; both deal their columns into D(c) + 3 parts, the larger one also if it is in class c + 1.
+    Of the three equal parts at most two are empty unless a set has more empty parts, so empty ones count only then."""
+    ratio = den / num
+
+    def floor_of(c: np.ndarray) -> np.ndarray:
+        return np.power(ratio, c)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                doc, code, count = sets(piece.column("text"))
+                n = np.bincount(doc, minlength=count).astype(np.int64)
+                bundle = piece.column("bundle").to_numpy().astype(np.uint64)
+                klass = np.floor(np.log(np.maximum(n, 1)) / np.log(ratio) + 1e-9).astype(np.int64)
+                for of in (0, 1):
+                    c = klass - of
+                    top = floor_of(c + 2) * 1.0001 + 1  # above the sizes of classes c and c + 1, whatever the rounding of logarithms
+                    parts = np.floor((den - num) / (den + num) * (top / ratio + top)).astype(np.int64) + 3
+                    base = np.cumsum(parts) - parts
+                    cell = base[doc] + (mix64(code + np.uint64(7)) % parts[doc].astype(np.uint64)).astype(np.int64)
+                    order = np.argsort(cell, kind="stable")
+                    total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(code[order] ^ np.uint64(0xC0FFEE)), dtype=np.uint64)])
+                    size = np.bincount(cell, minlength=int(parts.sum()))
+                    upto = np.cumsum(size)
+                    own = total[upto] - total[upto - size]
+                    who = np.repeat(np.arange(count), parts)
+                    empty = np.bincount(who[size == 0], minlength=count)
+                    used = ((size > 0) | (empty > 2)[who]) & (n > 0)[who]
+                    tok = mix64(mix64(own + (np.arange(len(own)) - base[who]).astype(np.uint64)) ^ mix64(bundle[who] + c[who].astype(np.uint64) * np.uint64(2)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(tok[used].view(np.int64)), piece.column("id").take(pa.array(who[used])), pa.array(n[who[used]])],
+                        names=["tok", "id", "n"])
+
+    return rows.select("bundle", "id", "text").mapInArrow(run, "tok long, id long, n long")
+
+
+def sharper(members: DataFrame, texts: DataFrame, on: list[str], sets: Sets, num: int, den: int, tile: int) -> DataFrame:
+    """``members`` (bundle, id, n, ...) with the bundles of more than ``tile`` n-grams split by equal parts.
+
+    ``texts`` has the columns ``on`` and text; the result is written to the shared folder."""
+    if num >= den:
+        return members
+    large = members.groupBy("bundle").agg(F.sum("n").alias("all")).where(F.col("all") > tile).select("bundle")
+    inside = members.join(large, "bundle", "left_semi")
+    parts = part_rows(texts.join(inside.select(*dict.fromkeys([*on, "id"]), "bundle"), on), sets, num, den)
+    again = connected_components(bundle_edges(parts, num, den)).select(F.col("node").alias("id"), F.col("component").alias("new"))
+    split = inside.join(again, "id").withColumn("bundle", F.col("new")).select(*members.columns)
+    return staged(members.join(large, "bundle", "left_anti").unionByName(split), "ngram-members")
+
+
 def tile_keys(members: DataFrame, num: int, den: int, carry: tuple[str, ...] = (), tile: int | None = None) -> DataFrame:
-    """Deal the members (bundle, id, n) to tile pairs: adds (key, side), one row for each tile pair a member is in.
+    """Deal the members (bundle, id, n) to tile pairs: (id, key, side), one row for each tile pair a member is in.
+
     ``carry``: further columns to keep.
 
     A bundle of at most ``tile`` n-grams (``TILE`` if not given) is one tile.  A larger one is cut by size class (sizes in classes
     that are not neighbours cannot link) and, within a class, by hash into tiles of so many n-grams."""
     tile = tile or TILE
     sizes = members.groupBy("bundle").agg(F.sum("n").alias("all"))
-    klass = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num)))).cast("int") if num < den else F.col("n").cast("int")
+    klass = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num))) + F.lit(1e-9)).cast("int") if num < den else F.col("n").cast("int")
     rows = members.withColumn("class", klass)
     cuts = rows.groupBy("bundle", "class").agg(F.ceil(F.sum("n") / tile).cast("int").alias("tiles")) \
         .join(sizes.where(F.col("all") > tile), "bundle")
@@ -166,7 +231,7 @@ def tile_keys(members: DataFrame, num: int, den: int, carry: tuple[str, ...] = (
         F.transform(span(down), lambda t: F.struct(name(c - 1, t, c, F.col("mine")).alias("pair"), F.lit(1).alias("side"))))
     one = F.array(F.struct(F.lit("").alias("pair"), F.lit(2).alias("side")))
     return dealt.withColumn("mine", mine).withColumn("to", F.explode(F.when(F.col("tiles").isNull(), one).otherwise(pairs))) \
-        .select("id", "n", "set", *carry, F.concat_ws("/", F.col("bundle").cast("string"), "to.pair").alias("key"), F.col("to.side").alias("side"))
+        .select("id", *carry, F.concat_ws("/", F.col("bundle").cast("string"), "to.pair").alias("key"), F.col("to.side").alias("side"))
 
 
 def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -223,8 +288,8 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def tile_links(tiles: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) found by multiplying each tile pair; (id, n, set, key, side) in, a forest per tile pair out."""
+def tile_links(tiles: DataFrame, sets_of: Sets, num: int, den: int) -> DataFrame:
+    """Links (a, b) found by multiplying each tile pair; (id, text, key, side) in, a forest per tile pair out."""
     ordered = tiles.repartition("key").sortWithinPartitions("key", "id")
 
     def solve(ids: list[int], sets: list[np.ndarray], sides: list[int]) -> pa.RecordBatch | None:
@@ -249,37 +314,21 @@ def tile_links(tiles: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, sets, sides = None, [], [], []
         for batch in batches:
-            for k, i, s, w in zip(batch.column("side").to_pylist(), batch.column("id").to_pylist(), batch.column("set"),
-                                  batch.column("key").to_pylist(), strict=True):
-                if w != key:
-                    if len(ids) > 1 and (got := solve(ids, sets, sides)) is not None:
-                        yield got
-                    key, ids, sets, sides = w, [], [], []
-                ids.append(i)
-                sets.append(np.frombuffer(s.as_py(), np.int64))
-                sides.append(k)
+            for piece in slices(batch, "text"):
+                found = split_sets(*sets_of(piece.column("text")))
+                for k, i, s, w in zip(piece.column("side").to_pylist(), piece.column("id").to_pylist(), found,
+                                      piece.column("key").to_pylist(), strict=True):
+                    if w != key:
+                        if len(ids) > 1 and (got := solve(ids, sets, sides)) is not None:
+                            yield got
+                        key, ids, sets, sides = w, [], [], []
+                    ids.append(i)
+                    sets.append(s)
+                    sides.append(k)
         if len(ids) > 1 and (got := solve(ids, sets, sides)) is not None:
             yield got
 
-    return ordered.select("key", "id", "set", "side").mapInArrow(run, "a long, b long").distinct()
-
-
-def set_table(rows: DataFrame, sets: Sets, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(bundle, id, *carry, n, set) of rows (bundle, id, *carry, text); ``set`` holds the sorted 64-bit columns."""
-    keys = ["bundle", "id", *carry]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                doc, code, count = sets(piece.column("text"))
-                n = np.bincount(doc, minlength=count).astype(np.int64)
-                raw, upto = code.view(np.int64).tobytes(), 8 * np.concatenate([[0], np.cumsum(n)])
-                yield pa.RecordBatch.from_arrays(
-                    [*[piece.column(c) for c in keys], pa.array(n), blobs([raw[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)])],
-                    names=[*keys, "n", "set"])
-
-    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keys)
-    return rows.select(*keys, "text").mapInArrow(run, f"{kinds}, n long, set binary")
+    return ordered.select("key", "id", "text", "side").mapInArrow(run, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,16 +343,21 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
         return shingle_sets(column, k)
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    ranks = rarity(rows, sets)
-    signed = staged(signatures(rows, sets, ranks, num, den, ["id"]), "ngram-signatures")
+    signed = staged(signatures(rows, sets, None, num, den, ["id"]).drop("prefix"), "ngram-signatures")
     sig = ["n", "sig_a", "sig_b"]
     classes = signed.where("n > 0 AND id IS NOT NULL").groupBy(*sig).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
     classes = staged(classes, "ngram-classes")
-    postings = signed.where(F.size("prefix") > 0).join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi") \
-        .select("id", "n", F.explode("prefix").alias("tok"))
-    bundles = connected_components(bundle_edges(postings, num, den)).select(F.col("node").alias("id"), F.col("component").alias("bundle"))
-    members = staged(set_table(rows.join(bundles, "id"), sets), "ngram-sets")
-    links = connected_components(tile_links(tile_keys(members, num, den), num, den))
+    if num < den:
+        parts = part_rows(rows.where("id IS NOT NULL").withColumn("bundle", F.lit(0).cast("long")), sets, num, den)
+        bundles = connected_components(bundle_edges(parts, num, den)).select(F.col("node").alias("id"), F.col("component").alias("bundle"))
+        members = classes.select(F.col("rep").alias("id"), "n").join(bundles, "id").groupBy("id", "bundle").agg(F.max("n").alias("n"))
+        members = staged(members, "ngram-members")
+        several = members.groupBy("bundle").count().where("count > 1").select("bundle")
+        keys = tile_keys(members.join(several, "bundle", "left_semi"), num, den)
+        links = connected_components(tile_links(rows.join(keys, "id"), sets, num, den))
+    else:  # only equal sets are so similar, and those are one class
+        links = bundle_edges(rows.limit(0).select(F.col("id").alias("tok"), "id", F.col("id").alias("n")), 1, 1) \
+            .select(F.col("a").alias("node"), F.col("b").alias("component"))
     # The result of a class goes to its rows; a class of very many rows is dealt out by salt.
     told = classes.join(links, classes["rep"] == links["node"], "left") \
         .select(*sig, F.coalesce("component", "rep").alias("component"), "size", "rep") \
