@@ -402,7 +402,7 @@ FROM panel GROUP BY borough, last_day(Date)"""
 _MJ = ["Respiratory_Count", "Temp_Max_C", "Humidity_Avg"]
 SQL["monthly_join_back"] = f"""WITH {PANEL}
 SELECT Date, borough, {sel_round(_MJ)},
-  {", ".join(r6(f"avg({c}) OVER (PARTITION BY borough, date_trunc('month', Date))", f"{c}_monthly") for c in _MJ)}
+  {", ".join(r6(f"{'sum' if c.endswith('_Count') else 'avg'}({c}) OVER (PARTITION BY borough, date_trunc('month', Date))", f"{c}_monthly") for c in _MJ)}
 FROM panel"""
 
 
@@ -546,10 +546,12 @@ SQL["corr_listwise"] = f"""WITH {PANEL}, c AS (SELECT * FROM panel WHERE {" AND
 {" UNION ALL ".join(f"SELECT '{a}' AS var1, '{b}' AS var2, {r6(corr_sql(a, b), 'corr')} FROM c"
                     for a in PANEL_COLS for b in PANEL_COLS)}"""
 
-_CT = [c for c in PANEL_COLS if c != "Total_Hospitalization"]
-SQL["corr_target_top"] = f"""WITH {PANEL}, c AS (
-{" UNION ALL ".join(f"SELECT '{a}' AS variable, {r6(corr_sql(a, 'Total_Hospitalization'), 'corr')} FROM panel" for a in _CT)})
-SELECT * FROM c ORDER BY corr DESC NULLS LAST, variable LIMIT 5"""
+def _top(target: str) -> str:
+    each = " UNION ALL ".join(f"SELECT '{a}' AS variable, {r6(corr_sql(a, target), 'corr')} FROM panel" for a in PANEL_COLS)
+    return f"SELECT * FROM (SELECT '{target}' AS target, * FROM ({each}) ORDER BY corr DESC NULLS LAST, variable LIMIT 10)"
+
+
+SQL["corr_target_top"] = f"WITH {PANEL} {_top('Total_Hospitalization')} UNION ALL {_top('Respiratory_Count')}"
 
 _LAGV = [f"{c}_lag{k}" for c in _WV for k in (1, 2, 3)]
 _FILT = _WV + _LAGV + [f"{c}_same_day" for c in _WV]

@@ -60,7 +60,8 @@ def regressor(name: str, n_train: int, y_std: float, alpha: float = 1.0):
     if name == "Lasso Regression":
         return LinearRegression(elasticNetParam=1.0, regParam=alpha, standardization=False, maxIter=1000)
     if name == "Random Forest Regressor":
-        return RandomForestRegressor(numTrees=150, maxDepth=10, featureSubsetStrategy="all", seed=SEED)
+        return RandomForestRegressor(numTrees=150, maxDepth=10, featureSubsetStrategy="all",
+                                     minInstancesPerNode=2, seed=SEED)
     if name == "Gradient Boosting Regressor":
         return GBTRegressor(maxIter=100, maxDepth=3, stepSize=0.1, seed=SEED)
     raise ValueError(name)
@@ -105,7 +106,8 @@ class PlattSVM:
 
     def fit(self, train: DataFrame) -> PlattSVM:
         t = rff_transform(train, dim=self.dim, components=self.components)
-        self.svc = LinearSVC(featuresCol="rff", maxIter=200, regParam=1.0 / max(self.n, 1)).fit(t)
+        self.svc = LinearSVC(featuresCol="rff", maxIter=200, standardization=False,
+                             regParam=1.0 / max(self.n, 1)).fit(t)
         margin = self._margin(self.svc.transform(t))
         self.platt = LogisticRegression(featuresCol="_m", maxIter=100, regParam=0.0).fit(margin)
         return self

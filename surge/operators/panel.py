@@ -46,9 +46,9 @@ def panel_merged(health: DataFrame, weather: DataFrame, airq: DataFrame | None =
 
 
 def monthly_join_back(df: DataFrame, *, key: str = "borough", date: str = "Date",
-                      measures: Sequence[str], suffix: str = "_monthly") -> DataFrame:
-    """Mean of each measure per (key, month) joined back to every day of that month."""
+                      sums: Sequence[str] = (), means: Sequence[str] = (), suffix: str = "_monthly") -> DataFrame:
+    """Sums (cases) and means (weather) per (key, month) joined back to every day of that month."""
     month = F.trunc(F.col(date), "MM")
     m = df.groupBy(F.col(key).alias(key), month.alias("_month")).agg(
-        *[F.avg(c).alias(c + suffix) for c in measures])
+        *[F.sum(c).alias(c + suffix) for c in sums], *[F.avg(c).alias(c + suffix) for c in means])
     return df.withColumn("_month", month).join(m, on=[key, "_month"], how="left").drop("_month")

@@ -290,9 +290,7 @@ def q_standardize(spark, sf):
 @query("feature_manifest")
 def q_feature_manifest(spark, sf):
     f = features(spark, sf)
-    names = feat.feature_columns(f)
-    return f.limit(1).select(F.posexplode(F.array(*[F.lit(n) for n in names])).alias("Feature_Index", "Feature_Name")) \
-        .select("Feature_Name", F.col("Feature_Index").cast("int").alias("Feature_Index"))
+    return feat.feature_manifest(spark, feat.feature_columns(f))
 
 
 # ---------------------------------------------------------------- exploration / series
@@ -360,7 +358,7 @@ def q_monthly_by_key(spark, sf):
 @query("monthly_join_back")
 def q_monthly_join_back(spark, sf):
     p = panel(spark, sf).select("Date", "borough", "Respiratory_Count", "Temp_Max_C", "Humidity_Avg")
-    return pnl.monthly_join_back(p, measures=["Respiratory_Count", "Temp_Max_C", "Humidity_Avg"])
+    return pnl.monthly_join_back(p, sums=["Respiratory_Count"], means=["Temp_Max_C", "Humidity_Avg"])
 
 
 # ---------------------------------------------------------------- impact (un-imputed panel) and profiling
@@ -481,8 +479,10 @@ def q_corr_matrix(spark, sf):
 
 @query("corr_target_top")
 def q_corr_target_top(spark, sf):
-    cols = [c for c in PANEL_NUMERIC if c != "Total_Hospitalization"]
-    return prof.corr_target_top(panel(spark, sf), "Total_Hospitalization", cols, k=5)
+    p = panel(spark, sf)
+    tops = [prof.corr_target_top(p, target, PANEL_NUMERIC, k=10).select(F.lit(target).alias("target"), "variable", "corr")
+            for target in ("Total_Hospitalization", "Respiratory_Count")]
+    return tops[0].unionByName(tops[1])
 
 
 @query("corr_listwise")
@@ -753,7 +753,7 @@ def q_rebuild_model(spark, sf):
     reread = read_table(spark, path, fmt="csv", schema=text_schema).withColumn("Date", parse_date("Date", "yyyy-MM-dd"))
     f = feat.calendar_features(reread)
     f = feat.high_risk_target(f, inclusive=False).withColumn("split", F.lit("train"))
-    cols = ["month", "day", "day_of_week", "Temp_Max_C", "Humidity_Avg", "WindSpeed_mps"]
+    cols = ["month", "day", "day_of_week", "Temp_Max_C", "Humidity_Avg"]
     p = mdl.prepare(feat.feature_matrix(f, features=cols), cols)
     c = mdl.train_classifiers(p, names=["Gradient Boosting"]).select(
         "model", "dataset", F.col("AUROC").alias("score"))
@@ -865,4 +865,4 @@ def q_lowess_grid(spark, sf):
 @query("bootstrap_band")
 def q_bootstrap_band(spark, sf):
     p = panel(spark, sf).withColumn("_rid", F.concat_ws("|", F.col("Date").cast("string"), "borough"))
-    return smooth.bootstrap_band(p, x="Temp_Max_C", y="Total_Hospitalization", id_col="_rid", replicates=200)
+    return smooth.bootstrap_band(p, x="Temp_Max_C", y="Total_Hospitalization", id_col="_rid", replicates=1000)

@@ -27,6 +27,11 @@ def configure(spark: SparkSession) -> SparkSession:
     for k, v in DEFAULTS.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
+    # Python workers started from another folder find the package too (on a cluster it is shipped, e.g. by --py-files).
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
     return spark
 
 
@@ -61,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if fallback is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = fallback or tempfile.mkdtemp(prefix="surge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
