@@ -33,7 +33,7 @@ from surge.llm.staging import staged
 #: Cells of the rarity sketch; its size does not depend on the data.
 CELLS, CHUNKS = 1 << 18, 64
 #: N-grams in a tile (8 bytes each), columns multiplied at once.
-TILE, COLUMNS = 300_000, 8192
+TILE, COLUMNS = 600_000, 8192
 SALTS = 32
 
 
@@ -141,12 +141,13 @@ def bundle_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def part_rows(rows: DataFrame, sets: Sets, num: int, den: int) -> DataFrame:
+def part_rows(rows: DataFrame, sets: Sets, num: int, den: int, seed: int = 7) -> DataFrame:
     """(tok, id, n): the parts of each set, as tokens for ``bundle_edges``; ``rows``: (bundle, id, text).
 
     Sizes fall into classes that grow by den / num.  A pair whose smaller set is in class c differs in at most
     D(c) columns; both deal their columns into D(c) + 3 parts, the larger one also if it is in class c + 1.
-    Of the three equal parts at most two are empty unless a set has more empty parts, so empty ones count only then."""
+    Of the three equal parts at most two are empty unless a set has more empty parts, so empty ones count only then.
+    ``seed`` picks the dealing; every dealing keeps all links."""
     ratio = den / num
 
     def floor_of(c: np.ndarray) -> np.ndarray:
@@ -164,7 +165,7 @@ def part_rows(rows: DataFrame, sets: Sets, num: int, den: int) -> DataFrame:
                     top = floor_of(c + 2) * 1.0001 + 1  # above the sizes of classes c and c + 1, whatever the rounding of logarithms
                     parts = np.floor((den - num) / (den + num) * (top / ratio + top)).astype(np.int64) + 3
                     base = np.cumsum(parts) - parts
-                    cell = base[doc] + (mix64(code + np.uint64(7)) % parts[doc].astype(np.uint64)).astype(np.int64)
+                    cell = base[doc] + (mix64(code + np.uint64(seed)) % parts[doc].astype(np.uint64)).astype(np.int64)
                     order = np.argsort(cell, kind="stable")
                     total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(code[order] ^ np.uint64(0xC0FFEE)), dtype=np.uint64)])
                     size = np.bincount(cell, minlength=int(parts.sum()))
@@ -182,14 +183,14 @@ def part_rows(rows: DataFrame, sets: Sets, num: int, den: int) -> DataFrame:
 
 
 def sharper(members: DataFrame, texts: DataFrame, on: list[str], sets: Sets, num: int, den: int, tile: int) -> DataFrame:
-    """``members`` (bundle, id, n, ...) with the bundles of more than ``tile`` n-grams split by equal parts.
+    """``members`` (bundle, id, n, ...) with the bundles of more than ``tile`` n-grams split by the equal parts of another dealing.
 
     ``texts`` has the columns ``on`` and text; the result is written to the shared folder."""
     if num >= den:
         return members
     large = members.groupBy("bundle").agg(F.sum("n").alias("all")).where(F.col("all") > tile).select("bundle")
     inside = members.join(large, "bundle", "left_semi")
-    parts = part_rows(texts.join(inside.select(*dict.fromkeys([*on, "id"]), "bundle"), on), sets, num, den)
+    parts = part_rows(texts.join(inside.select(*dict.fromkeys([*on, "id"]), "bundle"), on), sets, num, den, seed=101)
     again = connected_components(bundle_edges(parts, num, den)).select(F.col("node").alias("id"), F.col("component").alias("new"))
     split = inside.join(again, "id").withColumn("bundle", F.col("new")).select(*members.columns)
     return staged(members.join(large, "bundle", "left_anti").unionByName(split), "ngram-members")
@@ -352,6 +353,7 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
         bundles = connected_components(bundle_edges(parts, num, den)).select(F.col("node").alias("id"), F.col("component").alias("bundle"))
         members = classes.select(F.col("rep").alias("id"), "n").join(bundles, "id").groupBy("id", "bundle").agg(F.max("n").alias("n"))
         members = staged(members, "ngram-members")
+        members = sharper(members, rows, ["id"], sets, num, den, TILE)
         several = members.groupBy("bundle").count().where("count > 1").select("bundle")
         keys = tile_keys(members.join(several, "bundle", "left_semi"), num, den)
         links = connected_components(tile_links(rows.join(keys, "id"), sets, num, den))
