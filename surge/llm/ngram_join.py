@@ -182,15 +182,22 @@ def part_rows(rows: DataFrame, sets: Sets, num: int, den: int, seed: int = 7) ->
     return rows.select("bundle", "id", "text").mapInArrow(run, "tok long, id long, n long")
 
 
+def with_texts(texts: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``keys`` with their texts.  The keys grow with the data, so they are never broadcast: one plan at every size."""
+    return texts.join(keys.hint("merge"), on)
+
+
 def sharper(members: DataFrame, texts: DataFrame, on: list[str], sets: Sets, num: int, den: int, tile: int) -> DataFrame:
     """``members`` (bundle, id, n, ...) with the bundles of more than ``tile`` n-grams split by the equal parts of another dealing.
 
-    ``texts`` has the columns ``on`` and text; the result is written to the shared folder."""
+    ``texts`` has the columns ``on`` and text; the result is written to the shared folder.  Without such bundles the texts are not read."""
     if num >= den:
         return members
     large = members.groupBy("bundle").agg(F.sum("n").alias("all")).where(F.col("all") > tile).select("bundle")
+    if large.isEmpty():
+        return members
     inside = members.join(large, "bundle", "left_semi")
-    parts = part_rows(texts.join(inside.select(*dict.fromkeys([*on, "id"]), "bundle"), on), sets, num, den, seed=101)
+    parts = part_rows(with_texts(texts, inside.select(*dict.fromkeys([*on, "id"]), "bundle"), on), sets, num, den, seed=101)
     again = connected_components(bundle_edges(parts, num, den)).select(F.col("node").alias("id"), F.col("component").alias("new"))
     split = inside.join(again, "id").withColumn("bundle", F.col("new")).select(*members.columns)
     return staged(members.join(large, "bundle", "left_anti").unionByName(split), "ngram-members")
@@ -356,7 +363,7 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
         members = sharper(members, rows, ["id"], sets, num, den, TILE)
         several = members.groupBy("bundle").count().where("count > 1").select("bundle")
         keys = tile_keys(members.join(several, "bundle", "left_semi"), num, den)
-        links = connected_components(tile_links(rows.join(keys, "id"), sets, num, den))
+        links = connected_components(tile_links(with_texts(rows, keys, ["id"]), sets, num, den))
     else:  # only equal sets are so similar, and those are one class
         links = bundle_edges(rows.limit(0).select(F.col("id").alias("tok"), "id", F.col("id").alias("n")), 1, 1) \
             .select(F.col("a").alias("node"), F.col("b").alias("component"))
