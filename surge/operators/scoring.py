@@ -4,7 +4,7 @@ The reference answers one request at a time; here a requests DataFrame is
 validated, matched to history (nearest day per key, or exact day / month
 mean), scored, banded and explained in one plan.  Matching never joins a
 request with all history rows of its key: the nearest day is an as-of scan
-(requests and history interleaved per key, last / next history day carried by
+(asked days and history interleaved per key, last / next history day carried by
 the two-level fill), and the month means are per (key, month) aggregates.
 """
 
@@ -44,29 +44,31 @@ def validate_requests(req: DataFrame, *, valid_keys: Iterable[str], key: str = "
 
 
 def nearest_date_join(req: DataFrame, history: DataFrame, *, key: str = "borough", req_date: str = "req_date",
-                      hist_date: str = "Date", id_col: str = "request_id") -> DataFrame:
+                      hist_date: str = "Date") -> DataFrame:
     """For each request, the history day of its key with the smallest absolute
     day distance (a tie goes to the earlier day): adds ``matched_date`` and
     ``day_gap``.  Requests whose key has no history get NULLs.
 
-    Requests and history days are interleaved per key in date order (history
-    first on the same day); the last history day at or before a request and
-    the next one after it are carried by a two-level scan - an as-of join in
-    both directions without pairing a request with every history row."""
+    Only the distinct (key, day) pairs asked for are matched (at most keys x
+    calendar days, however many requests ask for one day).  They and the history
+    days are interleaved per key in date order (history first on the same day);
+    the last history day at or before an asked day and the next one after it are
+    carried by a two-level scan.  Requests get the match of their (key, day), so
+    repeated request ids keep their row count."""
     hd = history.select(F.col(key), F.col(hist_date).alias("_d")).distinct() \
-                .select(key, "_d", F.lit(0).alias("_kind"), F.lit(None).cast(req.schema[id_col].dataType).alias(id_col),
-                        F.col("_d").alias("_h"))
-    rq = req.where(F.col(req_date).isNotNull()).select(
-        key, F.col(req_date).alias("_d"), F.lit(1).alias("_kind"), id_col, F.lit(None).cast("date").alias("_h"))
-    u = hd.unionByName(rq)
+                .select(key, "_d", F.lit(0).alias("_kind"), F.col("_d").alias("_h"))
+    asked = req.where(F.col(req_date).isNotNull() & F.col(key).isNotNull()).select(
+        key, F.col(req_date).alias("_d")).distinct().withColumns(
+        {"_kind": F.lit(1), "_h": F.lit(None).cast("date")})
+    u = hd.unionByName(asked)
     u = fill(u, ["_h"], keys=[key], order=["_d", "_kind"], direction="split")
     m = u.where(F.col("_kind") == 1)
     gp = F.datediff(F.col("_d"), F.col("_h_prev"))
     gn = F.datediff(F.col("_h_next"), F.col("_d"))
     pick = F.when(F.col("_h_next").isNull() | (F.col("_h_prev").isNotNull() & (gp <= gn)), F.col("_h_prev")) \
             .otherwise(F.col("_h_next"))
-    m = m.select(id_col, pick.alias("matched_date"))
-    out = req.join(m, on=[id_col], how="left")
+    m = m.select(F.col(key), F.col("_d").alias(req_date), pick.alias("matched_date"))
+    out = req.join(m, on=[key, req_date], how="left").select(*req.columns, "matched_date")
     return out.withColumn("day_gap", F.abs(F.datediff(F.col(req_date), F.col("matched_date"))))
 
 

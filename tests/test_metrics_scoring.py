@@ -37,6 +37,15 @@ def test_nearest_tie_goes_to_earlier_day(spark):
     assert got == {1: dt.date(2020, 1, 1), 2: dt.date(2020, 3, 1), 3: None, 4: dt.date(2020, 3, 1)}
 
 
+def test_nearest_keeps_the_count_of_repeated_request_ids(spark):
+    hist = spark.createDataFrame([("q", dt.date(2020, 1, 1))], "borough string, Date date")
+    req = spark.createDataFrame([(1, "q", dt.date(2020, 1, 2)), (1, "q", dt.date(2020, 1, 2)), (1, "q", dt.date(2020, 1, 4)),
+                                 (2, None, dt.date(2020, 1, 2)), (3, "q", None)],
+                                "request_id int, borough string, req_date date")
+    got = sorted((r.request_id, r.day_gap) for r in nearest_date_join(req, hist).fillna(-1, ["day_gap"]).collect())
+    assert got == [(1, 1), (1, 1), (1, 3), (2, -1), (3, -1)]
+
+
 def test_historical_average_month_fallback(spark):
     hist = spark.createDataFrame([("q", dt.date(2021, 2, 1), 10.0), ("q", dt.date(2021, 2, 2), 21.0),
                                   ("q", dt.date(2023, 2, 2), 30.0)],
