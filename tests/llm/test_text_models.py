@@ -32,6 +32,23 @@ def test_language_held_out_and_edges(spark):
     assert language.identify(test.limit(0), model).count() == 0
 
 
+def test_language_rejects_what_it_did_not_learn(spark):
+    rng = random.Random(11)
+    rows = [(i, words(rng, lang := rng.choice([*SYLLABLES]), rng.randrange(40, 300)), lang) for i in range(600)]
+    model = language.fit(spark.createDataFrame([*rows, (9000, "only one of it", "dd")], "doc_id long, text string, lang string"), "text", "lang", "doc_id")
+    assert (model.floor[3] == model.floor[:3].min(axis=0)).all() and model.floor[3].any()
+    alien = {"script": "Все люди рождаются свободными и равными в своем достоинстве и правах. ", "greek": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι. ",
+             "han": "人人生而自由,在尊严和权利上一律平等。", "latin": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. ",
+             "finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. ",
+             "random": " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=rng.randrange(3, 12))) for _ in range(60)),
+             "consonants": " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=rng.randrange(3, 9))) for _ in range(60))}
+    docs = [(i, v * times) for i, (v, times) in enumerate((v, t) for v in alien.values() for t in (2, 20))]
+    own = [(1000 + i, words(rng, [*SYLLABLES][i % 3], n)) for i, n in enumerate([2, 4, 8, 16, 60, 400] * 15)]
+    got = {r.doc_id: r for r in language.identify(spark.createDataFrame(docs + own, "doc_id long, text string"), model).collect()}
+    assert [i for i, _ in docs if not got[i].rejected] == []
+    assert [t for i, t in own if got[i].rejected] == []
+
+
 def restorer(rng):
     text = " ".join(["the old clown idiot is stupid and worthless", "moron loser trash scum disgusting pathetic"] * 50 + [words(rng, "aa", 300)])
     texts = language.Texts(pa.array([text], pa.large_string()))
