@@ -160,3 +160,31 @@ def test_repeated_passages(spark):
     assert cut[3] == texts[3] and len(cut[17]) < len(texts[17]) and cut[100] is None
     assert {r.doc_id for r in substring.repeated_spans(df, within_document=True).collect()} == {17, 42, 102}
     assert substring.repeated_spans(df.limit(0)).count() == 0
+
+
+def test_every_passage_of_just_over_fifty_short_words_is_found(spark):
+    rng = random.Random(12)
+    docs, want = [], {}
+
+    def short(n):
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzé", k=rng.randrange(2, 6))) for _ in range(n))
+
+    for i in range(300):
+        passage = short(51 + i % 10)
+        for j in (i, 1000 + i):
+            docs.append((j, f"{short(rng.randrange(1, 60))} <{passage}> {short(rng.randrange(1, 60))}"))
+        want[1000 + i] = passage
+    docs += [(5000, "the last words of a text " + want[1007]), (5001, want[1008] + " the first")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {}
+    for r in substring.repeated_spans(df).collect():
+        assert r.doc_id not in got
+        got[r.doc_id] = r
+    assert got.keys() == want.keys() | {5000, 5001}
+    texts = dict(docs)
+    for i, passage in want.items():
+        cut = texts[i].encode()[got[i].start:got[i].end].decode()
+        assert got[i].first_doc_id == i - 1000
+        assert f"<{passage}>" == cut or " ".join(passage.split()[1:-1]) in cut
+    for i in (5000, 5001):
+        assert len(texts[i].encode()[got[i].start:got[i].end].decode().split()) >= 50
