@@ -1,10 +1,10 @@
 """Toxicity with noisy-channel deobfuscation.
 
 1. A character trigram model is counted over the words of all documents.
-2. A token that may be disguised (digits or signs inside letters, long
-   repetitions, letters set apart by spaces or marks) becomes a lattice: every
+2. A token that may be disguised (look-alikes beside letters, marks between
+   them, repetitions, letters set apart by spaces) becomes a lattice: every
    character may stand for itself, for the letters it imitates, for nothing (a
-   mark) or for a repetition.  Viterbi finds the likeliest letter string under
+   mark), for a repetition or, a gap between spaced letters, for a word border.  Viterbi finds the likeliest letter string under
    the channel costs and the character model.
 3. The restored text is scored: evidence weights of words and word beginnings,
    learned from labelled rows, feed a logistic model of three document features.
@@ -33,8 +33,8 @@ LOOKALIKE = {
     "@": "a", "$": "s", "!": "i", "|": "l", "+": "t", "€": "e", "£": "l", "(": "c", "<": "c", "¡": "i", "ß": "b", "µ": "u",
 }
 MARKS = ".-_*~'`^,:;/\\#%&\"=​­·"
-#: Costs (natural log) of the channel: imitation, mark left out, repetition left out.
-COST = {"swap": 1.0, "mark": 0.5, "repeat": 0.2, "lost": 7.0}
+#: Costs (natural log) of the channel: imitation, mark left out, repetition left out, sign lost, gap of a spaced run as word border.
+COST = {"swap": 1.0, "mark": 0.5, "repeat": 0.2, "lost": 7.0, "gap": 0.5}
 #: Longest token that is decoded as one; longer ones are decoded in overlapping stretches of this length.
 STRETCH = 64
 CACHE_TOKENS = 200_000
@@ -54,6 +54,11 @@ _NOT_LETTER = ~_LETTER
 #: One-byte signs that imitate a letter or are put between letters.
 _SIGN = np.zeros(256, dtype=bool)
 _SIGN[[ord(c) for c in [*LOOKALIKE, *MARKS] if ord(c) < 128]] = True
+#: One-byte signs that imitate a letter; those that also close a sentence count only between letters, or before them.
+_LOOK = np.zeros(256, dtype=bool)
+_LOOK[[ord(c) for c in LOOKALIKE if ord(c) < 128]] = True
+_CLOSES = np.zeros(256, dtype=bool)
+_CLOSES[[ord(c) for c in "!("]] = True
 _TOKEN_GAP = SPACE.copy()
 _TOKEN_GAP[ord("|")] = True
 
@@ -117,16 +122,21 @@ class Restorer:
         at = 0
         while at < len(token):
             ch = token[at]
-            end = at
-            while end < len(token) and token[end] == ch:
-                end += 1
-            run = end - at
-            if ch.isalpha() and ch not in LOOKALIKE:
+            end, run, gaps = at + 1, 1, 0
+            while ch != " " and (token[end:end + 1] == ch or token[end:end + 2] == " " + ch):
+                gaps += token[end] == " "
+                end += 1 + (token[end] == " ")
+                run += 1
+            if ch == " ":
+                out.append([("", 0.0), (" ", COST["gap"])])
+            elif ch.isalpha() and ch not in LOOKALIKE:
                 out.append([(ch, 0.0 if run == 1 else COST["repeat"] * run)])
                 if run == 2:
                     out[-1] = [(ch + ch, 0.0), (ch, 2 * COST["repeat"])]
                 elif run > 2:
                     out[-1].append((ch + ch, COST["repeat"] * run))
+                if gaps:
+                    out[-1].append((ch + " " + ch, COST["gap"] + COST["repeat"] * (run - 2)))
             elif ch in LOOKALIKE:
                 near = [(x, COST["swap"]) for x in LOOKALIKE[ch]]
                 if run >= 2:
@@ -135,7 +145,7 @@ class Restorer:
                     near.append((ch * run, 0.0))
                 else:
                     near.append(("", COST["lost"]))
-                out.append(near)
+                out.append(near + [(x + " " + x, 2 * COST["swap"] + COST["gap"]) for x in LOOKALIKE[ch] if gaps])
             else:
                 out.append([("", COST["mark"])])
             at = end
@@ -167,37 +177,43 @@ class Restorer:
         if had is None:
             if len(self.cache) > CACHE_TOKENS:
                 self.cache.clear()
-            core = token.replace(" ", "").strip(MARKS)
-            if len(core) <= STRETCH:
+            core = token.strip(MARKS + " ")
+            most = 2 * STRETCH if " " in core else STRETCH
+            if len(core) <= most:
                 had = self.decode(core)
             else:
-                step = STRETCH // 2
-                had = " ".join(self.decode(core[i:i + STRETCH]) for i in range(0, len(core) - step, step))
+                step = most // 2
+                had = " ".join(self.decode(core[i:i + most]) for i in range(0, len(core) - step, step))
             self.cache[token] = had
         return had
 
 
 def disguised(texts: Texts) -> tuple[np.ndarray, list[str]]:
-    """(document, token) of the tokens that may be disguised: signs inside letters, a sign before letters, a letter
-    three times over, or three and more single characters set apart (as one token with its spaces)."""
+    """(document, token) of the tokens that may be disguised: a sign between letters, look-alikes beside letters, a letter
+    twice over, or three and more single characters set apart (as one token with its spaces)."""
     data = texts.data
     tokens = texts.words(_TOKEN_GAP)
     starts, ends = tokens.starts, tokens.ends
     if len(starts) == 0:
         return np.zeros(0, dtype=np.int64), []
     doc = np.repeat(np.arange(texts.n), np.diff(tokens.first))
-    letter, sign = _LETTER[data], _SIGN[data]
+    letter, sign, look = _LETTER[data], _SIGN[data], _LOOK[data]
     before, after = np.concatenate([[False], sign[:-1]]), np.concatenate([sign[1:], [False]])
     first, last = np.flatnonzero(sign & ~before), np.flatnonzero(sign & ~after)
     inside = (first > 0) & (last + 1 < len(data))
     first, last = first[inside], last[inside]
     at = [first[letter[first - 1] & letter[last + 1]]]
-    if len(data) > 2:
-        at.append(np.flatnonzero((data[:-2] == data[1:-1]) & (data[1:-1] == data[2:]) & letter[:-2] & (data[:-2] < 128)))
-    lead = starts[sign[starts] & (ends - starts > 1)]
-    at.append(lead[letter[np.minimum(lead + 1, len(data) - 1)]])
+    if len(data) > 1:
+        at.append(np.flatnonzero((data[:-1] == data[1:]) & letter[:-1] & (data[:-1] < 128)))
+    signed = sign[starts]
+    runs = np.flatnonzero(sign & ~after)
+    lead = runs[np.searchsorted(runs, starts[signed])]  # last sign of a leading run
+    at.append(starts[signed][(lead + 1 < ends[signed]) & letter[np.minimum(lead + 1, len(data) - 1)]])
+    upto = np.concatenate([[0], np.cumsum(look & ~_CLOSES[data])]), np.concatenate([[0], np.cumsum(letter)])
+    looks, letters = (x[ends] - x[starts] for x in upto)
+    at.append(starts[(looks > 0) & (letters > 0)])
     found = np.searchsorted(starts, np.unique(np.concatenate(at)), side="right") - 1
-    found = np.unique(found)
+    found = np.unique(found[found >= 0])
     # A run of signs may reach over a border of tokens: then no token holds it, and the token found ends before it.
     out_doc, out = [doc[found]], [data[a:b].tobytes().decode("utf-8", "replace")
                                   for a, b in zip(starts[found].tolist(), ends[found].tolist(), strict=True)]

@@ -67,6 +67,15 @@ def test_restoring():
     assert r.restore("x1" * 500)  # long tokens are decoded in stretches
 
 
+def test_restoring_at_the_ends_doubled_and_spaced_words():
+    r = restorer(random.Random(2))
+    for said, meant in [("idio+", "idiot"), ("mor0n5", "moron"), ("worthle55", "worthless"), ("worthle$$", "worthless"), ("$$tupid", "stupid"),
+                        ("10ser", "loser"), ("!diot", "idiot"), ("iiddiioott", "idiot"), ("idiiot", "idiot"), ("tra$$h", "trash"),
+                        ("o l d s c u m", "old scum"), ("i d i o t s c u m", "idiot scum"), ("y o u i d i o t", "you idiot"), ("l o s e r r", "loser")]:
+        assert toxicity.evidence(pa.array([f"It is {said} there"]), r).restored == [meant], said
+    assert toxicity.evidence(pa.array(["It is stupid! there, now, in 1995."]), r).restored == [""]
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(3)
     bad, hidden = ["idiot", "moron", "scum", "loser"], ["1diot", "m0ron", "s.c.u.m", "l o s e r"]
