@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surge.llm import chat, decontaminate, exact, language, lines, mixing, ngram_join, substring, tokens, toxicity
+from surge.llm import chat, clusters, decontaminate, exact, language, lines, mixing, ngram_join, substring, tokens, toxicity
 
 #: A public byte-level vocabulary; ``tokenizer_file`` is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.json"
@@ -84,6 +84,34 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"), "valid")
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster_report(_read(spark, sf_dir, "embeddings"))
+
+
+def _cluster_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds of ``op12_centroid_clusters`` unrolled: every distance of every round."""
+    square = "list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    parts = [f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda t: floor(256 * t::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda t: t IS NOT NULL AND isfinite(t))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1 AS c, x FROM v
+                    QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id), x) <= {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"a{r} AS MATERIALIZED (SELECT rid, min({square}::HUGEINT * 64 + c.c) AS best FROM v, c{r} AS c GROUP BY rid)")
+        if r < rounds:
+            parts.append(f"""
+s{r} AS (SELECT a.best % 64 AS c, unnest(v.x) AS t, unnest(range(64)) AS pos FROM a{r} AS a JOIN v USING (rid)),
+m{r} AS (SELECT c, pos, (sum(t) - ((sum(t) % count(*)) + count(*)) % count(*)) // count(*) AS t FROM s{r} GROUP BY c, pos),
+n{r} AS (SELECT c, list(t::BIGINT ORDER BY pos) AS x FROM m{r} GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c.c, coalesce(n.x, c.x) AS x FROM c{r} AS c LEFT JOIN n{r} AS n ON c.c = n.c)""")
+    return ",\n".join(parts) + f"""
+SELECT v.vec_id, c.c::INTEGER AS cluster, (a.best // 64)::BIGINT AS distance,
+       (sum(a.best // 64) OVER (PARTITION BY c.c))::BIGINT AS cluster_inertia, (sum(a.best // 64) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} AS a USING (rid) JOIN c{rounds} AS c ON c.c = a.best % 64"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
@@ -95,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_chat_format": op10_chat_format,
+    "op12_centroid_clusters": op12_centroid_clusters,
 }
 
 ORACLES: dict[str, str] = {
@@ -139,4 +168,5 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
                 OR (prev = 'user' AND role = 'assistant') OR (prev = 'assistant' AND role = 'user'))
          AND bool_or(back = 1 AND role = 'assistant') AS valid
 FROM m GROUP BY conv_id""",
+    "op12_centroid_clusters": _cluster_sql(),
 }
