@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surge.llm import chat, clusters, decontaminate, exact, language, lines, mixing, ngram_join, substring, tokens, toxicity
+from surge.llm import chat, clusters, decontaminate, exact, language, lines, mixing, ngram_join, search, substring, tokens, toxicity
 
 #: A public byte-level vocabulary; ``tokenizer_file`` is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.json"
@@ -88,6 +88,10 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster_report(_read(spark, sf_dir, "embeddings"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.build_index(_read(spark, sf_dir, "documents")), _read(spark, sf_dir, "benchmark"))
+
+
 def _cluster_sql(k: int = 40, rounds: int = 5) -> str:
     """The rounds of ``op12_centroid_clusters`` unrolled: every distance of every round."""
     square = "list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
@@ -124,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_chat_format": op10_chat_format,
     "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -169,4 +174,21 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
          AND bool_or(back = 1 AND role = 'assistant') AS valid
 FROM m GROUP BY conv_id""",
     "op12_centroid_clusters": _cluster_sql(),
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+s AS (SELECT count(*) FILTER (WHERE len(terms) > 0)::BIGINT AS n, sum(len(terms))::BIGINT AS l FROM d),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+p AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM d) GROUP BY rid, term),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * s.n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM f, s),
+m AS (SELECT rid, doc_id, 100 - 50 + ((50 * len(terms)::BIGINT * s.n) // s.l) AS m FROM d, s),
+r AS (
+  SELECT q.item_id, m.doc_id, m.rid, sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * m.m)))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 50""",
 }
