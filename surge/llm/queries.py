@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surge.llm import chat, clusters, decontaminate, exact, language, lines, mixing, ngram_join, search, substring, tokens, toxicity
+from surge.llm import chat, clusters, decontaminate, exact, language, lines, mixing, ngram_join, search, substring, suffixes, tokens, toxicity
 
 #: A public byte-level vocabulary; ``tokenizer_file`` is a parameter of the operator.
 VOCABULARY = "byte_bpe_50k.json"
@@ -84,6 +84,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"), "valid")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.suffix_dedup(_read(spark, sf_dir, "documents"), length=400, with_text=False)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster_report(_read(spark, sf_dir, "embeddings"))
 
@@ -127,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_centroid_clusters": op12_centroid_clusters,
     "op13_lexical_search": op13_lexical_search,
 }

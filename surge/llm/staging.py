@@ -18,4 +18,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here, lost executors cost nothing."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._staged_path = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``staged`` wrote, once nothing reads them any more."""
+    for table in tables:
+        path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table._staged_path)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
