@@ -180,6 +180,21 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
                 OR (prev = 'user' AND role = 'assistant') OR (prev = 'assistant' AND role = 'user'))
          AND bool_or(back = 1 AND role = 'assistant') AS valid
 FROM m GROUP BY conv_id""",
+    "op11_suffix_dedup": """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT rid, p, sha256(b[p + 1:p + 400]) AS k FROM (SELECT rid, b, unnest(range(0, octet_length(b) - 399)) AS p FROM d)),
+g AS (SELECT rid, p FROM w QUALIFY count(*) OVER (PARTITION BY k) > 1),
+o AS (SELECT rid, p, (p > coalesce(lag(p) OVER (PARTITION BY rid ORDER BY p) + 400, -1))::INTEGER AS new FROM g),
+n AS (SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p ROWS UNBOUNDED PRECEDING) AS run FROM o),
+r AS (SELECT rid, min(p) AS a, max(p) + 400 AS e FROM n GROUP BY rid, run),
+t AS (SELECT rid, a, e, lag(e, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS before FROM r),
+u AS (
+  SELECT d.rid, sum(t.e - t.a)::BIGINT AS n_removed, count(*) AS n_spans,
+         string_agg(hex(d.b[t.before + 1:t.a]), '' ORDER BY t.a) || hex(any_value(d.b)[max(t.e) + 1:]) AS kept
+  FROM t JOIN d USING (rid) GROUP BY d.rid)
+SELECT d.doc_id, octet_length(d.b)::BIGINT AS n_bytes, coalesce(u.n_removed, 0) AS n_removed, coalesce(u.n_spans, 0) AS n_spans,
+       coalesce(sha256(unhex(u.kept)), sha256(d.b)) AS kept_sha256
+FROM d LEFT JOIN u USING (rid)""",
     "op12_centroid_clusters": _cluster_sql(),
     "op13_lexical_search": r"""
 WITH d AS (
