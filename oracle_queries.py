@@ -54,12 +54,18 @@ weather AS (
          avg(CAST(30 + 10 * l_linenumber AS DOUBLE)) AS Humidity_Avg, avg(l_discount * 100) AS WindSpeed_mps
   FROM lw GROUP BY dt, place)"""
 
-AIRQ = """airq AS (
+def airq_mean(cond: str) -> str:
+    """Mean of five-decimal readings: whole units summed, one division."""
+    return (f"sum(CAST(round(l_extendedprice / 1000 * 100000.0) AS BIGINT)) FILTER (WHERE {cond})::DOUBLE "
+            f"/ nullif(count(*) FILTER (WHERE {cond}) * 100000.0::DOUBLE, 0)")
+
+
+AIRQ = f"""airq AS (
   SELECT dt AS Date, place AS borough,
-         avg(l_extendedprice / 1000) FILTER (WHERE coalesce(l_returnflag, '') NOT IN ('A', 'N')) AS AQ_Nitrogen_dioxide_NO2,
-         avg(l_extendedprice / 1000) FILTER (WHERE l_returnflag = 'N') AS AQ_Ozone_O3,
-         avg(l_extendedprice / 1000) FILTER (WHERE l_returnflag = 'A') AS AQ_Visits_due_to_PM25
-  FROM lw WHERE l_suppkey % 5 = 0 GROUP BY dt, place)"""
+         {airq_mean("coalesce(l_returnflag, '') NOT IN ('A', 'N')")} AS AQ_Nitrogen_dioxide_NO2,
+         {airq_mean("l_returnflag = 'N'")} AS AQ_Ozone_O3,
+         {airq_mean("l_returnflag = 'A'")} AS AQ_Visits_due_to_PM25
+  FROM lw GROUP BY dt, place)"""
 
 PANEL = HEALTH + ",\n" + WEATHER + ",\n" + AIRQ + f""",
 panel AS (
@@ -99,12 +105,25 @@ SQL["src_airq_long"] = f"""WITH {LW}
 SELECT dt AS Date, place AS borough,
        CASE WHEN l_returnflag = 'A' THEN 'Visits due to PM2.5' WHEN l_returnflag = 'N' THEN 'Ozone (O3)'
             ELSE 'Nitrogen dioxide (NO2)' END AS Name,
-       {r6('l_extendedprice / 1000', 'value')} FROM lw WHERE l_suppkey % 5 = 0"""
+       {r6('l_extendedprice / 1000', 'value')} FROM lw"""
+
+SQL["feed_rejects"] = f"""WITH o AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey), {LW},
+issues AS (
+  SELECT 'visits' AS feed, CASE WHEN o_orderstatus = 'P' THEN 'bad date' WHEN c_nationkey = 0 THEN 'no key' END AS issue FROM o
+  UNION ALL
+  SELECT 'air_quality', CASE WHEN coalesce(l_returnflag, '') NOT IN ('A', 'N') THEN 'no date'
+                             WHEN l_extendedprice / 1000 > 50 THEN 'rescued Data Value' END FROM lw)
+SELECT feed, issue, count(*) AS n_rows FROM issues WHERE issue IS NOT NULL GROUP BY feed, issue"""
+
+SQL["unlisted_measures"] = f"""WITH {LW}
+SELECT CASE l_returnflag WHEN 'A' THEN 'Visits due to PM2.5' ELSE 'Ozone (O3)' END AS measure, count(*) AS n_rows
+FROM lw WHERE l_returnflag IN ('A', 'N') GROUP BY 1"""
 
 SQL["parse_dates_lenient"] = """
 SELECT o_orderkey, CAST(TRY_CAST(CAST(o_orderdate AS VARCHAR) AS TIMESTAMP) AS DATE) AS parsed_date,
        CAST(TRY_CAST(o_orderstatus AS TIMESTAMP) AS DATE) AS parsed_status,
-       CAST(o_orderdate AS DATE) AS parsed_fmt
+       CAST(o_orderdate AS DATE) AS parsed_fmt,
+       CASE WHEN o_orderkey % 7 <> 6 THEN CAST(o_orderdate AS DATE) END AS parsed_mixed
 FROM orders"""
 
 SQL["key_canonical"] = "SELECT c_custkey, lower(trim(c_mktsegment)) AS key FROM customer"
@@ -121,8 +140,7 @@ SQL["sanitize_names"] = """
 SELECT DISTINCT Name, 'AQ_' || replace(replace(replace(replace(Name, ' ', '_'), '(', ''), ')', ''), '.', '') AS column_name
 FROM (SELECT CASE WHEN l_returnflag = 'A' THEN 'Visits due to PM2.5' WHEN l_returnflag = 'N' THEN 'Ozone (O3)'
                   ELSE 'Nitrogen dioxide (NO2)' END AS Name
-      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
-      WHERE l_suppkey % 5 = 0)"""
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey)"""
 
 SQL["filter_years"] = f"""WITH {OV}
 SELECT dt AS Date, place AS borough, {r6('cnt', 'Count')} FROM ov
@@ -334,18 +352,16 @@ SELECT Date, borough, {r6('value', 'value')} FROM ev
 WHERE borough IN (SELECT borough FROM ev GROUP BY borough HAVING count(value) >= 14)"""
 
 SQL["winsorize_iqr"] = f"""WITH {SERIES},
-b AS (SELECT borough, quantile_cont(Total_Hospitalization, 0.25) AS q1, quantile_cont(Total_Hospitalization, 0.75) AS q3
-      FROM sp0 GROUP BY borough)
-SELECT Date, sp0.borough, {r6('Asthma_Count', 'Asthma_Count')},
-  {r6('least(greatest(Total_Hospitalization, q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1))', 'Total_Hospitalization')}
-FROM sp0 JOIN b ON sp0.borough = b.borough"""
+b AS MATERIALIZED (SELECT borough, quantile_cont(Total_Hospitalization, [0.25, 0.75]) AS q FROM sp0 GROUP BY borough),
+c AS MATERIALIZED (SELECT borough, q[1] - 1.5 * (q[2] - q[1]) AS lo, q[2] + 1.5 * (q[2] - q[1]) AS hi FROM b)
+SELECT s.Date, s.borough, {r6('s.Asthma_Count', 'Asthma_Count')}, {r6('least(greatest(s.Total_Hospitalization, c.lo), c.hi)', 'Total_Hospitalization')}
+FROM sp0 AS s JOIN c ON s.borough = c.borough"""
 
 SQL["winsorize_percentile"] = f"""WITH {SERIES},
-b AS (SELECT borough, quantile_cont(Total_Hospitalization, 0.01) AS lo, quantile_cont(Total_Hospitalization, 0.99) AS hi
-      FROM sp0 GROUP BY borough)
-SELECT Date, sp0.borough, {r6('Asthma_Count', 'Asthma_Count')},
-  {r6('least(greatest(Total_Hospitalization, lo), hi)', 'Total_Hospitalization')}
-FROM sp0 JOIN b ON sp0.borough = b.borough"""
+b AS MATERIALIZED (SELECT borough, quantile_cont(Total_Hospitalization, [0.01, 0.99]) AS q FROM sp0 GROUP BY borough),
+c AS MATERIALIZED (SELECT borough, q[1] AS lo, q[2] AS hi FROM b)
+SELECT s.Date, s.borough, {r6('s.Asthma_Count', 'Asthma_Count')}, {r6('least(greatest(s.Total_Hospitalization, c.lo), c.hi)', 'Total_Hospitalization')}
+FROM sp0 AS s JOIN c ON s.borough = c.borough"""
 
 SQL["winsor_log_series"] = f"""WITH {SERIES}, {spine_zero('Total_Hospitalization')},
 b AS (SELECT borough, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM z GROUP BY borough)

@@ -51,6 +51,19 @@ def parse_date(c: ColumnOrName, fmt: str | None = None) -> Column:
     return c.cast("string").try_cast("timestamp").cast("date")
 
 
+#: Date formats of the feeds, tried in this order: ISO days and times, then the month-first form of city exports.
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "M/d/yyyy", "M/d/yyyy h:mm:ss a", "d MMM yyyy")
+
+
+def parse_dates(c: ColumnOrName, formats: Iterable[str] = DATE_FORMATS) -> Column:
+    """Date from text by the first of several formats that fits (white space around it ignored); NULL when none does.
+
+    Other ISO forms that a cast accepts (fractions, zones) come last, so a format never changes what is plain ISO."""
+    s = F.trim(col(c).cast("string"))
+    tried = [F.try_to_timestamp(s, F.lit(f)).cast("date") for f in formats]
+    return F.coalesce(*tried, parse_date(s))
+
+
 def sanitize_name_expr(c: ColumnOrName, prefix: str = "AQ_") -> Column:
     """Pivot-value sanitising: space -> '_', drop '(' ')' '.', add prefix."""
     return F.concat(F.lit(prefix), F.translate(F.regexp_replace(col(c), " ", "_"), "().", ""))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,11 +139,14 @@ def visits_inner(respiratory: DataFrame, asthma: DataFrame, **cols) -> DataFrame
 
 def airq_pivot(df: DataFrame, *, date: str = "Start_Date", key: str = "Geo Place Name",
                name: str = "Name", value: str = "Data Value",
-               names: Sequence[str] | None = None, prefix: str = "AQ_") -> DataFrame:
+               names: Sequence[str] | None = None, prefix: str = "AQ_", places: int | None = None) -> DataFrame:
     """Long -> wide: mean of each named measure per (Date, borough), columns
     renamed by ``sanitize_name``.
 
-    Pass ``names`` to avoid the extra job that discovers them.  As in a pandas
+    Pass ``names`` to avoid the extra job that discovers them; measures outside
+    ``names`` are left out by the caller's choice (``unlisted_measures`` counts them).
+    ``places``: the decimals that readings carry; they are then summed as whole
+    numbers and divided once, so a mean does not depend on the order of its rows.  As in a pandas
     pivot table, cells only come from rows that exist and rows whose measures
     are all missing are dropped.
     """
@@ -158,14 +161,25 @@ def airq_pivot(df: DataFrame, *, date: str = "Start_Date", key: str = "Geo Place
     names = list(names)
     # one conditional aggregate per name: a single shuffle on (Date, borough),
     # where pivot() would first aggregate by (Date, borough, name) and shuffle twice
-    wide = long.groupBy("Date", "borough").agg(
-        *[F.avg(F.when(F.col("_name") == n, F.col("_v"))).alias(sanitize_name(n, prefix)) for n in names])
+    def mean(n: str) -> Column:
+        if places is None:
+            return F.avg(F.when(F.col("_name") == n, F.col("_v")))
+        units = F.sum(F.when(F.col("_name") == n, F.round(F.col("_v") * 10.0 ** places).cast("long")))
+        return F.try_divide(units.cast("double"), F.count_if(F.col("_name") == n) * F.lit(10.0 ** places))
+
+    wide = long.groupBy("Date", "borough").agg(*[mean(n).alias(sanitize_name(n, prefix)) for n in names])
     # a pivot table only has cells for rows that exist: drop rows with no measure
     cols = [sanitize_name(n, prefix) for n in names]
     return wide.where(F.greatest(*[F.col(c).isNotNull() for c in cols]) if len(cols) > 1
                       else F.col(cols[0]).isNotNull())
 
 
+def unlisted_measures(df: DataFrame, names: Sequence[str], *, name: str = "Name") -> DataFrame:
+    """(measure, n_rows) of the readings that a pivot over ``names`` does not use; a missing name counts too."""
+    return df.where(F.col(f"`{name}`").isNull() | ~F.col(f"`{name}`").isin(*names)) \
+             .groupBy(F.col(f"`{name}`").alias("measure")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def drop_empty_columns(df: DataFrame, *, protect: Iterable[str] = ()) -> DataFrame:
     """Drop all-missing columns.  One-row profile (count per column), then select."""
     keep = set(protect)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from surge.functions.columns import season
 from surge.operators.clean import numeric_columns
 from surge.operators.ordered import lag_rows, rolling_mean_rows
+from surge.operators.quantile import quantile_value
 
 # Columns the lag step shifts, and columns never used as features.
 LAG_COLUMNS = ("Total_Hospitalization", "Respiratory_Count", "Asthma_Count",
@@ -83,11 +84,6 @@ def rolling_mean_shift(df: DataFrame, cols: Sequence[str], *, window: int = 7, s
                              keys=[key], order=[date]).drop("_rn")
 
 
-def quantile_value(df: DataFrame, col: str, q: float):
-    """Linear-interpolated quantile as a scalar subquery (exact ``percentile``)."""
-    return df.select(F.percentile(F.col(col).cast("double"), F.lit(q))).scalar()
-
-
 def high_risk_target(df: DataFrame, *, col: str = "Total_Hospitalization", q: float = 0.75,
                      inclusive: bool = True, name: str = "High_Risk",
                      fit_on: DataFrame | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surge.plans.stage import materialize
 
 def _long(one: DataFrame, rows: list[Column]) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
@@ -27,18 +28,21 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear), max per column, long form."""
+    from surge.operators.quantile import quantile_table
+    df = materialize(df.select(*[F.col(f"`{c}`") for c in cols]))  # read by the sums and by the selection
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}")]
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     one = df.agg(*aggs)
-    return _long(one, [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
+    sums = _long(one, [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
                                 F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                                F.col(f"q{i}")[0].alias("p25"), F.col(f"q{i}")[1].alias("p50"),
-                                F.col(f"q{i}")[2].alias("p75"), F.col(f"hi{i}").alias("max"))
+                                F.col(f"hi{i}").alias("max"))
                        for i, c in enumerate(cols)])
+    q = quantile_table(df, cols, [0.25, 0.5, 0.75]).select(F.col("variable").alias("column"), F.col("q0").alias("p25"),
+                                                           F.col("q1").alias("p50"), F.col("q2").alias("p75"))
+    return sums.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from surge.operators.impute import interpolate_limited
 from surge.operators.ordered import rolling_mean_rows
+from surge.operators.quantile import quantile_table
 
 
 def daily_spine(df: DataFrame, *, key: str = "borough", date: str = "Date", value: str,
@@ -38,21 +39,18 @@ def min_length_series(df: DataFrame, *, key: str = "borough", value: str, min_da
 
 
 def winsorize(df: DataFrame, *, value: str, key: str | None = "borough", method: str = "iqr",
-              p_low: float = 0.01, p_high: float = 0.99, iqr_mult: float = 1.5,
-              approx: bool = False) -> DataFrame:
+              p_low: float = 0.01, p_high: float = 0.99, iqr_mult: float = 1.5) -> DataFrame:
     """Clip ``value`` per key to [q1 - m*IQR, q3 + m*IQR] (``iqr``) or to the
-    [p_low, p_high] quantiles (``percentile``).  Quantiles interpolate linearly
-    (``approx=True`` switches to ``percentile_approx`` for huge groups)."""
+    [p_low, p_high] quantiles (``percentile``).  Quantiles are exact and interpolate
+    linearly; a key without values keeps its rows as they are.  The bounds are one row per key."""
     if method == "iqr":
         qs = [0.25, 0.75]
     elif method == "percentile":
         qs = [p_low, p_high]
     else:
         raise ValueError(f"Unknown method for outlier handling: {method}")
-    pct = (lambda c, q: F.percentile_approx(c, q, 100000)) if approx else (lambda c, q: F.percentile(c, F.lit(q)))
     keys = [key] if key else []
-    b = df.groupBy(*keys).agg(pct(F.col(value).cast("double"), qs[0]).alias("_qa"),
-                              pct(F.col(value).cast("double"), qs[1]).alias("_qb"))
+    b = quantile_table(df, [value], qs, keys=keys).select(*keys, F.col("q0").alias("_qa"), F.col("q1").alias("_qb"))
     if method == "iqr":
         iqr = F.col("_qb") - F.col("_qa")
         b = b.select(*keys, (F.col("_qa") - iqr_mult * iqr).alias("_lo"), (F.col("_qb") + iqr_mult * iqr).alias("_hi"))
@@ -63,7 +61,7 @@ def winsorize(df: DataFrame, *, value: str, key: str | None = "borough", method:
     else:  # one-row bounds as scalar subqueries
         j, lo, hi = df, b.select("_lo").scalar(), b.select("_hi").scalar()
     v = F.col(value)
-    out = j.withColumn(value, F.when(v.isNull(), v).otherwise(F.least(F.greatest(v, lo), hi)))
+    out = j.withColumn(value, F.when(v.isNull() | lo.isNull(), v).otherwise(F.least(F.greatest(v, lo), hi)))
     return out.drop("_lo", "_hi") if keys else out
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surge.functions.columns import canonical_key, coerce_numeric, parse_date, rowwise_mean, sanitize_name_expr
+from surge.functions.columns import canonical_key, coerce_numeric, parse_date, parse_dates, rowwise_mean, sanitize_name_expr
 from surge.operators import clean
 from surge.operators import features as feat
 from surge.operators import impact as imp_
@@ -25,7 +25,10 @@ from surge.operators import scoring as sc
 from surge.operators import series as ser
 from surge.operators import smooth
 from surge.operators import stl as stl_
+from surge.operators.quantile import quantile_table
 from surge.plans.stage import materialize
+from surge.session import delete_at_exit, scratch_path
+from surge.sources import feeds
 from surge.sources import stations as st
 from surge.sources import tables as src
 
@@ -60,7 +63,7 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def airq(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.airq_pivot(src.airq_raw(spark, sf), names=AIRQ_NAMES)
+    return clean.airq_pivot(src.airq_raw(spark, sf), names=AIRQ_NAMES, places=src.AIRQ_PLACES)
 
 
 def panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,37 +73,77 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sources and cleaning
 
+def _landed(spark: SparkSession, rows: DataFrame, feed: feeds.Feed) -> DataFrame:
+    """Stand-in for a shipped feed: the rows landed as CSV in the shared folder, read back with the feed's schema."""
+    path = scratch_path(spark, f"feed-{feed.name}")
+    feeds.write_feed(rows, path)
+    delete_at_exit(spark, path)
+    return feeds.read_feed(spark, path, feed)
+
+
+def _visit_file(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """The visit file of a kind: ISO days for one, month-first days for the other, columns the feed does not declare."""
+    day = F.date_format("Date", "yyyy-MM-dd" if kind == "respiratory" else "M/d/yyyy")
+    return src.visits_raw(spark, sf, kind).select(F.lit(kind).alias("Metric"), "Dim1Value", "Count", F.lit("x,y").alias("Note"), day.alias("Date"))
+
+
 @query("src_visits")
 def q_src_visits(spark, sf):
+    """Both visit files, landed as CSV with their own date formats and read with the declared schema."""
     parts = []
     for kind in ("respiratory", "asthma"):
-        v = src.visits_raw(spark, sf, kind)
-        parts.append(v.select(F.col("Date"), canonical_key("Dim1Value").alias("borough"),
-                              coerce_numeric("Count").alias("Count"), F.lit(kind).alias("kind")))
+        v = feeds.accepted(_landed(spark, _visit_file(spark, sf, kind), feeds.VISITS))
+        parts.append(v.select("Date", F.col("Dim1Value").alias("borough"), coerce_numeric("Count").alias("Count"), F.lit(kind).alias("kind")))
     return parts[0].unionByName(parts[1])
 
 
 @query("src_weather_daily")
 def q_src_weather_daily(spark, sf):
-    w = src.weather_raw(spark, sf)
-    return w.select(F.col("DATE").alias("Date"), canonical_key("borough").alias("borough"),
-                    "TMAX", "TMIN", "RHAV", "AWND", "year")
+    """The weather file (station days), landed as CSV and read with the declared schema."""
+    w = feeds.accepted(_landed(spark, src.weather_raw(spark, sf), feeds.WEATHER))
+    return w.select(F.col("DATE").alias("Date"), "borough", "TMAX", "TMIN", "RHAV", "AWND", "year")
 
 
 @query("src_airq_long")
 def q_src_airq_long(spark, sf):
-    a = src.airq_raw(spark, sf)
-    return a.select(F.col("Start_Date").alias("Date"), canonical_key("Geo Place Name").alias("borough"),
-                    F.col("Name"), F.col("Data Value").alias("value"))
+    """The air-quality file (every reading), landed as CSV with month-first times and read with the declared schema."""
+    rows = src.airq_raw(spark, sf).withColumn("Start_Date", F.date_format("Start_Date", "MM/dd/yyyy hh:mm:ss a"))
+    a = feeds.accepted(_landed(spark, rows, feeds.AIR_QUALITY))
+    return a.select(F.col("Start_Date").alias("Date"), F.col("Geo Place Name").alias("borough"), "Name", F.col("Data Value").alias("value"))
+
+
+@query("feed_rejects")
+def q_feed_rejects(spark, sf):
+    """Issues of a visit file and of an air-quality file with open orders' days, missing places and text readings, counted by kind."""
+    o = src.orders_with_place(spark, sf)
+    visits = o.select(
+        F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(F.date_format("o_orderdate", "M/d/yyyy")).alias("Date"),
+        F.when(F.col("c_nationkey") != 0, F.col("c_mktsegment")).alias("Dim1Value"), F.col("o_orderpriority").alias("Count"))
+    air = src.airq_raw(spark, sf).select(
+        F.when(F.col("Name") != src.AIRQ_OTHER_NAME, F.col("Start_Date").cast("string")).alias("Start_Date"), "Geo Place Name", "Name",
+        F.when(F.col("Data Value") > 50, F.lit("over")).otherwise(F.col("Data Value").cast("string")).alias("Data Value"))
+    counts = [feeds.reject_counts(_landed(spark, rows, feed)).select(F.lit(feed.name).alias("feed"), "issue", "n_rows")
+              for rows, feed in ((visits, feeds.VISITS), (air, feeds.AIR_QUALITY))]
+    return counts[0].unionByName(counts[1])
+
+
+@query("unlisted_measures")
+def q_unlisted_measures(spark, sf):
+    """Readings of measures that a pivot over the first listed pollutant alone would leave out."""
+    return clean.unlisted_measures(src.airq_raw(spark, sf), AIRQ_NAMES[:1])
 
 
 @query("parse_dates_lenient")
 def q_parse_dates(spark, sf):
     o = src.table(spark, sf, "orders")
+    forms = ["yyyy-MM-dd", "M/d/yyyy", "MM/dd/yyyy hh:mm:ss a", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd", "d MMM yyyy"]
+    mixed = F.element_at(F.array(*[F.date_format("o_orderdate", f) for f in forms], F.lit("13/13/2001")),
+                         (F.pmod("o_orderkey", F.lit(len(forms) + 1)) + 1).cast("int"))
     return o.select("o_orderkey",
                     parse_date(F.col("o_orderdate").cast("string")).alias("parsed_date"),
                     parse_date("o_orderstatus").alias("parsed_status"),
-                    parse_date(F.date_format("o_orderdate", "dd/MM/yyyy"), "dd/MM/yyyy").alias("parsed_fmt"))
+                    parse_date(F.date_format("o_orderdate", "dd/MM/yyyy"), "dd/MM/yyyy").alias("parsed_fmt"),
+                    parse_dates(F.concat(F.lit(" "), mixed)).alias("parsed_mixed"))
 
 
 @query("key_canonical")
@@ -250,9 +293,8 @@ def q_range_features(spark, sf):
 
 @query("quantile_threshold")
 def q_quantile_threshold(spark, sf):
-    h = health(spark, sf)
-    return h.agg(*[F.percentile("Total_Hospitalization", F.lit(q)).alias(f"p{int(q * 100)}")
-                   for q in (0.25, 0.5, 0.75)])
+    q = quantile_table(health(spark, sf), ["Total_Hospitalization"], [0.25, 0.5, 0.75])
+    return q.select(*[F.col(f"q{i}").alias(f"p{p}") for i, p in enumerate((25, 50, 75))])
 
 
 @query("high_risk_target")
@@ -742,12 +784,11 @@ def q_rebuild_model(spark, sf):
     to the shared checkpoint folder, re-read with a declared schema and the
     date re-parsed), calendar + weather features, both boosted models on all
     rows (train metrics)."""
-    import uuid
-    from surge.session import ensure_checkpoint_dir
     from surge.sources.sinks import read_table, write_table
     panel_df = imputed(spark, sf)
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panel-csv-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "panel-csv")
     write_table(panel_df, path, fmt="csv")
+    delete_at_exit(spark, path)
     text_schema = T.StructType([T.StructField(c, T.StringType() if c == "Date" else t)
                                 for c, t in ((f.name, f.dataType) for f in panel_df.schema.fields)])
     reread = read_table(spark, path, fmt="csv", schema=text_schema).withColumn("Date", parse_date("Date", "yyyy-MM-dd"))
@@ -824,13 +865,13 @@ AIRQ_CONFIGURED = AIRQ_NAMES + ["Fine particles (PM 2.5)"]
 
 @query("drop_empty_columns")
 def q_drop_empty_columns(spark, sf):
-    wide = clean.airq_pivot(src.airq_raw(spark, sf), names=AIRQ_CONFIGURED)
+    wide = clean.airq_pivot(src.airq_raw(spark, sf), names=AIRQ_CONFIGURED, places=src.AIRQ_PLACES)
     return clean.drop_empty_columns(wide, protect=["Date", "borough"])
 
 
 @query("drop_constant_zero_columns")
 def q_drop_constant_zero_columns(spark, sf):
-    aq = clean.airq_pivot(src.airq_raw(spark, sf), names=AIRQ_CONFIGURED)
+    aq = clean.airq_pivot(src.airq_raw(spark, sf), names=AIRQ_CONFIGURED, places=src.AIRQ_PLACES)
     p = materialize(pnl.panel_merged(health(spark, sf), weather(spark, sf), aq, valid_keys=src.VALID_PLACES))
     return clean.drop_constant_zero_columns(imp.impute_series(p))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +46,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.sql.ansi.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
@@ -72,3 +74,25 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(sc._jsc.hadoopConfiguration()), place
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a written folder when the application ends (a lazily read result may need it until then)."""
+    fs, place = _file_system(spark, path)
+    fs.deleteOnExit(place)
+
+
+def delete_now(spark: SparkSession, path: str) -> None:
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)

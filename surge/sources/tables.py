@@ -21,6 +21,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 RESPIRATORY_PRIORITIES = ("1-URGENT", "2-HIGH")
 AIRQ_NAME_BY_FLAG = {"A": "Visits due to PM2.5", "N": "Ozone (O3)"}
 AIRQ_OTHER_NAME = "Nitrogen dioxide (NO2)"
+#: Decimals of an air-quality reading.
+AIRQ_PLACES = 5
 VALID_PLACES = ("automobile", "building", "furniture", "household", "machinery")
 KEEP_YEARS = (1995, 1996, 1997, 1998, 2000, 2001)
 TRAIN_YEARS = (1995, 1996, 1997, 1998)
@@ -48,6 +50,12 @@ def _orders_with_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey)
 
 
+def orders_with_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer's place and nation (raw columns)."""
+    o = table(spark, sf_dir, "orders")
+    return o.join(table(spark, sf_dir, "customer"), o.o_custkey == F.col("c_custkey"))
+
+
 def visits_raw(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Visit-count feed (respiratory or asthma) in the reference's shape:
     ``Date``, ``Dim1Value`` (raw place text), ``Count`` (text)."""
@@ -85,7 +93,7 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def airq_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-format air quality: ``Start_Date``, ``Geo Place Name``, ``Name``, ``Data Value``."""
-    df = _lines_with_place(spark, sf_dir).where(F.col("l_suppkey") % 5 == 0)
+    df = _lines_with_place(spark, sf_dir)
     name = F.when(F.col("l_returnflag") == "A", AIRQ_NAME_BY_FLAG["A"]) \
             .when(F.col("l_returnflag") == "N", AIRQ_NAME_BY_FLAG["N"]) \
             .otherwise(AIRQ_OTHER_NAME)
