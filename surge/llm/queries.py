@@ -38,7 +38,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic").where(_remainder(5) != 0)
-    model = toxicity.fit(docs, docs.join(labels, "doc_id"))
+    model = toxicity.fit(docs, toxicity.labelled_sample(docs, labels), sample_rows=None)
     rows = docs.select("doc_id", "text", (_remainder(5) == 0).alias("held_out"))
     return toxicity.score(rows, model).select("doc_id", "held_out", F.col("toxicity").alias("score"),
                                               (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))

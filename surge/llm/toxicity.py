@@ -21,11 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surge.llm.batches import SPACE, Texts, mix64, slices
+from surge.llm.staging import staged
 
 #: Letters that a sign or digit imitates, by habit of writers.
 LOOKALIKE = {
@@ -320,19 +321,34 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 25) -> np.ndarray:
     return w
 
 
+def _share(ident: Column) -> Column:
+    return F.pmod(F.xxhash64(ident, F.lit("toxicity sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", sample_rows: int = 40_000) -> DataFrame:
+    """(id, text columns of docs, label) of about ``sample_rows`` labelled rows, drawn by the hash of their id before they meet their texts.
+
+    The drawn labels are bounded by ``sample_rows`` and broadcast; no text moves but those of the sample, which is written once."""
+    known = labels.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{label_col}`").alias(label_col)).where(F.col(label_col).isin(0, 1))
+    rate = min(1.0, sample_rows / max(known.count(), 1))
+    drawn = known.where(_share(F.col(id_col)) < rate)
+    return staged(docs.drop(label_col).where(_share(F.col(f"`{id_col}`")) < rate).join(F.broadcast(drawn), id_col), "toxicity-sample")
+
+
 def fit(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id",
-        sample_rows: int = 40_000, least_docs: int = 8, least_ratio: float = 35.0) -> Model:
+        sample_rows: int | None = 40_000, least_docs: int = 8, least_ratio: float = 35.0) -> Model:
     """Learn the character model from all ``docs`` and the scorer from ``labelled`` rows (text, 0/1 label).
 
     ``sample_rows`` bounds, in expectation, the labelled rows the scorer is fitted
-    on, drawn by the hash of their id; rows without a label are left out.
+    on, drawn by the hash of their id; rows without a label are left out.  None: ``labelled`` is a bounded sample already.
     """
     logp = log_probabilities(character_counts(docs, text_col))
     rows = labelled.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
                            F.col(f"`{label_col}`").cast("int").alias("label")).where("label IN (0, 1)")
     n = rows.count()
-    u = F.pmod(F.xxhash64("id", F.lit("toxicity sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = rows.where(u < min(1.0, sample_rows / max(n, 1))).select("label", "text")
+    if sample_rows is not None:
+        rows = rows.where(_share(F.col("id")) < min(1.0, sample_rows / max(n, 1)))
+    rows = rows.select("label", "text")
 
     def seen(keep: np.ndarray | None):
         """Counts of features per label; all of toxic rows, or those in ``keep`` of all rows."""
