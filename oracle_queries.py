@@ -695,6 +695,15 @@ vr AS (SELECT *, CASE WHEN borough IS NULL OR date IS NULL THEN 'missing field'
                       WHEN req_date IS NULL THEN 'bad date' END AS error FROM vr0),
 ok AS (SELECT * FROM vr WHERE error IS NULL)"""
 
+
+def answered(select: str, carried: str = "request_id, borough, req_date") -> str:
+    """The records of accepted requests (``select``, after SELECT) and a failed record for each rejected one."""
+    return (f"SELECT {select}\nUNION ALL BY NAME\n"
+            f"SELECT {carried}, false AS success, error FROM vr WHERE error IS NOT NULL")
+
+
+_TRUE = "true AS success, CAST(NULL AS VARCHAR) AS error"
+
 HIST_AVG = """ha_h AS (SELECT borough, month(Date) AS m, day(Date) AS d, Total_Hospitalization AS t FROM imputed),
 ha_md AS (SELECT borough, m, d, avg(t) AS a FROM ha_h GROUP BY borough, m, d),
 ha_mo AS (SELECT borough, m, avg(t) AS a FROM ha_h GROUP BY borough, m),
@@ -726,34 +735,34 @@ SELECT v.request_id, v.borough, v.req_date, c.Date AS matched_date,
 FROM vr v LEFT JOIN c ON v.request_id = c.request_id AND c.rn = 1"""
 
 SQL["historical_average"] = f"""WITH {IMPUTED}, {VR}, {HIST_AVG}
-SELECT request_id, borough, req_date, {r6('historical_average', 'historical_average')} FROM ha"""
+{answered(f"request_id, borough, req_date, {r6('historical_average', 'historical_average')}, {_TRUE} FROM ha")}"""
 
 SQL["cascade_features"] = f"""WITH {IMPUTED}, {VR},
 mo AS (SELECT borough, month(Date) AS m, {", ".join(f"avg({c}) AS {c}" for c in _WV)} FROM imputed GROUP BY 1, 2)
-SELECT ok.request_id, ok.borough, ok.req_date,
+{answered(f"""ok.request_id, ok.borough, ok.req_date, {_TRUE},
   {", ".join(r6(f"CASE WHEN e.Date IS NOT NULL THEN e.{c} WHEN mo.m IS NOT NULL THEN mo.{c} ELSE 0 END", c) for c in _WV)},
   CASE WHEN e.Date IS NOT NULL THEN 'exact' WHEN mo.m IS NOT NULL THEN 'month' ELSE 'none' END AS match_level
 FROM ok LEFT JOIN imputed e ON ok.borough = e.borough AND ok.req_date = e.Date
-LEFT JOIN mo ON ok.borough = mo.borough AND month(ok.req_date) = mo.m"""
+LEFT JOIN mo ON ok.borough = mo.borough AND month(ok.req_date) = mo.m""")}"""
 
 SQL["risk_band"] = f"""WITH {SCORED}
 SELECT id, model, dataset, CASE WHEN score >= 0.7 THEN 'High' WHEN score >= 0.4 THEN 'Moderate' ELSE 'Low' END AS risk_band,
   CASE WHEN score > 0.5 THEN 'High' ELSE 'Low' END AS binary_band FROM scored"""
 
 SQL["score_fallback"] = f"""WITH {IMPUTED}, {VR}, {FALLBACK}
-SELECT request_id, borough, req_date, capacity, {r6('historical_average', 'historical_average')}, success,
+{answered(f"""request_id, borough, req_date, capacity, {r6('historical_average', 'historical_average')}, {_TRUE},
   {r6('expected_admissions', 'expected_admissions')}, risk_level, {r6('risk_probability', 'risk_probability')}, confidence,
   concat(upper(borough[1]), lower(borough[2:])) AS display_key, strftime(req_date, '%B %d, %Y') AS display_date
-FROM fb"""
+FROM fb""", "request_id, borough, req_date, capacity")}"""
 
 SQL["score_capacity"] = f"""WITH {IMPUTED}, {VR}, {FALLBACK},
 km AS (SELECT borough, avg(Total_Hospitalization) AS key_mean FROM imputed GROUP BY borough)
-SELECT request_id, fb.borough, req_date, capacity, {r6('expected_admissions', 'predicted_count')},
+{answered(f"""request_id, fb.borough, req_date, capacity, {r6('expected_admissions', 'predicted_count')}, {_TRUE},
   CAST(greatest(0, ceil(expected_admissions - capacity)) AS INTEGER) AS additional_beds_needed,
   {r6('expected_admissions / capacity * 100', 'utilization_percent')},
   CASE WHEN ceil(expected_admissions - capacity) > 0 THEN 'CAPACITY EXCEEDED' ELSE 'WITHIN CAPACITY' END AS capacity_status,
   {r6('(expected_admissions / key_mean - 1) * 100', 'vs_key_mean_pct')}
-FROM fb LEFT JOIN km ON fb.borough = km.borough"""
+FROM fb LEFT JOIN km ON fb.borough = km.borough""", "request_id, borough, req_date, capacity")}"""
 
 SQL["score_error_fallback"] = f"""WITH {IMPUTED}, {VR},
 hd AS (SELECT borough, Date, Total_Hospitalization FROM imputed),
@@ -777,14 +786,14 @@ FROM p2"""
 
 SQL["score_interpretation"] = f"""WITH {IMPUTED}, {VR}, {FALLBACK},
 i AS (SELECT *, floor(expected_admissions + 0.5) AS adm FROM fb)
-SELECT request_id, CAST(adm AS BIGINT) AS rounded_admissions, {r6('adm - historical_average', 'diff_vs_history')},
+{answered(f"""request_id, CAST(adm AS BIGINT) AS rounded_admissions, {r6('adm - historical_average', 'diff_vs_history')}, {_TRUE},
   CAST(floor(abs(adm - historical_average) + 0.5) AS BIGINT) AS abs_diff_rounded,
   CASE WHEN historical_average IS NULL THEN NULL WHEN abs(adm - historical_average) > 5 THEN
     (CASE WHEN adm - historical_average > 0 THEN 'higher' ELSE 'lower' END) ELSE 'aligned' END AS direction,
   {rnd("CASE WHEN historical_average IS NULL THEN NULL WHEN historical_average > 0 THEN (adm - historical_average) / historical_average * 100 ELSE 0 END")} AS pct_vs_history,
   CASE WHEN lower(risk_level) = 'high' THEN 'prepare for increased patient volume'
        WHEN lower(risk_level) = 'moderate' THEN 'standard operating procedures' ELSE 'lower than average volume' END AS advice
-FROM i"""
+FROM i""", "request_id")}"""
 
 
 # ---------------------------------------------------------------- stations
@@ -838,7 +847,13 @@ SELECT Date, borough, {rnd('''(coalesce(AQ_Nitrogen_dioxide_NO2, 0) + coalesce(A
   AS AQ_composite FROM panel"""
 
 SQL["format_labels"] = f"""WITH {VR}
-SELECT request_id, concat(upper(borough[1]), lower(borough[2:])) AS title_key, upper(borough) AS upper_key,
+{answered(f"""request_id, concat(upper(borough[1]), lower(borough[2:])) AS title_key, upper(borough) AS upper_key,
   strftime(req_date, '%Y-%m-%d') AS iso_date, strftime(req_date, '%B %d, %Y') AS long_date,
-  dayname(req_date) AS weekday_name
-FROM ok"""
+  dayname(req_date) AS weekday_name, {_TRUE}
+FROM ok""", "request_id")}"""
+
+# ---------------------------------------------------------------- sinks: what is read back is what was computed
+
+SQL["sink_classification_results"] = SQL["classification_metrics"]
+SQL["sink_regression_results"] = SQL["regression_metrics"]
+SQL["sink_components"] = SQL["additive_decompose"]

@@ -18,11 +18,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
@@ -234,21 +234,34 @@ def fit_one(prepared: DataFrame, *, kind: str, name: str, label: str, split: str
 
 def score_requests(features: DataFrame, classifier_model, regressor_model, *, threshold: float = 0.5) -> DataFrame:
     """Probability of the high-risk class, predicted class and a non-negative count."""
+    made = ["features", "rawPrediction", "probability", "prediction"]
     c = classifier_model.transform(features).withColumn("high_risk_probability",
                                                         vector_to_array(F.col("probability"))[1])
-    c = c.withColumn("risk_pred", (F.col("high_risk_probability") > threshold).cast("int")) \
-         .drop("rawPrediction", "probability", "prediction")
+    scaled = [x for x in c.columns if x.endswith("__z") and x not in features.columns]
+    c = c.withColumn("risk_pred", (F.col("high_risk_probability") > threshold).cast("int"))
+    c = c.drop(*[x for x in made if x not in features.columns], "prediction", *scaled)
     r = regressor_model.transform(c)
-    return r.withColumn("predicted_count", F.greatest(F.col("prediction"), F.lit(0.0))).drop("prediction")
+    return r.withColumn("predicted_count", F.greatest(F.col("prediction"), F.lit(0.0))).drop("prediction", *scaled)
 
 
-# ------------------------------------------------------------------ artifacts
+# ------------------------------------------------------------------ fitted pipelines
 
-def save_models(models: dict[str, PipelineModel], path: str) -> None:
-    for name, m in models.items():
-        m.write().overwrite().save(f"{path}/{name.replace(' ', '_')}")
+def scaler_stage(train: DataFrame, features: Sequence[str]) -> SQLTransformer:
+    """The standardisation of ``features`` by train mean and population std as a fitted, writable stage (columns ``c__z``).
 
+    A missing feature counts as 0, a constant one is divided by 1: as ``feature_matrix`` and ``standardize`` do."""
+    x = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in features}
+    got = train.agg(*[F.avg(x[c]).alias(f"m{i}") for i, c in enumerate(features)],
+                    *[F.stddev_pop(x[c]).alias(f"s{i}") for i, c in enumerate(features)]).first()
+    said = [f"(coalesce(double(`{c}`), 0D) - ({got[f'm{i}'] or 0.0!r}D)) / {got[f's{i}'] or 1.0!r}D AS `{c}__z`" for i, c in enumerate(features)]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(said)} FROM __THIS__")
 
-def fit_pipeline(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
-                                            handleInvalid="keep"), estimator]).fit(train)
+
+def fit_pipeline(rows: DataFrame, features: Sequence[str], *, kind: str, name: str, label: str, split: str = "split") -> PipelineModel:
+    """Scaler, assembler and one named model, fitted on the train rows of a raw feature table; it scores raw feature rows."""
+    train = materialize(rows.where(F.col(split) == "train").select(*[F.col(f"`{c}`") for c in features], F.col(label).cast("double").alias("label")))
+    before = [scaler_stage(train, features), VectorAssembler(inputCols=[f"{c}__z" for c in features], outputCol="features", handleInvalid="keep")]
+    stats = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("s")).first()
+    est = classifier(name, stats["n"]) if kind == "classifier" else regressor(name, stats["n"], stats["s"] or 0.0)
+    ready = materialize(PipelineModel(before).transform(train).select("features", "label"))
+    return PipelineModel([*before, est.fit(ready)])

@@ -10,7 +10,7 @@ the two-level fill), and the month means are per (key, month) aggregates.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +43,21 @@ def validate_requests(req: DataFrame, *, valid_keys: Iterable[str], key: str = "
         "status": F.when(err.isNull(), "ok").otherwise("error"), "error": err})
 
 
+def answer_all(validated: DataFrame, answer: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One record for each request of ``validate_requests``: ``answer`` turns the accepted ones into records; a rejected one
+    gets ``success`` false, its ``error`` text, the request columns that the records have, and NULL elsewhere.
+
+    ``answer`` must keep one row per request.  Both branches read the requests with their own filter; rejected requests
+    never reach the history."""
+    done = answer(validated.where(F.col("status") == "ok").drop("status", "error"))
+    if "success" not in done.columns:
+        done = done.withColumn("success", F.lit(True))
+    done = done.withColumn("error", F.lit(None).cast("string"))
+    carried = [c for c in validated.columns if c in done.columns and c not in ("success", "error", "status")]
+    refused = validated.where(F.col("status") == "error").select(*carried, F.lit(False).alias("success"), "error")
+    return done.unionByName(refused, allowMissingColumns=True)
+
+
 def nearest_date_join(req: DataFrame, history: DataFrame, *, key: str = "borough", req_date: str = "req_date",
                       hist_date: str = "Date") -> DataFrame:
     """For each request, the history day of its key with the smallest absolute

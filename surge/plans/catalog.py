@@ -6,6 +6,7 @@ query is one lazy plan that Catalyst optimises end to end.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,8 @@ from surge.operators import smooth
 from surge.operators import stl as stl_
 from surge.operators.quantile import quantile_table
 from surge.plans.stage import materialize
-from surge.session import delete_at_exit, scratch_path
-from surge.sources import feeds
+from surge.session import delete_at_exit, ensure_checkpoint_dir, scratch_path
+from surge.sources import feeds, sinks
 from surge.sources import stations as st
 from surge.sources import tables as src
 
@@ -602,6 +603,32 @@ def q_residuals(spark, sf):
     return met.residuals(rows)
 
 
+def _written(spark: SparkSession, rows: DataFrame, name: str, partition_by: str, again) -> DataFrame:
+    """A result written as a partitioned table, the partitions of ``again`` rewritten by a second run, and the table read back."""
+    path = scratch_path(spark, f"result-{name}")
+    rows = materialize(rows)
+    sinks.write_partitions(rows, path, partition_by=partition_by, run="first")
+    sinks.write_partitions(rows.where(again), path, partition_by=partition_by, run="second")
+    delete_at_exit(spark, path)
+    return sinks.read_committed(spark, path, partition_by=partition_by).select(*rows.columns)
+
+
+@query("sink_classification_results")
+def q_sink_classification(spark, sf):
+    return _written(spark, met.classification_metrics(src.scored(spark, sf)), "classification", "dataset", F.col("dataset") == "Test")
+
+
+@query("sink_regression_results")
+def q_sink_regression(spark, sf):
+    return _written(spark, met.regression_metrics(src.scored(spark, sf)), "regression", "dataset", F.col("dataset") != "Train")
+
+
+@query("sink_components")
+def q_sink_components(spark, sf):
+    """The decomposition of every place, one partition each; the second run rewrites one place and leaves the others."""
+    return _written(spark, q_additive_decompose(spark, sf), "components", "borough", F.col("borough") == src.VALID_PLACES[0])
+
+
 @query("key_findings")
 def q_key_findings(spark, sf):
     p = panel(spark, sf)
@@ -647,14 +674,14 @@ def q_nearest_date_join(spark, sf):
 
 @query("historical_average")
 def q_historical_average(spark, sf):
-    r = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date")
-    return sc.historical_average(r, history(spark, sf))
+    return sc.answer_all(validated(spark, sf), lambda ok: sc.historical_average(
+        ok.select("request_id", "borough", "req_date"), history(spark, sf)))
 
 
 @query("cascade_features")
 def q_cascade_features(spark, sf):
-    r = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date")
-    return sc.cascade_features(r, history(spark, sf), WEATHER_VARS[:3])
+    return sc.answer_all(validated(spark, sf), lambda ok: sc.cascade_features(
+        ok.select("request_id", "borough", "req_date"), history(spark, sf), WEATHER_VARS[:3]))
 
 
 @query("risk_band")
@@ -664,24 +691,27 @@ def q_risk_band(spark, sf):
                     sc.binary_band(met.predicted_class(F.col("score"))).alias("binary_band"))
 
 
-def _fallback(spark, sf, hist=None):
-    r = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date", "capacity")
-    return sc.score_fallback(sc.historical_average(r, history(spark, sf) if hist is None else hist))
+def _fallback(ok: DataFrame, hist: DataFrame) -> DataFrame:
+    return sc.score_fallback(sc.historical_average(ok.select("request_id", "borough", "req_date", "capacity"), hist))
 
 
 @query("score_fallback")
 def q_score_fallback(spark, sf):
-    return sc.response_record(_fallback(spark, sf))
+    return sc.answer_all(validated(spark, sf), lambda ok: sc.response_record(_fallback(ok, history(spark, sf))))
 
 
 @query("score_capacity")
 def q_score_capacity(spark, sf):
     h = history(spark, sf)
-    f = _fallback(spark, sf, h).withColumnRenamed("expected_admissions", "predicted_count")
-    means = h.groupBy("borough").agg(F.avg("Total_Hospitalization").alias("key_mean"))
-    out = sc.score_capacity(f.join(means, on="borough", how="left"), key_mean="key_mean")
-    return out.select("request_id", "borough", "req_date", "capacity", "predicted_count", "additional_beds_needed",
-                      "utilization_percent", "capacity_status", "vs_key_mean_pct")
+
+    def answer(ok: DataFrame) -> DataFrame:
+        f = _fallback(ok, h).withColumnRenamed("expected_admissions", "predicted_count")
+        means = h.groupBy("borough").agg(F.avg("Total_Hospitalization").alias("key_mean"))
+        out = sc.score_capacity(f.join(means, on="borough", how="left"), key_mean="key_mean")
+        return out.select("request_id", "borough", "req_date", "capacity", "predicted_count", "additional_beds_needed",
+                          "utilization_percent", "capacity_status", "vs_key_mean_pct")
+
+    return sc.answer_all(validated(spark, sf), answer)
 
 
 @query("score_error_fallback")
@@ -701,9 +731,8 @@ def q_score_error_fallback(spark, sf):
 
 @query("score_interpretation")
 def q_score_interpretation(spark, sf):
-    out = sc.score_interpretation(_fallback(spark, sf))
-    return out.select("request_id", "rounded_admissions", "diff_vs_history", "abs_diff_rounded", "direction",
-                      "pct_vs_history", "advice")
+    return sc.answer_all(validated(spark, sf), lambda ok: sc.score_interpretation(_fallback(ok, history(spark, sf))).select(
+        "request_id", "rounded_admissions", "diff_vs_history", "abs_diff_rounded", "direction", "pct_vs_history", "advice"))
 
 
 # ---------------------------------------------------------------- station selection (landed weather rows)
@@ -820,40 +849,72 @@ def _feature_table(spark, sf):
     return feat.feature_matrix(f, features=cols), cols
 
 
+def bundle_root(spark: SparkSession, sf: str) -> str:
+    """Where the bundles of a data folder are, below the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/bundles/{hashlib.sha256(sf.encode()).hexdigest()[:16]}"
+
+
+def publish(spark: SparkSession, sf: str) -> int:
+    """The training job: fit both scoring pairs on the feature table and publish them with the history they were made from."""
+    fm, cols = _feature_table(spark, sf)
+    fm = materialize(fm)
+    models = {name: mdl.fit_pipeline(fm, cols, kind=kind, name=name, label=label) for kind, label, names in (
+        ("classifier", "High_Risk", ("Random Forest", "Gradient Boosting")),
+        ("regressor", "Total_Hospitalization", ("Random Forest Regressor", "Gradient Boosting Regressor"))) for name in names}
+    root = bundle_root(spark, sf)
+    number = sinks.publish_bundle(root, models=models, features=cols, history=fm, extra={"targets": ["High_Risk", "Total_Hospitalization"]})
+    delete_at_exit(spark, root)
+    return number
+
+
+def bundle(spark: SparkSession, sf: str):
+    """The newest published bundle of a data folder; the training job runs first where none is published."""
+    found = sinks.latest_bundle(spark, bundle_root(spark, sf))
+    if found is None:
+        publish(spark, sf)
+        found = sinks.latest_bundle(spark, bundle_root(spark, sf))
+    return found
+
+
+@query("train_bundle")
+def q_train_bundle(spark, sf):
+    """Publishes a version of the bundle and reads its manifest back: models with their stages, features in order, rows of history."""
+    publish(spark, sf)
+    models, features, hist, manifest = bundle(spark, sf)
+    rows = [(name, [type(s).__name__ for s in m.stages], len(features), features[0], features[-1]) for name, m in sorted(models.items())]
+    told = spark.createDataFrame(rows, "model string, stages array<string>, n_features int, first_feature string, last_feature string")
+    return told.select("model", F.array_join("stages", ",").alias("stages"), "n_features", "first_feature", "last_feature",
+                       hist.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("history_rows"))
+
+
 @query("score_nearest")
 def q_score_nearest(spark, sf):
-    """Nearest-day features -> random-forest probability and count -> capacity and band."""
-    fm, cols = _feature_table(spark, sf)
-    prep = materialize(mdl.prepare(fm, cols))
-    clf = mdl.fit_one(prep, kind="classifier", name="Random Forest", label="High_Risk")
-    reg = mdl.fit_one(prep, kind="regressor", name="Random Forest Regressor", label="Total_Hospitalization")
-    req = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date", "capacity")
-    near = sc.nearest_date_join(req, prep.select("borough", "Date"))
-    rows = near.join(prep.select("borough", F.col("Date").alias("matched_date"), "features"),
-                     on=["borough", "matched_date"], how="left")
-    out = sc.score_capacity(mdl.score_requests(rows, clf, reg))
-    return out.select("request_id", "borough", "req_date", "matched_date", "day_gap", "predicted_count",
-                      "high_risk_probability", "capacity", "additional_beds_needed", "utilization_percent",
-                      sc.risk_band(F.col("high_risk_probability")).alias("risk_level"))
+    """Nearest-day features -> the published forests' probability and count -> capacity and band; rejected requests get their error."""
+    models, features, hist, _ = bundle(spark, sf)
+
+    def answer(ok: DataFrame) -> DataFrame:
+        near = sc.nearest_date_join(ok.select("request_id", "borough", "req_date", "capacity"), hist.select("borough", "Date"))
+        rows = near.join(hist.select("borough", F.col("Date").alias("matched_date"), *features), on=["borough", "matched_date"], how="left")
+        out = sc.score_capacity(mdl.score_requests(rows, models["Random Forest"], models["Random Forest Regressor"]))
+        return out.select("request_id", "borough", "req_date", "matched_date", "day_gap", "predicted_count",
+                          "high_risk_probability", "capacity", "additional_beds_needed", "utilization_percent",
+                          sc.risk_band(F.col("high_risk_probability")).alias("risk_level"))
+
+    return sc.answer_all(validated(spark, sf), answer)
 
 
 @query("score_cascade")
 def q_score_cascade(spark, sf):
-    """Exact-day / month-mean / zero features -> boosted models -> binary band and count."""
-    fm, cols = _feature_table(spark, sf)
-    prep = materialize(mdl.prepare(fm, cols))
-    clf = mdl.fit_one(prep, kind="classifier", name="Gradient Boosting", label="High_Risk")
-    reg = mdl.fit_one(prep, kind="regressor", name="Gradient Boosting Regressor", label="Total_Hospitalization")
-    req = validated(spark, sf).where(F.col("status") == "ok").select("request_id", "borough", "req_date")
-    casc = sc.cascade_features(req, fm, cols)
-    train = fm.where(F.col("split") == "train")
-    z = feat.standardize(casc, cols, fit_on=train, suffix="__z")
-    from pyspark.ml.feature import VectorAssembler
-    vec = VectorAssembler(inputCols=[f"{c}__z" for c in cols], outputCol="features",
-                          handleInvalid="keep").transform(z)
-    out = mdl.score_requests(vec, clf, reg)
-    return out.select("request_id", "borough", "req_date", "match_level", "predicted_count", "high_risk_probability",
-                      sc.binary_band(F.col("risk_pred")).alias("risk_level"))
+    """Exact-day / month-mean / zero features -> the published boosted models -> binary band and count; rejected requests get their error."""
+    models, features, hist, _ = bundle(spark, sf)
+
+    def answer(ok: DataFrame) -> DataFrame:
+        rows = sc.cascade_features(ok.select("request_id", "borough", "req_date"), hist, features)
+        out = mdl.score_requests(rows, models["Gradient Boosting"], models["Gradient Boosting Regressor"])
+        return out.select("request_id", "borough", "req_date", "match_level", "predicted_count", "high_risk_probability",
+                          sc.binary_band(F.col("risk_pred")).alias("risk_level"))
+
+    return sc.answer_all(validated(spark, sf), answer)
 
 
 # ---------------------------------------------------------------- remaining cleaning / exploration entries
@@ -891,11 +952,10 @@ def q_rowwise_mean(spark, sf):
 
 @query("format_labels")
 def q_format_labels(spark, sf):
-    v = validated(spark, sf).where(F.col("status") == "ok")
-    return v.select("request_id", F.initcap("borough").alias("title_key"), F.upper("borough").alias("upper_key"),
-                    F.date_format("req_date", "yyyy-MM-dd").alias("iso_date"),
-                    F.date_format("req_date", "MMMM dd, yyyy").alias("long_date"),
-                    F.date_format("req_date", "EEEE").alias("weekday_name"))
+    return sc.answer_all(validated(spark, sf), lambda ok: ok.select(
+        "request_id", F.initcap("borough").alias("title_key"), F.upper("borough").alias("upper_key"),
+        F.date_format("req_date", "yyyy-MM-dd").alias("iso_date"), F.date_format("req_date", "MMMM dd, yyyy").alias("long_date"),
+        F.date_format("req_date", "EEEE").alias("weekday_name")))
 
 
 @query("lowess_grid")

@@ -81,7 +81,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
     sc = spark.sparkContext
     place = sc._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(sc._jsc.hadoopConfiguration()), place
@@ -89,10 +90,10 @@ def _file_system(spark: SparkSession, path: str):
 
 def delete_at_exit(spark: SparkSession, path: str) -> None:
     """Remove a written folder when the application ends (a lazily read result may need it until then)."""
-    fs, place = _file_system(spark, path)
+    fs, place = file_system(spark, path)
     fs.deleteOnExit(place)
 
 
 def delete_now(spark: SparkSession, path: str) -> None:
-    fs, place = _file_system(spark, path)
+    fs, place = file_system(spark, path)
     fs.delete(place, True)
