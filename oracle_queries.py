@@ -570,9 +570,10 @@ def _top(target: str) -> str:
 SQL["corr_target_top"] = f"WITH {PANEL} {_top('Total_Hospitalization')} UNION ALL {_top('Respiratory_Count')}"
 
 _LAGV = [f"{c}_lag{k}" for c in _WV for k in (1, 2, 3)]
-_FILT = _WV + _LAGV + [f"{c}_same_day" for c in _WV]
+_FILT = _WV + _LAGV + [f"{c}_same_day" for c in _WV] + [f"{c}_monthly" for c in _WV]
 SQL["corr_target_filtered"] = f"""WITH {PANEL}, lagged AS (
   SELECT Respiratory_Count, {", ".join(_WV)},
+    {", ".join(f"avg({c}) OVER (PARTITION BY borough, date_trunc('month', Date)) AS {c}_monthly" for c in _WV)},
     {", ".join(f"lag({c}, {k}) OVER (PARTITION BY borough ORDER BY Date) AS {c}_lag{k}" for c in _WV for k in (1, 2, 3))},
     {", ".join(f"{c} AS {c}_same_day" for c in _WV)}
   FROM panel),

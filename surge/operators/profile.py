@@ -7,11 +7,14 @@ per-column loop of jobs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surge.functions.columns import nan_to_null
 from surge.plans.stage import materialize
 
 def _long(one: DataFrame, rows: list[Column]) -> DataFrame:
@@ -64,27 +67,58 @@ def data_summary(df: DataFrame, *, key: str = "borough", date: str = "Date",
         *[F.sum(m).alias(f"sum_{m}") for m in measures if m in df.columns])
 
 
-def _corr(x: Column, y: Column) -> Column:
-    """Pearson r over pairs where both are present; NULL when either side is
-    constant on those pairs (ANSI-safe: no division by zero)."""
-    xp, yp = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(xp) * F.stddev_pop(yp))
+_MOMENTS = "a int, b int, n long, ma double, mb double, va double, vb double, c double"
+
+
+def co_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(a, b, n, ma, mb, va, vb, c): one small row per task and pair of columns (positions a <= b), over rows that have both.
+
+    ``ma``, ``mb`` are means, ``va``, ``vb``, ``c`` centred sums of squares and products.  A task multiplies its batches' value and
+    presence matrices, shifted by the first value seen in each column, so a row is read once whatever the number of pairs."""
+    d = len(cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot = np.full(d, np.nan)
+        n, sums, squares, products = (np.zeros((d, d)) for _ in range(4))
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(d)], axis=1) if batch.num_rows else np.zeros((0, d))
+            have = ~np.isnan(x)
+            new = np.isnan(pivot) & have.any(0)
+            pivot[new] = x[have.argmax(0)[new], new]
+            y = np.where(have, x - pivot, 0.0)
+            m = have.astype(float)
+            n += m.T @ m
+            sums += y.T @ m          # of a, where b is present
+            squares += (y * y).T @ m
+            products += y.T @ y
+        a, b = np.nonzero(np.triu(n > 0))
+        k = n[a, b]
+        sa, sb = sums[a, b], sums[b, a]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(k.astype(np.int64)), pa.array(pivot[a] + sa / k), pa.array(pivot[b] + sb / k),
+             pa.array(squares[a, b] - sa * sa / k), pa.array(squares[b, a] - sb * sb / k), pa.array(products[a, b] - sa * sb / k)],
+            names=["a", "b", "n", "ma", "mb", "va", "vb", "c"])
+
+    return df.select(*[nan_to_null(F.col(f"`{c}`")).alias(f"x{i}") for i, c in enumerate(cols)]).mapInArrow(run, _MOMENTS)
 
 
 def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(var1, var2, corr) for the given pairs: every row is unpivoted into one
-    (pair, x, y) record per pair - a fan-out fixed by the number of pairs - and
-    one grouped aggregate of six functions computes all correlations, instead
-    of one wide aggregate with several functions per pair."""
-    recs = [F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                     F.col(f"`{a}`").cast("double").alias("x"), F.col(f"`{b}`").cast("double").alias("y"))
-            for a, b in pairs]
-    long = df.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
-    got = long.groupBy("var1", "var2").agg(_corr(F.col("x"), F.col("y")).alias("corr"))
-    # every requested pair appears, with NULL when no row has both values (as a
-    # correlation matrix of an empty frame does)
-    wanted = df.sparkSession.createDataFrame(list(pairs), "var1 string, var2 string")
-    return wanted.join(got, on=["var1", "var2"], how="left")
+    """(var1, var2, corr) for the given pairs: Pearson r over the rows that have both values; NULL when there are none, or a
+    side is constant on them.
+
+    The co-moments of all tasks are merged around the least mean of a pair's parts, so a constant side has variance 0 exactly."""
+    cols = list(dict.fromkeys(c for p in pairs for c in p))
+    at = {c: i for i, c in enumerate(cols)}
+    parts = materialize(co_moments(df, cols))  # a few numbers per task and pair
+    low = parts.groupBy("a", "b").agg(F.min("ma").alias("ra"), F.min("mb").alias("rb"))
+    n, x, y = F.col("n"), F.col("ma") - F.col("ra"), F.col("mb") - F.col("rb")
+    got = parts.join(low, ["a", "b"]).groupBy("a", "b").agg(
+        F.sum("n").alias("n"), F.sum(n * x).alias("sx"), F.sum(n * y).alias("sy"), F.sum(F.col("va") + n * x * x).alias("xx"),
+        F.sum(F.col("vb") + n * y * y).alias("yy"), F.sum(F.col("c") + n * x * y).alias("xy"))
+    va, vb = F.col("xx") - F.col("sx") * F.col("sx") / n, F.col("yy") - F.col("sy") * F.col("sy") / n
+    got = got.select("a", "b", F.when((va > 0) & (vb > 0), F.try_divide(F.col("xy") - F.col("sx") * F.col("sy") / n, F.sqrt(va) * F.sqrt(vb))).alias("corr"))
+    wanted = df.sparkSession.createDataFrame([(p, q, min(at[p], at[q]), max(at[p], at[q])) for p, q in pairs], "var1 string, var2 string, a int, b int")
+    return wanted.join(got, on=["a", "b"], how="left").select("var1", "var2", "corr")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -537,6 +537,7 @@ def q_corr_listwise(spark, sf):
 def q_corr_target_filtered(spark, sf):
     p = panel(spark, sf).select("Date", "borough", "Respiratory_Count", *WEATHER_VARS[:3])
     lagged = feat.lag_features_series(p, WEATHER_VARS[:3], lags=(1, 2, 3))
+    lagged = pnl.monthly_join_back(lagged, sums=["Respiratory_Count"], means=WEATHER_VARS[:3])
     cols = [c for c in lagged.columns if c not in ("Date", "borough", "Respiratory_Count")]
     return prof.corr_target_filtered(lagged, "Respiratory_Count", cols)
 
@@ -838,8 +839,13 @@ def q_rebuild_model(spark, sf):
 
 @query("stl_decompose")
 def q_stl_decompose(spark, sf):
-    s = ser.daily_spine(series_panel(spark, sf), value="Asthma_Count", gap="zero")
-    return stl_.stl_decompose(s, value="Asthma_Count")
+    """Robust STL of both measures' prepared series (gaps, winsorised, clipped, log1p), for places with enough days."""
+    p = materialize(clean.filter_valid_keys(health(spark, sf), keys=src.VALID_PLACES))
+    parts = []
+    for measure in ("Respiratory_Count", "Asthma_Count"):
+        s = ser.min_length_series(ser.winsor_log_series(p.select("Date", "borough", measure), value=measure), value=measure, min_days=14)
+        parts.append(stl_.stl_decompose(s, value=measure).select(F.lit(measure).alias("measure"), "*"))
+    return parts[0].unionByName(parts[1])
 
 
 def _feature_table(spark, sf):
