@@ -10,17 +10,19 @@ two-level scan instead:
    value) is scanned in bucket order - it is tiny compared to the rows;
 3. the carry of every bucket is joined back and combined with the local result.
 
-Row numbers built this way turn row lags and rolling frames into equi-joins on
-(key, row number), which hash-partition evenly.
+Row lags and rolling frames use plain windows inside the buckets and a halo: the last rows before a bucket and the
+first rows after it, gathered from the bucket summaries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from surge.plans.stage import materialize
+
 UNB_PREC = Window.unboundedPreceding
 UNB_FOLL = Window.unboundedFollowing
 
@@ -98,27 +100,32 @@ def fill(df: DataFrame, cols: Sequence[str], *, keys: Sequence[str] = (), order:
     return out.drop(*tmp, *bk)
 
 
-def _fold(idx: DataFrame, keys: Sequence[str], shifts: dict[str, tuple[Sequence[int], Sequence[str]]]):
-    """Fan each indexed row out to itself (kind ``self``) and to the target rows
-    it feeds (row number + offset, per named shift), then fold everything that
-    lands on one (keys, row number) with a single grouped aggregate.  One
-    shuffle, a fan-out fixed by the offsets, and no self-join."""
-    keys = list(keys)
-    carried = [c for c in idx.columns if c not in (*keys, "_rn")]
-    types = dict(idx.dtypes)
-    recs = [F.struct(F.lit("self").alias("_kind"), F.col("_rn").alias("_t"),
-                     *[F.col(f"`{c}`").alias(c) for c in carried])]
-    for kind, (offsets, cols) in shifts.items():
-        for d in offsets:
-            recs.append(F.struct(F.lit(f"{kind}:{d}").alias("_kind"), (F.col("_rn") + d).alias("_t"),
-                                 *[(F.col(f"`{c}`") if c in cols else F.lit(None).cast(types[c])).alias(c)
-                                   for c in carried]))
-    ex = idx.select(*keys, F.explode(F.array(*recs)).alias("_r")).select(*keys, "_r.*")
-    return ex, carried
-
+def _with_halo(df: DataFrame, cols: Sequence[str], before: int, after: int, local: dict[str, Callable[[WindowSpec], Column]], *,
+               keys: Sequence[str], order: Sequence[str], buckets: Sequence[Column] | None) -> tuple[DataFrame, list[str]]:
+    """Rows with ``_at`` (1-based place in their bucket), ``_size`` (rows of the bucket), ``_rn`` (row number within keys), the ``local``
+    columns, and the halo of their bucket: ``_prev`` and ``_next``, arrays of the values of ``cols`` in the ``before`` rows that precede it
+    and the ``after`` rows that follow it.  Also returns the names of the helper columns.
 
-def _self_value(c: str) -> Column:
-    return F.first(F.when(F.col("_kind") == "self", F.col(f"`{c}`")), ignorenulls=True).alias(c)
+    One shuffle by (keys, bucket) sorts the rows; the result is a stage boundary, from which one small row per bucket (its first and
+    last rows) is taken and scanned in bucket order.  The input is read once, no row is sent twice, and parallelism is the
+    number of buckets of all keys."""
+    keys, order = list(keys), list(order)
+    b, bk = _bucketed(df, buckets, order)
+    inside = Window.partitionBy(*keys, *bk)
+    rows = b.select("*", F.row_number().over(inside.orderBy(*order)).alias("_at"), F.count(F.lit(1)).over(inside).alias("_size"),
+                    *[f(inside.orderBy(*order)).alias(n) for n, f in local.items()])
+    rows = materialize(rows)
+    values = F.struct(F.col("_at").alias("at"), *[F.col(f"`{c}`").alias(c) for c in cols])
+    last, first = F.col("_at") > F.col("_size") - before, F.col("_at") <= after
+    edges = rows.where(last | first | (F.col("_at") == 1)).groupBy(*keys, *bk, "_size").agg(
+        F.sort_array(F.collect_list(F.when(last, values))).alias("_tail"), F.sort_array(F.collect_list(F.when(first, values))).alias("_head"))
+    seq = Window.partitionBy(*keys).orderBy(*bk)
+    prev = F.flatten(F.collect_list("_tail").over(seq.rowsBetween(-max(before, 1), -1)))
+    nxt = F.flatten(F.collect_list("_head").over(seq.rowsBetween(1, max(after, 1))))
+    edges = edges.select(*keys, *bk, F.coalesce(F.sum("_size").over(seq.rowsBetween(UNB_PREC, -1)), F.lit(0)).alias("_off"),
+                         F.slice(prev, F.greatest(F.size(prev) - before + 1, F.lit(1)), before).alias("_prev"), F.slice(nxt, 1, after).alias("_next"))
+    out = rows.join(edges, on=[*keys, *bk]).withColumn("_rn", (F.col("_at") + F.col("_off")).cast("long"))
+    return out, ["_at", "_size", "_off", "_prev", "_next", "_rn", *bk, *local]
 
 
 def lag_rows(df: DataFrame, cols: Sequence[str], lags: Sequence[int], *, keys: Sequence[str] = (),
@@ -126,17 +133,23 @@ def lag_rows(df: DataFrame, cols: Sequence[str], lags: Sequence[int], *, keys: S
              name: str = "{col}_lag{k}") -> DataFrame:
     """Value ``k`` rows earlier per ``keys`` in ``order`` for each col and lag.
 
-    Row numbers come from ``row_index``; every row is then sent to itself and
-    to the rows ``k`` further on, and one grouped aggregate on (keys, row
-    number) picks each lag - no task holds a whole key and there is no join."""
-    keys, cols = list(keys), list(cols)
-    idx = row_index(df, keys=keys, order=order, buckets=buckets, name="_rn")
-    ex, carried = _fold(idx, keys, {"lag": (list(lags), cols)})
-    g = ex.groupBy(*keys, "_t").agg(
-        F.count_if(F.col("_kind") == "self").alias("_n_self"), *[_self_value(c) for c in carried],
-        *[F.first(F.when(F.col("_kind") == f"lag:{k}", F.col(f"`{c}`")), ignorenulls=True)
-          .alias(name.format(col=c, k=k)) for k in lags for c in cols])
-    return g.where(F.col("_n_self") > 0).select(*df.columns, *[name.format(col=c, k=k) for k in lags for c in cols])
+    Rows of a bucket are lagged by a plain window; the first rows of a bucket take their
+    values from its halo, the last rows before it."""
+    keys, cols, lags = list(keys), list(cols), list(lags)
+    local = {f"_l{k}_{i}": (lambda w, c=c, k=k: F.lag(F.col(f"`{c}`"), k).over(w)) for k in lags for i, c in enumerate(cols)}
+    rows, _ = _with_halo(df, cols, max(lags, default=0), 0, local, keys=keys, order=order, buckets=buckets)
+
+    def lagged(i: int, c: str, k: int) -> Column:
+        held = F.get("_prev", F.size("_prev") + F.col("_at") - 1 - k)
+        return F.when(F.col("_at") > k, F.col(f"_l{k}_{i}")).otherwise(held.getField(c)).alias(name.format(col=c, k=k))
+
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], *[lagged(i, c, k) for k in lags for i, c in enumerate(cols)])
+
+
+def _present(rows: Column, c: str) -> Column:
+    """The non-missing values of a field in an array of rows; none for a NULL array."""
+    values = F.filter(F.transform(rows, lambda x: x.getField(c).cast("double")), lambda v: v.isNotNull())
+    return F.coalesce(values, F.array().cast("array<double>"))
 
 
 def rolling_mean_rows(df: DataFrame, cols: Sequence[str], *, window: int = 7, shift: int = 0,
@@ -147,19 +160,36 @@ def rolling_mean_rows(df: DataFrame, cols: Sequence[str], *, window: int = 7, sh
     before each row (min one value), per ``keys``.  A negative ``shift`` centres
     the window (``shift=-3, window=7``: three rows either side).
 
-    Each row is sent to itself and to the ``window`` rows it contributes to,
-    and one grouped aggregate folds them - a bounded fan-out instead of one task
-    per key.  ``count_name`` adds the number of values averaged."""
+    A plain window sums the rows of the same bucket; the part of the frame that lies outside is summed from the bucket's
+    halo.  ``count_name`` adds the number of values averaged, ``_rn`` the row number."""
     keys, cols = list(keys), list(cols)
-    idx = row_index(df, keys=keys, order=order, buckets=buckets, name="_rn")
-    ex, carried = _fold(idx, keys, {"win": (list(range(shift, shift + window)), cols)})
-    in_win = F.col("_kind").startswith("win:")
-    aggs = [F.count_if(F.col("_kind") == "self").alias("_n_self"), *[_self_value(c) for c in carried],
-            *[F.avg(F.when(in_win, F.col(f"`{c}`"))).alias(name.format(col=c, w=window)) for c in cols]]
-    extra = []
-    if count_name:
-        aggs += [F.count(F.when(in_win, F.col(f"`{c}`"))).alias(count_name.format(col=c)) for c in cols]
-        extra = [count_name.format(col=c) for c in cols]
-    g = ex.groupBy(*keys, "_t").agg(*aggs)
-    out_cols = [*df.columns, *[name.format(col=c, w=window) for c in cols], *extra]
-    return g.where(F.col("_n_self") > 0).select(*out_cols, F.col("_t").alias("_rn"))
+    low, high = -shift - window + 1, -shift
+    local = {}
+    for i, c in enumerate(cols):
+        local[f"_s{i}"] = lambda w, c=c: F.sum(F.col(f"`{c}`").cast("double")).over(w.rowsBetween(low, high))
+        local[f"_c{i}"] = lambda w, c=c: F.count(F.col(f"`{c}`")).over(w.rowsBetween(low, high))
+    before, after = max(-low, 0), max(high, 0)
+    rows, _ = _with_halo(df, cols, before, after, local, keys=keys, order=order, buckets=buckets)
+    # The frame covers the places _at + low .. _at + high; of _prev those below 1, of _next those above _size.
+    held = F.size("_prev")
+    from_prev = F.greatest(held + F.col("_at") + low, F.lit(1))
+    n_prev = F.greatest(F.least(held, held + F.col("_at") + high) - from_prev + 1, F.lit(0))
+    from_next = F.greatest(F.col("_at") + low - F.col("_size"), F.lit(1)).cast("int")
+    n_next = F.greatest(F.col("_at") + high - F.col("_size") - from_next + 1, F.lit(0)).cast("int")
+    outside = []
+    if before:
+        outside.append(F.when(n_prev > 0, F.slice("_prev", from_prev, n_prev)))
+    if after:
+        outside.append(F.when(n_next > 0, F.slice("_next", from_next, n_next)))
+    rows = rows.withColumns({f"_o{j}": x for j, x in enumerate(outside)})
+    means, counts = [], []
+    for i, c in enumerate(cols):
+        total, count = F.coalesce(F.col(f"_s{i}"), F.lit(0.0)), F.col(f"_c{i}")
+        for j in range(len(outside)):
+            values = _present(F.col(f"_o{j}"), c)
+            total = total + F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+            count = count + F.size(values)
+        means.append(F.try_divide(total, count.cast("double")).alias(name.format(col=c, w=window)))
+        if count_name:
+            counts.append(count.cast("long").alias(count_name.format(col=c)))
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], *means, *counts, "_rn")

@@ -1,10 +1,11 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pandas as pd
 
 from surge.operators.impute import impute_series, interpolate_limited
-from surge.operators.ordered import fill, lag_rows, row_index
+from surge.operators.ordered import fill, lag_rows, rolling_mean_rows, row_index
 
 
 def _frame(spark, n=400, keys=("a", "b", "c"), seed=7):
@@ -112,3 +113,46 @@ def test_impute_and_prune_equals_two_step(spark):
     assert sorted(map(tuple, fused.collect()), key=lambda t: (t[0], t[1])) == \
         sorted(map(tuple, two.collect()), key=lambda t: (t[0], t[1]))
     assert key is not None
+
+
+def test_halo_over_short_and_empty_buckets(spark):
+    """Buckets of one to three rows, months without rows, keys of one row: lags and frames equal pandas over the whole key."""
+    import random
+    rng = random.Random(12)
+    rows = []
+    for key in ("a", "b", "c"):
+        day = dt.date(2020, 1, 15)
+        for _ in range(40 if key != "c" else 1):
+            rows.append((key, day, rng.choice([None, float(rng.randrange(50))]), rng.randrange(9)))
+            day += dt.timedelta(days=rng.choice([1, 9, 25, 70]))
+    df = spark.createDataFrame(rows, "k string, Date date, v double, n int").repartition(3)
+    pdf = pd.DataFrame(rows, columns=["k", "Date", "v", "n"]).sort_values(["k", "Date"])
+    got = lag_rows(df, ["v", "n"], [1, 7], keys=["k"]).toPandas().sort_values(["k", "Date"])
+    for c in ("v", "n"):
+        for k in (1, 7):
+            np.testing.assert_array_equal(got[f"{c}_lag{k}"].astype(float).to_numpy(), pdf.groupby("k")[c].shift(k).astype(float).to_numpy())
+    for window, shift in ((7, 1), (7, -3), (5, 0), (3, -4), (2, 6)):
+        got = rolling_mean_rows(df, ["v"], window=window, shift=shift, keys=["k"], count_name="cnt").toPandas().sort_values(["k", "Date"])
+        at = pdf.groupby("k")["v"].transform(lambda s: pd.Series(
+            [pd.Series(s.to_numpy()[max(i - shift - window + 1, 0):max(i - shift + 1, 0)]).mean() for i in range(len(s))], index=s.index))
+        np.testing.assert_allclose(got[f"v_roll{window}"].astype(float).to_numpy(), at.to_numpy(), rtol=1e-12)
+        assert got["_rn"].tolist() == (pdf.groupby("k").cumcount() + 1).tolist()
+    frame = lag_rows(df, ["v"], [3], order=["Date", "k"]).toPandas().sort_values(["Date", "k"])
+    np.testing.assert_array_equal(frame["v_lag3"].astype(float).to_numpy(), pdf.sort_values(["Date", "k"])["v"].shift(3).astype(float).to_numpy())
+    assert lag_rows(df.limit(0), ["v"], [1], keys=["k"]).count() == 0
+
+
+def test_halo_reads_the_input_once(spark, tmp_path):
+    """The job that makes the halo's stage scans the input once and shuffles its rows once."""
+    df = spark.createDataFrame([("a", dt.date(2020, 1, 1), 1.0)], "k string, Date date, v double")
+    df.write.parquet(str(tmp_path / "in"))
+    seen = []
+    import surge.operators.ordered as ordered
+    keep = ordered.materialize
+    ordered.materialize = lambda x: seen.append(x._jdf.queryExecution().executedPlan().toString()) or keep(x)
+    try:
+        out = rolling_mean_rows(spark.read.parquet(str(tmp_path / "in")), ["v"], keys=["k"])
+    finally:
+        ordered.materialize = keep
+    assert len(seen) == 1 and seen[0].count("FileScan parquet") == 1 and seen[0].count("Exchange hashpartitioning") == 1
+    assert "FileScan parquet" not in out._jdf.queryExecution().executedPlan().toString()
