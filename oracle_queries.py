@@ -858,3 +858,12 @@ FROM ok""", "request_id")}"""
 SQL["sink_classification_results"] = SQL["classification_metrics"]
 SQL["sink_regression_results"] = SQL["regression_metrics"]
 SQL["sink_components"] = SQL["additive_decompose"]
+
+# ---------------------------------------------------------------- split counts in closed form
+
+SQL["stratified_split"] = f"""WITH {FEATURES},
+n AS (SELECT High_Risk, count(*) AS n FROM features GROUP BY High_Risk),
+c AS (SELECT High_Risk, n, CAST(round(n * 0.15) AS BIGINT) AS t FROM n),
+d AS (SELECT High_Risk, n, t, CAST(round((n - t) * 0.176) AS BIGINT) AS v FROM c)
+SELECT High_Risk, 'test' AS split, t AS n_rows FROM d UNION ALL SELECT High_Risk, 'val', v FROM d
+UNION ALL SELECT High_Risk, 'train', n - t - v FROM d"""

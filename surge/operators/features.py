@@ -105,24 +105,22 @@ def temporal_split(df: DataFrame, *, train_years: Iterable[int], val_years: Iter
 
 def stratified_split(df: DataFrame, *, label: str, id_cols: Sequence[str], test: float = 0.15,
                      val: float = 0.176, seed: int = 42, name: str = "split") -> DataFrame:
-    """Deterministic stratified split (test share, then val share of the rest) per class.
+    """Deterministic stratified split (test share, then val share of the rest) per class, with exact counts.
 
-    Rows are ordered inside each class by a seeded hash of their id and cut at
-    the class's exact share.  The rank comes from ``percent_rank`` over a
-    (class, hash-bucket) two-level count, so no class sits in one task."""
-    from surge.operators.ordered import row_index
+    Rows are ordered inside each class by a seeded hash of their id; the hashes at the class's two cuts are found by distributed
+    selection, and a row's side follows from comparing its hash with them: no row is shuffled for it.  Of rows that
+    repeat an id all fall on one side.  A label has few classes; rows without one get NULL."""
+    from surge.operators.quantile import rank_values
     h = F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))
-    tagged = df.withColumn("_h", h)
-    # 1024 hash ranges, monotone in the hash, are the scan buckets
-    bucket = F.floor((F.col("_h").cast("double") / float(2 ** 63) + 1.0) * 512)
-    idx = row_index(tagged, keys=[label], order=["_h", *id_cols], buckets=[bucket], name="_rank")
-    n = tagged.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    j = idx.join(n, on=[label])
-    n_test = F.round(F.col("_n") * test)
-    n_val = F.round((F.col("_n") - n_test) * val)
-    return j.withColumn(name, F.when(F.col("_rank") <= n_test, "test")
-                               .when(F.col("_rank") <= n_test + n_val, "val").otherwise("train")) \
-            .drop("_h", "_rank", "_n")
+    n_test = F.round(F.col("n") * test)
+    cuts = {"test": n_test, "val": n_test + F.round((F.col("n") - n_test) * val)}
+    found = rank_values(df.select(F.col(label), h.alias("_h")), label, "_h", cuts)
+    said = found.groupBy(label).agg(F.max(F.when(F.col("p") == "test", F.col("value"))).alias("test"),
+                                    F.max(F.when(F.col("p") == "val", F.col("value"))).alias("val"))
+    by_class = said.agg(F.map_from_entries(F.collect_list(F.struct(F.col(label), F.struct("test", "val")))).alias("m")).select("m").scalar()
+    cut = F.element_at(by_class, F.col(label))
+    return df.withColumn(name, F.when(F.col(label).isNull(), F.lit(None)).when(h <= cut.getField("test"), "test")
+                                .when(h <= cut.getField("val"), "val").otherwise("train"))
 
 
 def feature_columns(df: DataFrame, *, exclude: Iterable[str] = EXCLUDE_FEATURES) -> list[str]:

@@ -35,7 +35,9 @@ def _refined(values: DataFrame, sought: DataFrame, groups: list[str]) -> DataFra
     grid = inside.groupBy(*of).agg(F.percentile_approx("_v", steps, F.lit(GRID * 32)).alias("_grid"))
     step = F.floor((F.col("_k") - F.col("_before")) / F.col("_size") * GRID).cast("int")
     pivots = materialize(grid.join(sought, of).withColumns({
-        "_a": F.get("_grid", F.greatest(step - 1, F.lit(0))), "_b": F.get("_grid", F.least(step + 2, F.lit(GRID)))}).drop("_grid"))
+        "_a": F.get("_grid", F.greatest(step - 1, F.lit(0))), "_b": F.get("_grid", F.least(step + 2, F.lit(GRID)))})
+        # the sketch rounds large longs: within the range every part is smaller than the whole
+        .withColumns({c: F.greatest("_lo", F.least("_hi", c)) for c in ("_a", "_b")}).drop("_grid"))
     part = F.when(v < F.col("_a"), 0).when(v == F.col("_a"), 1).when(v < F.col("_b"), 2).when(v == F.col("_b"), 3).otherwise(4)
     inside = values.join(pivots, groups).where((v >= F.col("_lo")) & (v <= F.col("_hi")))
     parts = inside.groupBy(*of, part.alias("_part")).agg(F.count(F.lit(1)).alias("_m"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
@@ -47,6 +49,26 @@ def _refined(values: DataFrame, sought: DataFrame, groups: list[str]) -> DataFra
                       F.col("_m").alias("_size"), F.coalesce("_after", "_nxt").alias("_nxt"))
 
 
+def _located(values: DataFrame, sought: DataFrame, groups: list[str], small: int) -> DataFrame:
+    """``sought`` with ``_low``, the value of rank ``_k`` (from 0) of its group, and ``_high``, the value of the next rank (or ``_low`` again).
+
+    ``values`` (groups, _v) is a written table; ``sought`` has one row for each group and name ``p`` of a rank: (groups, p, _k, _share,
+    _lo, _hi, _before, _size, _nxt), with the group's range and size."""
+    sought = materialize(sought)
+    wide = (F.col("_size") > small) & (F.col("_lo") < F.col("_hi"))
+    while not (left := sought.where(wide)).isEmpty():
+        sought = materialize(sought.where(~wide).unionByName(_refined(values, left, groups)))
+    one = F.col("_lo") == F.col("_hi")
+    within = values.join(sought.where(~one), groups).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    lists = within.groupBy(*groups, "p").agg(F.sort_array(F.collect_list("_v")).alias("_list"))  # at most ``small`` values
+    j = sought.join(lists, [*groups, "p"], "left")
+    at = (F.col("_k") - F.col("_before")).cast("int")
+    low = F.when(one, F.col("_lo")).otherwise(F.get("_list", at))
+    last = F.col("_k") + 1 >= F.col("_before") + F.col("_size")
+    high = F.when(last, F.coalesce("_nxt", low)).when(one, F.col("_lo")).otherwise(F.get("_list", at + 1))
+    return j.withColumns({"_low": low, "_high": high})
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *, keys: Sequence[str] = (),
                     small: int = SMALL) -> DataFrame:
     """(keys..., variable, p, value): linearly interpolated quantiles of each column per key.
@@ -63,21 +85,25 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     sought = span.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))).select(
         *groups, "p", F.floor(rank).cast("long").alias("_k"), (rank - F.floor(rank)).alias("_share"), "_lo", "_hi",
         F.lit(0).cast("long").alias("_before"), "_size", F.lit(None).cast("double").alias("_nxt"))
-    sought = materialize(sought)  # one row for each group, column and probability
-    wide = (F.col("_size") > small) & (F.col("_lo") < F.col("_hi"))
-    while not (left := sought.where(wide)).isEmpty():
-        sought = materialize(sought.where(~wide).unionByName(_refined(values, left, groups)))
-    one = F.col("_lo") == F.col("_hi")
-    within = values.join(sought.where(~one), groups).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    lists = within.groupBy(*groups, "p").agg(F.sort_array(F.collect_list("_v")).alias("_list"))  # at most ``small`` values
-    j = sought.join(lists, [*groups, "p"], "left")
-    at = (F.col("_k") - F.col("_before")).cast("int")
-    low = F.when(one, F.col("_lo")).otherwise(F.get("_list", at))
-    last = F.col("_k") + 1 >= F.col("_before") + F.col("_size")
-    high = F.when(last, F.coalesce("_nxt", low)).when(one, F.col("_lo")).otherwise(F.get("_list", at + 1))
+    j = _located(values, sought, groups, small)  # one row for each group, column and probability
+    low, high = F.col("_low"), F.col("_high")
     return j.select(*groups, "p", F.when(F.col("_share") == 0, low).otherwise(low + (high - low) * F.col("_share")).alias("value"))
 
 
+def rank_values(values: DataFrame, group: str, value: str, ranks: dict[str, Column], *, small: int = SMALL) -> DataFrame:
+    """(group, p, rank, value): for each group and named rank (from 1, an expression of ``n``, the group's size) the value of that rank,
+    NULL for rank 0.  Values are longs; missing groups and values do not count."""
+    values = materialize(values.select(F.col(f"`{group}`").alias("_g"), F.col(f"`{value}`").cast("long").alias("_v")).dropna())
+    span = values.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), r.cast("long").alias("rank")) for p, r in ranks.items()]))
+    named = span.withColumn("_r", each).select("_g", "n", "_lo", "_hi", "_r.*")
+    sought = named.where("rank > 0").select("_g", "p", (F.col("rank") - 1).alias("_k"), F.lit(0.0).alias("_share"), "_lo", "_hi",
+                                            F.lit(0).cast("long").alias("_before"), F.col("n").alias("_size"), F.lit(None).cast("long").alias("_nxt"))
+    found = _located(values, sought, ["_g"], small).select("_g", "p", (F.col("_k") + 1).alias("rank"), F.col("_low").alias("value"))
+    none = named.where("rank = 0").select("_g", "p", "rank", F.lit(None).cast("long").alias("value"))
+    return found.unionByName(none).withColumnRenamed("_g", group)
+
+
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *, keys: Sequence[str] = (), **kw) -> DataFrame:
     """(keys..., variable, q0, q1, ...): the quantiles of ``exact_quantiles`` side by side, in the order of ``probs``."""
     found = exact_quantiles(df, cols, probs, keys=keys, **kw)

@@ -803,7 +803,7 @@ def q_clf_knn(spark, sf):
 
 @query("stratified_split")
 def q_stratified_split(spark, sf):
-    f = features(spark, sf)
+    f = materialize(features(spark, sf))
     s = feat.stratified_split(f, label="High_Risk", id_cols=["Date", "borough"])
     return s.groupBy("High_Risk", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 

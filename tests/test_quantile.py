@@ -47,3 +47,32 @@ def test_no_exact_percentile_on_rows(spark):
     df = spark.range(1000).selectExpr("cast(id as double) v", "id % 3 k")
     plan = quantile.exact_quantiles(df, ["v"], [0.5], keys=["k"])._jdf.queryExecution().toString()
     assert "percentile(" not in plan.lower()
+
+
+def test_ranks_of_longs(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(2)
+    groups = {"a": [rng.randrange(-2 ** 63, 2 ** 63) for _ in range(700)], "b": [5] * 40, "c": [2 ** 62 + 1, 2 ** 62 + 3, 2 ** 62 + 2]}
+    rows = [(k, v) for k, vs in groups.items() for v in vs] + [(None, 1), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(3)
+    ranks = {"none": F.lit(0), "first": F.lit(1), "half": F.ceil(F.col("n") / 2), "all": F.col("n")}
+    got = {(r["k"], r["p"]): r["value"] for r in quantile.rank_values(df, "k", "v", ranks, small=4).collect()}
+    for k, vs in groups.items():
+        vs = sorted(vs)
+        assert [got[k, p] for p in ranks] == [None, vs[0], vs[(len(vs) + 1) // 2 - 1], vs[-1]]
+
+
+def test_stratified_split_is_exact_and_moves_no_rows(spark):
+    from surge.operators.features import stratified_split
+    df = spark.createDataFrame([(i, i % 3 if i % 10 else None) for i in range(1000)], "id long, y int").repartition(4).persist()
+    out = stratified_split(df, label="y", id_cols=["id"])
+    count = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
+    for y in range(3):
+        n = sum(v for (k, _), v in count.items() if k == y)
+        t = math.floor(n * 0.15 + 0.5)
+        assert count[y, "test"] == t and count[y, "val"] == math.floor((n - t) * 0.176 + 0.5)
+    assert count[None, None] == 100
+    again = stratified_split(df.repartition(7), label="y", id_cols=["id"])
+    assert sorted(map(tuple, out.select("id", "split").collect()), key=str) == sorted(map(tuple, again.select("id", "split").collect()), key=str)
+    rows_plan = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "Exchange" not in rows_plan and "Window" not in rows_plan
