@@ -71,6 +71,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that do not stay; rows are told apart by id."""
-    gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_exact_gone"))
-    return docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("_exact_gone")), "left_anti")
+    """``docs`` with one row of each group of equal texts, the one of the largest id; columns unchanged.
+
+    Rows are told apart by id and normalised text, so an id may stand for several texts; of rows that repeat both, one stays.
+    """
+    pairs = exact_groups(docs, id_col, text_col).groupBy("doc_id", "text_sha256").agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times")).where("NOT kept OR times > 1")
+    pairs = staged(pairs.select(F.col("doc_id").alias("_exact_doc"), F.col("text_sha256").alias("_exact_text"), F.col("kept").alias("_exact_kept")), "exact-pairs")
+    rows = docs.withColumns({"_exact_id": F.col(f"`{id_col}`"), "_exact_sha": F.sha2(normalised(F.col(f"`{text_col}`")), 256)})
+    same = (F.col("_exact_sha") == F.col("_exact_text")) & F.col("_exact_id").eqNullSafe(F.col("_exact_doc"))
+    single = rows.join(pairs, same, "left_anti")
+    again = rows.join(pairs.where("_exact_kept"), same, "left_semi").dropDuplicates(["_exact_id", "_exact_sha"])
+    return single.unionAll(again).drop("_exact_id", "_exact_sha")
