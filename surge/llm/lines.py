@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surge.llm import ngram_join as join
@@ -131,7 +131,7 @@ def earlier_matches(tiles: DataFrame, sets_of: join.Sets, ranks: np.ndarray, num
         for batch in batches:
             for piece in slices(batch, "text"):
                 doc, code, count = sets_of(piece.column("text"))
-                order = np.lexsort((code, ranks[(code >> np.uint64(46)).astype(np.int64)], doc))
+                order = np.lexsort((code, ranks[join.cells_of(code)], doc))
                 found = join.split_sets(doc, code[order], count)
                 cols = [piece.column(c).to_pylist() for c in ("key", "id", "side", "doc_id", "line_no")]
                 for k, *row in zip(*cols, found, strict=True):
@@ -147,12 +147,14 @@ def earlier_matches(tiles: DataFrame, sets_of: join.Sets, ranks: np.ndarray, num
         .mapInArrow(run, "id long, match_doc long, match_line long")
 
 
-def repeated_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text",
+                   with_hash: bool = False) -> DataFrame:
     """(doc_id, line_no, match_doc, match_line): every line that an earlier line matches, with its earliest match.
 
     Lines end at a line feed and count from 0.  Words are runs between ASCII white space, lower-cased A-Z; blank lines, null
-    and empty texts have no tokens and match nothing.  Rows with a null id are left out; rows that share an id and
-    text repeat each other's lines, of which one stays.  An empty table gives an empty result; other columns are not read.
+    and empty texts have no tokens and match nothing.  Rows with a null id are left out; a line that rows of one id share at
+    one place is its own match, and stays once.  An empty table gives an empty result; other columns are not read.
+    ``with_hash`` adds ``line_hash`` (xxhash64 of the line), which tells apart the lines of different texts under one id.
     """
     def sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
         return join.shingle_sets(column, k)
@@ -179,15 +181,45 @@ def repeated_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
     told = classes.join(early, "id", "left").where("size > 1 OR early IS NOT NULL").select(
         *sig, F.coalesce("early", F.struct(F.col("rep_doc").alias("match_doc"), F.col("rep_line").cast("long").alias("match_line"))).alias("match"),
         F.col("id").alias("rep"), "early", F.explode(F.sequence(F.lit(0), F.lit(join.SALTS - 1))).alias("salt"))
-    dealt = signed.select("id", "doc_id", "line_no", *sig).withColumn("salt", F.pmod(F.hash("doc_id", "line_no"), F.lit(join.SALTS)))
+    dealt = signed.select("id", "doc_id", "line_no", "check", *sig).withColumn("salt", F.pmod(F.hash("doc_id", "line_no"), F.lit(join.SALTS)))
     return dealt.join(told, [*sig, "salt"]).where("id <> rep OR early IS NOT NULL") \
-        .select("doc_id", F.col("line_no").cast("long").alias("line_no"), "match.match_doc", "match.match_line")
+        .select("doc_id", F.col("line_no").cast("long").alias("line_no"), "match.match_doc", "match.match_line",
+                *([F.col("check").alias("line_hash")] if with_hash else []))
 
 
 def drop_lines(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the repeated lines; other columns, and documents without such lines, unchanged."""
-    gone = repeated.groupBy("doc_id").agg(F.collect_set("line_no").alias("_line_gone")).withColumnRenamed("doc_id", "_line_doc")  # a document's own lines
+    """``docs`` without the repeated lines; other columns, and documents without such lines, unchanged.
+
+    A line goes by id, place and hash, so different texts under one id keep their own lines; without ``line_hash`` it goes
+    only where all rows of its id have the same line at that place.  Of a line that is its own
+    match (rows that share id, place and line) the row with the least text keeps it; equal rows are told apart, one keeps it.
+    """
+    if "line_hash" not in repeated.columns:
+        held = line_table(docs.join(repeated.select(F.col("doc_id").alias("_line_doc")).distinct(), F.col(f"`{id_col}`").cast("long") == F.col("_line_doc"), "left_semi"),
+                          id_col, text_col).groupBy("doc_id", "line_no").agg(F.min(F.xxhash64("text")).alias("line_hash"), F.max(F.xxhash64("text")).alias("_most"))
+        repeated = repeated.join(held.where(F.col("line_hash") == F.col("_most")).drop("_most"), ["doc_id", "line_no"])
+    own = F.col("match_doc").eqNullSafe(F.col("doc_id")) & (F.col("match_line") == F.col("line_no"))
+    spot = F.struct(F.col("line_no").alias("line_no"), F.col("line_hash").alias("line_hash"))
+    gone = repeated.groupBy("doc_id").agg(F.collect_set(F.when(~own, spot)).alias("_line_gone"), F.collect_set(F.when(own, spot)).alias("_line_own")) \
+        .withColumnRenamed("doc_id", "_line_doc")  # a document's own lines
     joined = docs.withColumn("_line_key", F.col(f"`{id_col}`").cast("long")).join(gone, F.col("_line_key") == F.col("_line_doc"), "left")
-    left = F.filter(F.split(F.col(f"`{text_col}`"), "\n"), lambda _, i: ~F.array_contains(F.col("_line_gone"), i.cast("long")))
-    new = F.when(F.col("_line_gone").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(left, "\n"))
-    return joined.withColumn("_line_text", new).select(*[F.col("_line_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    parts = F.transform(F.split(F.col(f"`{text_col}`"), "\n"), lambda x, i: F.struct(i.cast("long").alias("line_no"), F.xxhash64(x).alias("line_hash"), x.alias("line")))
+    rows = joined.withColumn("_line_parts", parts)
+    # Rows with lines of their own: each such line stays in the first row of the id that has it.  Such rows repeat an id.
+    shared = F.size(F.coalesce("_line_own", F.array())) > 0
+    order = Window.partitionBy("_line_key").orderBy(F.col(f"`{text_col}`"))
+    several = rows.where(shared).withColumn("_line_row", F.row_number().over(order))
+    has = F.filter("_line_own", lambda s: F.exists("_line_parts", lambda p: (p["line_no"] == s["line_no"]) & (p["line_hash"] == s["line_hash"])))
+    before = F.flatten(F.collect_list(has).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    several = several.withColumn("_line_before", F.array_intersect(has, before)) \
+        .withColumn("_line_gone", F.array_union("_line_gone", "_line_before")).drop("_line_row", "_line_before")
+    rows = rows.where(~shared).unionAll(several)
+    left = F.filter("_line_parts", lambda p: ~F.exists("_line_gone", lambda s: (s["line_no"] == p["line_no"]) & (s["line_hash"] == p["line_hash"])))
+    new = F.when(F.col("_line_gone").isNull() | F.col(f"`{text_col}`").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(F.transform(left, lambda p: p["line"]), "\n"))
+    return rows.withColumn("_line_text", new).select(*[F.col("_line_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+
+
+def dedup_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the lines that an earlier line matches; rules as in ``repeated_lines`` and ``drop_lines``."""
+    found = staged(repeated_lines(docs, k, num, den, id_col, text_col, with_hash=True), "line-repeats")
+    return drop_lines(docs, found, id_col, text_col)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surge.llm.staging import staged
+from surge.llm.staging import release, staged
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -27,10 +27,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = staged(large, "links-large")
+        before, now = now, staged(large, "links-large")
+        release(before)
+        large = now
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionAll(least.select("u", F.col("m").alias("v"))).distinct()
         now = staged(small, "links-small")
+        release(large)
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)

@@ -4,14 +4,15 @@ Documents are rows, n-grams columns of a 0/1 incidence matrix; A A' holds the
 overlap of every pair.  Only the part that can matter is multiplied:
 
 * Documents with equal n-gram sets are one row (their class; smallest id stands for it).
-* Sizes bound a pair: rows of similarity t differ in at most D columns, D from their sizes.
-  Of D + 3 parts into which the columns are dealt by hash at least three are then equal, so
-  only rows that share an equal part, and whose sizes allow t, are bundled; all other pairs
-  are below the bound.
+* Sizes bound a pair: rows of similarity t share one of their rarest columns, as many as t allows to differ, and
+  one.  Rarity comes from a count sketch over all rows, so rows that only share a common passage do not meet.  Rows that
+  share such a column, and whose sizes allow t, are bundled; all other pairs are below the bound.
+* Bundles too large for a tile are dealt again: sizes bound the columns in which a pair differs by D; of D + 3
+  parts into which columns are dealt by hash at least three are equal, so only rows with an equal part stay together.
 * Bundles are cut into tiles of bounded size, and each pair of tiles whose sizes allow
-  t is multiplied in one task (texts move there, as they are smaller than their sets), block of columns by block of columns, overlap counts
-  accumulating in a dense tile.  A tile pair sends out the links it found as a forest,
-  never its pairs.
+  t is multiplied in one task (texts move there, as they are smaller than their sets), row by row: overlap counts accumulate
+  for one row's partners, and pairs below the size-derived bound go at once.  A tile pair sends out
+  the links it found as a forest, never its pairs.
 
 All links between different texts are found; components follow from the forests.
 """
@@ -30,11 +31,14 @@ from surge.llm.batches import Texts, blobs, distinct_sorted, lists, mix64, slice
 from surge.llm.links import connected_components
 from surge.llm.staging import staged
 
-#: Cells of the rarity sketch; its size does not depend on the data.
-CELLS, CHUNKS = 1 << 18, 64
-#: N-grams in a tile (8 bytes each), columns multiplied at once.
-TILE, COLUMNS = 600_000, 8192
+#: Bits of the rarity sketch's cells, parts in which its counts are added up; its size does not depend on the data.
+CELL_BITS, CHUNKS = 22, 256
+CELLS = 1 << CELL_BITS
+#: N-grams in a tile (8 bytes each), pairs held before they are joined.
+TILE, PAIRS = 2_400_000, 1 << 20
 SALTS = 32
+#: Salt of the first half of a set's signature; signatures that a task remembers.
+SIGN, SEEN = 0x51ED, 1 << 20
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -46,16 +50,21 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, int]
 Sets = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, int]]
 
 
+def cells_of(code: np.ndarray) -> np.ndarray:
+    return (code >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
 def rarity(rows: DataFrame, sets: Sets) -> np.ndarray:
     """A rank for every sketch cell, smaller for rarer columns, from counts over all rows (column ``text``)."""
     width = CELLS // CHUNKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, dtype=np.int64)
+        total = np.zeros(CELLS, dtype=np.int32)
         for batch in batches:
             for piece in slices(batch, "text"):
                 _, code, _ = sets(piece.column("text"))
-                total += np.bincount((code >> np.uint64(46)).astype(np.int64), minlength=CELLS)
+                cell, times = np.unique(cells_of(code), return_counts=True)
+                total[cell] += times.astype(np.int32)
         if total.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(CHUNKS), pa.int32()), blobs([total[i * width:(i + 1) * width].tobytes() for i in range(CHUNKS)])],
@@ -64,7 +73,7 @@ def rarity(rows: DataFrame, sets: Sets) -> np.ndarray:
     def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(width, dtype=np.int64)
         for raw in group["counts"]:
-            total += np.frombuffer(raw, np.int64)
+            total += np.frombuffer(raw, np.int32)
         rank = np.floor(8 * np.log2(1 + total)).clip(0, 255).astype(np.uint8)
         return pd.DataFrame({"chunk": [key[0]], "ranks": [rank.tobytes()]})
 
@@ -96,13 +105,13 @@ def signatures(rows: DataFrame, sets: Sets, ranks: np.ndarray | None, num: int,
                 n = np.bincount(doc, minlength=count).astype(np.int64)
                 upto = np.concatenate([[0], np.cumsum(n)])
                 sig = []
-                for salt in (0x51ED, 0xA5A5A5A5):
+                for salt in (SIGN, 0xA5A5A5A5):
                     total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(code ^ np.uint64(salt)), dtype=np.uint64)])
                     sig.append((total[upto[1:]] - total[upto[:-1]]).view(np.int64))
                 if ranks is None:
                     order, length = np.arange(len(doc)), np.zeros_like(n)
                 else:
-                    order = np.lexsort((code, ranks[(code >> np.uint64(46)).astype(np.int64)], doc))
+                    order = np.lexsort((code, ranks[cells_of(code)], doc))
                     length = np.where(den * n >= num * (n + 1), n - least_overlap(n, num, den) + 1, 0)
                 place = np.arange(len(doc)) - upto[doc]
                 chosen = place < length[doc]
@@ -141,6 +150,34 @@ def bundle_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
+def prefix_rows(rows: DataFrame, sets: Sets, ranks: np.ndarray, num: int, den: int) -> DataFrame:
+    """(tok, id, n): the prefix of each set (its rarest columns, as many as its size allows to differ, and one), as tokens for
+    ``bundle_edges``; ``rows``: (text).  The id is the set's ``sig_a``, and a task sends equal sets out once (as far as it remembers
+    ``SEEN`` of them), so a large group of copies is reduced before the shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                doc, code, count = sets(piece.column("text"))
+                n = np.bincount(doc, minlength=count).astype(np.int64)
+                upto = np.concatenate([[0], np.cumsum(n)])
+                total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(code ^ np.uint64(SIGN)), dtype=np.uint64)])
+                sign = (total[upto[1:]] - total[upto[:-1]]).view(np.int64)
+                first = np.zeros(count, dtype=bool)
+                first[np.unique(sign, return_index=True)[1]] = True
+                first &= np.array([s not in seen for s in sign.tolist()], dtype=bool)
+                if len(seen) < SEEN:
+                    seen.update(sign[first].tolist())
+                # A set that no larger one can be similar to has no similar smaller one either.
+                length = np.where(first & (den * n >= num * (n + 1)), n - least_overlap(n, num, den) + 1, 0)
+                order = np.lexsort((code, ranks[cells_of(code)], doc))
+                chosen = np.arange(len(doc)) - upto[doc] < length[doc]
+                yield pa.RecordBatch.from_arrays([pa.array(code[order][chosen].view(np.int64)), pa.array(sign[doc[chosen]]), pa.array(n[doc[chosen]])],
+                                                 names=["tok", "id", "n"])
+
+    return rows.select("text").mapInArrow(run, "tok long, id long, n long")
+
+
 def part_rows(rows: DataFrame, sets: Sets, num: int, den: int, seed: int = 7) -> DataFrame:
     """(tok, id, n): the parts of each set, as tokens for ``bundle_edges``; ``rows``: (bundle, id, text).
 
@@ -242,45 +279,40 @@ def tile_keys(members: DataFrame, num: int, den: int, carry: tuple[str, ...] = (
         .select("id", *carry, F.concat_ws("/", F.col("bundle").cast("string"), "to.pair").alias("key"), F.col("to.side").alias("side"))
 
 
-def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Overlap counts of rows ``left`` by rows ``right``: the product of the incidence blocks, column block by column block."""
-    size = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), size)
-    values = np.concatenate(sets) if len(sets) else np.zeros(0, np.int64)
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    new = np.ones(len(values), dtype=bool)
-    new[1:] = values[1:] != values[:-1]
-    column = np.cumsum(new) - 1
-    shared = np.bincount(column) > 1 if len(column) else np.zeros(0, bool)
-    hit = shared[column] if len(column) else np.zeros(0, bool)
-    owner, column = owner[hit], (np.cumsum(shared) - 1)[column[hit]] if len(column) else column
-    place = np.full(len(sets), -1)
-    place[left] = np.arange(len(left))
-    other = np.full(len(sets), -1)
-    other[right] = np.arange(len(right))
-    out = np.zeros((len(left), len(right)), dtype=np.float32)
-    n_columns = int(column[-1]) + 1 if len(column) else 0
-    for start in range(0, n_columns, COLUMNS):
-        a, b = np.searchsorted(column, [start, start + COLUMNS])
-        rows, cols = owner[a:b], column[a:b] - start
-        width = min(COLUMNS, n_columns - start)
-        x = np.zeros((len(left), width), dtype=np.float32)
-        mine = place[rows] >= 0
-        x[place[rows[mine]], cols[mine]] = 1
-        if left is right:
-            out += x @ x.T
-        else:
-            y = np.zeros((len(right), width), dtype=np.float32)
-            theirs = other[rows] >= 0
-            y[other[rows[theirs]], cols[theirs]] = 1
-            out += x @ y.T
-    return out
-
+def linked_rows(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Root of every row after joining all pairs (i of left, j of right) at least num / den similar.
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Root of every node after joining the given pairs."""
-    root = np.arange(n)
+    The product of the incidence blocks, row by row: the postings of a left row's columns are concatenated and counted, partners below
+    the size-derived bound are discarded at once, so no more than one row of counts is held; found pairs are joined as they come."""
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    column = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    upto = np.concatenate([[0], np.cumsum(size)])
+    place = np.full(len(sets), -1)
+    place[right] = np.arange(len(right))
+    owner = np.repeat(place, size)
+    order = np.argsort(column, kind="stable")
+    order = order[owner[order] >= 0]  # the entries of right, by column
+    posting = owner[order]
+    begin = np.searchsorted(column[order], np.arange(int(column.max(initial=-1)) + 2))
+    root, mine, theirs, held = np.arange(len(sets)), [], [], 0
+    sizes = size[right]
+    for i in left.tolist():
+        own = column[upto[i]:upto[i + 1]]
+        start, count = begin[own], begin[own + 1] - begin[own]
+        at = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        both = np.bincount(posting[at], minlength=len(right))
+        j = np.flatnonzero(both * (num + den) >= num * (size[i] + sizes))
+        mine.append(np.full(len(j), i))
+        theirs.append(right[j])
+        held += len(j)
+        if held > PAIRS:
+            root, mine, theirs, held = forest(root, np.concatenate(mine), np.concatenate(theirs)), [], [], 0
+    return forest(root, np.concatenate(mine), np.concatenate(theirs)) if held else root
+
+
+def forest(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Root of every node after joining the given pairs, from the roots so far."""
+    root = root.copy()
     while len(i):
         a, b = root[i], root[j]
         open_ = a != b
@@ -308,10 +340,7 @@ def tile_links(tiles: DataFrame, sets_of: Sets, num: int, den: int) -> DataFrame
             left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(left) or not len(right):
             return None
-        size = np.array([len(s) for s in sets], dtype=np.int64)
-        both = overlaps(sets, left, right).astype(np.int64)
-        i, j = np.nonzero(den * both >= num * (size[left][:, None] + size[right][None] - both))
-        root = forest(len(ids), left[i], right[j])
+        root = linked_rows(sets, left, right, num, den)
         name = np.array(ids, dtype=np.int64)
         least = np.full(len(ids), np.iinfo(np.int64).max)
         np.minimum.at(least, root, name)
@@ -356,9 +385,10 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
     classes = signed.where("n > 0 AND id IS NOT NULL").groupBy(*sig).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
     classes = staged(classes, "ngram-classes")
     if num < den:
-        parts = part_rows(rows.where("id IS NOT NULL").withColumn("bundle", F.lit(0).cast("long")), sets, num, den)
-        bundles = connected_components(bundle_edges(parts, num, den)).select(F.col("node").alias("id"), F.col("component").alias("bundle"))
-        members = classes.select(F.col("rep").alias("id"), "n").join(bundles, "id").groupBy("id", "bundle").agg(F.max("n").alias("n"))
+        some = rows.where("id IS NOT NULL")
+        tokens = prefix_rows(some, sets, rarity(some, sets), num, den)
+        bundles = connected_components(bundle_edges(tokens, num, den)).select(F.col("node").alias("sig_a"), F.col("component").alias("bundle"))
+        members = classes.select(F.col("rep").alias("id"), "n", "sig_a").join(bundles, "sig_a").groupBy("id", "bundle").agg(F.max("n").alias("n"))
         members = staged(members, "ngram-members")
         members = sharper(members, rows, ["id"], sets, num, den, TILE)
         several = members.groupBy("bundle").count().where("count > 1").select("bundle")

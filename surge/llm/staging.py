@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from surge.session import ensure_checkpoint_dir
 
+#: At most once in so many seconds.
+SETTLE_SECONDS = 4.0
+_settled = 0.0
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
@@ -18,13 +24,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here, lost executors cost nothing."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    _settle(df.sparkSession)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._staged_path = path
     return back
 
 
+def _settle(spark: SparkSession) -> None:
+    """Let the JVM find the plans that are done with, so that Spark removes their shuffle files: on a long job they fill the disks
+    long before the collector runs by itself."""
+    global _settled
+    if time.monotonic() - _settled > SETTLE_SECONDS:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _settled = time.monotonic()
+
+
 def release(*tables: DataFrame) -> None:
     """Delete tables that ``staged`` wrote, once nothing reads them any more."""
     for table in tables:
         path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table._staged_path)
         path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _settle(table.sparkSession)
