@@ -70,9 +70,11 @@ def roc_curve(df: DataFrame, *, group: Sequence[str] = GROUP, label: str = "labe
 
 
 def classification_metrics(df: DataFrame, *, group: Sequence[str] = GROUP, label: str = "label",
-                           score: str = "score", threshold: float = 0.5, with_auroc: bool = True) -> DataFrame:
-    """Accuracy, AUROC, Recall, Precision, F1-Score per group (undefined -> 0)."""
-    pred = predicted_class(F.col(score), threshold)
+                           score: str = "score", threshold: float = 0.5, with_auroc: bool = True,
+                           predicted: str | None = None) -> DataFrame:
+    """Accuracy, AUROC, Recall, Precision, F1-Score per group (undefined -> 0).  The class is the column ``predicted``, or, without
+    one, whether the score exceeds ``threshold``."""
+    pred = predicted_class(F.col(score), threshold) if predicted is None else F.col(predicted)
     y = F.col(label)
     g = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"),

@@ -1,5 +1,5 @@
 """Model stage: Spark ML estimators matched to the reference's settings,
-train-all-and-score, exact kNN, an RBF-kernel SVM approximation, and the
+train-all-and-score, exact kNN by a broadcast ball tree, an RBF-kernel SVM approximation, and the
 small-feature rebuild.
 
 Conversions (SURVEY I6-I15):
@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surge.operators.features import standardize
-from surge.operators.metrics import classification_metrics, regression_metrics
+from surge.operators.metrics import classification_metrics, predicted_class, regression_metrics
 from surge.plans.stage import materialize
 
 SEED = 42
-CLASSIFIERS = ("Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting", "SVM")
+CLASSIFIERS = ("Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting", "SVM", "KNN")
 REGRESSORS = ("Ridge Regression", "Lasso Regression", "Random Forest Regressor", "Gradient Boosting Regressor")
 DATASETS = {"train": "Train", "val": "Val", "test": "Test"}
 
@@ -121,7 +121,7 @@ class PlattSVM:
     def transform(self, df: DataFrame) -> DataFrame:
         t = self.svc.transform(rff_transform(df, dim=self.dim, components=self.components))
         out = self.platt.transform(self._margin(t))
-        return out.drop("rff", "_m", "_mv")
+        return out.withColumnRenamed("_mv", "margin").drop("rff", "_m")
 
 
 # ------------------------------------------------------------------ train all and score
@@ -142,16 +142,24 @@ def train_classifiers(prepared: DataFrame, *, label: str = "High_Risk", split: s
     n = train.count()
     scored = None
     for name in names:
-        if name == "SVM":
-            model = PlattSVM(dim or len(prepared.select("features").first()[0]), n).fit(train)
+        given = [F.col(split), F.col("label").cast("int").alias("label")]
+        if name == "KNN":
+            rows = data.select(F.monotonically_increasing_id().alias("id"), vector_to_array("features").alias("features"), "label", split)
+            rows = materialize(rows)
+            votes = knn_predict(rows.where(F.col(split) == "train"), rows, k=5)
+            s = rows.join(votes, "id").select(F.lit(name).alias("model"), *given, F.col("probability").alias("score"),
+                                              predicted_class(F.col("probability")).alias("predicted"))
+        elif name == "SVM":
+            # the class is the side of the margin; the Platt probability only ranks
+            pred = _score_col(PlattSVM(dim or len(prepared.select("features").first()[0]), n).fit(train).transform(data))
+            s = pred.select(F.lit(name).alias("model"), *given, "score", (F.col("margin") > 0).cast("int").alias("predicted"))
         else:
-            model = classifier(name, n).fit(train)
-        s = _score_col(model.transform(data)).select(
-            F.lit(name).alias("model"), F.col(split), F.col("label").cast("int").alias("label"), "score")
+            s = _score_col(classifier(name, n).fit(train).transform(data)).select(F.lit(name).alias("model"), *given, "score",
+                                                                                  predicted_class(F.col("score")).alias("predicted"))
         scored = s if scored is None else scored.unionByName(s)
     ds = F.create_map(*[F.lit(x) for kv in DATASETS.items() for x in kv])
-    scored = scored.withColumn("dataset", ds[F.col(split)])
-    return classification_metrics(scored)
+    # every model scores once: the metrics read the written scores
+    return classification_metrics(materialize(scored.withColumn("dataset", ds[F.col(split)])), predicted="predicted")
 
 
 def train_regressors(prepared: DataFrame, *, target: str = "Total_Hospitalization", split: str = "split",
@@ -168,59 +176,87 @@ def train_regressors(prepared: DataFrame, *, target: str = "Total_Hospitalizatio
                                          F.col("prediction").alias("yhat"))
         scored = s if scored is None else scored.unionByName(s)
     ds = F.create_map(*[F.lit(x) for kv in DATASETS.items() for x in kv])
-    return regression_metrics(scored.withColumn("dataset", ds[F.col(split)]))
+    return regression_metrics(materialize(scored.withColumn("dataset", ds[F.col(split)])))
 
 
 # ------------------------------------------------------------------ exact k nearest neighbours
 
+class BallTree:
+    """Balls over labelled points for exact nearest neighbours: leaves of at most ``leaf`` rows, halved along their widest dimension."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, y: np.ndarray, leaf: int):
+        order, done, todo = [], [], [np.arange(len(x))] if len(x) else []
+        while todo:
+            rows = todo.pop()
+            if len(rows) <= leaf:
+                order.append(rows)
+                done.append(len(rows))
+                continue
+            wide = x[rows]
+            axis = int((wide.max(0) - wide.min(0)).argmax())
+            split = np.argsort(wide[:, axis], kind="stable")
+            todo += [rows[split[:len(rows) // 2]], rows[split[len(rows) // 2:]]]
+        at = np.concatenate(order) if order else np.zeros(0, np.int64)
+        self.ids, self.x, self.y = ids[at], x[at], y[at]
+        self.upto = np.concatenate([[0], np.cumsum(done)]).astype(np.int64)
+        balls = list(zip(self.upto[:-1], self.upto[1:], strict=True))
+        self.middle = np.array([self.x[i:j].mean(0) for i, j in balls]).reshape(len(balls), x.shape[1])
+        self.radius = np.array([np.sqrt(((self.x[i:j] - m) ** 2).sum(1)).max() for (i, j), m in zip(balls, self.middle, strict=True)])
+
+    def nearest(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(votes, neighbours): mean label and number of the k nearest points of each row of q (ties by smaller id).
+
+        Balls are visited by their least possible distance; one that cannot hold a nearer point is never opened."""
+        n, none = len(q), np.iinfo(np.int64).max
+        dist, ident, label = np.full((n, k), np.inf), np.full((n, k), none), np.zeros((n, k))
+        if n and len(self.x):
+            away = np.sqrt(np.maximum((q * q).sum(1)[:, None] + (self.middle ** 2).sum(1)[None] - 2 * q @ self.middle.T, 0))
+            scale = 1e-6 * (1 + np.abs(q).max() + np.abs(self.middle).max())  # rounding of the expansion above
+            bound = away - self.radius[None] - scale
+            turn = np.argsort(bound, axis=1)
+            for r in range(turn.shape[1]):
+                ball = turn[:, r]
+                open_ = np.flatnonzero(bound[np.arange(n), ball] <= dist[:, -1])
+                if not len(open_):
+                    break
+                for b in np.unique(ball[open_]).tolist():
+                    rows = open_[ball[open_] == b]
+                    i, j = self.upto[b], self.upto[b + 1]
+                    diff = q[rows][:, None, :] - self.x[i:j][None]  # direct differences keep near-ties exact
+                    d = np.concatenate([dist[rows], np.sqrt((diff * diff).sum(axis=2))], axis=1)
+                    t = np.concatenate([ident[rows], np.broadcast_to(self.ids[i:j], (len(rows), j - i))], axis=1)
+                    y = np.concatenate([label[rows], np.broadcast_to(self.y[i:j], (len(rows), j - i))], axis=1)
+                    best = np.lexsort((t, d), axis=1)[:, :k]
+                    dist[rows], ident[rows], label[rows] = (np.take_along_axis(v, best, axis=1) for v in (d, t, y))
+        have = np.isfinite(dist)
+        count = have.sum(1)
+        return np.where(have, label, 0).sum(1) / np.maximum(count, 1), count
+
+
 def knn_predict(train: DataFrame, test: DataFrame, *, k: int = 5, id_col: str = "id", features: str = "features",
-                label: str = "label", rows_per_block: int = 2048) -> DataFrame:
-    """Exact kNN vote share (probability of class 1) for every test row.
-
-    Both sides are cut into blocks of at most ``rows_per_block`` rows; every
-    (test block, train block) pair meets in one cogroup task, which returns the
-    k nearest train rows per test row (exact float64 distances, ties by train
-    id).  The per-pair candidates (k per train block) are merged per test row.
-    Shuffle volume is n_test x train_blocks + n_train x test_blocks, and no
-    task holds more than two blocks."""
-    n_tr = train.count()
-    n_te = test.count()
-    b_tr = max(1, math.ceil(n_tr / rows_per_block))
-    b_te = max(1, math.ceil(n_te / rows_per_block))
-    tr = train.select(F.col(id_col).alias("tid"), F.col(features).alias("x"), F.col(label).alias("y"),
-                      F.pmod(F.xxhash64(id_col), F.lit(b_tr)).alias("_tb"),
-                      F.explode(F.sequence(F.lit(0), F.lit(b_te - 1))).alias("_qb"))
-    te = test.select(F.col(id_col).alias("qid"), F.col(features).alias("x"),
-                     F.pmod(F.xxhash64(id_col), F.lit(b_te)).alias("_qb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(b_tr - 1))).alias("_tb"))
-
-    def nearest(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return pd.DataFrame({"qid": [], "tid": [], "dist": [], "y": [], "_sb": []})
-        qx = np.vstack(q["x"].to_numpy()).astype(np.float64)
-        tx = np.vstack(t["x"].to_numpy()).astype(np.float64)
-        # direct differences (not the |a|^2 + |b|^2 - 2ab expansion) keep near-ties exact
-        d = np.empty((len(qx), len(tx)))
-        for i in range(0, len(qx), 64):
-            diff = qx[i:i + 64, None, :] - tx[None, :, :]
-            d[i:i + 64] = np.sqrt((diff * diff).sum(axis=2))
-        tid = t["tid"].to_numpy()
-        order = np.lexsort((np.broadcast_to(tid, d.shape), d), axis=1)[:, :k]
-        rows = np.repeat(np.arange(len(q)), order.shape[1])
-        cols = order.ravel()
-        return pd.DataFrame({"qid": q["qid"].to_numpy()[rows], "tid": tid[cols],
-                             "dist": d[rows, cols], "y": t["y"].to_numpy()[cols],
-                             "_sb": np.full(len(rows), int(t["_tb"].iloc[0]) // 64, dtype=np.int64)})
-
-    cand = te.groupBy("_qb", "_tb").cogroup(tr.select("*").groupBy("_qb", "_tb")).applyInPandas(
-        nearest, "qid long, tid long, dist double, y int, _sb long")
-    # merge in two rounds so a test row never gathers more than k x 64 candidates in one window
-    w1 = Window.partitionBy("qid", "_sb").orderBy("dist", "tid")
-    cand = cand.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
-    w = Window.partitionBy("qid").orderBy("dist", "tid")
-    top = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-    return top.groupBy(F.col("qid").alias(id_col)).agg(F.avg("y").alias("probability"),
-                                                       F.count(F.lit(1)).alias("n_neighbours"))
+                label: str = "label", rows_per_block: int = 128, max_train: int = 50_000) -> DataFrame:
+    """Exact kNN vote share (probability of class 1) for every test row, among the labelled rows drawn.
+
+    ``max_train`` bounds, in expectation, the labelled rows used: above it they are drawn by the hash of their id, so their ball tree
+    (balls of ``rows_per_block`` rows) has a bounded size and is broadcast once.  Test rows are scored where they are: no
+    shuffle, no pairs beyond the balls that can hold a neighbour.  Distances are exact in float64, ties go to the smaller id;
+    rows without features, label or id are left out."""
+    kept = train.select(F.col(id_col).cast("long").alias("i"), F.col(features).alias("x"), F.col(label).cast("double").alias("y")).dropna()
+    share = F.pmod(F.xxhash64("i", F.lit("knn")), F.lit(1 << 30)) / float(1 << 30)
+    rows = kept.where(share < min(1.0, max_train / max(kept.count(), 1))).toArrow()
+    x = np.array(rows.column("x").to_pylist(), dtype=np.float64).reshape(rows.num_rows, -1)
+    tree = BallTree(rows.column("i").to_numpy(), x, rows.column("y").to_numpy(), rows_per_block)
+    shared = train.sparkSession.sparkContext.broadcast(tree)
+
+    def score(batches):
+        for batch in batches:
+            q = np.vstack(batch["x"].to_numpy()).astype(np.float64) if len(batch) else np.zeros((0, x.shape[1]))
+            found = [shared.value.nearest(q[a:a + 256], k) for a in range(0, len(q), 256)]
+            votes, count = (np.concatenate([f[j] for f in found]) if found else np.zeros(0) for j in (0, 1))
+            yield pd.DataFrame({id_col: batch["i"], "probability": votes, "n_neighbours": count.astype(np.int64)})
+
+    asked = test.select(F.col(id_col).cast("long").alias("i"), F.col(features).alias("x")).dropna()
+    return asked.mapInPandas(score, f"`{id_col}` long, probability double, n_neighbours long").where("n_neighbours > 0")
 
 
 def fit_one(prepared: DataFrame, *, kind: str, name: str, label: str, split: str = "split"):

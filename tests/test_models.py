@@ -51,3 +51,29 @@ def test_blocked_knn_equals_brute_force(spark):
         d = np.sqrt(((pts[:70] - pts[q]) ** 2).sum(1))
         nn = np.lexsort((np.arange(70), d))[:5]
         assert abs(got[q] - lab[nn].mean()) < 1e-12
+
+
+def test_ball_tree_prunes_and_equals_brute_force():
+    from surge.operators.models import BallTree
+    r = np.random.default_rng(4)
+    x = r.normal(size=(12, 5))[r.integers(12, size=3000)] * 20 + r.normal(size=(3000, 5))
+    x[100:140] = x[100]  # ties
+    y = (r.random(3000) > 0.5).astype(float)
+    ids = r.permutation(3000)
+    tree = BallTree(ids, x, y, 64)
+    q = np.vstack([x[::37], r.normal(size=(20, 5)) * 30])
+    votes, count = tree.nearest(q, 7)
+    for i, p in enumerate(q):
+        near = np.lexsort((ids, np.sqrt(((x - p) ** 2).sum(1))))[:7]
+        assert abs(votes[i] - y[near].mean()) < 1e-12 and count[i] == 7
+    few, n = BallTree(ids[:3], x[:3], y[:3], 64).nearest(q[:2], 7)
+    assert n.tolist() == [3, 3] and abs(few[0] - y[:3].mean()) < 1e-12
+    assert BallTree(ids[:0], x[:0], y[:0], 64).nearest(q[:2], 7)[1].tolist() == [0, 0]
+
+
+def test_svm_class_is_the_side_of_the_margin(spark):
+    from surge.operators.models import train_classifiers
+    df = _frame(spark).withColumn("High_Risk", (F.col("label") > 4).cast("int")).withColumn("split", F.expr("if(rand(3) < 0.7, 'train', 'test')"))
+    out = {(r["model"], r["dataset"]): r for r in train_classifiers(df.drop("label"), names=["SVM", "KNN"], dim=3).collect()}
+    assert set(out) == {("SVM", "Train"), ("SVM", "Test"), ("KNN", "Train"), ("KNN", "Test")}
+    assert out["SVM", "Train"]["Accuracy"] > 0.7 and out["KNN", "Train"]["AUROC"] > 0.8
