@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surge.plans.stage import materialize
+
 GRID_SCHEMA = "g int, sw double, swx double, swy double, swxx double, swxy double"
 
 
@@ -63,7 +65,7 @@ def lowess_grid(df: DataFrame, *, x: str, y: str, frac: float = 2.0 / 3.0, itera
     (from ``percentile_approx`` of |x - g|, one aggregate for all points).
     Robustness passes reweight rows by the bisquare of their residual against
     the previous fit interpolated at x (scale: 6 x median |residual|)."""
-    data = df.select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).dropna()
+    data = materialize(df.select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).dropna())  # read by every pass
     grid = _grid(data, x, points)
     spark = df.sparkSession
     if len(grid) == 0:
@@ -113,8 +115,8 @@ def bootstrap_band(df: DataFrame, *, x: str, y: str, id_col: str, replicates: in
     seed) - deterministic under recomputation - partitions fold weighted sums
     per replicate, and the band is the percentile of the replicate lines at each
     grid point."""
-    data = df.select(F.xxhash64(id_col).alias("_id"), F.col(x).cast("double").alias(x),
-                     F.col(y).cast("double").alias(y)).dropna()
+    data = materialize(df.select(F.xxhash64(id_col).alias("_id"), F.col(x).cast("double").alias(x),
+                                 F.col(y).cast("double").alias(y)).dropna())  # read for the range and for the sums
     spark = df.sparkSession
     R = replicates
 

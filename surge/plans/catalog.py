@@ -6,6 +6,7 @@ query is one lazy plan that Catalyst optimises end to end.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Callable
 
@@ -964,12 +965,24 @@ def q_format_labels(spark, sf):
         F.date_format("req_date", "EEEE").alias("weekday_name")))
 
 
+SMOOTH_TARGETS = ("Respiratory_Count", "Asthma_Count")
+
+
 @query("lowess_grid")
 def q_lowess_grid(spark, sf):
-    return smooth.lowess_grid(panel(spark, sf), x="Temp_Max_C", y="Asthma_Count")
+    """LOWESS of both measures on temperature: daily rows, monthly means and three-month means."""
+    p = materialize(panel(spark, sf).select("Date", "borough", "Temp_Max_C", *SMOOTH_TARGETS))
+    cols = ["Temp_Max_C", *SMOOTH_TARGETS]
+    series = {"daily": p, "monthly": ser.monthly_means(p, cols), "three_month": ser.three_month_means(p, cols)}
+    parts = [smooth.lowess_grid(rows, x="Temp_Max_C", y=y).select(F.lit(name).alias("series"), F.lit(y).alias("target"), "x", "fit")
+             for name, rows in series.items() for y in SMOOTH_TARGETS]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query("bootstrap_band")
 def q_bootstrap_band(spark, sf):
-    p = panel(spark, sf).withColumn("_rid", F.concat_ws("|", F.col("Date").cast("string"), "borough"))
-    return smooth.bootstrap_band(p, x="Temp_Max_C", y="Total_Hospitalization", id_col="_rid", replicates=1000)
+    """Bands of the least-squares lines of both measures on every weather variable."""
+    p = materialize(panel(spark, sf).select(F.concat_ws("|", F.col("Date").cast("string"), "borough").alias("_rid"), *WEATHER_VARS, *SMOOTH_TARGETS))
+    parts = [smooth.bootstrap_band(p, x=x, y=y, id_col="_rid", replicates=1000).select(F.lit(x).alias("variable"), F.lit(y).alias("target"), "x", "lower", "upper")
+             for x in WEATHER_VARS for y in SMOOTH_TARGETS]
+    return functools.reduce(DataFrame.unionByName, parts)
