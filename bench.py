@@ -23,6 +23,7 @@ HEADLINE = [
     "health_daily", "weather_clean", "airq_pivot", "panel_merged", "impute_series", "lag_features_frame",
     "features", "temperature_impact", "pm_uplift_by_key", "key_ranking", "corr_matrix", "additive_decompose",
     "winsor_log_series", "classification_metrics", "regression_metrics", "nearest_date_join", "score_capacity",
+    "describe_numeric", "rolling_mean_shift", "clf_knn", "src_airq_long",
 ]
 
 
