@@ -4,11 +4,12 @@ Documents are rows, n-grams columns of a 0/1 incidence matrix; A A' holds the
 overlap of every pair.  Only the part that can matter is multiplied:
 
 * Documents with equal n-gram sets are one row (their class; smallest id stands for it).
-* Sizes bound a pair: rows of similarity t share one of their rarest columns, as many as t allows to differ, and
-  one.  Rarity comes from a count sketch over all rows, so rows that only share a common passage do not meet.  Rows that
-  share such a column, and whose sizes allow t, are bundled; all other pairs are below the bound.
-* Bundles too large for a tile are dealt again: sizes bound the columns in which a pair differs by D; of D + 3
-  parts into which columns are dealt by hash at least three are equal, so only rows with an equal part stay together.
+* Sizes bound a pair: rows of similarity t differ in at most D columns, D from their sizes.  Of D + 3 parts into which the
+  columns are dealt by hash at least three are then equal; and they share one of their rarest columns, as many as t allows
+  to differ, and one.  High similarities (few, wide parts) bundle the rows with an equal part; others bundle those with a rare
+  column in common, rarity taken from a count sketch over all rows, so rows that only share a common passage do not meet.
+  Sizes must allow t as well; all other pairs are below the bound.
+* Bundles too large for a tile are dealt again, by the equal parts of another dealing.
 * Bundles are cut into tiles of bounded size, and each pair of tiles whose sizes allow
   t is multiplied in one task (texts move there, as they are smaller than their sets), row by row: overlap counts accumulate
   for one row's partners, and pairs below the size-derived bound go at once.  A tile pair sends out
@@ -39,6 +40,8 @@ TILE, PAIRS = 2_400_000, 1 << 20
 SALTS = 32
 #: Salt of the first half of a set's signature; signatures that a task remembers.
 SIGN, SEEN = 0x51ED, 1 << 20
+#: Columns of an average part from which on equal parts tell rows apart better than rare columns do: similarities above some 0.88.
+PART_COLUMNS = 8
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -386,9 +389,12 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
     classes = staged(classes, "ngram-classes")
     if num < den:
         some = rows.where("id IS NOT NULL")
-        tokens = prefix_rows(some, sets, rarity(some, sets), num, den)
-        bundles = connected_components(bundle_edges(tokens, num, den)).select(F.col("node").alias("sig_a"), F.col("component").alias("bundle"))
-        members = classes.select(F.col("rep").alias("id"), "n", "sig_a").join(bundles, "sig_a").groupBy("id", "bundle").agg(F.max("n").alias("n"))
+        if num + den >= 2 * PART_COLUMNS * (den - num):
+            tokens, by = part_rows(some.withColumn("bundle", F.lit(0).cast("long")), sets, num, den), "id"
+        else:
+            tokens, by = prefix_rows(some, sets, rarity(some, sets), num, den), "sig_a"
+        bundles = connected_components(bundle_edges(tokens, num, den)).select(F.col("node").alias(by), F.col("component").alias("bundle"))
+        members = classes.select(F.col("rep").alias("id"), "n", "sig_a").join(bundles, by).groupBy("id", "bundle").agg(F.max("n").alias("n"))
         members = staged(members, "ngram-members")
         members = sharper(members, rows, ["id"], sets, num, den, TILE)
         several = members.groupBy("bundle").count().where("count > 1").select("bundle")
