@@ -867,3 +867,8 @@ c AS (SELECT High_Risk, n, CAST(round(n * 0.15) AS BIGINT) AS t FROM n),
 d AS (SELECT High_Risk, n, t, CAST(round((n - t) * 0.176) AS BIGINT) AS v FROM c)
 SELECT High_Risk, 'test' AS split, t AS n_rows FROM d UNION ALL SELECT High_Risk, 'val', v FROM d
 UNION ALL SELECT High_Risk, 'train', n - t - v FROM d"""
+
+SQL["stack_station_files"] = f"""
+SELECT CAST(s_nationkey AS VARCHAR) AS STATION, CAST(l_shipdate AS DATE) AS DATE, CAST(year(l_shipdate) AS INTEGER) AS year,
+       {r6('l_quantity', 'TMAX')}, {r6('CASE WHEN year(l_shipdate) >= 1998 THEN 30 + 10 * l_linenumber END', 'RHAV')}
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -156,7 +155,3 @@ def standardize(df: DataFrame, cols: Sequence[str], *, fit_on: DataFrame | None
         m, s = stats.getField(f"m_{i}"), stats.getField(f"s_{i}")
         out[c + suffix] = (F.col(c) - m) / F.when((s.isNull()) | (s == 0), F.lit(1.0)).otherwise(s)
     return df.withColumns(out)
-
-
-def sanitize_feature_name(name: str) -> str:
-    return re.sub(r"[^0-9A-Za-z_]", "_", name)

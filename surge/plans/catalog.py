@@ -114,6 +114,18 @@ def q_src_airq_long(spark, sf):
     return a.select(F.col("Start_Date").alias("Date"), F.col("Geo Place Name").alias("borough"), "Name", F.col("Data Value").alias("value"))
 
 
+@query("stack_station_files")
+def q_stack_station_files(spark, sf):
+    """Station files of two periods, the earlier one without humidity, landed as CSV and stacked."""
+    rows = src.landed_station_rows(spark, sf).withColumn("borough", F.concat(F.lit("station "), "STATION"))
+    paths = []
+    for part in (rows.where(F.col("year") < 1998).drop("RHAV"), rows.where(F.col("year") >= 1998).select("RHAV", "DATE", "STATION", "TMAX", "borough", "year")):
+        paths.append(scratch_path(spark, "feed-stations"))
+        feeds.write_feed(part, paths[-1])
+        delete_at_exit(spark, paths[-1])
+    return feeds.accepted(feeds.read_feeds(spark, paths, feeds.WEATHER)).select("STATION", "DATE", "year", "TMAX", "RHAV")
+
+
 @query("feed_rejects")
 def q_feed_rejects(spark, sf):
     """Issues of a visit file and of an air-quality file with open orders' days, missing places and text readings, counted by kind."""

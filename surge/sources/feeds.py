@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surge.functions.columns import DATE_FORMATS, canonical_key, coerce_numeric, parse_dates
+from surge.sources.stations import stack_frames
 
 BROKEN = "_broken_line"
 
@@ -85,6 +86,11 @@ def read_feed(spark: SparkSession, path: str, feed: Feed, *, formats: Sequence[s
     return typed_rows(raw.select(*[F.col(f"`{f.name}`") for f in present], BROKEN), feed, formats=formats)
 
 
+def read_feeds(spark: SparkSession, paths: Sequence[str], feed: Feed, *, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Several folders of one feed whose files may lack different columns (stations, years), stacked; a missing column is NULL."""
+    return stack_frames([read_feed(spark, p, feed, formats=formats, strict=False) for p in paths])
+
+
 def typed_rows(raw: DataFrame, feed: Feed, *, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Text rows (and ``_broken_line``, where there is one) in the feed's types, with ``_rescued`` and ``_reject``."""
     present = [f for f in feed.schema.fields if f.name in raw.columns]

@@ -1,6 +1,9 @@
 import datetime as dt
 
-from surge.operators.clean import drop_constant_zero_columns, health_daily, visits_daily_sum
+import pytest
+
+from surge.operators.clean import drop_constant_zero_columns, health_daily, select_present, visits_daily_sum
+from surge.sources.stations import stack_frames
 
 D1, D2 = dt.date(2017, 1, 1), dt.date(2017, 1, 2)
 
@@ -24,3 +27,17 @@ def test_drop_constant_zero_columns(spark):
     df = spark.createDataFrame([(D1, 0.0, None, 0.0, 1.0), (D2, 0.0, None, None, 0.0)],
                                "Date date, zeros double, empty double, zero_or_missing double, live double")
     assert drop_constant_zero_columns(df).columns == ["Date", "zero_or_missing", "live"]
+
+
+def test_select_present_lenient_and_strict(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert select_present(df, ["c", "x", "a"]).columns == ["c", "a"]
+    with pytest.raises(ValueError, match="x"):
+        select_present(df, ["a", "x"], strict=True)
+
+
+def test_stacked_frames_keep_all_columns(spark):
+    one = spark.createDataFrame([(1, 2.0)], "a int, b double")
+    two = spark.createDataFrame([("z", 5)], "c string, a int")
+    got = stack_frames([one, two, one.limit(0)])
+    assert got.columns == ["a", "b", "c"] and sorted(map(tuple, got.collect())) == [(1, 2.0, None), (5, None, "z")]
