@@ -24,15 +24,15 @@ are not read.
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surge.llm.staging import shared_path
@@ -40,14 +40,12 @@ from surge.llm.staging import shared_path
 SAMPLE = 256
 #: A segment is closed after so many tokens (one longer document is one segment).
 SEGMENT_TOKENS = 1 << 20
-#: Pieces kept per worker in each of two cache generations.
-CACHE_PIECES = 500_000
-#: A space after other white space: the only place where what precedes a space matters.
-SPACE_RUN = re.compile(r"\s ")
-BORDER = re.compile(r"(?<=\S) (?=\S)")
-#: Pieces whose cut between letters, digits and signs is the tokenizer's own (no apostrophe, no run of white space).
-PLAIN = re.compile(r" ?[!-&(-~À-ÖØ-öø-ÿ](?:[!-&(-~À-ÖØ-öø-ÿ]|\n(?!\n))*")
-CLASSES = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\n")
+#: Units kept per worker in each of two cache generations; a longer unit than so many bytes is not kept.
+CACHE_UNITS, KEPT_BYTES = 500_000, 64
+#: Units that go to the tokenizer as one text.
+TOGETHER = 4096
+#: A unit that has no white space but one leading space.
+LINE = re.compile(r" ?\S+")
 #: The letters by which byte-level BPE vocabularies spell bytes (printable ones themselves, others from U+0100 on).
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
@@ -104,80 +102,153 @@ def ef_decode(n: int, bits: int, low: bytes, high: bytes) -> np.ndarray:
 
 # --- encoding -------------------------------------------------------------
 
+#: Classes of bytes: everything else, letters, digits, signs (no apostrophe: contractions), space, line feed.
+OTHER, LETTER, DIGIT, SIGN, BLANK, FEED = range(6)
+_CLASS = np.zeros(256, dtype=np.uint8)
+_CLASS[33:127] = SIGN
+_CLASS[39] = OTHER
+_CLASS[48:58] = DIGIT
+_CLASS[65:91] = _CLASS[97:123] = LETTER
+_CLASS[32], _CLASS[10] = BLANK, FEED
+#: One-byte characters that are not white space; first bytes of the two-byte ones from U+00C0 on, none of which is.
+_SOLID = np.zeros(256, dtype=bool)
+_SOLID[33:127] = True
+_LEAD = np.zeros(256, dtype=bool)
+_LEAD[0xC3:0xE0] = True
+#: Second bytes of the letters among U+00C0-U+00FF (all but the signs of multiplication and division).
+_LATIN = np.zeros(256, dtype=bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+
+
+def unit_starts(data: np.ndarray, offs: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """First bytes of the units of texts (borders ``offs``): parts that a byte-level BPE tokenizer encodes independently.
+
+    A text is cut before a single space between two characters that are no white space.  A piece of letters, digits, signs, spaces and
+    line feeds is cut further, where the tokenizer cuts: at changes of class, a space going with what follows, white space
+    before its last character.  A piece with other characters stays one unit, and so do texts in ``whole``."""
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
+
+    def before(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(n, dtype=x.dtype)
+        out[1:] = x[:-1]
+        return out
+
+    def behind(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(n, dtype=x.dtype)
+        out[:-1] = x[1:]
+        return out
+
+    kind, solid, lead = _CLASS[data], _SOLID[data], _LEAD[data]
+    latin = (data == 0xC3) & _LATIN[behind(data)]
+    kind[latin | before(latin)] = LETTER
+    first = np.zeros(n + 1, dtype=bool)
+    first[offs[:-1][np.diff(offs) > 0]] = True
+    first[n] = True
+    heads, tails = first[:-1], first[1:]
+    border = (data == 32) & before(solid | before(lead)) & behind(solid | lead) & ~heads & ~tails
+    if whole.any():
+        inside = np.zeros(n + 1, dtype=np.int32)
+        np.add.at(inside, offs[:-1][whole], 1)
+        np.add.at(inside, offs[1:][whole], -1)
+        inside = np.cumsum(inside[:-1]) > 0
+        border &= ~inside
+        kind[inside] = OTHER
+    piece = border | heads
+    at = np.flatnonzero(piece)
+    odd = np.repeat(np.add.reduceat((kind == OTHER).astype(np.int32), at) > 0, np.diff(np.concatenate([at, [n]])))
+    white = (kind == BLANK) | (kind == FEED)
+    run = ~white & (kind != before(kind)) & ~(before(kind == BLANK) & ~heads)
+    gap = white & ~(before(white) & ~heads)
+    last = white & behind(~white) & ~tails  # stands alone or leads what follows
+    return np.flatnonzero(piece | ((run | gap | last) & ~odd))
+
+
+def byte_level(said: dict) -> bool:
+    """Whether a tokenizer's description is a byte-level BPE with the usual cuts and no normaliser: else units are not independent."""
+    cut, model = said.get("pre_tokenizer") or {}, said.get("model") or {}
+    changes = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    return (said.get("normalizer") is None and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+            and model.get("type") == "BPE" and not any(model.get(k) for k in changes))
+
+
 class PieceEncoder:
-    """Ids of texts, each distinct piece encoded once while it is cached.
-
-    A byte-level BPE tokenizer never merges across the border before a single
-    space that stands between two non-space characters, so a text is the
-    concatenation of such space-led pieces.  A new piece of plain letters,
-    digits and signs is cut further where the tokenizer cuts between these
-    classes, and the library's model merges each part; pieces of other shapes
-    go through the whole tokenizer.
+    """Ids of texts, each distinct unit encoded once while it is cached.
+
+    Texts are cut into units as one byte array; the distinct units of a batch are looked up, their ids taken by the units' codes and
+    laid end to end by Arrow, so there is no Python loop per word.  With a tokenizer that is not a plain byte-level BPE, and for
+    texts that hold a special token, the whole text goes to the library.
     """
 
     def __init__(self, tokenizer_file: str, kind: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        if kind == "<u2" and self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("this vocabulary has more than 65,536 ids: id_bytes must be 4")
         self.kind = kind
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.fresh: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.plain = byte_level(json.loads(self.tokenizer.to_str()))
+        self.feed = self.tokenizer.token_to_id(BYTE_LETTERS[10])
+        self.fresh: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, dtype=self.kind).tobytes()
 
-    def _learn(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, the leading space included in each."""
-        if len(self.parts) > CACHE_PIECES:
-            self.parts = {}
-        parts, model, code, out = self.parts, self.tokenizer.model, {"<u2": "H", "<u4": "I"}[self.kind], []
-        for p in pieces:
-            if not PLAIN.fullmatch(p):
-                out.append(self._whole(p) if p else b"")
-                continue
-            got = b""
-            for x in CLASSES.findall(p):
-                ids = parts.get(x)
-                if ids is None:
-                    if x.isascii() and x.isalpha():
-                        spelled = x
-                    elif x.isascii() and x[0] == " ":
-                        spelled = BYTE_LETTERS[32] + x[1:]
-                    else:
-                        spelled = x.encode().decode("latin-1").translate(BYTE_LETTERS)
-                    ids = parts[x] = array(code, [t.id for t in model.tokenize(spelled)]).tobytes()
-                got += ids
+    def _learn(self, units: list[bytes]) -> list[bytes]:
+        """Ids of new units.  Those without inner white space are lines of one text: a line feed between them is a token of
+        its own, and what follows it begins anew."""
+        said = [u.decode() for u in units]
+        out: list[bytes | None] = [None] * len(units)
+        lines = [i for i, s in enumerate(said) if LINE.fullmatch(s)] if self.feed is not None else []
+        for at in range(0, len(lines), TOGETHER):
+            mine = lines[at:at + TOGETHER]
+            ids = np.frombuffer(self._whole("\n".join([said[i] for i in mine])), dtype=self.kind)
+            cuts = np.flatnonzero(ids == self.feed) * ids.itemsize
+            raw = ids.tobytes()
+            for i, a, b in zip(mine, [0, *(cuts + ids.itemsize).tolist()], [*cuts.tolist(), len(raw)], strict=True):
+                out[i] = raw[a:b]
+        return [self._whole(s) if got is None else got for s, got in zip(said, out, strict=True)]
+
+    def _ids(self, units: list[bytes]) -> list[bytes]:
+        if len(self.fresh) > CACHE_UNITS:
+            self.old, self.fresh = self.fresh, {}
+        fresh, old = self.fresh, self.old
+        out = []
+        for u in units:
+            got = fresh.get(u)
+            if got is None and (got := old.get(u)) is not None:
+                fresh[u] = got
             out.append(got)
+        new = [i for i, got in enumerate(out) if got is None]
+        for i, got in zip(new, self._learn([units[i] for i in new]), strict=True):
+            out[i] = got
+            if len(units[i]) <= KEPT_BYTES:
+                fresh[units[i]] = got
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.fresh) > CACHE_PIECES:
-            self.old, self.fresh = self.fresh, {}
-        cut: list[list[str] | None] = []
-        new: set[str] = set()
-        for t in texts:
-            if any(s in t for s in self.special):
-                cut.append(None)
-            else:
-                cut.append(got := BORDER.split(t) if SPACE_RUN.search(t) else t.split(" "))
-                new.update(got[1:])
-        fresh, old = self.fresh, self.old
-        missing = []
-        for p in new.difference(fresh):
-            had = old.get(p)
-            if had is None:
-                missing.append(p)
-            else:
-                fresh[p] = had
-        if missing:
-            fresh.update(zip(missing, self._learn([" " + p for p in missing]), strict=True))
-        heads = self._learn([c[0] if c else "" for c in cut])
-        get = fresh.__getitem__
-        return [self._whole(t) if c is None else h + b"".join(map(get, c[1:]))
-                for t, c, h in zip(texts, cut, heads, strict=True)]
+        if not self.plain:
+            return [self._whole(t) for t in texts]
+        column = pa.array(texts, pa.large_string())
+        _, offsets, raw = column.buffers()
+        offs = np.frombuffer(offsets, dtype=np.int64)[:len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = np.frombuffer(raw, dtype=np.uint8)[:offs[-1]] if raw is not None else np.zeros(0, np.uint8)
+        whole = np.array([any(s in t for s in self.special) for t in texts], dtype=bool)
+        starts = unit_starts(data, offs, whole)
+        if not len(starts):
+            return [b""] * len(texts)
+        border = pa.py_buffer(np.concatenate([starts, [len(data)]]).astype(np.int64))
+        units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, border, pa.py_buffer(data)]).dictionary_encode()
+        coded = self._ids(units.dictionary.to_pylist())
+        size = np.array([len(x) for x in coded], dtype=np.int64)[units.indices.to_numpy(zero_copy_only=False)]
+        flat = pa.array(coded, pa.large_binary()).take(units.indices).buffers()[2].to_pybytes()
+        edge = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, offs)].tolist()
+        return [flat[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
 #: Encoders of this worker process: tasks that follow one another share the caches.
@@ -228,8 +299,8 @@ def encode_segments(docs: DataFrame, id_col: str, text_col: str, tokenizer_file:
                        "low_bits", "low", "high", "samples"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                cut = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 512):
+                cut = batch.slice(at, 512)
                 if part is None:
                     part = cut.column(0)[0].as_py()
                 coded = encoder.encode([t or "" for t in cut.column(2).to_pylist()])
@@ -255,11 +326,8 @@ def write_corpus(docs: DataFrame, path: str, id_col: str, text_col: str, tokeniz
     parts = spark.read.schema(SEGMENTS).parquet(f"{path}/segments").groupBy("part").agg(
         F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_docs").cast("long")).alias("docs"))
     # One row per range partition, so the running sum runs over a table of partitions, not of rows.
-    parts.createOrReplaceTempView(view := "llm_token_parts")
-    spark.sql(f"""
-        SELECT part, tokens, docs,
-               coalesce(sum(tokens) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base
-        FROM {view}""").coalesce(1).write.parquet(f"{path}/bases")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))).coalesce(1).write.parquet(f"{path}/bases")
     return path
 
 
@@ -267,12 +335,9 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Segments with ``start``: the tokens of all segments before them."""
     segments = spark.read.schema(SEGMENTS).parquet(f"{path}/segments")
     bases = spark.read.schema("part int, tokens long, docs long, base long").parquet(f"{path}/bases")
-    sizes = segments.select("part", "seq", "n_tokens")
-    inside = sizes.alias("a").join(sizes.alias("b"), (F.col("a.part") == F.col("b.part"))
-                                   & (F.col("b.seq") < F.col("a.seq"))) \
-        .groupBy(F.col("a.part").alias("part"), F.col("a.seq").alias("seq")).agg(F.sum("b.n_tokens").alias("within"))
-    at = sizes.select("part", "seq").join(inside, ["part", "seq"], "left").join(bases.select("part", "base"), "part") \
-        .select("part", "seq", (F.col("base") + F.coalesce("within", F.lit(0))).alias("start"))
+    before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)  # three numbers a segment
+    at = segments.select("part", "seq", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("within")) \
+        .join(bases.select("part", "base"), "part").select("part", "seq", (F.col("base") + F.col("within")).alias("start"))
     return segments.join(at, ["part", "seq"])
 
 
