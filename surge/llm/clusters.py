@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surge.llm.staging import staged
+from surge.llm.staging import release, staged
 
 #: Largest absolute value of an integer component: squared distances of up to 2**8 components fit 63 bits.
 LARGEST = 1 << 26
@@ -219,11 +219,13 @@ def ns_kmeans(df: DataFrame, k: int = 40, rounds: int = 5, dim: int = 64, scale:
         return vectors.select("id", "x", F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance"), F.lit(0).cast("long").alias("evaluated")), centroids
     history = centroids[None]
     state = staged(_first_pass(vectors, centroids), "cluster-state")
+    release(vectors)
     for _ in range(rounds):
         count, total = _sums(state, len(centroids), dim)
         centroids = np.where(count[:, None] > 0, total // np.maximum(count, 1)[:, None], centroids)
         history = np.concatenate([history, centroids[None]])
-        state = staged(_next_pass(state, history), "cluster-state")
+        before, state = state, staged(_next_pass(state, history), "cluster-state")
+        release(before)  # two rounds at most are on disk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
