@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from surge.functions.columns import flag, pct_change, rowwise_mean
 from surge.operators.quantile import quantile_value
+from surge.plans.stage import materialize
 
 TOTAL, RESP, ASTHMA = "Total_Hospitalization", "Respiratory_Count", "Asthma_Count"
 # Default thresholds (named in degrees C / percent, as in the source data's labels).
@@ -111,7 +112,7 @@ def aq_composite_columns(df: DataFrame, prefix: str = "AQ_", exclude: str = "due
 def high_exposure_days(df: DataFrame, cols: Sequence[str], *, q: float = 0.75, name: str = "exposure") -> DataFrame:
     """Rows with a positive row-mean exposure, flagged ``is_high`` when at or above
     the q-quantile of that exposure (a scalar subquery)."""
-    e = df.withColumn(name, rowwise_mean(cols)).where(F.col(name) > 0)
+    e = materialize(df.withColumn(name, rowwise_mean(cols)).where(F.col(name) > 0))  # read by the selection and by the result
     thr = quantile_value(e, name, q)
     return e.withColumn("is_high", (F.col(name) >= thr).cast("int"))
 
