@@ -55,12 +55,30 @@ def parse_date(c: ColumnOrName, fmt: str | None = None) -> Column:
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "M/d/yyyy", "M/d/yyyy h:mm:ss a", "d MMM yyyy")
 
 
+#: What a text of a format looks like at least; a format is tried only on such texts, as a failed parse costs an exception.
+_YEAR = "[+-]?[0-9]{4,}"
+DATE_SHAPES = {
+    "yyyy-MM-dd": f"^{_YEAR}-[0-9]{{2}}-[0-9]{{2}}$",
+    "yyyy-MM-dd'T'HH:mm:ss": f"^{_YEAR}-[0-9]{{2}}-[0-9]{{2}}[Tt][0-9:]+$",
+    "yyyy-MM-dd HH:mm:ss": f"^{_YEAR}-[0-9]{{2}}-[0-9]{{2}} [0-9:]+$",
+    "yyyy/MM/dd": f"^{_YEAR}/[0-9]{{2}}/[0-9]{{2}}$",
+    "M/d/yyyy": f"^[0-9]+/[0-9]+/{_YEAR}$",
+    "M/d/yyyy h:mm:ss a": f"^[0-9]+/[0-9]+/{_YEAR} [0-9:]+ .+$",
+    "d MMM yyyy": f"^[0-9]+ .+ {_YEAR}$",
+}
+
+
 def parse_dates(c: ColumnOrName, formats: Iterable[str] = DATE_FORMATS) -> Column:
     """Date from text by the first of several formats that fits (white space around it ignored); NULL when none does.
 
     Other ISO forms that a cast accepts (fractions, zones) come last, so a format never changes what is plain ISO."""
     s = F.trim(col(c).cast("string"))
-    tried = [F.try_to_timestamp(s, F.lit(f)).cast("date") for f in formats]
+
+    def by(fmt: str) -> Column:
+        day = F.try_to_timestamp(s, F.lit(fmt)).cast("date")
+        return F.when(s.rlike(DATE_SHAPES[fmt]), day) if fmt in DATE_SHAPES else day
+
+    tried = [by(f) for f in formats]
     return F.coalesce(*tried, parse_date(s))
 
 

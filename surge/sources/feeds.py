@@ -94,7 +94,9 @@ def read_feeds(spark: SparkSession, paths: Sequence[str], feed: Feed, *, formats
 def typed_rows(raw: DataFrame, feed: Feed, *, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Text rows (and ``_broken_line``, where there is one) in the feed's types, with ``_rescued`` and ``_reject``."""
     present = [f for f in feed.schema.fields if f.name in raw.columns]
-    typed = {f.name: _typed(F.col(f"`{f.name}`"), f.dataType, formats) for f in present}
+    # Typed in a step of their own: each value is parsed once, though the value, its rescue and the reject ask for it.
+    cells = raw.select("*", *[_typed(F.col(f"`{f.name}`"), f.dataType, formats).alias(f"_typed {f.name}") for f in present])
+    typed = {f.name: F.col(f"`_typed {f.name}`") for f in present}
 
     def empty(name: str) -> Column:
         return F.trim(F.col(f"`{name}`")) == ""
@@ -114,7 +116,7 @@ def typed_rows(raw: DataFrame, feed: Feed, *, formats: Sequence[str] = DATE_FORM
 
     reject = F.coalesce(F.when(broken, F.lit("broken line")), lacks(feed.date, "date"), lacks(feed.key, "key"))
     values = {n: canonical_key(c) if n == feed.key else c for n, c in typed.items()}
-    return raw.select(*[c.alias(n) for n, c in values.items()], rescued.alias("_rescued"), reject.alias("_reject"))
+    return cells.select(*[c.alias(n) for n, c in values.items()], rescued.alias("_rescued"), reject.alias("_reject"))
 
 
 def accepted(df: DataFrame) -> DataFrame:

@@ -63,3 +63,26 @@ def test_empty_feed_and_round_trip(spark):
     feeds.write_feed(rows, path)
     got = feeds.read_feed(spark, path, feeds.VISITS).first()
     assert got["Dim1Value"] == 'the "bronx", ny' and got["_reject"] is None or got["_reject"] == "broken line"
+
+
+def test_guarded_formats_give_the_dates_of_plain_parsing(spark):
+    from pyspark.sql import functions as F
+    from surge.functions.columns import DATE_FORMATS, DATE_SHAPES, parse_date, parse_dates
+    assert set(DATE_FORMATS) <= set(DATE_SHAPES)
+    texts = ["1997-03-05", " 1997-03-05 ", "1997-3-5", "1997-13-05", "+12345-01-01", "-1997-01-01", "1997-03-05T10:11:12", "1997-03-05t10:11:12",
+             "1997-03-05 10:11:12", "1997-03-05 10:11:12.5", "1997-03-05 10:11", "1997-03-05Z", "1997/03/05", "1997/3/5", "3/5/1997", "03/05/1997",
+             "00003/0005/1997", "3/5/97", "13/5/1997", "2/30/1997", "3/5/+12345", "3/5/1997 1:02:03 AM", "03/05/1997 01:02:03 pm", "3/5/1997 13:02:03 PM",
+             "3/5/1997 1:02:03", "3/5/1997 1:02:03 xx", "5 Mar 1997", "05 mar 1997", "5 March 1997", "5  Mar 1997", "pending", "", " ", "1997", "1997-03",
+             "1997-03-05\n", "\u0661997-03-05", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    s = F.trim(F.col("t"))
+    plain = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)).cast("date") for f in DATE_FORMATS], parse_date(s))
+    rows = df.select("t", parse_dates("t").cast("string").alias("got"), plain.cast("string").alias("want")).collect()
+    assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows]
+    assert sum(r.got is not None for r in rows) > 12
+
+
+def test_each_cell_is_parsed_once(spark):
+    raw = spark.createDataFrame([("3/5/1997", "x", "1")], "Date string, Dim1Value string, Count string")
+    plan = feeds.typed_rows(raw, feeds.VISITS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("M/d/yyyy h:mm:ss a") == 1
