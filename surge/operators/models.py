@@ -181,6 +181,10 @@ def train_regressors(prepared: DataFrame, *, target: str = "Total_Hospitalizatio
 
 # ------------------------------------------------------------------ exact k nearest neighbours
 
+#: Balls in a run that one matrix product covers, pairs measured at once, asked rows of a task and of a step.
+BALLS, PAIRS, TASK_ROWS, STEP_ROWS = 32, 1 << 15, 4096, 1024
+
+
 class BallTree:
     """Balls over labelled points for exact nearest neighbours: leaves of at most ``leaf`` rows, halved along their widest dimension."""
 
@@ -199,6 +203,7 @@ class BallTree:
         at = np.concatenate(order) if order else np.zeros(0, np.int64)
         self.ids, self.x, self.y = ids[at], x[at], y[at]
         self.upto = np.concatenate([[0], np.cumsum(done)]).astype(np.int64)
+        self.norm = (self.x * self.x).sum(1)
         balls = list(zip(self.upto[:-1], self.upto[1:], strict=True))
         self.middle = np.array([self.x[i:j].mean(0) for i, j in balls]).reshape(len(balls), x.shape[1])
         self.radius = np.array([np.sqrt(((self.x[i:j] - m) ** 2).sum(1)).max() for (i, j), m in zip(balls, self.middle, strict=True)])
@@ -206,41 +211,71 @@ class BallTree:
     def nearest(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(votes, neighbours): mean label and number of the k nearest points of each row of q (ties by smaller id).
 
-        Balls are visited by their least possible distance; one that cannot hold a nearer point is never opened."""
+        Runs of ``BALLS`` balls are visited by their least possible distance; one that cannot hold a nearer point is never opened.
+        In an open run a matrix product tells which points may be near enough; only those are measured, by direct differences."""
         n, none = len(q), np.iinfo(np.int64).max
         dist, ident, label = np.full((n, k), np.inf), np.full((n, k), none), np.zeros((n, k))
         if n and len(self.x):
-            away = np.sqrt(np.maximum((q * q).sum(1)[:, None] + (self.middle ** 2).sum(1)[None] - 2 * q @ self.middle.T, 0))
+            own = (q * q).sum(1)
+            away = np.sqrt(np.maximum(own[:, None] + (self.middle ** 2).sum(1)[None] - 2 * q @ self.middle.T, 0))
             scale = 1e-6 * (1 + np.abs(q).max() + np.abs(self.middle).max())  # rounding of the expansion above
-            bound = away - self.radius[None] - scale
+            first = np.arange(0, self.middle.shape[0], BALLS)
+            bound = np.minimum.reduceat(away - self.radius[None] - scale, first, axis=1)
+            upto = self.upto[np.append(first, len(self.upto) - 1)]
             turn = np.argsort(bound, axis=1)
             for r in range(turn.shape[1]):
-                ball = turn[:, r]
-                open_ = np.flatnonzero(bound[np.arange(n), ball] <= dist[:, -1])
+                run = turn[:, r]
+                open_ = np.flatnonzero(bound[np.arange(n), run] <= dist[:, -1])
                 if not len(open_):
                     break
-                for b in np.unique(ball[open_]).tolist():
-                    rows = open_[ball[open_] == b]
-                    i, j = self.upto[b], self.upto[b + 1]
-                    diff = q[rows][:, None, :] - self.x[i:j][None]  # direct differences keep near-ties exact
-                    d = np.concatenate([dist[rows], np.sqrt((diff * diff).sum(axis=2))], axis=1)
-                    t = np.concatenate([ident[rows], np.broadcast_to(self.ids[i:j], (len(rows), j - i))], axis=1)
-                    y = np.concatenate([label[rows], np.broadcast_to(self.y[i:j], (len(rows), j - i))], axis=1)
-                    best = np.lexsort((t, d), axis=1)[:, :k]
-                    dist[rows], ident[rows], label[rows] = (np.take_along_axis(v, best, axis=1) for v in (d, t, y))
+                for b in np.unique(run[open_]).tolist():
+                    rows = open_[run[open_] == b]
+                    i, j = upto[b], upto[b + 1]
+                    who, point = self._candidates(q[rows], own[rows], dist[rows, -1], i, j, k)
+                    begin, done = np.searchsorted(who, np.arange(len(rows) + 1)), 0
+                    while done < len(rows):  # so many pairs at once as fit in memory, whole rows of q
+                        upper = max(done + 1, int(np.searchsorted(begin, begin[done] + PAIRS, side="right")) - 1)
+                        at = slice(begin[done], begin[upper])
+                        self._keep_best(q, rows[done:upper], who[at] - done, i + point[at], dist, ident, label)
+                        done = upper
         have = np.isfinite(dist)
         count = have.sum(1)
         return np.where(have, label, 0).sum(1) / np.maximum(count, 1), count
 
+    def _candidates(self, q: np.ndarray, own: np.ndarray, far: np.ndarray, i: int, j: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row of q, point of i .. j): every pair that may be as near as ``far``, or among the row's k nearest points of i .. j."""
+        slack = 4e-15 * (q.shape[1] + 16)  # above the rounding of the expansion, as a share of both squared lengths
+        near = self.norm[i:j] * (1 - slack) - 2 * (q @ self.x[i:j].T)
+        reach = far ** 2 - own * (1 - slack)
+        new = np.flatnonzero(np.isinf(far))
+        if len(new) and j - i >= k:
+            least = np.partition(near[new], k - 1, axis=1)[:, k - 1] + 4 * slack * (own[new] + self.norm[i:j].max())
+            reach[new] = np.where(np.isnan(least), np.inf, least)
+        return np.nonzero(near <= reach[:, None])
+
+    def _keep_best(self, q: np.ndarray, rows: np.ndarray, who: np.ndarray, point: np.ndarray, dist: np.ndarray, ident: np.ndarray,
+                   label: np.ndarray) -> None:
+        """Merge the pairs (rows[who], point) into the k nearest of ``rows``, in place."""
+        k = dist.shape[1]
+        diff = q[rows[who]] - self.x[point]  # direct differences keep near-ties exact
+        of = np.concatenate([np.repeat(np.arange(len(rows)), k), who])
+        d = np.concatenate([dist[rows].ravel(), np.sqrt((diff * diff).sum(axis=1))])
+        t = np.concatenate([ident[rows].ravel(), self.ids[point]])
+        y = np.concatenate([label[rows].ravel(), self.y[point]])
+        order = np.lexsort((t, d, of))
+        head = np.searchsorted(of[order], np.arange(len(rows)))
+        best = order[head[:, None] + np.arange(k)]
+        dist[rows], ident[rows], label[rows] = d[best], t[best], y[best]
+
 
 def knn_predict(train: DataFrame, test: DataFrame, *, k: int = 5, id_col: str = "id", features: str = "features",
                 label: str = "label", rows_per_block: int = 128, max_train: int = 50_000) -> DataFrame:
     """Exact kNN vote share (probability of class 1) for every test row, among the labelled rows drawn.
 
     ``max_train`` bounds, in expectation, the labelled rows used: above it they are drawn by the hash of their id, so their ball tree
-    (balls of ``rows_per_block`` rows) has a bounded size and is broadcast once.  Test rows are scored where they are: no
-    shuffle, no pairs beyond the balls that can hold a neighbour.  Distances are exact in float64, ties go to the smaller id;
-    rows without features, label or id are left out."""
+    (balls of ``rows_per_block`` rows) has a bounded size and is broadcast once.  Test rows are dealt out
+    ``TASK_ROWS`` a task and scored there: no pairs beyond the balls that can hold a neighbour.  Distances are exact in float64,
+    ties go to the smaller id; rows without features, label or id are left out."""
     kept = train.select(F.col(id_col).cast("long").alias("i"), F.col(features).alias("x"), F.col(label).cast("double").alias("y")).dropna()
     share = F.pmod(F.xxhash64("i", F.lit("knn")), F.lit(1 << 30)) / float(1 << 30)
     rows = kept.where(share < min(1.0, max_train / max(kept.count(), 1))).toArrow()
@@ -251,11 +286,13 @@ def knn_predict(train: DataFrame, test: DataFrame, *, k: int = 5, id_col: str =
     def score(batches):
         for batch in batches:
             q = np.vstack(batch["x"].to_numpy()).astype(np.float64) if len(batch) else np.zeros((0, x.shape[1]))
-            found = [shared.value.nearest(q[a:a + 256], k) for a in range(0, len(q), 256)]
+            found = [shared.value.nearest(q[a:a + STEP_ROWS], k) for a in range(0, len(q), STEP_ROWS)]
             votes, count = (np.concatenate([f[j] for f in found]) if found else np.zeros(0) for j in (0, 1))
             yield pd.DataFrame({id_col: batch["i"], "probability": votes, "n_neighbours": count.astype(np.int64)})
 
     asked = test.select(F.col(id_col).cast("long").alias("i"), F.col(features).alias("x")).dropna()
+    # However few files and row groups hold the asked rows, their number decides how many tasks score them.
+    asked = asked.repartition(1 + asked.count() // TASK_ROWS, "i")
     return asked.mapInPandas(score, f"`{id_col}` long, probability double, n_neighbours long").where("n_neighbours > 0")
 
 

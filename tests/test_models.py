@@ -77,3 +77,24 @@ def test_svm_class_is_the_side_of_the_margin(spark):
     out = {(r["model"], r["dataset"]): r for r in train_classifiers(df.drop("label"), names=["SVM", "KNN"], dim=3).collect()}
     assert set(out) == {("SVM", "Train"), ("SVM", "Test"), ("KNN", "Train"), ("KNN", "Test")}
     assert out["SVM", "Train"]["Accuracy"] > 0.7 and out["KNN", "Train"]["AUROC"] > 0.8
+
+
+def test_knn_deals_out_the_asked_rows(spark):
+    from surge.operators.models import TASK_ROWS
+    df = spark.range(2 * TASK_ROWS + 50, numPartitions=1).select("id", F.array(F.sin("id"), F.cos(F.col("id") * 3)).alias("features"), F.lit(1).alias("label"))
+    out = knn_predict(df.where("id < 50"), df.where("id >= 50"))
+    assert out.rdd.getNumPartitions() == 3 and out.count() == 2 * TASK_ROWS
+
+
+def test_only_candidates_are_measured(monkeypatch):
+    from surge.operators import models
+    r = np.random.default_rng(5)
+    x, q = r.normal(size=(20_000, 16)), r.normal(size=(40, 16))
+    pairs = []
+    keep = models.BallTree._keep_best
+    monkeypatch.setattr(models.BallTree, "_keep_best", lambda self, q, rows, who, *rest: (pairs.append(len(who)), keep(self, q, rows, who, *rest)))
+    y = (r.random(20_000) > 0.5).astype(float)
+    votes, _ = models.BallTree(np.arange(20_000), x, y, 128).nearest(q, 5)
+    near = [np.lexsort((np.arange(20_000), np.sqrt(((x - p) ** 2).sum(1))))[:5] for p in q]
+    assert np.allclose(votes, [y[n].mean() for n in near])
+    assert sum(pairs) < 40 * 20_000 / 100
