@@ -58,6 +58,12 @@ def answer_all(validated: DataFrame, answer: Callable[[DataFrame], DataFrame]) -
     return done.unionByName(refused, allowMissingColumns=True)
 
 
+def asked_days(req: DataFrame, *, key: str = "borough", req_date: str = "req_date") -> DataFrame:
+    """The distinct (key, day) pairs of accepted requests.  What a model says depends on them alone, so each pair is scored
+    once and joined to its requests: the models' work is bounded by keys x calendar days, however many requests there are."""
+    return req.select(key, req_date).distinct()
+
+
 def nearest_date_join(req: DataFrame, history: DataFrame, *, key: str = "borough", req_date: str = "req_date",
                       hist_date: str = "Date") -> DataFrame:
     """For each request, the history day of its key with the smallest absolute

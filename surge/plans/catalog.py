@@ -906,15 +906,26 @@ def q_train_bundle(spark, sf):
                        hist.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("history_rows"))
 
 
+#: Tasks over which the asked days are dealt for scoring: few rows, each with many trees to walk.
+SCORING_TASKS = 48
+
+
+def _scored_days(rows: DataFrame, classifier_model, regressor_model) -> DataFrame:
+    """``score_requests`` of one row per asked (key, day)."""
+    return mdl.score_requests(rows.repartition(SCORING_TASKS, "borough", "req_date"), classifier_model, regressor_model)
+
+
 @query("score_nearest")
 def q_score_nearest(spark, sf):
     """Nearest-day features -> the published forests' probability and count -> capacity and band; rejected requests get their error."""
     models, features, hist, _ = bundle(spark, sf)
 
     def answer(ok: DataFrame) -> DataFrame:
-        near = sc.nearest_date_join(ok.select("request_id", "borough", "req_date", "capacity"), hist.select("borough", "Date"))
+        near = sc.nearest_date_join(sc.asked_days(ok), hist.select("borough", "Date"))
         rows = near.join(hist.select("borough", F.col("Date").alias("matched_date"), *features), on=["borough", "matched_date"], how="left")
-        out = sc.score_capacity(mdl.score_requests(rows, models["Random Forest"], models["Random Forest Regressor"]))
+        told = _scored_days(rows, models["Random Forest"], models["Random Forest Regressor"]).select(
+            "borough", "req_date", "matched_date", "day_gap", "predicted_count", "high_risk_probability")
+        out = sc.score_capacity(ok.select("request_id", "borough", "req_date", "capacity").join(told, ["borough", "req_date"]))
         return out.select("request_id", "borough", "req_date", "matched_date", "day_gap", "predicted_count",
                           "high_risk_probability", "capacity", "additional_beds_needed", "utilization_percent",
                           sc.risk_band(F.col("high_risk_probability")).alias("risk_level"))
@@ -928,10 +939,11 @@ def q_score_cascade(spark, sf):
     models, features, hist, _ = bundle(spark, sf)
 
     def answer(ok: DataFrame) -> DataFrame:
-        rows = sc.cascade_features(ok.select("request_id", "borough", "req_date"), hist, features)
-        out = mdl.score_requests(rows, models["Gradient Boosting"], models["Gradient Boosting Regressor"])
-        return out.select("request_id", "borough", "req_date", "match_level", "predicted_count", "high_risk_probability",
-                          sc.binary_band(F.col("risk_pred")).alias("risk_level"))
+        rows = sc.cascade_features(sc.asked_days(ok), hist, features)
+        told = _scored_days(rows, models["Gradient Boosting"], models["Gradient Boosting Regressor"]).select(
+            "borough", "req_date", "match_level", "predicted_count", "high_risk_probability", sc.binary_band(F.col("risk_pred")).alias("risk_level"))
+        return ok.select("request_id", "borough", "req_date").join(told, ["borough", "req_date"]).select(
+            "request_id", "borough", "req_date", "match_level", "predicted_count", "high_risk_probability", "risk_level")
 
     return sc.answer_all(validated(spark, sf), answer)
 

@@ -54,3 +54,30 @@ def test_historical_average_month_fallback(spark):
                                  (3, "q", dt.date(2024, 3, 1))], "request_id int, borough string, req_date date")
     got = {r.request_id: r.historical_average for r in historical_average(req, hist).collect()}
     assert got == {1: 20.33, 2: 25.5, 3: None}
+
+
+def test_each_asked_day_is_scored_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from surge.plans import catalog as cat
+    hist = spark.createDataFrame([("a", "1997-01-01", 1.0), ("a", "1997-01-09", 2.0)], "borough string, d string, f double") \
+        .select("borough", F.to_date("d").alias("Date"), "f")
+    asked = [("a", "1997-01-02"), ("a", "1997-01-09"), ("b", "1997-01-01")]
+    req = spark.createDataFrame([(i, *asked[i % 3], 20 + i % 2, "ok", None) for i in range(60)] + [(60, "a", None, 20, "error", "bad date")],
+                                "request_id long, borough string, d string, capacity int, status string, error string") \
+        .withColumn("req_date", F.to_date("d")).drop("d")
+    seen = []
+
+    def score(rows, *models):
+        seen.append(rows.count())
+        return rows.withColumns({"predicted_count": F.coalesce("f", F.lit(0.0)) * 15, "high_risk_probability": F.lit(0.5), "risk_pred": F.lit(1)})
+
+    names = ["Random Forest", "Random Forest Regressor", "Gradient Boosting", "Gradient Boosting Regressor"]
+    monkeypatch.setattr(cat, "bundle", lambda *_: (dict.fromkeys(names), ["f"], hist, {}))
+    monkeypatch.setattr(cat, "validated", lambda *_: req)
+    monkeypatch.setattr(cat.mdl, "score_requests", score)
+    near = {r.request_id: r for r in cat.q_score_nearest(spark, "").collect()}
+    cascade = {r.request_id: r for r in cat.q_score_cascade(spark, "").collect()}
+    assert seen == [3, 3] and len(near) == len(cascade) == 61
+    assert [near[i].predicted_count for i in range(3)] == [15.0, 30.0, 0.0] and near[0].day_gap == 1 and near[2].matched_date is None
+    assert (near[4].additional_beds_needed, near[1].additional_beds_needed) == (10, 9)
+    assert [cascade[i].match_level for i in range(3)] == ["month", "exact", "none"] and cascade[60].error == "bad date"
