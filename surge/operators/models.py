@@ -189,6 +189,8 @@ class BallTree:
     """Balls over labelled points for exact nearest neighbours: leaves of at most ``leaf`` rows, halved along their widest dimension."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, y: np.ndarray, leaf: int):
+        whole = np.isfinite(x).all(axis=1)  # a point with a missing component is nobody's neighbour
+        ids, x, y = ids[whole], x[whole], y[whole]
         order, done, todo = [], [], [np.arange(len(x))] if len(x) else []
         while todo:
             rows = todo.pop()
@@ -218,7 +220,7 @@ class BallTree:
         if n and len(self.x):
             own = (q * q).sum(1)
             away = np.sqrt(np.maximum(own[:, None] + (self.middle ** 2).sum(1)[None] - 2 * q @ self.middle.T, 0))
-            scale = 1e-6 * (1 + np.abs(q).max() + np.abs(self.middle).max())  # rounding of the expansion above
+            scale = 1e-6 * (1 + np.abs(q[np.isfinite(q)]).max(initial=0) + np.abs(self.middle).max())  # rounding of the expansion above
             first = np.arange(0, self.middle.shape[0], BALLS)
             bound = np.minimum.reduceat(away - self.radius[None] - scale, first, axis=1)
             upto = self.upto[np.append(first, len(self.upto) - 1)]

@@ -98,3 +98,14 @@ def test_only_candidates_are_measured(monkeypatch):
     near = [np.lexsort((np.arange(20_000), np.sqrt(((x - p) ** 2).sum(1))))[:5] for p in q]
     assert np.allclose(votes, [y[n].mean() for n in near])
     assert sum(pairs) < 40 * 20_000 / 100
+
+
+def test_a_missing_component_costs_no_other_row_its_neighbours():
+    from surge.operators.models import BallTree
+    r = np.random.default_rng(6)
+    x, q = r.normal(size=(300, 4)), r.normal(size=(20, 4))
+    y = (r.random(300) > 0.5).astype(float)
+    want, _ = BallTree(np.arange(299), x[:299], y[:299], 16).nearest(q, 5)
+    x[299, 2], broken = np.nan, np.vstack([q, [np.nan] * 4])
+    votes, count = BallTree(np.arange(300), x, y, 16).nearest(broken, 5)
+    assert np.allclose(votes[:20], want) and count.tolist() == [5] * 20 + [0]
