@@ -131,7 +131,7 @@ def earlier_matches(tiles: DataFrame, sets_of: join.Sets, ranks: np.ndarray, num
         for batch in batches:
             for piece in slices(batch, "text"):
                 doc, code, count = sets_of(piece.column("text"))
-                order = np.lexsort((code, ranks[join.cells_of(code)], doc))
+                order = join.rare_first(doc, code, ranks)
                 found = join.split_sets(doc, code[order], count)
                 cols = [piece.column(c).to_pylist() for c in ("key", "id", "side", "doc_id", "line_no")]
                 for k, *row in zip(*cols, found, strict=True):
@@ -165,19 +165,20 @@ def repeated_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
     numbered = lines.withColumn("id", F.monotonically_increasing_id()).withColumn("check", F.xxhash64("text"))
     signed = staged(join.signatures(numbered, sets, ranks, num, den, keys), "line-signatures")
     sig = ["n", "sig_a", "sig_b"]
-    classes = signed.groupBy(*sig).agg(F.min(F.struct("doc_id", "line_no", "id")).alias("rep"), F.count(F.lit(1)).alias("size"))
+    classes = signed.groupBy(*sig).agg(F.min(F.struct("doc_id", "line_no", "id", "check")).alias("rep"), F.count(F.lit(1)).alias("size"))
     classes = staged(classes.select(*sig, "size", F.col("rep.id").alias("id"), F.col("rep.doc_id").alias("rep_doc"),
-                                    F.col("rep.line_no").alias("rep_line")), "line-classes")
-    leads = signed.where(F.size("prefix") > 0).join(classes.select("id"), "id", "left_semi")
-    bundles = connected_components(join.bundle_edges(leads.select("id", "n", F.explode("prefix").alias("tok")), num, den)) \
-        .select(F.col("node").alias("id"), F.col("component").alias("bundle"))
+                                    F.col("rep.line_no").alias("rep_line"), F.col("rep.check").alias("rep_check")), "line-classes")
+    bundles = connected_components(join.bundle_edges(signed.select(F.explode("prefix").alias("tok"), F.col("sig_a").alias("id"), "n"), num, den)) \
+        .select(F.col("node").alias("sig_a"), F.col("component").alias("bundle"))
     hashed = lines.withColumn("check", F.xxhash64("text"))
-    members = staged(signed.select(*keys, "n").join(bundles, "id"), "line-members")
+    leads = classes.select("id", F.col("rep_doc").alias("doc_id"), F.col("rep_line").alias("line_no"), F.col("rep_check").alias("check"), "n", "sig_a")
+    members = staged(leads.join(bundles, "sig_a").drop("sig_a"), "line-members")
     members = join.sharper(members, hashed, ["doc_id", "line_no", "check"], sets, num, den, TILE)
     dealt = join.tile_keys(members, num, den, ("doc_id", "line_no", "check"), TILE)
     tiles = hashed.join(dealt, ["doc_id", "line_no", "check"])
     early = earlier_matches(tiles, sets, ranks, num, den) \
         .groupBy("id").agg(F.min(F.struct("match_doc", "match_line")).alias("early"))
+    early = staged(early, "line-matches")  # the texts' shuffle ends here
     told = classes.join(early, "id", "left").where("size > 1 OR early IS NOT NULL").select(
         *sig, F.coalesce("early", F.struct(F.col("rep_doc").alias("match_doc"), F.col("rep_line").cast("long").alias("match_line"))).alias("match"),
         F.col("id").alias("rep"), "early", F.explode(F.sequence(F.lit(0), F.lit(join.SALTS - 1))).alias("salt"))

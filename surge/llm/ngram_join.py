@@ -69,14 +69,15 @@ def rarity(rows: DataFrame, sets: Sets) -> np.ndarray:
                 cell, times = np.unique(cells_of(code), return_counts=True)
                 total[cell] += times.astype(np.int32)
         if total.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(CHUNKS), pa.int32()), blobs([total[i * width:(i + 1) * width].tobytes() for i in range(CHUNKS)])],
+            parts = [total[i * width:(i + 1) * width] for i in range(CHUNKS)]
+            yield pa.RecordBatch.from_arrays(  # in as few bytes a count as a chunk's largest needs
+                [pa.array(range(CHUNKS), pa.int32()), blobs([x.astype(np.min_scalar_type(int(x.max()))).tobytes() for x in parts])],
                 names=["chunk", "counts"])
 
     def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(width, dtype=np.int64)
         for raw in group["counts"]:
-            total += np.frombuffer(raw, np.int32)
+            total += np.frombuffer(raw, f"u{len(raw) // width}")
         rank = np.floor(8 * np.log2(1 + total)).clip(0, 255).astype(np.uint8)
         return pd.DataFrame({"chunk": [key[0]], "ranks": [rank.tobytes()]})
 
@@ -87,6 +88,15 @@ def rarity(rows: DataFrame, sets: Sets) -> np.ndarray:
     return out
 
 
+def rare_first(doc: np.ndarray, code: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Order of sorted (doc, code) by document, rarity and code: one sort of words that hold document, rank and place."""
+    if len(doc) and int(doc[-1]) >= 1 << 24:
+        return np.lexsort((code, ranks[cells_of(code)], doc))
+    key = (doc.astype(np.uint64) << np.uint64(8) | ranks[cells_of(code)]) << np.uint64(32) | np.arange(len(doc), dtype=np.uint64)
+    key.sort()
+    return (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def split_sets(doc: np.ndarray, code: np.ndarray, count: int) -> list[np.ndarray]:
     """The set of each document, copied out of the arrays of its slice."""
     upto = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=count))])
@@ -98,10 +108,21 @@ def least_overlap(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return -(-n * num // den)
 
 
+def _unseen(sign: np.ndarray, seen: set[int]) -> np.ndarray:
+    """The first row of each signature that is not yet in ``seen``, which grows up to some ``SEEN``."""
+    first = np.zeros(len(sign), dtype=bool)
+    first[np.unique(sign, return_index=True)[1]] = True
+    first &= np.array([s not in seen for s in sign.tolist()], dtype=bool)
+    if len(seen) < SEEN:
+        seen.update(sign[first].tolist())
+    return first
+
+
 def signatures(rows: DataFrame, sets: Sets, ranks: np.ndarray | None, num: int, den: int, keys: list[str]) -> DataFrame:
     """(*keys, n, sig_a, sig_b, prefix): set size, 128-bit signature of the set, and the prefix of its columns
-    rare first (empty without ``ranks``)."""
+    rare first (empty without ``ranks``).  A task gives the prefix of equal sets once, as ``prefix_rows`` does."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for piece in slices(batch, "text"):
                 doc, code, count = sets(piece.column("text"))
@@ -114,8 +135,9 @@ def signatures(rows: DataFrame, sets: Sets, ranks: np.ndarray | None, num: int,
                 if ranks is None:
                     order, length = np.arange(len(doc)), np.zeros_like(n)
                 else:
-                    order = np.lexsort((code, ranks[cells_of(code)], doc))
-                    length = np.where(den * n >= num * (n + 1), n - least_overlap(n, num, den) + 1, 0)
+                    order = rare_first(doc, code, ranks)
+                    first = _unseen(sig[0], seen)
+                    length = np.where(first & (den * n >= num * (n + 1)), n - least_overlap(n, num, den) + 1, 0)
                 place = np.arange(len(doc)) - upto[doc]
                 chosen = place < length[doc]
                 yield pa.RecordBatch.from_arrays(
@@ -166,14 +188,10 @@ def prefix_rows(rows: DataFrame, sets: Sets, ranks: np.ndarray, num: int, den: i
                 upto = np.concatenate([[0], np.cumsum(n)])
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(code ^ np.uint64(SIGN)), dtype=np.uint64)])
                 sign = (total[upto[1:]] - total[upto[:-1]]).view(np.int64)
-                first = np.zeros(count, dtype=bool)
-                first[np.unique(sign, return_index=True)[1]] = True
-                first &= np.array([s not in seen for s in sign.tolist()], dtype=bool)
-                if len(seen) < SEEN:
-                    seen.update(sign[first].tolist())
+                first = _unseen(sign, seen)
                 # A set that no larger one can be similar to has no similar smaller one either.
                 length = np.where(first & (den * n >= num * (n + 1)), n - least_overlap(n, num, den) + 1, 0)
-                order = np.lexsort((code, ranks[cells_of(code)], doc))
+                order = rare_first(doc, code, ranks)
                 chosen = np.arange(len(doc)) - upto[doc] < length[doc]
                 yield pa.RecordBatch.from_arrays([pa.array(code[order][chosen].view(np.int64)), pa.array(sign[doc[chosen]]), pa.array(n[doc[chosen]])],
                                                  names=["tok", "id", "n"])
