@@ -26,13 +26,19 @@ from surge.llm.staging import staged
 
 #: Tokens in a tile: some hundred lines, or one longer line.
 TILE = 40_000
+#: White space, of which a blank line has nothing else.
+BLANK = " \t\n\x0b\f\r"
+#: Lines of a class from which on they are dealt out by salt to be told their match.
+MANY = 1024
+#: Pairs of rows that are weighed at once.
+PAIRS = 1 << 18
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, line_no, text) of the lines of all texts, blank lines left out."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.posexplode(F.split(F.col(f"`{text_col}`"), "\n")).alias("line_no", "text")) \
-        .where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+        .where(F.col("doc_id").isNotNull() & (F.ltrim("text", F.lit(BLANK)) != ""))
 
 
 def needed_overlap(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -40,107 +46,120 @@ def needed_overlap(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarr
     return -(-(a + b) * num // (num + den))
 
 
-def matches(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i of left, j of right) at least num / den similar.
+def matches(tokens: np.ndarray, size: np.ndarray, tile: np.ndarray, side: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of rows at least num / den similar, of a left and a right row of one tile; row i before row j where rows are both.
 
-    ``sets`` list tokens in the common order (rare first).  Pairs come from the tokens of both prefixes; the sizes and
+    ``tokens`` holds the sets end to end, each in the common order (rare first), ``size`` their sizes, ``tile`` ascending tile numbers,
+    ``side`` 0 (left), 1 (right) or 2 (both).  Pairs come from the tokens of both prefixes, for some left rows at a time; the sizes and
     the positions of the first common token must leave room for the needed overlap; the rest is verified by merging."""
-    size = np.array([len(s) for s in sets], dtype=np.int64)
-    keep = size - join.least_overlap(size, num, den) + 1
-    owner = np.concatenate([np.full(k, i) for i, k in enumerate(keep.tolist())])
-    place = np.concatenate([np.arange(k) for k in keep.tolist()])
-    token = np.concatenate([s[:k] for s, k in zip(sets, keep.tolist(), strict=True)])
-    is_left, is_right = np.zeros(len(sets), bool), np.zeros(len(sets), bool)
-    is_left[left], is_right[right] = True, True
-    order = np.lexsort((place, token))
-    owner, place, token = owner[order], place[order], token[order]
-    same = left is right
-    found = []
-    start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-    for a, b in zip(start.tolist(), [*start[1:].tolist(), len(token)], strict=True):
-        if b - a < 2:
+    count = len(size)
+    upto = np.concatenate([[0], np.cumsum(size)])
+    owner = np.repeat(np.arange(count), size)
+    place = np.arange(len(tokens)) - upto[owner]
+    column = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
+    head = np.flatnonzero(place < (size - join.least_overlap(size, num, den) + 1)[owner])
+    # A token of one tile is not that of another: the prefixes' postings are by (tile, token), within one by row.
+    own, at = owner[head], place[head]
+    named = np.unique(tile[own] * np.int64(len(tokens) + 1) + column[head], return_inverse=True)[1]
+    is_right = side[own] != 0
+    order = np.argsort(named[is_right], kind="stable")
+    posting, posted = own[is_right][order], at[is_right][order]
+    begin = np.concatenate([[0], np.cumsum(np.bincount(named[is_right], minlength=int(named.max(initial=-1)) + 1))])
+    start = begin[named]
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    both = side[own] == 2
+    start[both] = rank[both[is_right]] + 1  # only the rows behind it
+    reach = np.where(side[own] != 1, begin[named + 1] - start, 0)
+    used = np.flatnonzero(reach)
+    start, reach, own, at = start[used], reach[used], own[used], at[used]
+    # Left rows in runs of some ``PAIRS`` pairs, or one row.
+    pairs = np.cumsum(np.bincount(own, minlength=count))
+    weight = np.cumsum(np.bincount(own, weights=reach, minlength=count))
+    out, row = [], 0
+    while row < count:
+        done = weight[row - 1] if row else 0
+        upto_row = max(row + 1, int(np.searchsorted(weight, done + PAIRS, side="right")))
+        some = slice(int(pairs[row - 1]) if row else 0, int(pairs[upto_row - 1]))
+        row = upto_row
+        times = reach[some]
+        if not len(times):
             continue
-        o, p = owner[a:b], place[a:b]
-        x, y = np.flatnonzero(is_left[o]), np.flatnonzero(is_right[o])
-        i, j = np.repeat(x, len(y)), np.tile(y, len(x))
-        n, m = size[o[i]], size[o[j]]
-        ok = (den * n >= num * m) & (den * m >= num * n)
-        if same:
-            ok &= o[i] < o[j]
-        found.append(np.stack([o[i], o[j], p[i], p[j]])[:, ok])
-    if not found:
+        hit = np.repeat(start[some] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        u, r, v, s = np.repeat(own[some], times), np.repeat(at[some], times), posting[hit], posted[hit]
+        fits = (den * size[u] >= num * size[v]) & (den * size[v] >= num * size[u])
+        u, r, v, s = u[fits], r[fits], v[fits], s[fits]
+        lead = np.unique(u * np.int64(count) + v, return_index=True)[1]  # the first common token of a pair
+        u, r, v, s = u[lead], r[lead], v[lead], s[lead]
+        room = 1 + np.minimum(size[u] - r - 1, size[v] - s - 1) >= needed_overlap(size[u], size[v], num, den)
+        out.append((u[room], v[room]))
+    if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    u, v, r, s = np.concatenate(found, axis=1)
-    order = np.lexsort((r, v, u))
-    u, v, r, s = u[order], v[order], r[order], s[order]
-    lead = np.ones(len(u), dtype=bool)  # the first common token of a pair
-    lead[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
-    room = 1 + np.minimum(size[u] - r - 1, size[v] - s - 1) >= needed_overlap(size[u], size[v], num, den)
-    u, v = u[lead & room], v[lead & room]
+    u, v = (np.concatenate(x) for x in zip(*out, strict=True))
     if not len(u):
         return u, v
     # Verify, row by row of the left side: flag its tokens and count the flags that each partner hits.
-    column = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    upto = np.concatenate([[0], np.cumsum(size)])
-    flag = np.zeros(len(column) + 1, dtype=np.int64)
-    both = np.zeros(len(u), dtype=np.int64)
-    head = np.flatnonzero(np.diff(u, prepend=-1))
-    for a, b in zip(head.tolist(), [*head[1:].tolist(), len(u)], strict=True):
+    flag = np.zeros(int(column.max(initial=-1)) + 1, dtype=np.int64)
+    overlap = np.zeros(len(u), dtype=np.int64)
+    first = np.flatnonzero(np.diff(u, prepend=-1))
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(u)], strict=True):
         mine = column[upto[u[a]]:upto[u[a] + 1]]
         flag[mine] = 1
         n = size[v[a:b]]
-        begin = np.cumsum(n) - n
-        at = np.repeat(upto[v[a:b]] - begin, n) + np.arange(n.sum())
-        both[a:b] = np.add.reduceat(flag[column[at]], begin)
+        begins = np.cumsum(n) - n
+        hit = np.repeat(upto[v[a:b]] - begins, n) + np.arange(n.sum())
+        overlap[a:b] = np.add.reduceat(flag[column[hit]], begins)
         flag[mine] = 0
-    same_enough = den * both >= num * (size[u] + size[v] - both)
-    return u[same_enough], v[same_enough]
+    enough = den * overlap >= num * (size[u] + size[v] - overlap)
+    return u[enough], v[enough]
 
 
 def earlier_matches(tiles: DataFrame, sets_of: join.Sets, ranks: np.ndarray, num: int, den: int) -> DataFrame:
     """(id, match_doc, match_line): for each line that has one in its tile pair, the earliest earlier match."""
     ordered = tiles.repartition("key").sortWithinPartitions("key", "doc_id", "line_no")
-
-    def solve(rows: list[tuple]) -> list[tuple]:
-        side = np.array([r[1] for r in rows])
-        sets = [r[4] for r in rows]
-        whole = (side == 2).all()
-        left = np.arange(len(rows)) if whole else np.flatnonzero(side == 0)
-        right = left if whole else np.flatnonzero(side == 1)
-        if not len(left) or not len(right):
-            return []
-        best: dict[int, tuple] = {}
-        for u, v in zip(*(x.tolist() for x in matches(sets, left, right, num, den)), strict=True):
-            early, late = (u, v) if rows[u][2:4] < rows[v][2:4] else (v, u)
-            at = rows[early][2:4]
-            if at == rows[late][2:4]:  # rows that share id and text
-                continue
-            if rows[late][0] not in best or at < best[rows[late][0]]:
-                best[rows[late][0]] = at
-        return [(i, *at) for i, at in best.items()]
+    names = ["tile", "id", "side", "doc_id", "line_no", "size"]
+
+    def solve(rows: dict[str, np.ndarray], tokens: np.ndarray) -> pa.RecordBatch | None:
+        """Rows are in the order of their lines within a tile, so the earliest match is the least row."""
+        u, v = matches(tokens, rows["size"], rows["tile"], rows["side"], num, den)
+        spot = np.cumsum(np.any([np.diff(rows[c], prepend=-1) != 0 for c in ("tile", "doc_id", "line_no")], axis=0))
+        early, late = np.minimum(u, v), np.maximum(u, v)
+        apart = spot[early] != spot[late]  # not rows that share id and text
+        count = len(spot)
+        best = np.full(count, count)
+        np.minimum.at(best, late[apart], early[apart])
+        got = np.flatnonzero(best < count)
+        if not len(got):
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(rows["id"][got]), pa.array(rows["doc_id"][best[got]]), pa.array(rows["line_no"][best[got]])],
+                                          names=["id", "match_doc", "match_line"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
+        held: list[tuple[dict[str, np.ndarray], np.ndarray]] = []
+        key, tile, waiting = None, 0, 0
 
-        def done() -> pa.RecordBatch | None:
-            got = solve(rows) if len(rows) > 1 else []
-            if not got:
-                return None
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*got, strict=True)], names=["id", "match_doc", "match_line"])
+        def joined() -> tuple[dict[str, np.ndarray], np.ndarray]:
+            return {c: np.concatenate([x[c] for x, _ in held]) for c in names}, np.concatenate([t for _, t in held])
 
         for batch in batches:
             for piece in slices(batch, "text"):
                 doc, code, count = sets_of(piece.column("text"))
-                order = join.rare_first(doc, code, ranks)
-                found = join.split_sets(doc, code[order], count)
-                cols = [piece.column(c).to_pylist() for c in ("key", "id", "side", "doc_id", "line_no")]
-                for k, *row in zip(*cols, found, strict=True):
-                    if k != key:
-                        if (got := done()) is not None:
-                            yield got
-                        key, rows = k, []
-                    rows.append(tuple(row))
-        if (got := done()) is not None:
+                tokens = code[join.rare_first(doc, code, ranks)]
+                own = [key, *piece.column("key").to_pylist()]
+                number = tile + np.cumsum([a != b for a, b in zip(own[:-1], own[1:], strict=True)])
+                key, tile = own[-1], int(number[-1])
+                rows = {c: piece.column(c).to_numpy().astype(np.int64) for c in names[1:-1]}
+                held.append((rows | {"tile": number, "size": np.bincount(doc, minlength=count).astype(np.int64)}, tokens))
+                waiting += len(tokens)
+                if waiting < TILE or int(held[0][0]["tile"][0]) == tile:
+                    continue
+                rows, tokens = joined()  # the last tile may go on
+                cut = int(np.searchsorted(rows["tile"], tile))
+                edge = int(rows["size"][:cut].sum())
+                if (got := solve({c: x[:cut] for c, x in rows.items()}, tokens[:edge])) is not None:
+                    yield got
+                held, waiting = [({c: x[cut:] for c, x in rows.items()}, tokens[edge:])], len(tokens) - edge
+        if held and (got := solve(*joined())) is not None:
             yield got
 
     return ordered.select("key", "id", "side", "doc_id", F.col("line_no").cast("long").alias("line_no"), "text") \
@@ -173,17 +192,23 @@ def repeated_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
     hashed = lines.withColumn("check", F.xxhash64("text"))
     leads = classes.select("id", F.col("rep_doc").alias("doc_id"), F.col("rep_line").alias("line_no"), F.col("rep_check").alias("check"), "n", "sig_a")
     members = staged(leads.join(bundles, "sig_a").drop("sig_a"), "line-members")
-    members = join.sharper(members, hashed, ["doc_id", "line_no", "check"], sets, num, den, TILE)
+    few = join.sketched(hashed, members, ["doc_id", "line_no", "check"])  # the other lines' texts stay where they are
+    members = join.sharper(members, few, ["doc_id", "line_no", "check"], sets, num, den, TILE)
     dealt = join.tile_keys(members, num, den, ("doc_id", "line_no", "check"), TILE)
-    tiles = hashed.join(dealt, ["doc_id", "line_no", "check"])
+    tiles = few.join(dealt, ["doc_id", "line_no", "check"])
     early = earlier_matches(tiles, sets, ranks, num, den) \
         .groupBy("id").agg(F.min(F.struct("match_doc", "match_line")).alias("early"))
     early = staged(early, "line-matches")  # the texts' shuffle ends here
     told = classes.join(early, "id", "left").where("size > 1 OR early IS NOT NULL").select(
         *sig, F.coalesce("early", F.struct(F.col("rep_doc").alias("match_doc"), F.col("rep_line").cast("long").alias("match_line"))).alias("match"),
-        F.col("id").alias("rep"), "early", F.explode(F.sequence(F.lit(0), F.lit(join.SALTS - 1))).alias("salt"))
-    dealt = signed.select("id", "doc_id", "line_no", "check", *sig).withColumn("salt", F.pmod(F.hash("doc_id", "line_no"), F.lit(join.SALTS)))
-    return dealt.join(told, [*sig, "salt"]).where("id <> rep OR early IS NOT NULL") \
+        F.col("id").alias("rep"), "early", "size")
+    told = staged(told, "line-told")
+    rows = signed.select("id", "doc_id", "line_no", "check", *sig)
+    small, large = told.where(F.col("size") <= MANY), told.where(F.col("size") > MANY)
+    salted = join.sketched(rows, large, sig).withColumn("salt", F.pmod(F.hash("doc_id", "line_no"), F.lit(join.SALTS))) \
+        .join(large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(join.SALTS - 1)))), [*sig, "salt"]).drop("salt")
+    found = join.sketched(rows, small, sig).join(small, sig).unionByName(salted)
+    return found.where("id <> rep OR early IS NOT NULL") \
         .select("doc_id", F.col("line_no").cast("long").alias("line_no"), "match.match_doc", "match.match_line",
                 *([F.col("check").alias("line_hash")] if with_hash else []))
 

@@ -38,6 +38,8 @@ CELLS = 1 << CELL_BITS
 #: N-grams in a tile (8 bytes each), pairs held before they are joined.
 TILE, PAIRS = 2_400_000, 1 << 20
 SALTS = 32
+#: Bits of the bitmap of keys by which texts are left out before they move (8 MB).
+KEY_BITS = 26
 #: Salt of the first half of a set's signature; signatures that a task remembers.
 SIGN, SEEN = 0x51ED, 1 << 20
 #: Columns of an average part from which on equal parts tell rows apart better than rare columns do: similarities above some 0.88.
@@ -66,8 +68,7 @@ def rarity(rows: DataFrame, sets: Sets) -> np.ndarray:
         for batch in batches:
             for piece in slices(batch, "text"):
                 _, code, _ = sets(piece.column("text"))
-                cell, times = np.unique(cells_of(code), return_counts=True)
-                total[cell] += times.astype(np.int32)
+                np.add.at(total, cells_of(code), np.int32(1))
         if total.any():
             parts = [total[i * width:(i + 1) * width] for i in range(CHUNKS)]
             yield pa.RecordBatch.from_arrays(  # in as few bytes a count as a chunk's largest needs
@@ -245,6 +246,23 @@ def with_texts(texts: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return texts.join(keys.hint("merge"), on)
 
 
+def sketched(texts: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``texts`` without most of the rows whose columns ``on`` are not in ``keys``; the rows of ``keys`` all stay, so a join gives the same.
+
+    The keys set bits of a bitmap of ``2 ** KEY_BITS``, which is broadcast: its size does not grow with the keys.  Rows that meet a bit
+    by chance stay too, the more the fuller the bitmap is."""
+    def bit() -> Column:
+        return F.pmod(F.xxhash64(*[F.col(c).cast(texts.schema[c].dataType) for c in on]), F.lit(1 << KEY_BITS))
+
+    word, place = F.shiftright("_bit", 6), F.expr("cast(_bit & 63 AS int)")
+    words = keys.select(bit().alias("_bit")).groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place)).alias("bits"))
+    parts = words.groupBy(F.shiftright("word", 6).alias("_part")).agg(F.map_from_entries(F.collect_list(F.struct(F.expr("word & 63"), "bits"))).alias("map")) \
+        .select("_part", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.element_at("map", i.cast("long")), F.lit(0))).alias("_words"))
+    parts = staged(parts, "ngram-keys")
+    found = texts.withColumn("_bit", bit()).join(F.broadcast(parts), F.shiftright("_bit", 12) == F.col("_part"))
+    return found.where(F.call_function("bit_get", F.expr("_words[cast((_bit >> 6) & 63 AS int)]"), place) == 1).select(*texts.columns)
+
+
 def sharper(members: DataFrame, texts: DataFrame, on: list[str], sets: Sets, num: int, den: int, tile: int) -> DataFrame:
     """``members`` (bundle, id, n, ...) with the bundles of more than ``tile`` n-grams split by the equal parts of another dealing.
 

@@ -30,3 +30,44 @@ def test_a_task_sends_the_prefix_of_equal_lines_once(spark):
     signed = ngram_join.signatures(docs, sets, ranks, 80, 100, ["doc_id"])
     assert signed.where("n = 50").agg(F.sum(F.size("prefix"))).first()[0] == 11
     assert {tuple(r) for r in lines.repeated_lines(docs).collect()} == {(i, 0, 0, 0) for i in [*range(1, 40), 90]}
+
+
+def test_lines_that_match_nothing_do_not_move_and_every_wanted_one_stays(spark, monkeypatch):
+    texts = spark.range(20_000).selectExpr("id AS doc_id", "CAST(id % 7 AS int) AS line_no", "concat('t', id) AS text")
+    keys = texts.where("doc_id % 100 = 3").selectExpr("doc_id", "CAST(line_no AS long) AS line_no")
+    few = ngram_join.sketched(texts, keys, ["doc_id", "line_no"])
+    assert few.columns == texts.columns and few.count() < 400
+    assert few.join(keys, ["doc_id", "line_no"]).count() == 200
+    assert ngram_join.sketched(texts, keys.limit(0), ["doc_id", "line_no"]).count() == 0
+    monkeypatch.setattr(ngram_join, "KEY_BITS", 13)  # a full bitmap keeps more, never less
+    assert ngram_join.sketched(texts, keys, ["doc_id", "line_no"]).join(keys, ["doc_id", "line_no"]).count() == 200
+
+
+def test_pairs_of_several_tiles_and_sides_equal_brute_force(monkeypatch):
+    rng = np.random.default_rng(3)
+    for run in (1, 9, 1 << 18):
+        monkeypatch.setattr(lines, "PAIRS", run)
+        for _ in range(10):
+            tile = np.sort(rng.integers(0, 4, 30))
+            both = rng.integers(0, 2, 4) == 0
+            side = np.where(both[tile], 2, rng.integers(0, 2, 30))
+            sets = [np.unique(np.concatenate([np.arange(rng.integers(1, 25)), rng.integers(30, 90, rng.integers(0, 3))])).astype(np.uint64) for _ in tile]
+            size = np.array([len(s) for s in sets])
+            u, v = lines.matches(np.concatenate(sets), size, tile, side, 80, 100)
+            want = set()
+            for i in range(30):
+                for j in range(30):
+                    common = len(np.intersect1d(sets[i], sets[j]))
+                    meet = tile[i] == tile[j] and ((side[i] == 2 and i < j) or (side[i] == 0 and side[j] == 1))
+                    if meet and 100 * common >= 80 * (size[i] + size[j] - common):
+                        want.add((i, j))
+            assert sorted(zip(u.tolist(), v.tolist(), strict=True)) == sorted(want)
+
+
+def test_classes_of_many_lines_are_told_as_small_ones_are(spark, monkeypatch):
+    line = " ".join(f"w{i}" for i in range(54))
+    docs = spark.createDataFrame([(i, f"{line}\n \t\x0b\nonly {i}") for i in range(12)] + [(90, line + " x1 x2\n" + line + " x1 x2")], "doc_id long, text string")
+    want = {(i, 0, 0, 0) for i in range(1, 12)} | {(90, 0, 0, 0), (90, 1, 0, 0)}
+    for many in (1, 5, 1024):
+        monkeypatch.setattr(lines, "MANY", many)
+        assert {tuple(r) for r in lines.repeated_lines(docs).collect()} == want
