@@ -15,11 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surge.llm import ngram_join as join
-from surge.llm.batches import slices
+from surge.llm.batches import Texts, mix64, slices
 from surge.llm.links import connected_components
 from surge.llm.staging import staged
 
@@ -32,6 +34,11 @@ BLANK = " \t\n\x0b\f\r"
 MANY = 1024
 #: Pairs of rows that are weighed at once.
 PAIRS = 1 << 18
+#: Bits of a posting's key that hold the size of its line, and the largest size told from others.
+SIZE_BITS = 16
+WIDEST = (1 << SIZE_BITS) - 1
+#: Least number of buckets of tokens (more with more shuffle partitions); postings (16 bytes each) a task holds before it sends or pairs them.
+BUCKETS, HELD = 1024, 1 << 20
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -41,6 +48,137 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .where(F.col("doc_id").isNotNull() & (F.ltrim("text", F.lit(BLANK)) != ""))
 
 
+def split_lines(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(lines, row, line_no): the lines of all texts of a column, each with the line feed that ends it; null is empty."""
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if not len(column):
+        return column, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, offsets, data = column.buffers()
+    offs = np.frombuffer(offsets, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(data, dtype=np.uint8)[offs[0]:offs[-1]] if data is not None else np.zeros(0, np.uint8)
+    offs = offs - offs[0]
+    feed = np.flatnonzero(data == 10)
+    row = np.concatenate([np.arange(len(column)), np.searchsorted(offs, feed, side="right") - 1])
+    order = np.argsort(row, kind="stable")
+    start = np.concatenate([offs[:-1], feed + 1])[order]
+    count = np.bincount(row, minlength=len(column))
+    line_no = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    borders = np.concatenate([start, offs[-1:]])
+    return pa.Array.from_buffers(pa.large_string(), len(row), [None, pa.py_buffer(borders), pa.py_buffer(data)]), row[order], line_no
+
+
+def _packed(held: list[np.ndarray], buckets: int) -> tuple[pa.Array, pa.Array]:
+    """(bucket, postings): rows (key, id) dealt by the hash of their token, all of a bucket end to end in one value."""
+    rows = np.concatenate(held)
+    bucket = (mix64((rows[:, 0] >> SIZE_BITS).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    count = np.bincount(bucket, minlength=buckets)
+    used = np.flatnonzero(count)
+    borders = np.concatenate([[0], np.cumsum(count[used])]).astype(np.int32) * 16
+    data = np.ascontiguousarray(rows[np.argsort(bucket, kind="stable")])
+    return pa.array(used.astype(np.int32)), pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(borders), pa.py_buffer(data)])
+
+
+def line_signatures(rows: DataFrame, sets: join.Sets, ranks: np.ndarray, num: int, den: int) -> DataFrame:
+    """(id, doc_id, line_no, n, sig_a, sig_b, bucket, postings): ``ngram_join.signatures`` of the lines of texts (doc_id, text), cut in the task.
+
+    Blank lines are left out; ``id`` numbers the lines.  A column ``hashes`` (one of each line) goes along as ``line_hash``.  The prefixes are
+    in rows of their own, ``bucket`` not null: they are many and short, so they are stored and move as many in one value
+    (``shared_tokens`` reads them).  A key is the upper bits of a token above the size of the set, from ``WIDEST`` on all one."""
+    more = ["line_hash"] if "hashes" in rows.columns else []
+    keys = ["id", "doc_id", "line_no", *more]
+    buckets, most = max(BUCKETS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), HELD
+    kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64() for _ in more], pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = [*keys, "n", "sig_a", "sig_b", "bucket", "postings"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        number = TaskContext.get().partitionId() << 33
+        held: list[np.ndarray] = []
+        waiting = 0
+
+        def sent() -> pa.RecordBatch:
+            bucket, postings = _packed(held, buckets)
+            return pa.RecordBatch.from_arrays([*[pa.nulls(len(bucket), k) for k in kinds[:-2]], bucket, postings], names=names)
+
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                text, row, line_no = split_lines(piece.column("text"))
+                columns = [pa.array(number + np.arange(len(row))), piece.column("doc_id").take(pa.array(row)), pa.array(line_no.astype(np.int32)),
+                           *[piece.column("hashes").flatten() for _ in more], text]
+                number += len(row)
+                for part in slices(pa.RecordBatch.from_arrays(columns, names=[*keys, "text"]), "text"):
+                    signed = join.signed_batch(part, sets, ranks, num, den, keys, seen)
+                    n, sign, prefix = (signed.column(c) for c in ("n", "sig_a", "prefix"))
+                    own = np.repeat(np.arange(len(n)), pc.list_value_length(prefix).to_numpy())
+                    key = prefix.flatten().to_numpy() & ~WIDEST | np.minimum(n.to_numpy(), WIDEST)[own]
+                    held.append(np.stack([key, sign.to_numpy()[own]], axis=1))
+                    waiting += len(own)
+                    yield pa.RecordBatch.from_arrays([*signed.columns[:-1], *[pa.nulls(len(n), k) for k in kinds[-2:]]], names=names)
+                    if waiting >= most:
+                        yield sent()
+                        held, waiting = [], 0
+        if waiting:
+            yield sent()
+
+    hashes = "".join(f", {c} long" for c in more)
+    return rows.mapInArrow(run, f"id long, doc_id long, line_no int{hashes}, n long, sig_a long, sig_b long, bucket int, postings binary") \
+        .where("n > 0 OR bucket IS NOT NULL")
+
+
+def _heads(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, pairs): the first id of every key, and pairs that hang the key's other ids under it."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    new = np.diff(rows[:, 0], prepend=~rows[:1, 0]) != 0
+    head = rows[new, 1][np.cumsum(new) - 1]
+    return rows[new], np.unique(np.stack([head, rows[:, 1]])[:, head != rows[:, 1]], axis=1)
+
+
+def _runs(rows: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Pairs that hold together the ids of every token, each run of sizes without a gap under its first id."""
+    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+    tok = rows[:, 0] >> SIZE_BITS
+    same = tok[1:] == tok[:-1]
+    rows = rows[np.append(same, False) | np.insert(same, 0, False)]  # most tokens are one line's alone
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    tok, n = rows[:, 0] >> SIZE_BITS, rows[:, 0] & WIDEST
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = (tok[1:] != tok[:-1]) | ((den * n[:-1] < num * n[1:]) & (n[1:] < WIDEST))
+    head = rows[new, 1][np.cumsum(new) - 1]
+    return np.unique(np.stack([head, rows[:, 1]])[:, head != rows[:, 1]], axis=1)
+
+
+def shared_tokens(packed: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) as ``ngram_join.bundle_edges`` gives them, from (bucket, postings) of ``line_signatures``.
+
+    Buckets are read some ``HELD`` postings at a time; of a larger one the ids that share a key are paired as they come, and one is kept.
+    Tokens that agree in their upper bits, and lines of ``WIDEST`` tokens or more, are only held together more often."""
+    ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
+    most = HELD
+
+    def batch_of(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        waiting, last = 0, None
+        for batch in batches:
+            for bucket, raw in zip(batch.column("bucket").to_pylist(), batch.column("postings").to_pylist(), strict=True):
+                if waiting >= most:
+                    rows, held, waiting = np.concatenate(held), [], 0
+                    if bucket != last:
+                        yield batch_of(_runs(rows, num, den))
+                    else:
+                        kept, pairs = _heads(rows)
+                        held.append(kept)
+                        yield batch_of(pairs)
+                held.append(np.frombuffer(raw, dtype=np.int64).reshape(-1, 2))
+                waiting, last = waiting + len(held[-1]), bucket
+        if held:
+            yield batch_of(_runs(np.concatenate(held), num, den))
+
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
 def needed_overlap(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
     """Least overlap of sets of sizes a and b at similarity num / den."""
     return -(-(a + b) * num // (num + den))
@@ -178,24 +316,30 @@ def repeated_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
     def sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
         return join.shingle_sets(column, k)
 
-    lines = line_table(docs, id_col, text_col)
-    ranks = join.rarity(lines, sets)
-    keys = ["id", "doc_id", "line_no", "check"]
-    numbered = lines.withColumn("id", F.monotonically_increasing_id()).withColumn("check", F.xxhash64("text"))
-    signed = staged(join.signatures(numbered, sets, ranks, num, den, keys), "line-signatures")
-    sig = ["n", "sig_a", "sig_b"]
-    classes = signed.groupBy(*sig).agg(F.min(F.struct("doc_id", "line_no", "id", "check")).alias("rep"), F.count(F.lit(1)).alias("size"))
-    classes = staged(classes.select(*sig, "size", F.col("rep.id").alias("id"), F.col("rep.doc_id").alias("rep_doc"),
-                                    F.col("rep.line_no").alias("rep_line"), F.col("rep.check").alias("rep_check")), "line-classes")
-    bundles = connected_components(join.bundle_edges(signed.select(F.explode("prefix").alias("tok"), F.col("sig_a").alias("id"), "n"), num, den)) \
+    def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
+        """The tokens of all lines of whole texts; a line's repeats count for its rarity."""
+        texts = Texts(split_lines(column)[0])
+        return (*texts.words().shingles(k), texts.n)
+
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")) \
+        .where("doc_id IS NOT NULL AND text IS NOT NULL")
+    ranks = join.rarity(rows, tokens)
+    hashes = F.transform(F.split("text", "\n"), lambda x: F.xxhash64(x))
+    both = staged(line_signatures(rows.withColumn("hashes", hashes) if with_hash else rows, sets, ranks, num, den), "line-signatures")
+    signed = both.where("bucket IS NULL").drop("bucket", "postings")
+    sig = ["sig_a", "sig_b", "n"]  # what tells most rows apart comes first in a sort
+    classes = signed.groupBy(*sig).agg(F.min(F.struct("doc_id", "line_no", "id")).alias("rep"), F.count(F.lit(1)).alias("size"))
+    classes = staged(classes.select(*sig, "size", F.col("rep.id").alias("id"), F.col("rep.doc_id").alias("rep_doc"), F.col("rep.line_no").alias("rep_line")), "line-classes")
+    bundles = connected_components(shared_tokens(both.where("bucket IS NOT NULL").select("bucket", "postings"), num, den)) \
         .select(F.col("node").alias("sig_a"), F.col("component").alias("bundle"))
-    hashed = lines.withColumn("check", F.xxhash64("text"))
-    leads = classes.select("id", F.col("rep_doc").alias("doc_id"), F.col("rep_line").alias("line_no"), F.col("rep_check").alias("check"), "n", "sig_a")
-    members = staged(leads.join(bundles, "sig_a").drop("sig_a"), "line-members")
-    few = join.sketched(hashed, members, ["doc_id", "line_no", "check"])  # the other lines' texts stay where they are
-    members = join.sharper(members, few, ["doc_id", "line_no", "check"], sets, num, den, TILE)
-    dealt = join.tile_keys(members, num, den, ("doc_id", "line_no", "check"), TILE)
-    tiles = few.join(dealt, ["doc_id", "line_no", "check"])
+    leads = classes.select("id", F.col("rep_doc").alias("doc_id"), F.col("rep_line").alias("line_no"), "n", "sig_a")
+    members = staged(leads.join(bundles, "sig_a"), "line-members")
+    spot = ["doc_id", "line_no", "sig_a"]
+    few = join.sketched(line_table(docs, id_col, text_col), members, spot[:2])  # the other lines' texts stay where they are
+    few = staged(join.signatures(few, sets, None, num, den, [*spot[:2], "text"]).select(*spot, "text"), "line-texts")
+    members = join.sharper(members, few, spot, sets, num, den, TILE)
+    dealt = join.tile_keys(members, num, den, tuple(spot), TILE)
+    tiles = few.join(dealt, spot)
     early = earlier_matches(tiles, sets, ranks, num, den) \
         .groupBy("id").agg(F.min(F.struct("match_doc", "match_line")).alias("early"))
     early = staged(early, "line-matches")  # the texts' shuffle ends here
@@ -203,14 +347,13 @@ def repeated_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
         *sig, F.coalesce("early", F.struct(F.col("rep_doc").alias("match_doc"), F.col("rep_line").cast("long").alias("match_line"))).alias("match"),
         F.col("id").alias("rep"), "early", "size")
     told = staged(told, "line-told")
-    rows = signed.select("id", "doc_id", "line_no", "check", *sig)
     small, large = told.where(F.col("size") <= MANY), told.where(F.col("size") > MANY)
-    salted = join.sketched(rows, large, sig).withColumn("salt", F.pmod(F.hash("doc_id", "line_no"), F.lit(join.SALTS))) \
+    salted = join.sketched(signed, large, sig).withColumn("salt", F.pmod(F.hash("doc_id", "line_no"), F.lit(join.SALTS))) \
         .join(large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(join.SALTS - 1)))), [*sig, "salt"]).drop("salt")
-    found = join.sketched(rows, small, sig).join(small, sig).unionByName(salted)
+    found = join.sketched(signed, small, sig).join(small, sig).unionByName(salted)
     return found.where("id <> rep OR early IS NOT NULL") \
         .select("doc_id", F.col("line_no").cast("long").alias("line_no"), "match.match_doc", "match.match_line",
-                *([F.col("check").alias("line_hash")] if with_hash else []))
+                *(["line_hash"] if with_hash else []))
 
 
 def drop_lines(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -119,6 +119,32 @@ def _unseen(sign: np.ndarray, seen: set[int]) -> np.ndarray:
     return first
 
 
+#: Columns of ``signed_batch`` behind its keys.
+SIGNED = "n long, sig_a long, sig_b long, prefix array<long>"
+
+
+def signed_batch(piece: pa.RecordBatch, sets: Sets, ranks: np.ndarray | None, num: int, den: int, keys: list[str], seen: set[int]) -> pa.RecordBatch:
+    """(*keys, n, sig_a, sig_b, prefix) of a slice with a column text, as ``signatures`` has them; ``seen``: the signatures of its task so far."""
+    doc, code, count = sets(piece.column("text"))
+    n = np.bincount(doc, minlength=count).astype(np.int64)
+    upto = np.concatenate([[0], np.cumsum(n)])
+    sig = []
+    for salt in (SIGN, 0xA5A5A5A5):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(code ^ np.uint64(salt)), dtype=np.uint64)])
+        sig.append((total[upto[1:]] - total[upto[:-1]]).view(np.int64))
+    if ranks is None:
+        order, length = np.arange(len(doc)), np.zeros_like(n)
+    else:
+        order = rare_first(doc, code, ranks)
+        first = _unseen(sig[0], seen)
+        length = np.where(first & (den * n >= num * (n + 1)), n - least_overlap(n, num, den) + 1, 0)
+    place = np.arange(len(doc)) - upto[doc]
+    chosen = place < length[doc]
+    return pa.RecordBatch.from_arrays(
+        [*[piece.column(c) for c in keys], pa.array(n), *[pa.array(s) for s in sig], lists(code[order][chosen].view(np.int64), length)],
+        names=[*keys, "n", "sig_a", "sig_b", "prefix"])
+
+
 def signatures(rows: DataFrame, sets: Sets, ranks: np.ndarray | None, num: int, den: int, keys: list[str]) -> DataFrame:
     """(*keys, n, sig_a, sig_b, prefix): set size, 128-bit signature of the set, and the prefix of its columns
     rare first (empty without ``ranks``).  A task gives the prefix of equal sets once, as ``prefix_rows`` does."""
@@ -126,27 +152,10 @@ def signatures(rows: DataFrame, sets: Sets, ranks: np.ndarray | None, num: int,
         seen: set[int] = set()
         for batch in batches:
             for piece in slices(batch, "text"):
-                doc, code, count = sets(piece.column("text"))
-                n = np.bincount(doc, minlength=count).astype(np.int64)
-                upto = np.concatenate([[0], np.cumsum(n)])
-                sig = []
-                for salt in (SIGN, 0xA5A5A5A5):
-                    total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(code ^ np.uint64(salt)), dtype=np.uint64)])
-                    sig.append((total[upto[1:]] - total[upto[:-1]]).view(np.int64))
-                if ranks is None:
-                    order, length = np.arange(len(doc)), np.zeros_like(n)
-                else:
-                    order = rare_first(doc, code, ranks)
-                    first = _unseen(sig[0], seen)
-                    length = np.where(first & (den * n >= num * (n + 1)), n - least_overlap(n, num, den) + 1, 0)
-                place = np.arange(len(doc)) - upto[doc]
-                chosen = place < length[doc]
-                yield pa.RecordBatch.from_arrays(
-                    [*[piece.column(c) for c in keys], pa.array(n), *[pa.array(s) for s in sig], lists(code[order][chosen].view(np.int64), length)],
-                    names=[*keys, "n", "sig_a", "sig_b", "prefix"])
+                yield signed_batch(piece, sets, ranks, num, den, keys, seen)
 
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keys)
-    return rows.select(*keys, "text").mapInArrow(run, f"{kinds}, n long, sig_a long, sig_b long, prefix array<long>")
+    return rows.select(*dict.fromkeys([*keys, "text"])).mapInArrow(run, f"{kinds}, {SIGNED}")
 
 
 def bundle_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
