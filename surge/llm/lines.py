@@ -34,11 +34,13 @@ BLANK = " \t\n\x0b\f\r"
 MANY = 1024
 #: Pairs of rows that are weighed at once.
 PAIRS = 1 << 18
+#: Bytes of text whose tokens are made at once.
+BYTES = 1 << 19
 #: Bits of a posting's key that hold the size of its line, and the largest size told from others.
 SIZE_BITS = 16
 WIDEST = (1 << SIZE_BITS) - 1
 #: Least number of buckets of tokens (more with more shuffle partitions); postings (16 bytes each) a task holds before it sends or pairs them.
-BUCKETS, HELD = 1024, 1 << 20
+BUCKETS, HELD = 1024, 1 << 18
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -106,7 +108,7 @@ def line_signatures(rows: DataFrame, sets: join.Sets, ranks: np.ndarray, num: in
                 columns = [pa.array(number + np.arange(len(row))), piece.column("doc_id").take(pa.array(row)), pa.array(line_no.astype(np.int32)),
                            *[piece.column("hashes").flatten() for _ in more], text]
                 number += len(row)
-                for part in slices(pa.RecordBatch.from_arrays(columns, names=[*keys, "text"]), "text"):
+                for part in slices(pa.RecordBatch.from_arrays(columns, names=[*keys, "text"]), "text", BYTES):
                     signed = join.signed_batch(part, sets, ranks, num, den, keys, seen)
                     n, sign, prefix = (signed.column(c) for c in ("n", "sig_a", "prefix"))
                     own = np.repeat(np.arange(len(n)), pc.list_value_length(prefix).to_numpy())
@@ -280,7 +282,7 @@ def earlier_matches(tiles: DataFrame, sets_of: join.Sets, ranks: np.ndarray, num
             return {c: np.concatenate([x[c] for x, _ in held]) for c in names}, np.concatenate([t for _, t in held])
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", BYTES):
                 doc, code, count = sets_of(piece.column("text"))
                 tokens = code[join.rare_first(doc, code, ranks)]
                 own = [key, *piece.column("key").to_pylist()]
@@ -317,9 +319,11 @@ def repeated_lines(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
         return join.shingle_sets(column, k)
 
     def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
-        """The tokens of all lines of whole texts; a line's repeats count for its rarity."""
-        texts = Texts(split_lines(column)[0])
-        return (*texts.words().shingles(k), texts.n)
+        """The tokens of all lines of whole texts, for ``rarity``, which counts the codes alone; a line's repeats count."""
+        cut = pa.RecordBatch.from_arrays([split_lines(column)[0]], names=["text"])
+        made = [Texts(part.column("text")).words().shingles(k) for part in slices(cut, "text", BYTES)]
+        doc, code = (np.concatenate([x[i] for x in made]) if made else np.zeros(0, t) for i, t in enumerate((np.int64, np.uint64)))
+        return doc, code, len(column)
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")) \
         .where("doc_id IS NOT NULL AND text IS NOT NULL")
