@@ -1,9 +1,12 @@
+import glob
 import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 from surge.llm import search
 
@@ -100,3 +103,24 @@ def test_empty_and_clashing_names(spark):
         assert got.columns == ["item_id", "rank", "doc_id", "score"] and got.count() == 0
     clash = full_d.selectExpr("*", "1 AS id", "'x' AS terms", "2 AS ids")
     assert search.search(search.build_index(clash), full_q.selectExpr("*", "1 AS item", "'y' AS term")).count() > 0
+
+
+def test_a_reader_holds_one_segment_at_a_time(spark, monkeypatch):
+    """However many segments a task writes to a file, each is a row group and a batch of its own."""
+    monkeypatch.setattr(search, "GROUP_BYTES", 1)
+    docs = [(i, f"w{i % 7} w{i % 11}") for i in range(25_000)]  # batches of 10,000 rows at most: three segments in a file
+    d, q = tables(spark, docs, [(1, "w3 w8")])
+    index = search.build_index(d.coalesce(1))
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(index._staged_path.removeprefix("file:") + "/*.parquet")]
+    assert sum(m.num_rows for m in files) > 2 and all(m.num_row_groups == m.num_rows for m in files)
+    batches, rank = [], search._rank
+
+    def sizes(rows):
+        for batch in rows:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    monkeypatch.setattr(search, "_rank", lambda index, *rest: (batches.extend(r.n for r in index.mapInArrow(sizes, "n long").collect()), rank(index, *rest))[1])
+    got = sorted(((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in search.search(index, q, 5).collect()), key=key)
+    assert got == sorted(brute(docs, [(1, "w3 w8")], 5), key=key)
+    assert len(batches) > 2 and set(batches) == {1}
+    assert spark.conf.get(search.BATCH_ROWS) == "10000"
