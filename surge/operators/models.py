@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
@@ -32,6 +33,7 @@ from pyspark.sql import types as T
 from surge.operators.features import standardize
 from surge.operators.metrics import classification_metrics, predicted_class, regression_metrics
 from surge.plans.stage import materialize
+from surge.session import delete_at_exit, scratch_path
 
 SEED = 42
 CLASSIFIERS = ("Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting", "SVM", "KNN")
@@ -185,6 +187,18 @@ def train_regressors(prepared: DataFrame, *, target: str = "Total_Hospitalizatio
 BALLS, PAIRS, TASK_ROWS, STEP_ROWS = 32, 1 << 15, 4096, 1024
 
 
+def no_neighbours(n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distance, id, label) of the k nearest points of n rows that have met none yet."""
+    return np.full((n, k), np.inf), np.full((n, k), np.iinfo(np.int64).max), np.zeros((n, k))
+
+
+def vote(dist: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(votes, neighbours): mean label and number of the nearest points."""
+    have = np.isfinite(dist)
+    count = have.sum(1)
+    return np.where(have, label, 0).sum(1) / np.maximum(count, 1), count
+
+
 class BallTree:
     """Balls over labelled points for exact nearest neighbours: leaves of at most ``leaf`` rows, halved along their widest dimension."""
 
@@ -215,8 +229,13 @@ class BallTree:
 
         Runs of ``BALLS`` balls are visited by their least possible distance; one that cannot hold a nearer point is never opened.
         In an open run a matrix product tells which points may be near enough; only those are measured, by direct differences."""
-        n, none = len(q), np.iinfo(np.int64).max
-        dist, ident, label = np.full((n, k), np.inf), np.full((n, k), none), np.zeros((n, k))
+        dist, ident, label = no_neighbours(len(q), k)
+        self.improve(q, dist, ident, label)
+        return vote(dist, label)
+
+    def improve(self, q: np.ndarray, dist: np.ndarray, ident: np.ndarray, label: np.ndarray) -> None:
+        """Merge the points of this tree into the nearest ones that the rows of q have so far, in place."""
+        n, k = dist.shape
         if n and len(self.x):
             own = (q * q).sum(1)
             away = np.sqrt(np.maximum(own[:, None] + (self.middle ** 2).sum(1)[None] - 2 * q @ self.middle.T, 0))
@@ -240,9 +259,6 @@ class BallTree:
                         at = slice(begin[done], begin[upper])
                         self._keep_best(q, rows[done:upper], who[at] - done, i + point[at], dist, ident, label)
                         done = upper
-        have = np.isfinite(dist)
-        count = have.sum(1)
-        return np.where(have, label, 0).sum(1) / np.maximum(count, 1), count
 
     def _candidates(self, q: np.ndarray, own: np.ndarray, far: np.ndarray, i: int, j: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(row of q, point of i .. j): every pair that may be as near as ``far``, or among the row's k nearest points of i .. j."""
@@ -270,32 +286,60 @@ class BallTree:
         dist[rows], ident[rows], label[rows] = d[best], t[best], y[best]
 
 
+def labelled_blocks(kept: DataFrame, block_rows: int) -> list[DataFrame]:
+    """``kept`` dealt into blocks of some ``block_rows`` rows, written to the shared folder; as it is if it is one block."""
+    blocks = -(-kept.count() // block_rows)
+    if blocks <= 1:
+        return [kept]
+    spark = kept.sparkSession
+    path = scratch_path(spark, "knn-blocks")
+    kept.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks))).repartition(blocks, "block").write.partitionBy("block").parquet(path)
+    delete_at_exit(spark, path)
+    return [spark.read.schema(kept.schema).parquet(f"{path}/block={b}") for b in range(blocks)]
+
+
 def knn_predict(train: DataFrame, test: DataFrame, *, k: int = 5, id_col: str = "id", features: str = "features",
-                label: str = "label", rows_per_block: int = 128, max_train: int = 50_000) -> DataFrame:
-    """Exact kNN vote share (probability of class 1) for every test row, among the labelled rows drawn.
+                label: str = "label", rows_per_block: int = 128, block_rows: int = 50_000) -> DataFrame:
+    """Exact kNN vote share (probability of class 1) for every test row, among all labelled rows.
 
-    ``max_train`` bounds, in expectation, the labelled rows used: above it they are drawn by the hash of their id, so their ball tree
-    (balls of ``rows_per_block`` rows) has a bounded size and is broadcast once.  Test rows are dealt out
+    The labelled rows are dealt into blocks of some ``block_rows``; one block's ball tree (balls of ``rows_per_block`` rows) at a time is
+    made and broadcast, and the asked rows carry their k nearest so far from block to block.  Test rows are dealt out
     ``TASK_ROWS`` a task and scored there: no pairs beyond the balls that can hold a neighbour.  Distances are exact in float64,
     ties go to the smaller id; rows without features, label or id are left out."""
     kept = train.select(F.col(id_col).cast("long").alias("i"), F.col(features).alias("x"), F.col(label).cast("double").alias("y")).dropna()
-    share = F.pmod(F.xxhash64("i", F.lit("knn")), F.lit(1 << 30)) / float(1 << 30)
-    rows = kept.where(share < min(1.0, max_train / max(kept.count(), 1))).toArrow()
-    x = np.array(rows.column("x").to_pylist(), dtype=np.float64).reshape(rows.num_rows, -1)
-    tree = BallTree(rows.column("i").to_numpy(), x, rows.column("y").to_numpy(), rows_per_block)
-    shared = train.sparkSession.sparkContext.broadcast(tree)
-
-    def score(batches):
-        for batch in batches:
-            q = np.vstack(batch["x"].to_numpy()).astype(np.float64) if len(batch) else np.zeros((0, x.shape[1]))
-            found = [shared.value.nearest(q[a:a + STEP_ROWS], k) for a in range(0, len(q), STEP_ROWS)]
-            votes, count = (np.concatenate([f[j] for f in found]) if found else np.zeros(0) for j in (0, 1))
-            yield pd.DataFrame({id_col: batch["i"], "probability": votes, "n_neighbours": count.astype(np.int64)})
+    blocks = labelled_blocks(kept, block_rows)
+    best = ["dist", "ident", "label"]
+
+    def shared_tree(block: DataFrame) -> Broadcast:
+        rows = block.toArrow()
+        x = np.array(rows.column("x").to_pylist(), dtype=np.float64).reshape(rows.num_rows, -1)
+        tree = BallTree(rows.column("i").to_numpy(), x, rows.column("y").to_numpy(), rows_per_block)
+        return train.sparkSession.sparkContext.broadcast(tree)
+
+    def scorer(shared: Broadcast, first: bool, last: bool):
+        def score(batches):
+            for batch in batches:
+                q = np.vstack(batch["x"].to_numpy()).astype(np.float64) if len(batch) else np.zeros((0, shared.value.x.shape[1]))
+                found = no_neighbours(len(q), k) if first or not len(q) else tuple(np.vstack(batch[c].to_numpy()) for c in best)
+                for a in range(0, len(q), STEP_ROWS):
+                    shared.value.improve(q[a:a + STEP_ROWS], *[f[a:a + STEP_ROWS] for f in found])
+                if last:
+                    votes, count = vote(found[0], found[2])
+                    yield pd.DataFrame({id_col: batch["i"], "probability": votes, "n_neighbours": count.astype(np.int64)})
+                else:
+                    yield pd.DataFrame({"i": batch["i"], "x": batch["x"]} | {c: list(f) for c, f in zip(best, found, strict=True)})
+        return score
 
     asked = test.select(F.col(id_col).cast("long").alias("i"), F.col(features).alias("x")).dropna()
     # However few files and row groups hold the asked rows, their number decides how many tasks score them.
     asked = asked.repartition(1 + asked.count() // TASK_ROWS, "i")
-    return asked.mapInPandas(score, f"`{id_col}` long, probability double, n_neighbours long").where("n_neighbours > 0")
+    so_far = f"i long, x {asked.schema['x'].dataType.simpleString()}, dist array<double>, ident array<long>, label array<double>"
+    for at, block in enumerate(blocks[:-1]):
+        shared = shared_tree(block)
+        asked = materialize(asked.mapInPandas(scorer(shared, at == 0, False), so_far))
+        shared.destroy()
+    return asked.mapInPandas(scorer(shared_tree(blocks[-1]), len(blocks) == 1, True),
+                             f"`{id_col}` long, probability double, n_neighbours long").where("n_neighbours > 0")
 
 
 def fit_one(prepared: DataFrame, *, kind: str, name: str, label: str, split: str = "split"):

@@ -109,3 +109,27 @@ def test_a_missing_component_costs_no_other_row_its_neighbours():
     x[299, 2], broken = np.nan, np.vstack([q, [np.nan] * 4])
     votes, count = BallTree(np.arange(300), x, y, 16).nearest(broken, 5)
     assert np.allclose(votes[:20], want) and count.tolist() == [5] * 20 + [0]
+
+
+def test_knn_uses_every_labelled_row(spark):
+    n, asked = 60_000, 40  # more than one block of labelled rows
+    x = np.random.default_rng(7).normal(size=(n + asked, 2))
+    y = (np.arange(n) % 3 == 0).astype(int)
+    rows = [(i, [float(v) for v in p], int(y[i]) if i < n else 0) for i, p in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label int")
+    got = {r.id: (r.probability, r.n_neighbours) for r in knn_predict(df.where(F.col("id") < n), df.where(F.col("id") >= n)).collect()}
+    assert len(got) == asked
+    for q in range(n, n + asked):
+        near = np.lexsort((np.arange(n), np.sqrt(((x[:n] - x[q]) ** 2).sum(1))))[:5]
+        assert abs(got[q][0] - y[near].mean()) < 1e-12 and got[q][1] == 5
+
+
+def test_knn_by_many_blocks_equals_brute_force(spark):
+    pts = np.random.default_rng(8).integers(0, 4, size=(90, 3)).astype(float)  # many ties
+    lab = np.arange(90) % 2
+    rows = [(i, [float(v) for v in p], int(v)) for i, (p, v) in enumerate(zip(pts, lab))]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label int").repartition(3)
+    got = {r.id: r.probability for r in knn_predict(df.where("id < 70"), df.where("id >= 70"), rows_per_block=4, block_rows=16).collect()}
+    for q in range(70, 90):
+        near = np.lexsort((np.arange(70), np.sqrt(((pts[:70] - pts[q]) ** 2).sum(1))))[:5]
+        assert abs(got[q] - lab[near].mean()) < 1e-12
