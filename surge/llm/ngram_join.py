@@ -8,6 +8,7 @@ overlap of every pair.  Only the part that can matter is multiplied:
   columns are dealt by hash at least three are then equal; and they share one of their rarest columns, as many as t allows
   to differ, and one.  High similarities (few, wide parts) bundle the rows with an equal part; others bundle those with a rare
   column in common, rarity taken from a count sketch over all rows, so rows that only share a common passage do not meet.
+  Pairs that met in a column of few rows are told apart first by bitmaps of their columns' parities, which differ in no more places.
   Sizes must allow t as well; all other pairs are below the bound.
 * Bundles too large for a tile are dealt again, by the equal parts of another dealing.
 * Bundles are cut into tiles of bounded size, and each pair of tiles whose sizes allow
@@ -42,6 +43,8 @@ SALTS = 32
 KEY_BITS = 26
 #: Salt of the first half of a set's signature; signatures that a task remembers.
 SIGN, SEEN = 0x51ED, 1 << 20
+#: Rows of a column from which on they are held together as a run; fewer are compared pair by pair.
+FEW = 64
 #: Columns of an average part from which on equal parts tell rows apart better than rare columns do: similarities above some 0.88.
 PART_COLUMNS = 8
 
@@ -158,31 +161,115 @@ def signatures(rows: DataFrame, sets: Sets, ranks: np.ndarray | None, num: int,
     return rows.select(*dict.fromkeys([*keys, "text"])).mapInArrow(run, f"{kinds}, {SIGNED}")
 
 
-def bundle_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
+def parities(rows: DataFrame, sets: Sets) -> DataFrame:
+    """(node, n, bits): of each set (named by its ``sig_a``) the parity of the columns that fall on each of some n to 2n bits; ``rows``: (text).
+
+    Two sets' bits differ in no more places than the sets in columns.  The bits are words of 64, as many as the next power of two, so
+    the larger of two such maps can be folded to the size of the smaller."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                doc, code, count = sets(piece.column("text"))
+                n = np.bincount(doc, minlength=count).astype(np.int64)
+                upto = np.concatenate([[0], np.cumsum(n)])
+                total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(code ^ np.uint64(SIGN)), dtype=np.uint64)])
+                words = 1 << np.ceil(np.log2(np.maximum(n / 64, 1))).astype(np.int64)
+                base = np.cumsum(words) - words
+                place = mix64(code ^ np.uint64(0xB175)) & (64 * words[doc] - 1).astype(np.uint64)
+                bits = np.zeros(int(words.sum()), dtype=np.uint64)
+                np.bitwise_xor.at(bits, base[doc] + (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+                yield pa.RecordBatch.from_arrays([pa.array((total[upto[1:]] - total[upto[:-1]]).view(np.int64)), pa.array(n), lists(bits.view(np.int64), words)],
+                                                 names=["node", "n", "bits"])
+
+    return rows.select("text").mapInArrow(run, "node long, n long, bits array<long>").where("n > 0")
+
+
+def near_pairs(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose parities leave room for the similarity: sets that differ in more columns than it allows are told apart.
+
+    ``bits``: (node, n, bits); a node that has several keeps a pair if one of them does."""
+    def side(name: str) -> DataFrame:
+        return bits.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("bits").alias(f"bits{name}")).hint("merge")
+
+    def folded(x: Column, y: Column) -> Column:
+        """x with no more words than y: those that fall together are added up."""
+        def word(j: Column) -> Column:
+            return F.aggregate(F.sequence(j, F.size(x) - 1, F.size(y)), F.lit(0).cast("long"), lambda s, i: s.bitwiseXOR(F.get(x, i)))
+
+        return F.when(F.size(x) <= F.size(y), x).otherwise(F.transform(F.sequence(F.lit(0), F.size(y) - 1), word))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    x, y = folded(F.col("bitsa"), F.col("bitsb")), folded(F.col("bitsb"), F.col("bitsa"))
+    apart = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    # Sets of a and b columns at num / den differ in at most (a + b) * (den - num) / (den + num).
+    return both.where(apart * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b")
+
+
+def bundle_edges(postings: DataFrame, num: int, den: int, few: int = 0) -> DataFrame:
     """Edges (a, b) that hold together all rows which share a column and whose sizes allow the similarity.
 
     ``postings``: (tok, id, n).  The rows of a column stream by size; each run of sizes
-    without a gap hangs under its first row, so a column sends out fewer edges than it has rows."""
+    without a gap hangs under its first row, so a column sends out fewer edges than it has rows.  With ``few`` a column of at most
+    so many different rows sends every pair whose sizes allow the similarity instead, which may be left out if told apart: ``sure`` is
+    false on these, and a third column."""
     ordered = postings.repartition("tok").sortWithinPartitions("tok", "n", "id")
 
+    def runs(tok: np.ndarray, n: np.ndarray, node: np.ndarray, last: tuple | None) -> tuple[np.ndarray, tuple]:
+        """Pairs, and (column, size, head) of the last row, from those of the row before."""
+        new = np.ones(len(tok), dtype=bool)
+        new[1:] = (tok[1:] != tok[:-1]) | (den * n[:-1] < num * n[1:])
+        carried = last is not None and last[0] == tok[0] and den * last[1] >= num * n[0]
+        new[0] = not carried
+        at = np.where(new, np.arange(len(tok)), -1)
+        head_at = np.maximum.accumulate(at)
+        head = np.where(head_at < 0, last[2] if carried else 0, node[np.maximum(head_at, 0)])
+        return np.stack([head, node])[:, head != node], (tok[-1], n[-1], head[-1])
+
+    def all_pairs(tok: np.ndarray, n: np.ndarray, node: np.ndarray) -> np.ndarray:
+        out, i = [np.zeros((2, 0), np.int64)], np.arange(len(tok))
+        for d in range(1, few):  # sizes ascend within a column: where one is too large, so are those behind it
+            i = i[i + d < len(tok)]
+            i = i[(tok[i] == tok[i + d]) & (den * n[i] >= num * n[i + d])]
+            if not len(i):
+                break
+            out.append(np.sort(np.stack([node[i], node[i + d]])[:, node[i] != node[i + d]], axis=0))
+        return np.concatenate(out, axis=1)
+
+    def batch_of(pairs: np.ndarray, sure: bool) -> pa.RecordBatch:
+        pairs = np.unique(pairs, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(np.full(pairs.shape[1], sure))], names=["a", "b", "sure"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # (column, size, head) of the row before
-        for batch in batches:
-            tok, node, n = (batch.column(c).to_numpy() for c in ("tok", "id", "n"))
-            if not len(tok):
+        last, held = None, np.zeros((3, 0), np.int64)  # the last row that was sent in a run; rows of the last column that may go on
+        for batch in _and_end(batches):
+            rows = held if batch is None else np.concatenate([held, np.stack([batch.column(c).to_numpy() for c in ("tok", "n", "id")])], axis=1)
+            again = np.zeros(rows.shape[1], dtype=bool)
+            again[1:] = (rows[:, 1:] == rows[:, :-1]).all(axis=0)
+            rows = rows[:, ~again]
+            if not rows.shape[1]:
                 continue
-            new = np.ones(len(tok), dtype=bool)
-            new[1:] = (tok[1:] != tok[:-1]) | (den * n[:-1] < num * n[1:])
-            carried = last is not None and last[0] == tok[0] and den * last[1] >= num * n[0]
-            new[0] = not carried
-            at = np.where(new, np.arange(len(tok)), -1)
-            head_at = np.maximum.accumulate(at)
-            head = np.where(head_at < 0, last[2] if carried else 0, node[np.maximum(head_at, 0)])
-            last = (tok[-1], n[-1], head[-1])
-            pairs = np.unique(np.stack([head, node])[:, head != node], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+            tok = rows[0]
+            border = np.flatnonzero(np.diff(tok, prepend=~tok[:1]) != 0)
+            size = np.diff(np.append(border, len(tok)))
+            many = size > few
+            if last is not None and last[0] == tok[0]:
+                many[0] = True
+            stays = batch is not None and not many[-1]
+            upto = int(border[-1]) if stays else len(tok)
+            held = rows[:, upto:]
+            some = np.repeat(many, size)[:upto]
+            if some.any():
+                pairs, last = runs(*rows[:, :upto][:, some], last)
+                yield batch_of(pairs, True)
+            if not some.all():
+                yield batch_of(all_pairs(*rows[:, :upto][:, ~some]), False)
+
+    return ordered.mapInArrow(run, "a long, b long, sure boolean").select("a", "b", *(["sure"] if few else [])).distinct()
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
 
 
 def prefix_rows(rows: DataFrame, sets: Sets, ranks: np.ndarray, num: int, den: int) -> DataFrame:
@@ -435,16 +522,20 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
     if num < den:
         some = rows.where("id IS NOT NULL")
         if num + den >= 2 * PART_COLUMNS * (den - num):
-            tokens, by = part_rows(some.withColumn("bundle", F.lit(0).cast("long")), sets, num, den), "id"
+            edges, by = bundle_edges(part_rows(some.withColumn("bundle", F.lit(0).cast("long")), sets, num, den), num, den), "id"
         else:
-            tokens, by = prefix_rows(some, sets, rarity(some, sets), num, den), "sig_a"
-        bundles = connected_components(bundle_edges(tokens, num, den)).select(F.col("node").alias(by), F.col("component").alias("bundle"))
+            # With many rows the sketch tells rare columns apart less and less, and rows meet that only share a passage.
+            met = staged(bundle_edges(prefix_rows(some, sets, rarity(some, sets), num, den), num, den, FEW), "ngram-met")
+            bits = staged(parities(some, sets).distinct(), "ngram-parities")
+            edges, by = met.where("sure").select("a", "b").unionAll(near_pairs(met.where("NOT sure").select("a", "b"), bits, num, den)), "sig_a"
+        bundles = connected_components(edges).select(F.col("node").alias(by), F.col("component").alias("bundle"))
         members = classes.select(F.col("rep").alias("id"), "n", "sig_a").join(bundles, by).groupBy("id", "bundle").agg(F.max("n").alias("n"))
         members = staged(members, "ngram-members")
         members = sharper(members, rows, ["id"], sets, num, den, TILE)
         several = members.groupBy("bundle").count().where("count > 1").select("bundle")
-        keys = tile_keys(members.join(several, "bundle", "left_semi"), num, den)
-        links = connected_components(tile_links(with_texts(rows, keys, ["id"]), sets, num, den))
+        members = staged(members.join(several, "bundle", "left_semi"), "ngram-several")
+        keys = tile_keys(members, num, den)
+        links = connected_components(tile_links(with_texts(sketched(rows, members, ["id"]), keys, ["id"]), sets, num, den))
     else:  # only equal sets are so similar, and those are one class
         links = bundle_edges(rows.limit(0).select(F.col("id").alias("tok"), "id", F.col("id").alias("n")), 1, 1) \
             .select(F.col("a").alias("node"), F.col("b").alias("component"))

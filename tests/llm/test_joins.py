@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from surge.llm import lines, ngram_join
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -107,3 +109,45 @@ def test_lines_equal_brute_force(spark, monkeypatch):
     lost = {(i, n) for i, n, _, _ in earliest(rows, 5, 80, 100)}
     for i, text in rows:
         assert left[i] == (text if text is None else "\n".join(x for n, x in enumerate(text.split("\n")) if (i, n) not in lost))
+
+
+def test_rows_that_share_a_passage_are_told_apart_before_their_texts_move(spark, monkeypatch):
+    """Whatever the rarity sketch tells: here it tells nothing, as with very many rows."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = [(i, passage + " " + " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(150))) for i in range(50)]
+    docs += [(50, docs[3][1] + " end"), (51, "odd " + docs[4][1])]
+    moved, keys = [], ngram_join.tile_keys
+    monkeypatch.setattr(ngram_join, "rarity", lambda rows, sets: np.zeros(ngram_join.CELLS, np.uint8))
+    monkeypatch.setattr(ngram_join, "tile_keys", lambda members, *rest: (moved.extend(r.id for r in members.select("id").collect()), keys(members, *rest))[1])
+    out = ngram_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), k=5, num=80, den=100)
+    got = {r.doc_id: r.component_id for r in out.collect()}
+    assert got == {i: {50: 3, 51: 4}.get(i, i) for i in range(52)}
+    assert set(moved) == {3, 4, 50, 51}
+
+
+def test_parities_leave_every_similar_pair(spark):
+    rng = random.Random(12)
+    docs = []
+    for i in range(40):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(rng.choice([3, 20, 70, 64 * 5, 700]))]
+        more = words[:]
+        for _ in range(len(words) // 25):
+            more[rng.randrange(len(more))] = "x"
+        docs += [words, more + ["y"] * (len(words) // 30), words[:len(words) * 9 // 10], words * 2]
+    rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    sets = [set(tuple(w[j:j + 3]) for j in range(max(len(w) - 2, 1))) for w in docs]
+    close = {(i, j) for i in range(len(docs)) for j in range(i) if len(sets[i] & sets[j]) * 10 >= 3 * len(sets[i] | sets[j])}
+    frame = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+
+    def shingles(column):
+        return ngram_join.shingle_sets(column, 3)
+
+    name = {r.id: r.sig_a for r in ngram_join.signatures(frame, shingles, None, 3, 10, ["id"]).collect()}
+    pairs = spark.createDataFrame([(name[i], name[j]) for i in range(len(docs)) for j in range(i)], "a long, b long").distinct()
+    bits = ngram_join.parities(frame, shingles).distinct()
+    for num, den in ((3, 10), (8, 10)):
+        kept = {(r.a, r.b) for r in ngram_join.near_pairs(pairs, bits, num, den).collect()}
+        assert {(name[i], name[j]) for i, j in close if len(sets[i] & sets[j]) * den >= num * len(sets[i] | sets[j])} <= kept
+    alike = {(name[i], name[j]) for i in range(len(docs)) for j in range(i) if 0.8 <= len(sets[i]) / len(sets[j]) <= 1.25}
+    assert len(kept & alike) < len(alike) / 5  # pairs of other sizes never get here
